@@ -102,6 +102,8 @@ def entries_struct(entries) -> Column:
         field_display(s["e"], "code").alias("code_display"),
         field_display(s["e"], "percentage").alias("pct_display"),
         field_text(s["e"], "percentage").alias("percentage"),
+        field_display(s["e"], "webshop", "").alias("webshop_csv"),
+        field_display(s["e"], "code", "").alias("code_csv"),
     ))
 
 
@@ -123,12 +125,11 @@ def to_json_text(v) -> Column:
 
 
 def csv_style(webshop: Column, code: Column, pct: Column, influencer: Column, md: Column) -> Column:
-    """``"webshop, code, pct, influencer, MM-dd"``; missing fields and a
-    null percentage render as ''."""
-    return F.concat(F.lit('"'), F.concat_ws(", ", F.coalesce(webshop, F.lit("")),
-                                            F.coalesce(code, F.lit("")),
-                                            F.coalesce(pct, F.lit("")),
-                                            F.coalesce(influencer, F.lit("")), md), F.lit('"'))
+    """``"webshop, code, pct, influencer, MM-dd"``. ``webshop`` and
+    ``code`` are display texts ('' when missing, ``None`` when null); a
+    missing or null percentage renders as ''; a null influencer as ``None``."""
+    return F.concat(F.lit('"'), F.concat_ws(", ", webshop, code, F.coalesce(pct, F.lit("")),
+                                            F.coalesce(influencer, F.lit("None")), md), F.lit('"'))
 
 
 def display_influencer(name, platform) -> Column:

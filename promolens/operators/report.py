@@ -79,15 +79,15 @@ def unique_webshop_codes(captions: DataFrame) -> DataFrame:
     """First entry per (webshop, code) (NULLs equal) with that row's
     influencer; order = (inserted_at, id, entry position)."""
     rows = explode_entries(captions)
-    return first_per_key(rows.select("webshop", "code", "percentage", "influencer_name",
-                                     "inserted_at", "id", "pos"),
+    return first_per_key(rows.select("webshop", "code", "percentage", "webshop_csv", "code_csv",
+                                     "influencer_name", "inserted_at", "id", "pos"),
                          ["webshop", "code"], ["inserted_at", "id", "pos"])
 
 
 def csv_style_lines(entries: DataFrame, today: dt.date) -> DataFrame:
     """F21 over W3 output."""
     md = F.lit(today.strftime("%m-%d"))
-    return entries.select("*", A.csv_style(F.col("webshop"), F.col("code"), F.col("percentage"),
+    return entries.select("*", A.csv_style(F.col("webshop_csv"), F.col("code_csv"), F.col("percentage"),
                                            F.col("influencer_name"), md).alias("line"))
 
 

@@ -109,3 +109,109 @@ ORACLE: dict[str, str] = {
     "e4_report_lines": _with(BASE, REPORT) + """
 SELECT platform, line, first_inserted_at, first_id, first_pos, line_no FROM report""",
 }
+
+# --------------------------------------------------- caption-table reads --
+
+def _since(extra: str = "") -> str:
+    return f"SELECT * FROM cap WHERE inserted_at > {_ts(D.REPORT_CUTOFF)} {extra}"
+
+
+# Text of a parsed entry field as Spark renders it (VARIANT cast to string).
+ENTRY_ROWS = f"""
+entry_rows AS (
+  SELECT cap.id, cap.influencer_name, cap.inserted_at, ent.pos, ent.e_webshop AS webshop, ent.e_code AS code,
+         CAST(ent.e_pct AS VARCHAR) AS percentage, cap.ai_canonical
+  FROM cap JOIN ent ON ent.l_orderkey = cap.id
+  WHERE cap.analysis_kind = 'list' AND cap.inserted_at > {_ts(D.REPORT_CUTOFF)})
+"""
+
+ORACLE.update({
+    "p2_records_for_date": _with(BASE) + f"""
+SELECT id, influencer_name, post_url, post_date, inserted_at, ai_canonical FROM cap
+WHERE CAST(inserted_at AS DATE) = DATE '{D.ANALYSIS_DAY:%Y-%m-%d}' AND post_date > {_ts(D.POST_DATE_AFTER)}
+  AND platform = 'instagram'""",
+    "p3_records_since": _with(BASE) + f"""
+SELECT id, platform, influencer_name, post_url, inserted_at,
+       analysis_kind <> 'none' AS has_analysis
+FROM cap WHERE inserted_at > {_ts(D.REPORT_CUTOFF)} AND post_date > {_ts(D.POST_DATE_AFTER)}""",
+    "p5_not_analysed": _with(BASE) + f"""
+SELECT id, platform, coalesce(caption, '') AS caption, post_url FROM ({_since()}) WHERE analysis_kind = 'none'""",
+    "p6_with_analysis": _with(BASE) + f"""
+SELECT row_number() OVER (ORDER BY inserted_at, id) AS item_no, count(*) OVER () AS item_total,
+       id, influencer_name, post_url
+FROM ({_since()}) WHERE analysis_kind <> 'none'""",
+    "a1_webshops_to_resolve": _with(BASE, ENTRY_ROWS) + """
+SELECT DISTINCT webshop FROM entry_rows WHERE ai_canonical IS NULL AND webshop IS NOT NULL AND webshop <> ''""",
+    "w3_unique_webshop_codes": _with(BASE, ENTRY_ROWS) + f"""
+SELECT webshop, code, percentage, influencer_name, id, pos,
+       '"' || coalesce(webshop, 'None') || ', ' || coalesce(code, 'None') || ', ' || coalesce(percentage, '')
+         || ', ' || coalesce(influencer_name, 'None') || ', {D.TODAY:%m-%d}"' AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY webshop, code ORDER BY inserted_at, id, pos) AS rn
+      FROM entry_rows) WHERE rn = 1""",
+    "s13_known_discounts": _with(BASE) + """
+SELECT canonical_key, code_key, seen_md FROM known""",
+    "s14_names_from_discounts": _with(BASE) + """
+SELECT DISTINCT trim(regexp_replace(trim(split_part(line, ',', 1)), '\\s*\\(.*?\\)', '', 'g')) AS name
+FROM pub WHERE trim(regexp_replace(trim(split_part(line, ',', 1)), '\\s*\\(.*?\\)', '', 'g')) <> ''""",
+    "s15_keys_from_source": """
+SELECT DISTINCT unnest(regexp_extract_all(props, '["'']([^"'']+)["'']\\s*:', 1)) AS name FROM events""",
+    "a2_known_names": _with(BASE) + """
+SELECT DISTINCT name FROM (
+  SELECT trim(regexp_replace(trim(split_part(line, ',', 1)), '\\s*\\(.*?\\)', '', 'g')) AS name FROM pub
+  UNION ALL
+  SELECT unnest(regexp_extract_all(props, '["'']([^"'']+)["'']\\s*:', 1)) AS name FROM events) WHERE name <> ''""",
+})
+
+# ------------------------------------------------------- caption ingest ---
+
+# NFKD of the accented letters present in the documents table (letter +
+# combining mark); every other character there is ASCII or 'ß' (no
+# decomposition).
+_NFKD_PAIRS = [("é", "é"), ("è", "è"), ("ê", "ê"), ("ü", "ü"), ("ö", "ö"),
+               ("ä", "ä"), ("ó", "ó"), ("í", "í"), ("ñ", "ñ"), ("ç", "ç"),
+               ("É", "É"), ("È", "È"), ("Ê", "Ê"), ("Ü", "Ü"), ("Ö", "Ö"),
+               ("Ä", "Ä"), ("Ó", "Ó"), ("Í", "Í"), ("Ñ", "Ñ"), ("Ç", "Ç")]
+
+
+def _nfkd_sql(expr: str) -> str:
+    for a, b in _NFKD_PAIRS:
+        expr = f"replace({expr}, '{a}', '{b}')"
+    return f"trim(regexp_replace({expr}, ' +', ' ', 'g'), ' \n')"
+
+
+def _keyword_sql(expr: str) -> str:
+    return "(" + " OR ".join(f"contains(lower({expr}), '{k.lower()}')" for k in D.INGEST_KEYWORDS) + ")"
+
+
+POSTS = f"""
+posts AS (
+  SELECT CASE WHEN lang IN ('en', 'de') THEN 'instagram' ELSE 'tiktok' END AS platform,
+         source AS influencer_name, {_nfkd_sql('text')} AS caption,
+         'https://post/' || CAST(n_chars % 50 AS VARCHAR) AS post_url,
+         CAST(DATE '2025-01-01' + CAST(doc_id % 30 AS INTEGER) AS DATE) AS post_date,
+         doc_id AS ord
+  FROM documents),
+archive AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, post_url, left(caption, 255) ORDER BY ord) rn
+                 FROM posts) WHERE rn = 1),
+kw AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, post_url, left(caption, 255) ORDER BY ord) rn
+                 FROM posts WHERE {_keyword_sql('caption')}) WHERE rn = 1)
+"""
+
+ORACLE.update({
+    "f1_normalize_captions": f"SELECT doc_id, {_nfkd_sql('text')} AS caption FROM documents",
+    "p1_keyword_filter": f"SELECT doc_id, {_keyword_sql(_nfkd_sql('text'))} AS matched FROM documents",
+    "w1_archive_records": _with(POSTS) + """
+SELECT platform, influencer_name, caption, post_url, post_date FROM archive""",
+    "k2_keyword_records": _with(POSTS) + """
+SELECT platform, influencer_name, caption, post_url, post_date FROM kw""",
+    "a4_ingest_counts": _with(POSTS) + """
+SELECT p.platform, p.users, p.posts, coalesce(a.n, 0) AS archived, coalesce(k.n, 0) AS keyword_rows
+FROM (SELECT platform, count(DISTINCT influencer_name) AS users, count(*) AS posts FROM posts GROUP BY 1) p
+LEFT JOIN (SELECT platform, count(*) AS n FROM archive GROUP BY 1) a ON a.platform = p.platform
+LEFT JOIN (SELECT platform, count(*) AS n FROM kw GROUP BY 1) k ON k.platform = p.platform""",
+    "a8_raw_vs_unique": _with(POSTS) + """
+SELECT platform, count(*) AS raw, count(DISTINCT (post_url, left(caption, 255))) AS unique_posts
+FROM posts GROUP BY platform""",
+})

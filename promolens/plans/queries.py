@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from ..operators import filters, report
+from ..functions.text import keyword_match, normalize_caption
+from ..operators import filters, ingest, report
+from ..operators.ordering import global_rank
 from ..sources import discounts as disc
 from . import driver as D
 
@@ -44,3 +46,127 @@ def e4_report_lines(spark, sf_dir):
     known = disc.known_discounts(D.published_lines(spark, sf_dir))
     return report.report_lines(_report_input(spark, sf_dir), known).select(
         "platform", "line", "first_inserted_at", "first_id", "first_pos", "line_no")
+
+
+# ------------------------------------------------- caption-table reads ----
+
+def _captions(spark, sf_dir):
+    return D.captions(spark, sf_dir)
+
+
+@register("p2_records_for_date")
+def p2_records_for_date(spark, sf_dir):
+    """P2 + P4 + O1: one insert day of one platform, posts after a time."""
+    df = filters.records_for_date(_captions(spark, sf_dir), D.ANALYSIS_DAY, D.POST_DATE_AFTER,
+                                  platform="instagram_mention")
+    return df.select("id", "influencer_name", "post_url", "post_date", "inserted_at", "ai_canonical")
+
+
+@register("p3_records_since")
+def p3_records_since(spark, sf_dir):
+    """Rows inserted strictly after the cut-off, posts after a time."""
+    df = filters.records_since(_captions(spark, sf_dir), D.REPORT_CUTOFF, D.POST_DATE_AFTER)
+    return df.select("id", "platform", "influencer_name", "post_url", "inserted_at",
+                     F.col("ai_analysis").isNotNull().alias("has_analysis"))
+
+
+@register("p5_not_analysed")
+def p5_not_analysed(spark, sf_dir):
+    """P5: rows of the window still without analysis, caption NULL -> ''."""
+    df = filters.not_analysed(filters.records_since(_captions(spark, sf_dir), D.REPORT_CUTOFF))
+    return df.select("id", "platform", "caption", "post_url")
+
+
+@register("p6_with_analysis")
+def p6_with_analysis(spark, sf_dir):
+    """Rows with analysis, numbered i of n in insert order."""
+    df = filters.with_analysis(filters.records_since(_captions(spark, sf_dir), D.REPORT_CUTOFF))
+    numbered = global_rank(df.select("id", "influencer_name", "inserted_at", "post_url", "ai_analysis"),
+                           ["inserted_at", "id"], "item_no")
+    total = numbered.count()  # one scalar for the "i/n" numbering
+    return numbered.select("item_no", F.lit(total).alias("item_total"), "id", "influencer_name", "post_url")
+
+
+@register("a1_webshops_to_resolve")
+def a1_webshops_to_resolve(spark, sf_dir):
+    """A1: distinct webshop names of rows without canonical name."""
+    return report.webshops_to_resolve(_report_input(spark, sf_dir))
+
+
+@register("w3_unique_webshop_codes")
+def w3_unique_webshop_codes(spark, sf_dir):
+    """W3 + F21: first entry per (webshop, code) with its influencer, as CSV-style lines."""
+    firsts = report.unique_webshop_codes(_report_input(spark, sf_dir))
+    return report.csv_style_lines(firsts, D.TODAY).select(
+        "webshop", "code", "percentage", "influencer_name", "id", "pos", "line")
+
+
+@register("s13_known_discounts")
+def s13_known_discounts(spark, sf_dir):
+    """S13 + W4: published list parsed; first line per (canonical, code)."""
+    return disc.known_discounts(D.published_lines(spark, sf_dir))
+
+
+@register("s14_names_from_discounts")
+def s14_names_from_discounts(spark, sf_dir):
+    """S14 + F5: canonical names from the published list."""
+    return disc.canonical_names_from_discounts(D.published_lines(spark, sf_dir))
+
+
+@register("s15_keys_from_source")
+def s15_keys_from_source(spark, sf_dir):
+    """Quoted keys followed by ':' in source texts (event payloads)."""
+    return disc.keys_from_source_text(D.table(spark, sf_dir, "events"), "props")
+
+
+@register("a2_known_names")
+def a2_known_names(spark, sf_dir):
+    """A2 + U2: union of S14 and S15 names, distinct."""
+    return disc.known_names(D.published_lines(spark, sf_dir), D.table(spark, sf_dir, "events"), "props")
+
+
+# ------------------------------------------------------ caption ingest ----
+
+@register("f1_normalize_captions")
+def f1_normalize_captions(spark, sf_dir):
+    """caption normalisation over whole documents."""
+    d = D.table(spark, sf_dir, "documents")
+    return d.select("doc_id", normalize_caption("text").alias("caption"))
+
+
+@register("p1_keyword_filter")
+def p1_keyword_filter(spark, sf_dir):
+    """P1 on normalised captions (keyword list given as parameter)."""
+    d = D.table(spark, sf_dir, "documents")
+    return d.select("doc_id", keyword_match(normalize_caption("text"), D.INGEST_KEYWORDS).alias("matched"))
+
+
+def _ingest(spark, sf_dir):
+    return ingest.split_records(D.posts(spark, sf_dir), D.INGEST_KEYWORDS)
+
+
+@register("w1_archive_records")
+def w1_archive_records(spark, sf_dir):
+    """E1/K1 + W1: archive rows, first per (platform, url, caption[:255])."""
+    archive, _ = _ingest(spark, sf_dir)
+    return ingest.first_per_post(archive).drop("ord")
+
+
+@register("k2_keyword_records")
+def k2_keyword_records(spark, sf_dir):
+    """Keyword captions, first per post key."""
+    _, keyword = _ingest(spark, sf_dir)
+    return ingest.first_per_post(keyword).drop("ord")
+
+
+@register("a4_ingest_counts")
+def a4_ingest_counts(spark, sf_dir):
+    """A4: users, posts, archived unique and keyword rows per platform."""
+    return ingest.ingest_counts(*_ingest(spark, sf_dir))
+
+
+@register("a8_raw_vs_unique")
+def a8_raw_vs_unique(spark, sf_dir):
+    """Raw vs unique post keys per platform."""
+    archive, _ = _ingest(spark, sf_dir)
+    return ingest.raw_vs_unique(archive)
