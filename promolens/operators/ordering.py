@@ -15,6 +15,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import checkpoint_dir
 
@@ -81,7 +82,7 @@ def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str],
         F.coalesce(F.sum("_s").over(Window.partitionBy(group_col).orderBy("_pid")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_off"))
     joined = s.join(F.broadcast(offsets), ["_pid", group_col], "left")
-    out_schema = joined.schema.add(name, "double")
+    out_schema = StructType(list(joined.schema.fields) + [StructField(name, DoubleType())])
 
     def run(batches):
         running: dict = {}

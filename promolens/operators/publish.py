@@ -66,8 +66,8 @@ def prev_seen_date(line: Column, today: dt.date) -> Column:
     has = line.rlike(rules.PREV_SEEN_DATE_PATTERN)
     md = F.concat(F.regexp_extract(line, rules.PREV_SEEN_DATE_PATTERN, 1), F.lit("-"),
                   F.regexp_extract(line, rules.PREV_SEEN_DATE_PATTERN, 2))
-    this_year = F.try_to_date(F.concat(F.lit(f"{today.year}-"), md), F.lit("yyyy-MM-dd"))
-    last_year = F.try_to_date(F.concat(F.lit(f"{today.year - 1}-"), md), F.lit("yyyy-MM-dd"))
+    this_year = F.try_to_date(F.concat(F.lit(f"{today.year}-"), md), "yyyy-MM-dd")
+    last_year = F.try_to_date(F.concat(F.lit(f"{today.year - 1}-"), md), "yyyy-MM-dd")
     t = F.lit(today)
     return F.when(has, F.when(this_year > t, last_year).otherwise(this_year))
 
@@ -92,68 +92,102 @@ def classify(lines: DataFrame, today: dt.date, r: PublishRules = PublishRules())
     return lines.withColumn("reason", reason)
 
 
+def parse_line(df: DataFrame) -> DataFrame:
+    """F6 once: ``pre`` (text before the first ``"``, or the whole line),
+    ``q`` (a quoted part exists), ``inner``, ``fields`` (stripped comma
+    split of ``inner``) and ``rest`` (text after the closing quote).
+
+    Later rules change these columns and the line is rendered from them, so
+    no rule re-parses a rewritten line (that would nest every earlier rewrite
+    into each later expression)."""
+    line = F.col("line")
+    df = (df.withColumn("q", has_quoted(line))
+          .withColumn("pre", F.when(F.col("q"), F.substring_index(line, '"', 1)).otherwise(line))
+          .withColumn("inner", F.when(F.col("q"), quoted_inner(line))))
+    return (df.withColumn("rest", F.when(F.col("q"), F.substr(line, F.length("pre") + F.length("inner") + F.lit(3))))
+            .withColumn("fields", F.when(F.col("q"), split_fields("inner"))))
+
+
+def render() -> Column:
+    """Line text from the parsed parts."""
+    return F.when(F.col("q"), F.concat(F.col("pre"), F.lit('"'), F.col("inner"), F.lit('"'), F.col("rest"))
+                  ).otherwise(F.col("pre"))
+
+
 def repair(kept: DataFrame, r: PublishRules = PublishRules()) -> DataFrame:
     """F15, F9, F7 on kept lines; adds flags stripped/cleaned/defaulted/marked."""
-    l0 = F.col("line")
-    df = kept.withColumn("stripped", l0.startswith("...")).withColumn("line", strip_repost_marker(l0))
-    # new-company brand clean
-    l1 = F.col("line")
-    f1 = split_fields(quoted_inner(l1))
-    is_new = ~l1.contains(rules.MULTI_TAG) & has_quoted(l1) & f1[0].startswith("___")
-    cleaned = F.regexp_replace(F.lower(F.substr(f1[0], F.lit(4))), "[^a-z0-9._]", "")
-    new_inner = F.array_join(F.transform(f1, lambda x, i: F.when(i == 0, cleaned).otherwise(x)), ", ")
-    df = (df.withColumn("cleaned", is_new)
-          .withColumn("line", F.when(is_new, replace_quoted(l1, new_inner)).otherwise(l1)))
-    # discount value
-    l2 = F.col("line")
-    p = split_fields(quoted_inner(l2))
-    has3 = has_quoted(l2) & (F.size(p) >= 3)
-    value = p[2]
-    is_none = F.lower(value) == "none"
-    default = F.coalesce(_map_lookup(r.defaults(), _brand_key(p[0]), "string"), F.lit(r.default_value))
+    df = parse_line(kept)
+    pre, fields, q = F.col("pre"), F.col("fields"), F.col("q")
+    # leading "..." (the line starts with pre)
+    df = (df.withColumn("stripped", pre.startswith("..."))
+          .withColumn("pre", F.when(F.col("stripped"), F.substr(pre, F.lit(4))).otherwise(pre)))
+    # new-company brand clean (not for MULTI lines)
+    has_multi = (pre.contains(rules.MULTI_TAG) | F.coalesce(F.col("inner").contains(rules.MULTI_TAG), F.lit(False))
+                 | F.coalesce(F.col("rest").contains(rules.MULTI_TAG), F.lit(False)))
+    df = df.withColumn("cleaned", F.coalesce(~has_multi & q & fields[0].startswith("___"), F.lit(False)))
+    cleaned = F.regexp_replace(F.lower(F.substr(fields[0], F.lit(4))), "[^a-z0-9._]", "")
+    df = df.withColumn("fields", F.when(F.col("cleaned"), F.transform(
+        fields, lambda x, i: F.when(i == 0, cleaned).otherwise(x))).otherwise(fields))
+    # discount value of the (cleaned) fields
+    value = fields[2]
+    df = (df.withColumn("_has3", F.coalesce(q & (F.size(fields) >= 3), F.lit(False)))
+          .withColumn("_none", F.col("_has3") & (F.lower(value) == "none")))
     ok = value.rlike(rules.DISCOUNT_VALUE_PATTERN)
     num = F.regexp_extract(value, rules.DISCOUNT_VALUE_PATTERN, 1).cast("double")
-    euro = value.startswith("€")
-    too_high = F.when(euro, num > F.lit(float(r.euro_limit))).otherwise(num > F.lit(float(r.percent_limit)))
-    marked = has3 & ~is_none & (~ok | too_high)
-    fixed = F.array_join(F.transform(p, lambda x, i: F.when((i == 2) & is_none, default).otherwise(x)), ", ")
-    df = (df.withColumn("defaulted", has3 & is_none)
-          .withColumn("marked", F.coalesce(marked, F.lit(False)))
-          .withColumn("line", F.when(has3, replace_quoted(l2, fixed)).otherwise(l2)))
-    l3 = F.col("line")
-    return df.withColumn("line", F.when(F.col("marked") & ~l3.startswith(rules.REVIEW_PREFIX),
-                                        F.concat(F.lit(rules.REVIEW_HIGH), l3)).otherwise(l3))
+    too_high = F.when(value.startswith("€"), num > F.lit(float(r.euro_limit))).otherwise(
+        num > F.lit(float(r.percent_limit)))
+    default = F.coalesce(_map_lookup(r.defaults(), _brand_key(fields[0]), "string"), F.lit(r.default_value))
+    df = (df.withColumn("defaulted", F.col("_none"))
+          .withColumn("marked", F.coalesce(F.col("_has3") & ~F.col("_none") & (~ok | too_high), F.lit(False)))
+          .withColumn("fields", F.when(F.col("_none"), F.transform(
+              fields, lambda x, i: F.when(i == 2, default).otherwise(x))).otherwise(fields)))
+    # the quoted part is re-joined with ", " whenever a rule rewrote it
+    df = df.withColumn("inner", F.when(F.col("cleaned") | F.col("_has3"), F.array_join(fields, ", "))
+                       .otherwise(F.col("inner")))
+    df = df.withColumn("pre", F.when(F.col("marked") & ~pre.startswith(rules.REVIEW_PREFIX),
+                                     F.concat(F.lit(rules.REVIEW_HIGH), pre)).otherwise(pre))
+    return df.drop("_has3", "_none").withColumn("line", render())
 
 
 def collapse_multi(repaired: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Among MULTI lines with a URL keep the first per URL; drop the tag.
 
-    Returns (kept, grouped) where ``grouped`` are the MULTI lines with a
-    URL (the ones that competed). The pick is a hash aggregate (``min_by``),
-    so a URL shared by a third of all lines is pre-reduced per map task;
-    lines without URL are never grouped (no NULL-key hot spot)."""
-    is_multi = F.col("line").contains(rules.MULTI_TAG)
+    One hash aggregate: competing lines group by URL, every other line is
+    its own group (keyed by its ordinal), so no line is filtered out and
+    re-unioned. ``min_by`` pre-reduces a URL shared by a third of all lines
+    per map task. Returns (kept, one-row count of competing lines)."""
     url = F.regexp_extract("line", URL_PATTERN, 0)
-    df = repaired.withColumn("is_multi", is_multi).withColumn("_url", F.when(url != "", url))
+    df = (repaired.withColumn("is_multi", F.col("line").contains(rules.MULTI_TAG))
+          .withColumn("_url", F.when(url != "", url)))
     compete = F.col("is_multi") & F.col("_url").isNotNull()
-    grouped = df.where(compete)
-    winners = first_per_key(grouped, ["_url"], ["ord"])
-    kept = (winners.unionByName(df.where(~compete))
-            .withColumn("line", F.when(F.col("is_multi"), replace_first("line", rules.MULTI_TAG))
-                        .otherwise(F.col("line")))
-            .drop("_url"))
-    return kept, grouped.drop("_url")
+    df = (df.withColumn("_g_url", F.when(compete, F.col("_url")))
+          .withColumn("_g_ord", F.when(~compete, F.col("ord"))))
+    competing = df.agg(F.count_if(compete).alias("competing"))
+    kept = first_per_key(df, ["_g_url", "_g_ord"], ["ord"]).drop("_g_url", "_g_ord", "_url")
+    # remove the first "MULTI__" of the line: in pre, else inner, else rest
+    in_pre = F.col("pre").contains(rules.MULTI_TAG)
+    in_inner = ~in_pre & F.coalesce(F.col("inner").contains(rules.MULTI_TAG), F.lit(False))
+    kept = (kept.withColumn("_where", F.when(~F.col("is_multi"), 0).when(in_pre, 1).when(in_inner, 2).otherwise(3))
+            .withColumn("pre", F.when(F.col("_where") == 1, replace_first("pre", rules.MULTI_TAG)).otherwise(F.col("pre")))
+            .withColumn("inner", F.when(F.col("_where") == 2, replace_first("inner", rules.MULTI_TAG))
+                        .otherwise(F.col("inner")))
+            .withColumn("rest", F.when(F.col("_where") == 3, replace_first("rest", rules.MULTI_TAG))
+                        .otherwise(F.col("rest")))
+            .drop("_where")
+            .withColumn("line", render()))
+    return kept, competing
 
 
 def dedup_brand_code(kept: DataFrame, seed: int) -> DataFrame:
     """One random survivor per lower-cased (brand, code); lines without
-    a quoted part or with fewer than two fields are always kept."""
-    f = split_fields(quoted_inner("line"))
-    keyed_cond = has_quoted("line") & (F.size(f) >= 2)
-    df = kept.withColumn("_k", keyed_cond)
-    keyed = df.where("_k").withColumn("_b", F.lower(f[0])).withColumn("_c", F.lower(f[1]))
-    survivors = random_survivor(keyed, ["_b", "_c"], "ord", seed).drop("_b", "_c")
-    return survivors.unionByName(df.where(~F.col("_k"))).drop("_k")
+    a quoted part or with fewer than two fields are always kept (each is its
+    own group, keyed by ordinal)."""
+    f = F.col("_f")
+    df = (kept.withColumn("_f", F.when(F.col("q"), split_fields("inner")))
+          .withColumn("_k", F.coalesce(F.col("q") & (F.size("_f") >= 2), F.lit(False))))
+    df = (df.withColumn("_g_bc", F.when(F.col("_k"), F.struct(F.lower(f[0]).alias("b"), F.lower(f[1]).alias("c"))))
+          .withColumn("_g_ord", F.when(~F.col("_k"), F.col("ord"))))
+    return random_survivor(df, ["_g_bc", "_g_ord"], "ord", seed).drop("_g_bc", "_g_ord", "_k", "_f")
 
 
 def brand_avg_positions(training: DataFrame) -> DataFrame:
@@ -233,14 +267,14 @@ def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | N
     """E5 over (ord, line). ``ord`` must be unique and give input order."""
     classified = classify(lines, today, r)
     repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r)
-    kept, multi_grouped = collapse_multi(repaired)
+    kept, competing = collapse_multi(repaired)
     survivors = dedup_brand_code(kept, seed)
     if sort:
         ordered = publication_order(survivors.select("ord", "line"), training, seed, r)
     else:
         ordered = global_rank(survivors.select("ord", "line"), ["ord"], "position")
     published = finish(ordered)
-    metrics = _metrics(classified, repaired, kept, multi_grouped, survivors, published)
+    metrics = _metrics(classified, repaired, kept, competing, survivors, published)
     return PublishResult(classified, published.select("position", "line", "url_stripped",
                                                       "date_stripped", "emoji_stripped"), metrics)
 
@@ -252,7 +286,7 @@ def _stack(one_row: DataFrame) -> DataFrame:
         for c in one_row.columns])).alias("m")).select("m.*")
 
 
-def _metrics(classified, repaired, kept, multi_grouped, survivors, published) -> DataFrame:
+def _metrics(classified, repaired, kept, competing, survivors, published) -> DataFrame:
     """One (metric, value) row per counter (every counter is a global
     aggregate with partial aggregation; nothing is collected)."""
     by_reason = (classified.where(F.col("reason") != "keep").groupBy("reason")
@@ -266,10 +300,9 @@ def _metrics(classified, repaired, kept, multi_grouped, survivors, published) ->
                             F.count_if("marked").alias("marked_high"))),
         _stack(kept.agg(F.count_if("is_multi").alias("multi_groups_kept"))),
         # competing MULTI lines +1, kept MULTI lines with a URL -1
-        _stack(multi_grouped.select(F.lit(1).alias("d"))
-               .unionByName(kept.where(F.col("is_multi") & F.col("line").rlike(URL_PATTERN))
-                            .select(F.lit(-1).alias("d")))
-               .agg(F.coalesce(F.sum("d"), F.lit(0)).alias("dropped_multi_dup"))),
+        _stack(competing.select(F.col("competing").alias("d"))
+               .unionByName(kept.agg((-F.count_if(F.col("is_multi") & F.col("line").rlike(URL_PATTERN))).alias("d")))
+               .agg(F.sum("d").alias("dropped_multi_dup"))),
         # kept lines count +1, survivors -1: the sum is the duplicates dropped
         _stack(kept.select(F.lit(1).alias("d")).unionByName(survivors.select(F.lit(-1).alias("d")))
                .agg(F.sum("d").alias("record_dups_dropped"))),

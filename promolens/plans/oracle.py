@@ -215,3 +215,171 @@ LEFT JOIN (SELECT platform, count(*) AS n FROM kw GROUP BY 1) k ON k.platform =
 SELECT platform, count(*) AS raw, count(DISTINCT (post_url, left(caption, 255))) AS unique_posts
 FROM posts GROUP BY platform""",
 })
+
+# --------------------------------------------------- publication filter ---
+
+_R = D.PUBLISH_RULES
+_Q = "'\"[^\"]*\"'"           # first quoted part present
+_QI = "'\"([^\"]*)\"'"        # its inner text
+
+
+def _fields(expr: str) -> str:
+    return f"list_transform(string_split(regexp_extract({expr}, {_QI}, 1), ','), lambda x: trim(x))"
+
+
+def _case_map(key: str, mapping: dict, default: str = "NULL") -> str:
+    if not mapping:
+        return default
+    arms = " ".join(f"WHEN '{k}' THEN {v!r}" if isinstance(v, str) else f"WHEN '{k}' THEN {v}"
+                    for k, v in mapping.items())
+    return f"CASE {key} {arms} ELSE {default} END"
+
+
+def _replace_quoted(line: str, new_inner: str) -> str:
+    return (f"(split_part({line}, '\"', 1) || '\"' || {new_inner} || '\"' || "
+            f"substr({line}, length(split_part({line}, '\"', 1)) + length(regexp_extract({line}, {_QI}, 1)) + 3))")
+
+
+def _u(tag: str, expr: str) -> str:
+    return f"(('0x' || substr(md5('{D.SEED}:{tag}:' || CAST({expr} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
+
+
+_DEFAULT_SQL = _case_map("lower(regexp_replace(p[1], '^_+', ''))", _R["default_values"], "'10'")
+_PREV = r"'\.{10}(\d{2})-(\d{2})'"
+_TODAY = f"DATE '{D.TODAY:%Y-%m-%d}'"
+_IGN = ", ".join(f"'{b}'" for b in _R["ignored_brands"])
+_BOOST = ", ".join(f"'{b}'" for b in _R["boosted_brands"])
+
+PUBLISH = f"""
+cls_in AS (
+  SELECT line_no AS ord, line, regexp_matches(line, {_Q}) AS q, {_fields('line')} AS f FROM report),
+cls_k AS (
+  SELECT *, lower(regexp_replace(f[1], '^_+', '')) AS brand_key,
+         CASE WHEN regexp_matches(line, {_PREV}) THEN
+           CASE WHEN try_strptime('{D.TODAY.year}-' || regexp_extract(line, {_PREV}, 1) || '-' || regexp_extract(line, {_PREV}, 2), '%Y-%m-%d')::DATE > {_TODAY}
+                THEN try_strptime('{D.TODAY.year - 1}-' || regexp_extract(line, {_PREV}, 1) || '-' || regexp_extract(line, {_PREV}, 2), '%Y-%m-%d')::DATE
+                ELSE try_strptime('{D.TODAY.year}-' || regexp_extract(line, {_PREV}, 1) || '-' || regexp_extract(line, {_PREV}, 2), '%Y-%m-%d')::DATE END
+         END AS prev
+  FROM cls_in),
+cls AS (
+  SELECT ord, line,
+    CASE WHEN contains(line, '"UNKNOWN,') THEN 'unknown'
+         WHEN q AND brand_key IN ({_IGN}) THEN 'ignored'
+         WHEN q AND len(f) >= 2 AND {_case_map('brand_key', _R['min_code_length'])} IS NOT NULL
+              AND length(f[2]) < {_case_map('brand_key', _R['min_code_length'])} THEN 'short_code'
+         WHEN q AND len(f) >= 2 AND lower(f[2]) = 'none' THEN 'missing_code'
+         WHEN starts_with(line, '...') AND prev IS NOT NULL AND date_diff('day', prev, {_TODAY}) < 21 THEN 'recent'
+         ELSE 'keep' END AS reason
+  FROM cls_k),
+r1 AS (
+  SELECT ord, starts_with(line, '...') AS stripped,
+         CASE WHEN starts_with(line, '...') THEN substr(line, 4) ELSE line END AS line
+  FROM cls WHERE reason = 'keep'),
+r1f AS (SELECT *, regexp_matches(line, {_Q}) AS q1, {_fields('line')} AS f1 FROM r1),
+r2 AS (
+  SELECT ord, stripped, (NOT contains(line, 'MULTI__') AND q1 AND starts_with(f1[1], '___')) AS cleaned,
+         CASE WHEN NOT contains(line, 'MULTI__') AND q1 AND starts_with(f1[1], '___')
+              THEN {_replace_quoted('line', "array_to_string(list_concat([regexp_replace(lower(substr(f1[1], 4)), '[^a-z0-9._]', '', 'g')], f1[2:]), ', ')")}
+              ELSE line END AS line
+  FROM r1f),
+r2f AS (SELECT *, regexp_matches(line, {_Q}) AND len({_fields('line')}) >= 3 AS has3, {_fields('line')} AS p FROM r2),
+r2v AS (
+  SELECT *, lower(p[3]) = 'none' AS is_none,
+         regexp_full_match(p[3], '€?(\\d+(?:\\.\\d+)?)%?') AS ok,
+         TRY_CAST(regexp_extract(p[3], '^€?(\\d+(?:\\.\\d+)?)%?$', 1) AS DOUBLE) AS num,
+         starts_with(p[3], '€') AS euro
+  FROM r2f),
+r3 AS (
+  SELECT ord, stripped, cleaned, coalesce(has3 AND is_none, false) AS defaulted,
+         coalesce(has3 AND NOT is_none AND (NOT ok OR CASE WHEN euro THEN num > {float(100)} ELSE num > {float(40)} END), false) AS marked,
+         CASE WHEN has3 THEN {_replace_quoted('line', f"CASE WHEN is_none THEN array_to_string(list_concat(p[1:2], [{_DEFAULT_SQL}], p[4:]), ', ') ELSE array_to_string(p, ', ') END")}
+              ELSE line END AS line
+  FROM r2v),
+r3b AS (
+  SELECT ord, stripped, cleaned, defaulted, marked,
+         CASE WHEN marked AND NOT starts_with(line, 'REVIEW_') THEN 'REVIEW_HIGH__' || line ELSE line END AS line
+  FROM r3),
+m AS (SELECT *, contains(line, 'MULTI__') AS is_multi, nullif(regexp_extract(line, 'https?://\\S+', 0), '') AS url FROM r3b),
+m_win AS (
+  SELECT ord, line, is_multi FROM m WHERE NOT (is_multi AND url IS NOT NULL)
+  UNION ALL
+  SELECT ord, line, is_multi FROM (
+    SELECT *, row_number() OVER (PARTITION BY url ORDER BY ord) AS rn FROM m WHERE is_multi AND url IS NOT NULL)
+  WHERE rn = 1),
+kept AS (
+  SELECT ord, is_multi,
+         CASE WHEN is_multi AND strpos(line, 'MULTI__') > 0
+              THEN substr(line, 1, strpos(line, 'MULTI__') - 1) || substr(line, strpos(line, 'MULTI__') + 7)
+              ELSE line END AS line
+  FROM m_win),
+kd AS (SELECT *, regexp_matches(line, {_Q}) AND len({_fields('line')}) >= 2 AS keyed,
+              lower({_fields('line')}[1]) AS b, lower({_fields('line')}[2]) AS c FROM kept),
+surv AS (
+  SELECT ord, line FROM kd WHERE NOT keyed
+  UNION ALL
+  SELECT ord, line FROM (
+    SELECT *, row_number() OVER (PARTITION BY b, c ORDER BY md5('{D.SEED}:' || CAST(ord AS VARCHAR)), ord) AS rn
+    FROM kd WHERE keyed) WHERE rn = 1),
+hist AS (
+  SELECT lower(p_brand) AS brand, l_orderkey // 100 AS batch_no,
+         row_number() OVER (PARTITION BY l_orderkey // 100
+                            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS idx,
+         count(*) OVER (PARTITION BY l_orderkey // 100) AS batch_size
+  FROM li),
+avgpos AS (
+  SELECT brand, avg(first_idx) AS avg_pos FROM (
+    SELECT batch_no, brand, min(idx) AS first_idx FROM hist
+    WHERE batch_no < 120 AND batch_size >= 20 GROUP BY batch_no, brand) GROUP BY brand),
+sb AS (
+  SELECT ord, line,
+         CASE WHEN regexp_matches(pl, {_Q}) THEN lower(trim(split_part(regexp_extract(pl, {_QI}, 1), ',', 1))) ELSE '' END AS brand
+  FROM (SELECT *, CASE WHEN starts_with(line, 'REVIEW_') AND strpos(line, '__') > 0
+                       THEN substr(line, strpos(line, '__') + 2) ELSE line END AS pl FROM surv)),
+sp AS (
+  SELECT sb.*, brand = '' OR ord = min(ord) OVER (PARTITION BY brand) AS is_primary,
+         CASE WHEN brand IN ({_BOOST}) THEN 4.0 + {_u('boost', 'brand')} ELSE a.avg_pos END AS score
+  FROM sb LEFT JOIN avgpos a USING (brand)),
+srt AS (
+  SELECT *, row_number() OVER (ORDER BY score, ord) AS r, count(*) OVER () AS n
+  FROM sp WHERE is_primary AND brand <> '' AND score IS NOT NULL),
+mix_in AS (
+  SELECT ord, line, 0 AS lst, CAST(r AS DOUBLE) AS lpos FROM srt WHERE r > n // 2
+  UNION ALL
+  SELECT ord, line, 1 AS lst, CAST(ord AS DOUBLE) AS lpos FROM sp WHERE NOT is_primary),
+mixed AS (
+  SELECT ord, line, sum(-ln({_u('merge', 'ord')} + 1.0 / 4294967296.0))
+           OVER (PARTITION BY lst ORDER BY lpos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k
+  FROM mix_in),
+fin AS (
+  SELECT ord, line, 0 AS sec, CAST(r AS DOUBLE) AS k FROM srt WHERE r <= n // 2
+  UNION ALL SELECT ord, line, 1, k FROM mixed
+  UNION ALL SELECT ord, line, 2, CAST(ord AS DOUBLE) FROM sp
+            WHERE is_primary AND NOT (brand <> '' AND score IS NOT NULL)),
+pubd AS (
+  SELECT row_number() OVER (ORDER BY sec, k, ord) AS position, line AS l0,
+         CASE WHEN starts_with(line, 'REVIEW_') THEN line
+              ELSE rtrim(regexp_replace(line, 'https?://\\S+', '', 'g')) END AS l1
+  FROM fin),
+pubd2 AS (SELECT *, regexp_replace(l1, '\\.{{10}}\\d{{2}}-\\d{{2}}', '', 'g') AS l2 FROM pubd),
+pubd3 AS (SELECT *, regexp_replace(l2, '[\\x{{1F000}}-\\x{{1FFFF}}\\x{{2600}}-\\x{{27BF}}\\x{{FE00}}-\\x{{FE0F}}\\x{{200D}}]+', '', 'g') AS line FROM pubd2)
+"""
+
+ORACLE.update({
+    "e5_classify": _with(BASE, REPORT, PUBLISH) + "\nSELECT ord AS line_no, reason FROM cls",
+    "e5_published": _with(BASE, REPORT, PUBLISH) + "\nSELECT position, line FROM pubd3",
+    "a6_brand_avg_positions": _with(BASE, PUBLISH) + "\nSELECT brand, round(avg_pos, 6) AS avg_pos FROM avgpos",
+    "a7_filter_metrics": _with(BASE, REPORT, PUBLISH) + """
+SELECT 'dropped_' || reason AS metric, CAST(count(*) AS BIGINT) AS value FROM cls WHERE reason <> 'keep' GROUP BY reason
+UNION ALL SELECT 'stripped_old_repost', CAST(count_if(stripped) AS BIGINT) FROM r3b
+UNION ALL SELECT 'cleaned_new_company', CAST(count_if(cleaned) AS BIGINT) FROM r3b
+UNION ALL SELECT 'defaulted_discount', CAST(count_if(defaulted) AS BIGINT) FROM r3b
+UNION ALL SELECT 'marked_high', CAST(count_if(marked) AS BIGINT) FROM r3b
+UNION ALL SELECT 'multi_groups_kept', CAST(count_if(is_multi) AS BIGINT) FROM kept
+UNION ALL SELECT 'dropped_multi_dup', CAST((SELECT count(*) FROM m WHERE is_multi AND url IS NOT NULL)
+                                       - (SELECT count(*) FROM m_win WHERE is_multi) AS BIGINT)
+UNION ALL SELECT 'record_dups_dropped', CAST((SELECT count(*) FROM kept) - (SELECT count(*) FROM surv) AS BIGINT)
+UNION ALL SELECT 'urls_stripped', CAST(count_if(l1 <> l0) AS BIGINT) FROM pubd3
+UNION ALL SELECT 'prev_dates_stripped', CAST(count_if(l2 <> l1) AS BIGINT) FROM pubd3
+UNION ALL SELECT 'emojis_stripped', CAST(count_if(line <> l2) AS BIGINT) FROM pubd3
+UNION ALL SELECT 'output_lines', CAST(count(*) AS BIGINT) FROM pubd3""",
+})

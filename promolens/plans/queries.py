@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from ..functions.text import keyword_match, normalize_caption
-from ..operators import filters, ingest, report
+from ..operators import filters, ingest, publish, report
 from ..operators.ordering import global_rank
 from ..sources import discounts as disc
 from . import driver as D
@@ -170,3 +170,47 @@ def a8_raw_vs_unique(spark, sf_dir):
     """Raw vs unique post keys per platform."""
     archive, _ = _ingest(spark, sf_dir)
     return ingest.raw_vs_unique(archive)
+
+
+# ------------------------------------------------- publication filter ----
+
+def _report_as_lines(spark, sf_dir):
+    known = disc.known_discounts(D.published_lines(spark, sf_dir))
+    return report.report_lines(_report_input(spark, sf_dir), known).select(
+        F.col("line_no").alias("ord"), "line")
+
+
+def _publish(spark, sf_dir) -> publish.PublishResult:
+    lines = _report_as_lines(spark, sf_dir)
+    training = disc.training_brands(None, D.history_batches(spark, sf_dir))
+    return publish.publish(lines, D.TODAY, D.SEED, training,
+                           r=publish.PublishRules(**D.PUBLISH_RULES))
+
+
+@register("e5_classify")
+def e5_classify(spark, sf_dir):
+    """P7-P12 (F6, F8): one drop reason or 'keep' per report line."""
+    classified = publish.classify(_report_as_lines(spark, sf_dir), D.TODAY,
+                                  publish.PublishRules(**D.PUBLISH_RULES))
+    return classified.select(F.col("ord").alias("line_no"), "reason")
+
+
+@register("e5_published")
+def e5_published(spark, sf_dir):
+    """E5: repaired (F7, F9, F15), collapsed (W6), de-duplicated (W7),
+    ordered (O4: W8-W10, J8, F18) and cleaned (F12-F14) lines."""
+    return _publish(spark, sf_dir).published.select("position", "line")
+
+
+@register("a7_filter_metrics")
+def a7_filter_metrics(spark, sf_dir):
+    """Per-rule counters of the publication filter."""
+    return _publish(spark, sf_dir).metrics
+
+
+@register("a6_brand_avg_positions")
+def a6_brand_avg_positions(spark, sf_dir):
+    """A6 (S18, W12, O7, P15, U3): average first position of each brand in
+    the history batches."""
+    training = disc.training_brands(None, D.history_batches(spark, sf_dir))
+    return publish.brand_avg_positions(training).select("brand", F.round("avg_pos", 6).alias("avg_pos"))
