@@ -46,10 +46,9 @@ def field_is_null(e: Column, name: str) -> Column:
     return F.coalesce(F.is_variant_null(field_variant(e, name)), F.lit(False))
 
 
-def field_text(e: Column, name: str) -> Column:
-    """Field value as text (NULL when missing or JSON null). Booleans print
-    like Python (``True``/``False``)."""
-    v = field_variant(e, name)
+def _text_of(v: Column) -> Column:
+    """A field VARIANT as text: NULL for SQL NULL (missing) and JSON null;
+    booleans print like Python (``True``/``False``); objects/arrays as JSON."""
     kind = F.schema_of_variant(v)
     as_text = F.try_variant_get(v, "$", "string")
     return (
@@ -59,14 +58,21 @@ def field_text(e: Column, name: str) -> Column:
     )
 
 
-def field_display(e: Column, name: str, missing: str = "N/A") -> Column:
+def _display_of(v: Column, missing: str) -> Column:
     """``str(entry.get(name, missing))``: missing key -> ``missing``, JSON
     null -> ``None``."""
-    return (
-        F.when(field_missing(e, name), F.lit(missing))
-        .when(field_is_null(e, name), F.lit("None"))
-        .otherwise(field_text(e, name))
-    )
+    return (F.when(v.isNull(), F.lit(missing))
+            .when(F.coalesce(F.is_variant_null(v), F.lit(False)), F.lit("None"))
+            .otherwise(_text_of(v)))
+
+
+def field_text(e: Column, name: str) -> Column:
+    """Field value as text (NULL when missing or JSON null)."""
+    return _text_of(field_variant(e, name))
+
+
+def field_display(e: Column, name: str, missing: str = "N/A") -> Column:
+    return _display_of(field_variant(e, name), missing)
 
 
 def truthy_text(t: Column) -> Column:
@@ -74,37 +80,53 @@ def truthy_text(t: Column) -> Column:
     return t.isNotNull() & (t != "") & (t != "0") & (t != "False") & (t != "0.0")
 
 
+def entries_struct(entries) -> Column:
+    """Object elements as ``array<struct<pos, webshop, code, percentage,
+    code_display, pct_display, webshop_csv, code_csv>>``.
+
+    Each element is inspected once (kind + the three field VARIANTs); the
+    texts are then derived from those small values."""
+    raw = F.transform(_col(entries), lambda e, i: F.struct(
+        i.alias("pos"),
+        is_object(e).alias("obj"),
+        field_variant(e, "webshop").alias("w"),
+        field_variant(e, "code").alias("c"),
+        field_variant(e, "percentage").alias("p")))
+    objs = F.filter(raw, lambda s: s["obj"])
+    return F.transform(objs, lambda s: F.struct(
+        s["pos"].alias("pos"),
+        _text_of(s["w"]).alias("webshop"),
+        _text_of(s["c"]).alias("code"),
+        _text_of(s["p"]).alias("percentage"),
+        _display_of(s["c"], "N/A").alias("code_display"),
+        _display_of(s["p"], "N/A").alias("pct_display"),
+        _display_of(s["w"], "").alias("webshop_csv"),
+        _display_of(s["c"], "").alias("code_csv"),
+    ))
+
+
+def first_truthy_webshop_of(structs) -> Column:
+    """W13 over ``entries_struct`` output."""
+    return F.get(F.filter(_col(structs), lambda x: truthy_text(x["webshop"])), 0)["webshop"]
+
+
 def first_truthy_webshop(entries) -> Column:
     """Webshop of the first object element whose webshop is truthy."""
-    hits = F.filter(object_entries(entries), lambda e: truthy_text(field_text(e, "webshop")))
-    return field_text(F.get(hits, 0), "webshop")
+    return first_truthy_webshop_of(entries_struct(entries))
 
 
-def effective_canonical(canonical, entries) -> Column:
-    """keep a set canonical name; when it is empty or UNKNOWN use
-    ``___`` + first truthy webshop (spaces removed, lower) or UNKNOWN."""
+def provisional_canonical(canonical, shop: Column) -> Column:
+    """F19 given the first truthy webshop."""
     can = _col(canonical)
-    shop = first_truthy_webshop(entries)
     provisional = F.when(shop.isNotNull(), F.concat(F.lit("___"), F.lower(F.replace(shop, F.lit(" "), F.lit("")))))
     unset = can.isNull() | (can == "") | (F.upper(can) == "UNKNOWN")
     return F.when(unset, F.coalesce(provisional, F.lit("UNKNOWN"))).otherwise(can)
 
 
-def entries_struct(entries) -> Column:
-    """Object elements as ``array<struct<pos, webshop, code, percentage>>``
-    with display text (``N/A`` / ``None``) and the raw code for look-ups."""
-    objs = F.filter(F.transform(_col(entries), lambda e, i: F.struct(i.alias("pos"), e.alias("e"))),
-                    lambda s: is_object(s["e"]))
-    return F.transform(objs, lambda s: F.struct(
-        s["pos"].alias("pos"),
-        field_text(s["e"], "webshop").alias("webshop"),
-        field_text(s["e"], "code").alias("code"),
-        field_display(s["e"], "code").alias("code_display"),
-        field_display(s["e"], "percentage").alias("pct_display"),
-        field_text(s["e"], "percentage").alias("percentage"),
-        field_display(s["e"], "webshop", "").alias("webshop_csv"),
-        field_display(s["e"], "code", "").alias("code_csv"),
-    ))
+def effective_canonical(canonical, entries) -> Column:
+    """keep a set canonical name; when it is empty or UNKNOWN use
+    ``___`` + first truthy webshop (spaces removed, lower) or UNKNOWN."""
+    return provisional_canonical(canonical, first_truthy_webshop(entries))
 
 
 def lookup_code(code_text: Column) -> Column:

@@ -21,6 +21,7 @@ from ..functions.text import (URL_PATTERN, brand_of_line, has_quoted, quoted_inn
                               replace_quoted, split_fields, strip_emojis, strip_prev_seen_dates,
                               strip_repost_marker, strip_urls)
 from .dedup import first_per_key, flag_first_in_group, random_survivor, unit_uniform
+from ..session import checkpoint_dir
 from .ordering import global_rank, grouped_prefix_sum
 
 REASONS = ("unknown", "ignored", "short_code", "missing_code", "recent", "keep")
@@ -268,7 +269,10 @@ def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | N
     classified = classify(lines, today, r)
     repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r)
     kept, competing = collapse_multi(repaired)
-    survivors = dedup_brand_code(kept, seed)
+    # materialised once: the random pick is then fixed for the sort and for
+    # every counter (lineage cut in the shared checkpoint folder)
+    checkpoint_dir(lines.sparkSession)
+    survivors = dedup_brand_code(kept, seed).checkpoint(eager=True)
     if sort:
         ordered = publication_order(survivors.select("ord", "line"), training, seed, r)
     else:

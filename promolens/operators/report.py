@@ -23,18 +23,20 @@ def platform_rank():
 
 
 def explode_entries(captions: DataFrame) -> DataFrame:
-    """Parse ``ai_analysis`` (F16) and emit one row per object entry, with
-    the list length and the effective canonical name (F19)."""
+    """Parse ``ai_analysis`` (F16) once and emit one row per object entry,
+    with the list length and the effective canonical name (F19)."""
     entries = A.parse_list("ai_analysis")
     parsed = (captions
               .select("id", "platform", "influencer_name", "post_url", "inserted_at", "ai_canonical",
                       entries.alias("_entries"))
-              .where(F.col("_entries").isNotNull()))
+              .where(F.col("_entries").isNotNull())
+              .select("id", "platform", "influencer_name", "post_url", "inserted_at", "ai_canonical",
+                      F.size("_entries").alias("n_entries"),
+                      A.entries_struct("_entries").alias("_structs")))
     return (parsed
-            .select("id", "platform", "influencer_name", "post_url", "inserted_at",
-                    A.effective_canonical("ai_canonical", "_entries").alias("canonical"),
-                    F.size("_entries").alias("n_entries"),
-                    F.explode(A.entries_struct("_entries")).alias("e"))
+            .select("id", "platform", "influencer_name", "post_url", "inserted_at", "n_entries",
+                    A.provisional_canonical("ai_canonical", A.first_truthy_webshop_of("_structs")).alias("canonical"),
+                    F.explode("_structs").alias("e"))
             .select("*", "e.*").drop("e"))
 
 

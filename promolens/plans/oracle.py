@@ -383,3 +383,87 @@ UNION ALL SELECT 'prev_dates_stripped', CAST(count_if(l2 <> l1) AS BIGINT) FROM
 UNION ALL SELECT 'emojis_stripped', CAST(count_if(line <> l2) AS BIGINT) FROM pubd3
 UNION ALL SELECT 'output_lines', CAST(count(*) AS BIGINT) FROM pubd3""",
 })
+
+# ------------------------------------------------- influencer discovery ---
+
+_DBRANDS = ", ".join(f"'{b}'" for b in D.DISCOVERY_BRANDS)
+DISCOVERY = f"""
+d_posts AS (SELECT o.o_orderkey, o.o_orderdate, c.c_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+d_users AS (
+  SELECT dp.c_name AS username, list_sort(list(DISTINCT p.p_brand)) AS brands
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN d_posts dp ON l.l_orderkey = dp.o_orderkey
+  WHERE p.p_brand IN ({_DBRANDS}) GROUP BY dp.c_name HAVING count(DISTINCT p.p_brand) >= 2),
+d_known AS (SELECT DISTINCT c_name FROM d_posts WHERE o_orderdate >= {_ts(D.KNOWN_SINCE)}),
+d_flag AS (
+  SELECT u.username, u.brands, k.c_name IS NOT NULL AS known
+  FROM d_users u LEFT JOIN d_known k ON u.username = k.c_name)
+"""
+
+ORACLE.update({
+    "e6_user_brands": _with(DISCOVERY) + """
+SELECT username, array_to_string(brands, ', ') AS brand_list, known FROM d_flag""",
+    "a5_discovery_summary": _with(DISCOVERY) + """
+SELECT count(*) AS total, count_if(known) AS in_db, count_if(NOT known) AS not_in_db,
+       CASE WHEN count(*) > 0 THEN round(count_if(NOT known) * 100.0 / count(*), 2) ELSE 0.0 END AS percent_not_in_db
+FROM d_flag""",
+    "o6_sample_new_users": _with(DISCOVERY) + f"""
+SELECT username, 'https://www.instagram.com/' || username AS url FROM d_flag WHERE NOT known
+ORDER BY md5('{D.SEED}:' || username), username
+LIMIT greatest(0, 1345 - (SELECT count(*) FROM supplier))""",
+})
+
+# --------------------------------------------------- name resolution (E3) -
+
+NAMES = f"""
+a1 AS (SELECT DISTINCT e_webshop AS name FROM ent JOIN cap ON ent.l_orderkey = cap.id
+       WHERE cap.analysis_kind = 'list' AND cap.inserted_at > {_ts(D.REPORT_CUTOFF)} AND cap.ai_canonical IS NULL
+         AND e_webshop IS NOT NULL AND e_webshop <> ''),
+spell AS (
+  SELECT name FROM a1
+  UNION SELECT n_name FROM nation
+  UNION SELECT n_name || 'NL' FROM nation
+  UNION SELECT substr(n_name, 2) FROM nation
+  UNION SELECT replace(n_name, 'E', 'A') FROM nation
+  UNION SELECT s_name FROM supplier),
+keyset AS (
+  SELECT DISTINCT trim(regexp_replace(trim(split_part(line, ',', 1)), '\\s*\\(.*?\\)', '', 'g')) AS key FROM pub
+  UNION SELECT unnest(regexp_extract_all(props, '["'']([^"'']+)["'']\\s*:', 1)) FROM events
+  UNION SELECT lower(n_name) FROM nation
+  UNION SELECT lower(r_name) FROM region)
+"""
+
+
+def _resolve_sql(spell: str) -> str:
+    """Brute force over all (spelling, key) pairs: fine for the oracle's
+    small inputs."""
+    return f"""
+(SELECT name, coalesce(key, 'UNKNOWN') AS canonical, coalesce(score, 0) AS score FROM (
+  SELECT s.name, b.key, b.score FROM (SELECT DISTINCT name FROM {spell}) s
+  LEFT JOIN (
+    SELECT name, key, score FROM (
+      SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, dist, key) AS rn FROM (
+        SELECT name, key,
+               CASE WHEN n = kn THEN 3
+                    WHEN (starts_with(n, kn) OR starts_with(kn, n)) AND least(length(n), length(kn)) >= 4 THEN 2
+                    WHEN 5 * levenshtein(n, kn) <= greatest(length(n), length(kn)) THEN 1 END AS score,
+               levenshtein(n, kn) / greatest(length(n), length(kn)) AS dist
+        FROM (SELECT name, regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS n FROM (SELECT DISTINCT name FROM {spell}))
+        CROSS JOIN (SELECT key, regexp_replace(lower(key), '[^a-z0-9]', '', 'g') AS kn FROM keyset)
+        WHERE n <> '' AND kn <> '') WHERE score IS NOT NULL) WHERE rn = 1) b ON s.name = b.name))"""
+
+
+CANON = f"""
+mapping AS (SELECT *, row_number() OVER (ORDER BY name) AS map_ord FROM {_resolve_sql('a1')}),
+upd AS (
+  SELECT cap.id, arg_min(m.canonical, m.map_ord) AS ai_canonical
+  FROM cap JOIN ent ON ent.l_orderkey = cap.id JOIN mapping m ON m.name = ent.e_webshop
+  WHERE cap.analysis_kind = 'list' AND cap.inserted_at >= {_ts(D.REPORT_CUTOFF)} AND cap.ai_canonical IS NULL
+  GROUP BY cap.id)
+"""
+
+ORACLE.update({
+    "j6_name_resolution": _with(BASE, NAMES) + f"\nSELECT * FROM {_resolve_sql('spell')}",
+    "j3_canonical_attach": _with(BASE, NAMES, CANON) + "\nSELECT id, ai_canonical FROM upd",
+    "a10_rows_per_canonical": _with(BASE, NAMES, CANON) + """
+SELECT ai_canonical, count(*) AS updated FROM upd GROUP BY ai_canonical""",
+})

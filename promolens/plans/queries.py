@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from ..functions.text import keyword_match, normalize_caption
-from ..operators import filters, ingest, publish, report
+from ..operators import discovery, filters, ingest, publish, report, resolve
 from ..operators.ordering import global_rank
 from ..sources import discounts as disc
 from . import driver as D
@@ -214,3 +214,90 @@ def a6_brand_avg_positions(spark, sf_dir):
     the history batches."""
     training = disc.training_brands(None, D.history_batches(spark, sf_dir))
     return publish.brand_avg_positions(training).select("brand", F.round("avg_pos", 6).alias("avg_pos"))
+
+
+# ----------------------------------------------- influencer discovery ----
+
+def _discovery(spark, sf_dir):
+    """Posts = orders by customer name; mentions = brands of the order's items."""
+    li = D.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    part = D.table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    orders = D.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    cust = D.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    posts = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    mentions = (li.join(part, li.l_partkey == part.p_partkey)
+                .join(posts, li.l_orderkey == posts.o_orderkey)
+                .select(F.col("c_name").alias("username"), F.col("p_brand").alias("mention")))
+    users = discovery.users_with_brands(mentions, D.DISCOVERY_BRANDS, 2)
+    known = posts.where(F.col("o_orderdate") >= F.lit(D.KNOWN_SINCE).cast("timestamp_ntz")).select(
+        F.col("c_name").alias("name"))
+    return discovery.flag_known(users, known)
+
+
+@register("e6_user_brands")
+def e6_user_brands(spark, sf_dir):
+    """Users with >= 2 tracked brands, brand list, known flag."""
+    return discovery.listing(_discovery(spark, sf_dir))
+
+
+@register("a5_discovery_summary")
+def a5_discovery_summary(spark, sf_dir):
+    """A5: totals of known and new users."""
+    return discovery.summary(_discovery(spark, sf_dir))
+
+
+@register("o6_sample_new_users")
+def o6_sample_new_users(spark, sf_dir):
+    """Seeded sample of new users, sized by the seed-list rule
+    (existing lines = supplier rows)."""
+    existing = D.table(spark, sf_dir, "supplier").count()
+    return discovery.sample_new_users(_discovery(spark, sf_dir), 1345, existing, D.SEED)
+
+
+# ------------------------------------------------ name resolution (E3) ---
+
+def _spellings(spark, sf_dir):
+    """Names to resolve: webshops of unresolved rows (A1), nation and
+    supplier names and altered nation names (suffix, first letter dropped,
+    one letter swapped)."""
+    a1 = report.webshops_to_resolve(_report_input(spark, sf_dir)).select(F.col("webshop").alias("name"))
+    nation = D.table(spark, sf_dir, "nation")
+    supplier = D.table(spark, sf_dir, "supplier")
+    return (a1.unionByName(nation.select(F.col("n_name").alias("name")))
+            .unionByName(nation.select(F.concat("n_name", F.lit("NL")).alias("name")))
+            .unionByName(nation.select(F.substr("n_name", F.lit(2)).alias("name")))
+            .unionByName(nation.select(F.replace("n_name", F.lit("E"), F.lit("A")).alias("name")))
+            .unionByName(supplier.select(F.col("s_name").alias("name"))))
+
+
+def _keys(spark, sf_dir):
+    """Known keys: A2 names plus lower-case nation and region names."""
+    a2 = disc.known_names(D.published_lines(spark, sf_dir), D.table(spark, sf_dir, "events"), "props")
+    return (a2.select(F.col("name").alias("key"))
+            .unionByName(D.table(spark, sf_dir, "nation").select(F.lower("n_name").alias("key")))
+            .unionByName(D.table(spark, sf_dir, "region").select(F.lower("r_name").alias("key"))))
+
+
+@register("j6_name_resolution")
+def j6_name_resolution(spark, sf_dir):
+    """Each spelling -> closest known key or UNKNOWN."""
+    return resolve.resolve_names(_spellings(spark, sf_dir), _keys(spark, sf_dir))
+
+
+def _canonical_updates(spark, sf_dir):
+    a1 = report.webshops_to_resolve(_report_input(spark, sf_dir)).select(F.col("webshop").alias("name"))
+    mapping = resolve.mapping_order(resolve.resolve_names(a1, _keys(spark, sf_dir)))
+    rows = filters.records_since(D.captions(spark, sf_dir), D.REPORT_CUTOFF, inclusive=True)
+    return resolve.attach_canonical(rows, mapping)
+
+
+@register("j3_canonical_attach")
+def j3_canonical_attach(spark, sf_dir):
+    """E3 (A1, A2, J6, J3/K4): new canonical name per updated row."""
+    return _canonical_updates(spark, sf_dir)
+
+
+@register("a10_rows_per_canonical")
+def a10_rows_per_canonical(spark, sf_dir):
+    """A10: rows updated per canonical name."""
+    return resolve.rows_per_canonical(_canonical_updates(spark, sf_dir))
