@@ -79,14 +79,14 @@ def classify(lines: DataFrame, today: dt.date, r: PublishRules = PublishRules())
     inner = quoted_inner(line)
     fields = split_fields(inner)
     q = has_quoted(line)
-    brand_key = _brand_key(fields[0])
+    brand_key = _brand_key(F.get(fields, 0))
     min_len = _map_lookup(r.min_lengths(), brand_key, "int")
     prev = prev_seen_date(line, today)
     reason = (
         F.when(line.contains('"UNKNOWN,'), "unknown")
         .when(q & brand_key.isin(*r.ignored_brands) if r.ignored_brands else F.lit(False), "ignored")
-        .when(q & (F.size(fields) >= 2) & min_len.isNotNull() & (F.length(fields[1]) < min_len), "short_code")
-        .when(q & (F.size(fields) >= 2) & (F.lower(fields[1]) == "none"), "missing_code")
+        .when(q & (F.size(fields) >= 2) & min_len.isNotNull() & (F.length(F.get(fields, 1)) < min_len), "short_code")
+        .when(q & (F.size(fields) >= 2) & (F.lower(F.get(fields, 1)) == "none"), "missing_code")
         .when(line.startswith("...") & prev.isNotNull()
               & (F.datediff(F.lit(today), prev) < 7 * r.recent_weeks), "recent")
         .otherwise("keep"))
@@ -125,19 +125,19 @@ def repair(kept: DataFrame, r: PublishRules = PublishRules()) -> DataFrame:
     # new-company brand clean (not for MULTI lines)
     has_multi = (pre.contains(rules.MULTI_TAG) | F.coalesce(F.col("inner").contains(rules.MULTI_TAG), F.lit(False))
                  | F.coalesce(F.col("rest").contains(rules.MULTI_TAG), F.lit(False)))
-    df = df.withColumn("cleaned", F.coalesce(~has_multi & q & fields[0].startswith("___"), F.lit(False)))
-    cleaned = F.regexp_replace(F.lower(F.substr(fields[0], F.lit(4))), "[^a-z0-9._]", "")
+    df = df.withColumn("cleaned", F.coalesce(~has_multi & q & F.get(fields, 0).startswith("___"), F.lit(False)))
+    cleaned = F.regexp_replace(F.lower(F.substr(F.get(fields, 0), F.lit(4))), "[^a-z0-9._]", "")
     df = df.withColumn("fields", F.when(F.col("cleaned"), F.transform(
         fields, lambda x, i: F.when(i == 0, cleaned).otherwise(x))).otherwise(fields))
     # discount value of the (cleaned) fields
-    value = fields[2]
+    value = F.get(fields, 2)
     df = (df.withColumn("_has3", F.coalesce(q & (F.size(fields) >= 3), F.lit(False)))
           .withColumn("_none", F.col("_has3") & (F.lower(value) == "none")))
     ok = value.rlike(rules.DISCOUNT_VALUE_PATTERN)
     num = F.regexp_extract(value, rules.DISCOUNT_VALUE_PATTERN, 1).cast("double")
     too_high = F.when(value.startswith("€"), num > F.lit(float(r.euro_limit))).otherwise(
         num > F.lit(float(r.percent_limit)))
-    default = F.coalesce(_map_lookup(r.defaults(), _brand_key(fields[0]), "string"), F.lit(r.default_value))
+    default = F.coalesce(_map_lookup(r.defaults(), _brand_key(F.get(fields, 0)), "string"), F.lit(r.default_value))
     df = (df.withColumn("defaulted", F.col("_none"))
           .withColumn("marked", F.coalesce(F.col("_has3") & ~F.col("_none") & (~ok | too_high), F.lit(False)))
           .withColumn("fields", F.when(F.col("_none"), F.transform(
@@ -186,7 +186,7 @@ def dedup_brand_code(kept: DataFrame, seed: int) -> DataFrame:
     f = F.col("_f")
     df = (kept.withColumn("_f", F.when(F.col("q"), split_fields("inner")))
           .withColumn("_k", F.coalesce(F.col("q") & (F.size("_f") >= 2), F.lit(False))))
-    df = (df.withColumn("_g_bc", F.when(F.col("_k"), F.struct(F.lower(f[0]).alias("b"), F.lower(f[1]).alias("c"))))
+    df = (df.withColumn("_g_bc", F.when(F.col("_k"), F.struct(F.lower(F.get(f, 0)).alias("b"), F.lower(F.get(f, 1)).alias("c"))))
           .withColumn("_g_ord", F.when(~F.col("_k"), F.col("ord"))))
     return random_survivor(df, ["_g_bc", "_g_ord"], "ord", seed).drop("_g_bc", "_g_ord", "_k", "_f")
 

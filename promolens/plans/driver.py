@@ -82,8 +82,8 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_order = per_order.select(
         "l_orderkey",
         F.to_json(F.transform("items", lambda x: x["entry"]), {"ignoreNullFields": "false"}).alias("list_json"),
-        F.to_json(F.col("items")[0]["entry"], {"ignoreNullFields": "false"}).alias("first_json"),
-        F.col("items")[0]["brand"].alias("first_brand"))
+        F.to_json(F.get(F.col("items"), 0)["entry"], {"ignoreNullFields": "false"}).alias("first_json"),
+        F.get(F.col("items"), 0)["brand"].alias("first_brand"))
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     o = (orders.join(cust, orders.o_custkey == cust.c_custkey, "left")

@@ -38,8 +38,8 @@ def known_discounts(lines: DataFrame) -> DataFrame:
               .select("ord", parts.alias("p"))
               .where(F.size("p") >= 3)
               .select("ord",
-                      F.lower(clean_name_cut(F.col("p")[0])).alias("canonical_key"),
-                      F.lower(F.col("p")[1]).alias("code_key"),
+                      F.lower(clean_name_cut(F.get(F.col("p"), 0))).alias("canonical_key"),
+                      F.lower(F.get(F.col("p"), 1)).alias("code_key"),
                       F.element_at("p", -1).alias("seen_md")))
     return first_per_key(parsed, ["canonical_key", "code_key"], ["ord"]).drop("ord")
 
