@@ -101,3 +101,16 @@ def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str],
 
     return (joined.mapInPandas(run, out_schema)
             .drop("_pid", "_off", "_mid"))
+
+
+def rank_within_group(df: DataFrame, key: str, order_cols: Sequence[Column | str], name: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """1-based position inside each ``key`` group, skew-safe: the global
+    position in (key, order) minus the group's first global position. The
+    per-group minimum is a partial/final hash aggregate, so a group holding a
+    third of all rows is never gathered into one task."""
+    ranked = global_rank(df, [key, *order_cols], "_g", num_partitions)
+    firsts = ranked.groupBy(key).agg(F.min("_g").alias("_g0"))
+    return (ranked.join(firsts, key, "left")
+            .withColumn(name, F.col("_g") - F.col("_g0") + F.lit(1))
+            .drop("_g", "_g0"))

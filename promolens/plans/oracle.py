@@ -467,3 +467,28 @@ ORACLE.update({
     "a10_rows_per_canonical": _with(BASE, NAMES, CANON) + """
 SELECT ai_canonical, count(*) AS updated FROM upd GROUP BY ai_canonical""",
 })
+
+
+# ------------------------------------------------------- more listings ----
+
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _prompt_sql() -> str:
+    from ..functions.text import EXTRACTION_PROMPT
+    return _sql_str(EXTRACTION_PROMPT)
+
+
+ORACLE.update({
+    "a9_posts_per_user": _with(POSTS) + """
+SELECT influencer_name, post_url, ord,
+       row_number() OVER (PARTITION BY influencer_name ORDER BY ord) AS pos_in_user
+FROM posts""",
+    "p16_keyword_scan": _with(POSTS) + f"""
+SELECT row_number() OVER (ORDER BY post_date DESC, ord) AS item_no, count(*) OVER () AS item_total,
+       influencer_name, post_url, ord
+FROM posts WHERE {_keyword_sql('caption')}""",
+    "f23_prompts": _with(POSTS) + f"""
+SELECT ord, {_prompt_sql()} || coalesce(caption, '') AS prompt FROM posts""",
+})

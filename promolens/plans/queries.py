@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from ..functions.text import keyword_match, normalize_caption
+from ..functions.text import extraction_prompt, keyword_match, normalize_caption
 from ..operators import discovery, filters, ingest, publish, report, resolve
-from ..operators.ordering import global_rank
+from ..operators.ordering import global_rank, rank_within_group
 from ..sources import discounts as disc
 from . import driver as D
 
@@ -301,3 +301,31 @@ def j3_canonical_attach(spark, sf_dir):
 def a10_rows_per_canonical(spark, sf_dir):
     """A10: rows updated per canonical name."""
     return resolve.rows_per_canonical(_canonical_updates(spark, sf_dir))
+
+
+# ------------------------------------------------------ more listings ----
+
+@register("a9_posts_per_user")
+def a9_posts_per_user(spark, sf_dir):
+    """Each user's posts numbered in arrival order (long form; no
+    per-user list is gathered in one task)."""
+    archive, _ = _ingest(spark, sf_dir)
+    return rank_within_group(archive.select("influencer_name", "post_url", "ord"), "influencer_name",
+                             ["ord"], "pos_in_user")
+
+
+@register("p16_keyword_scan")
+def p16_keyword_scan(spark, sf_dir):
+    """P16 + O2: keyword posts newest first, numbered i of n."""
+    _, keyword = _ingest(spark, sf_dir)
+    numbered = global_rank(keyword.select("influencer_name", "post_url", "post_date", "ord"),
+                           [F.desc("post_date"), "ord"], "item_no")
+    total = numbered.count()
+    return numbered.select("item_no", F.lit(total).alias("item_total"), "influencer_name", "post_url", "ord")
+
+
+@register("f23_prompts")
+def f23_prompts(spark, sf_dir):
+    """per-caption prompt text (normalised caption) for batch inference."""
+    archive, _ = _ingest(spark, sf_dir)
+    return archive.select("ord", extraction_prompt("caption").alias("prompt"))

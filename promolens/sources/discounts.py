@@ -20,7 +20,7 @@ def read_json_string_array(spark: SparkSession, path: str) -> DataFrame:
     Non-string elements get ``line`` NULL (they are skipped downstream).
     Files that are not a JSON array give no rows.
     """
-    raw = (spark.read.option("wholetext", True).text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file"), "value"))
     arr = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
     return (raw.select("file", F.posexplode(arr).alias("pos", "v"))
@@ -71,7 +71,7 @@ LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text file(s) as ``(file, pos, line)`` with the position inside the
     file; one file is read whole by one task (files are small lists)."""
-    raw = (spark.read.option("wholetext", True).text(path)
+    raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file"), "value"))
     body = F.regexp_replace("value", f"(?:{LINE_BREAK})$", "")
     return raw.select("file", F.posexplode(F.split(body, LINE_BREAK)).alias("pos", "line"))

@@ -43,10 +43,10 @@ def read_json_records(spark: SparkSession, path: str, recursive: bool = False,
 
     ``recursive`` walks sub-folders; ``exclude`` drops files whose path
     contains the text. Unreadable/invalid files yield nothing."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", glob)
+    reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    raw = reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    raw = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     if exclude:
         raw = raw.where(~F.col("file").contains(exclude))
     arr = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
