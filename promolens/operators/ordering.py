@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -29,14 +30,29 @@ def _width(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def sorted_checkpoint(df: DataFrame, order_cols: Sequence[Column | str],
-                      num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort + materialise with a per-row sequence id."""
-    checkpoint_dir(df.sparkSession)
+                      num_partitions: int | None = None, reliable: bool = False) -> DataFrame:
+    """Range-partition + sort + a per-row sequence id, materialised once.
+
+    With a unique sort key the result is the same when recomputed after an
+    executor loss (the range bounds belong to the shuffle dependency and the
+    order inside each partition is fixed), so a persisted copy is enough;
+    ``reliable=True`` writes it to the shared checkpoint folder instead and
+    cuts the lineage (for very long upstream plans)."""
     n = _width(df, num_partitions)
-    return (df.repartitionByRange(n, *order_cols)
-            .sortWithinPartitions(*order_cols)
-            .withColumn("_mid", F.monotonically_increasing_id())
-            .checkpoint(eager=True))
+    # range partitioning runs its input twice (boundary sampling, then the
+    # shuffle); keep the input between the two (recomputed if lost)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = (src.repartitionByRange(n, *order_cols)
+           .sortWithinPartitions(*order_cols)
+           .withColumn("_mid", F.monotonically_increasing_id()))
+    if reliable:
+        checkpoint_dir(df.sparkSession)
+        out = out.checkpoint(eager=True)
+    else:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+    src.unpersist()
+    return out
 
 
 def _pid() -> Column:

@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -266,9 +267,13 @@ class PublishResult:
 def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | None = None,
             sort: bool = True, r: PublishRules = PublishRules()) -> PublishResult:
     """E5 over (ord, line). ``ord`` must be unique and give input order."""
-    classified = classify(lines, today, r)
-    repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r)
+    classified = classify(lines, today, r).persist(StorageLevel.MEMORY_AND_DISK)
+    # reused by the next steps and by every counter: kept once (recomputed
+    # from the checkpointed input if an executor is lost)
+    repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r).persist(
+        StorageLevel.MEMORY_AND_DISK)
     kept, competing = collapse_multi(repaired)
+    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     # materialised once: the random pick is then fixed for the sort and for
     # every counter (lineage cut in the shared checkpoint folder)
     checkpoint_dir(lines.sparkSession)

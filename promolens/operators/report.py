@@ -93,7 +93,14 @@ def csv_style_lines(entries: DataFrame, today: dt.date) -> DataFrame:
                                            F.col("influencer_name"), md).alias("line"))
 
 
-def webshops_to_resolve(captions: DataFrame) -> DataFrame:
-    """A1: distinct truthy webshop names of rows without canonical name."""
-    rows = explode_entries(captions.where(F.col("ai_canonical").isNull()))
+def webshops_to_resolve(captions: DataFrame, exploded: DataFrame | None = None) -> DataFrame:
+    """A1: distinct truthy webshop names of rows without canonical name
+    (pass ``exploded`` = ``explode_entries`` output to reuse a parse)."""
+    rows = exploded if exploded is not None else explode_entries(captions.where(F.col("ai_canonical").isNull()))
     return rows.where(A.truthy_text(F.col("webshop"))).select("webshop").distinct()
+
+
+def unresolved_entries(captions: DataFrame) -> DataFrame:
+    """Exploded entries of rows without canonical name (id, inserted_at,
+    webshop, ...), parsed once for A1 and J3."""
+    return explode_entries(captions.where(F.col("ai_canonical").isNull()))

@@ -123,8 +123,13 @@ def attach_canonical(captions: DataFrame, mapping: DataFrame) -> DataFrame:
     entries = A.parse_list("ai_analysis")
     rows = (captions.where(F.col("ai_canonical").isNull())
             .select("id", F.explode(A.entries_struct(entries)).alias("e"))
-            .select("id", F.col("e.webshop").alias("name"))
-            .where(F.col("name").isNotNull()))
+            .select("id", F.col("e.webshop").alias("webshop")))
+    return attach_canonical_entries(rows, mapping)
+
+
+def attach_canonical_entries(entries: DataFrame, mapping: DataFrame) -> DataFrame:
+    """J3 over already exploded (id, webshop) entries of unresolved rows."""
+    rows = entries.select("id", F.col("webshop").alias("name")).where(F.col("name").isNotNull())
     hits = rows.join(mapping.select("name", "canonical", "map_ord"), "name")
     return hits.groupBy("id").agg(F.min_by("canonical", "map_ord").alias("ai_canonical"))
 

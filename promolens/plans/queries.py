@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -285,10 +286,14 @@ def j6_name_resolution(spark, sf_dir):
 
 
 def _canonical_updates(spark, sf_dir):
-    a1 = report.webshops_to_resolve(_report_input(spark, sf_dir)).select(F.col("webshop").alias("name"))
-    mapping = resolve.mapping_order(resolve.resolve_names(a1, _keys(spark, sf_dir)))
+    # the analysis JSON of unresolved rows is parsed once, for A1 and J3
+    # (A1 takes rows strictly after the cut-off, J3 from the cut-off on)
     rows = filters.records_since(D.captions(spark, sf_dir), D.REPORT_CUTOFF, inclusive=True)
-    return resolve.attach_canonical(rows, mapping)
+    entries = report.unresolved_entries(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    after = entries.where(F.col("inserted_at") > F.lit(D.REPORT_CUTOFF).cast("timestamp_ntz"))
+    a1 = report.webshops_to_resolve(None, after).select(F.col("webshop").alias("name"))
+    mapping = resolve.mapping_order(resolve.resolve_names(a1, _keys(spark, sf_dir)))
+    return resolve.attach_canonical_entries(entries, mapping)
 
 
 @register("j3_canonical_attach")
