@@ -47,6 +47,11 @@ def read_json_records(spark: SparkSession, path: str, recursive: bool = False,
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     raw = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    return records_from_text(raw, exclude)
+
+
+def records_from_text(raw: DataFrame, exclude: str | None = None) -> DataFrame:
+    """(file, value) whole-file texts -> (file, pos, rec) object elements."""
     if exclude:
         raw = raw.where(~F.col("file").contains(exclude))
     arr = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
@@ -54,6 +59,15 @@ def read_json_records(spark: SparkSession, path: str, recursive: bool = False,
             .where(is_object(F.col("rec"))))
 
 
+def posts_by_platform(recs: DataFrame) -> DataFrame:
+    """S7 extraction over records: platform from the path, then each
+    platform's extractor."""
+    recs = recs.withColumn("platform", platform_of_path(F.col("file")))
+    insta = extract_instagram(recs.where(F.col("platform") == "instagram")).withColumn("platform", F.lit("instagram"))
+    tik = extract_tiktok(recs.where(F.col("platform") == "tiktok")).withColumn("platform", F.lit("tiktok"))
+    return insta.unionByName(tik)
+
+
 def _ord(*cols) -> Column:
     return F.struct(*cols).alias("ord")
 
@@ -190,11 +204,7 @@ def json_tree_posts(spark: SparkSession, root: str, exclude: str | None = None)
     """Every ``*.json`` under ``root``; platform from the path; each
     platform's extractor. Output: (platform, influencer_name, caption,
     post_url, post_date, ord) with ord in sorted-file order."""
-    recs = read_json_records(spark, root, recursive=True, exclude=exclude).withColumn(
-        "platform", platform_of_path(F.col("file")))
-    insta = extract_instagram(recs.where(F.col("platform") == "instagram")).withColumn("platform", F.lit("instagram"))
-    tik = extract_tiktok(recs.where(F.col("platform") == "tiktok")).withColumn("platform", F.lit("tiktok"))
-    return insta.unionByName(tik)
+    return posts_by_platform(read_json_records(spark, root, recursive=True, exclude=exclude))
 
 
 def archived_mentions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
