@@ -27,6 +27,7 @@ REPORT_CUTOFF = dt.datetime(1997, 6, 30, 12, 0, 0)
 ANALYSIS_DAY = dt.date(1998, 3, 14)
 POST_DATE_AFTER = dt.datetime(1998, 3, 1)
 TODAY = dt.date(2001, 6, 30)
+TODAY_TS = dt.datetime(2001, 6, 30, 9, 0, 0)
 SEED = 7
 PUBLISH_RULES = dict(
     ignored_brands=("brand#13",),

@@ -12,6 +12,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sinks
+from ..functions.analysis import load_model_output
+from ..functions.extract import extract_analysis_json
 from ..session import configure
 from ..functions.text import extraction_prompt, keyword_match, normalize_caption
 from ..operators import discovery, filters, ingest, publish, report, resolve
@@ -334,3 +337,21 @@ def f23_prompts(spark, sf_dir):
     """per-caption prompt text (normalised caption) for batch inference."""
     archive, _ = _ingest(spark, sf_dir)
     return archive.select("ord", extraction_prompt("caption").alias("prompt"))
+
+
+# --------------------------------------------- analysis attach (E2) -----
+
+@register("j2_analysis_attach")
+def j2_analysis_attach(spark, sf_dir):
+    """E2 (P5, X1, X2, J2/K3): the rule extractor runs on the keyword
+    captions; each result is set on every caption-table row with the same
+    (platform, url, caption[:255])."""
+    archive, keyword = _ingest(spark, sf_dir)
+    table = archive.select(F.col("ord").alias("id"), "platform", "influencer_name", "caption", "post_url",
+                           F.lit(None).cast("string").alias("ai_analysis"),
+                           F.lit(None).cast("timestamp").alias("ai_analysis_time"))
+    raw = keyword.withColumn("raw", extract_analysis_json("caption"))
+    updates = (raw.withColumn("_v", load_model_output("raw")).where(F.col("_v").isNotNull())
+               .select("platform", "post_url", "caption", F.to_json("_v").alias("ai_analysis"), "ord"))
+    updated = sinks.apply_analysis(table, updates, D.TODAY_TS)
+    return updated.select("id", "ai_analysis", F.col("ai_analysis_time").isNotNull().alias("analysed"))
