@@ -25,6 +25,12 @@ def normalise_posts(posts: DataFrame) -> DataFrame:
     return posts.withColumn("caption", normalize_caption("caption"))
 
 
+def keyword_posts_numbered(keyword: DataFrame) -> DataFrame:
+    """P16 + O2: keyword posts newest first with their position."""
+    from .ordering import global_rank
+    return global_rank(keyword, [F.desc("post_date"), "ord"], "item_no")
+
+
 def split_records(posts: DataFrame, keywords: Iterable[str] = rules.CAPTION_KEYWORDS
                   ) -> tuple[DataFrame, DataFrame]:
     """(archive records, keyword records) from raw posts."""

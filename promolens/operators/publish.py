@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.text import (URL_PATTERN, brand_of_line, has_quoted, quoted_inner, replace_first,
+from ..functions.text import (URL_PATTERN, brand_of_line, has_quoted, is_review_line, quoted_inner, replace_first,
                               replace_quoted, split_fields, strip_emojis, strip_prev_seen_dates,
                               strip_repost_marker, strip_urls)
 from .dedup import first_per_key, flag_first_in_group, random_survivor, unit_uniform
@@ -84,10 +84,15 @@ def classify(lines: DataFrame, today: dt.date, r: PublishRules = PublishRules())
     min_len = _map_lookup(r.min_lengths(), brand_key, "int")
     prev = prev_seen_date(line, today)
     reason = (
+        # Unknown brand
         F.when(line.contains('"UNKNOWN,'), "unknown")
+        # Ignored brand (leading "_" stripped, lower-cased)
         .when(q & brand_key.isin(*r.ignored_brands) if r.ignored_brands else F.lit(False), "ignored")
+        # Code shorter than the brand's minimum (J7 rule-table look-up)
         .when(q & (F.size(fields) >= 2) & min_len.isNotNull() & (F.length(F.get(fields, 1)) < min_len), "short_code")
+        # P10: missing code
         .when(q & (F.size(fields) >= 2) & (F.lower(F.get(fields, 1)) == "none"), "missing_code")
+        # Recent repost (F8 previous-seen date)
         .when(line.startswith("...") & prev.isNotNull()
               & (F.datediff(F.lit(today), prev) < 7 * r.recent_weeks), "recent")
         .otherwise("keep"))
@@ -228,6 +233,7 @@ def publication_order(lines: DataFrame, training: DataFrame | None, seed: int,
         score = F.when(F.col("brand").isin(*r.boosted_brands), boost).otherwise(score)
     df = df.withColumn("score", score)
     sortable_cond = F.col("primary") & (F.col("brand") != "") & F.col("score").isNotNull()
+    # O3: stable sort by score (ties keep input order)
     sortable = global_rank(df.where(sortable_cond), ["score", "ord"], "_r")
     n = sortable.count()
     half = n // 2
@@ -248,7 +254,7 @@ def publication_order(lines: DataFrame, training: DataFrame | None, seed: int,
 
 def finish(lines: DataFrame) -> DataFrame:
     """F12, F14, F13 with change flags."""
-    review = F.col("line").startswith(rules.REVIEW_PREFIX)
+    review = is_review_line(F.col("line"))
     l1 = F.when(review, F.col("line")).otherwise(strip_urls("line"))
     df = lines.withColumn("url_stripped", l1 != F.col("line")).withColumn("line", l1)
     l2 = strip_prev_seen_dates("line")

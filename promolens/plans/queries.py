@@ -46,7 +46,7 @@ def _report_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("e4_report_lines")
 def e4_report_lines(spark, sf_dir):
-    """E4 (S13, P3, F16, F19, J1, F20, W5): unique report lines, numbered."""
+    """E4 (S13, W4, F4, P3, F16, F19, W13, J1, F20, W5): unique report lines, numbered."""
     known = disc.known_discounts(D.published_lines(spark, sf_dir))
     return report.report_lines(_report_input(spark, sf_dir), known).select(
         "platform", "line", "first_inserted_at", "first_id", "first_pos", "line_no")
@@ -151,14 +151,14 @@ def _ingest(spark, sf_dir):
 
 @register("w1_archive_records")
 def w1_archive_records(spark, sf_dir):
-    """E1/K1 + W1: archive rows, first per (platform, url, caption[:255])."""
+    """E1/K1 + W1, F1, F2, J5: archive rows, first per (platform, url, caption[:255])."""
     archive, _ = _ingest(spark, sf_dir)
     return ingest.first_per_post(archive).drop("ord")
 
 
 @register("k2_keyword_records")
 def k2_keyword_records(spark, sf_dir):
-    """Keyword captions, first per post key."""
+    """E1/K2 + P1, F2, J5: keyword captions, first per post key."""
     _, keyword = _ingest(spark, sf_dir)
     return ingest.first_per_post(keyword).drop("ord")
 
@@ -193,7 +193,7 @@ def _publish(spark, sf_dir) -> publish.PublishResult:
 
 @register("e5_classify")
 def e5_classify(spark, sf_dir):
-    """P7-P12 (F6, F8): one drop reason or 'keep' per report line."""
+    """P7, P8, P9, P10, P11, P12 (F6, F8, J7): one drop reason or 'keep' per report line."""
     classified = publish.classify(_report_as_lines(spark, sf_dir), D.TODAY,
                                   publish.PublishRules(**D.PUBLISH_RULES))
     return classified.select(F.col("ord").alias("line_no"), "reason")
@@ -202,13 +202,14 @@ def e5_classify(spark, sf_dir):
 @register("e5_published")
 def e5_published(spark, sf_dir):
     """E5: repaired (F7, F9, F15), collapsed (W6), de-duplicated (W7),
-    ordered (O4: W8-W10, J8, F18) and cleaned (F12-F14) lines."""
+    ordered (O3, O4, W8, W9, W10, J8, F18, F11) and cleaned (P13, F10, F12, F13,
+    F14) lines; history batches via S18, W12, O7, P15, U3, A6."""
     return _publish(spark, sf_dir).published.select("position", "line")
 
 
 @register("a7_filter_metrics")
 def a7_filter_metrics(spark, sf_dir):
-    """Per-rule counters of the publication filter."""
+    """Per-rule counters of the publication filter (P7-P11 drops, F7, F9, F15, W6, W7, F12-F14)."""
     return _publish(spark, sf_dir).metrics
 
 
@@ -240,7 +241,7 @@ def _discovery(spark, sf_dir):
 
 @register("e6_user_brands")
 def e6_user_brands(spark, sf_dir):
-    """Users with >= 2 tracked brands, brand list, known flag."""
+    """E6 (J9, U5, A3, P14, J4, O9): users with >= 2 tracked brands, brand list, known flag."""
     return discovery.listing(_discovery(spark, sf_dir))
 
 
@@ -326,8 +327,7 @@ def a9_posts_per_user(spark, sf_dir):
 def p16_keyword_scan(spark, sf_dir):
     """P16 + O2: keyword posts newest first, numbered i of n."""
     _, keyword = _ingest(spark, sf_dir)
-    numbered = global_rank(keyword.select("influencer_name", "post_url", "post_date", "ord"),
-                           [F.desc("post_date"), "ord"], "item_no")
+    numbered = ingest.keyword_posts_numbered(keyword.select("influencer_name", "post_url", "post_date", "ord"))
     total = numbered.count()
     return numbered.select("item_no", F.lit(total).alias("item_total"), "influencer_name", "post_url", "ord")
 
@@ -343,7 +343,7 @@ def f23_prompts(spark, sf_dir):
 
 @register("j2_analysis_attach")
 def j2_analysis_attach(spark, sf_dir):
-    """E2 (P5, X1, X2, J2/K3): the rule extractor runs on the keyword
+    """E2 (P5, X1, X2, F17, J2/K3): the rule extractor runs on the keyword
     captions; each result is set on every caption-table row with the same
     (platform, url, caption[:255])."""
     archive, keyword = _ingest(spark, sf_dir)

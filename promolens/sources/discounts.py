@@ -59,11 +59,16 @@ def keys_from_source_text(texts: DataFrame, text_col: str = "value") -> DataFram
 
 
 def known_names(discount_lines: DataFrame, source_texts: DataFrame, text_col: str = "value") -> DataFrame:
-    """A2: union of S14 and S15, distinct (sort at the sink)."""
+    """A2 + U2: union of S14 and S15, distinct (sort at the sink: O5)."""
     return (canonical_names_from_discounts(discount_lines)
             .union(keys_from_source_text(source_texts, text_col)).distinct())
 
 
+def sorted_names(names: DataFrame, col: str = "name") -> DataFrame:
+    """Names in sorted order (a range-partitioned sort)."""
+    return names.orderBy(col)
+
+
 # Line boundaries of Python's str.splitlines().
 LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 
