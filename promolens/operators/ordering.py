@@ -30,27 +30,19 @@ def _width(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def sorted_checkpoint(df: DataFrame, order_cols: Sequence[Column | str],
-                      num_partitions: int | None = None, reliable: bool = False) -> DataFrame:
-    """Range-partition + sort + a per-row sequence id, materialised once.
-
-    With a unique sort key the result is the same when recomputed after an
-    executor loss (the range bounds belong to the shuffle dependency and the
-    order inside each partition is fixed), so a persisted copy is enough;
-    ``reliable=True`` writes it to the shared checkpoint folder instead and
-    cuts the lineage (for very long upstream plans)."""
+                      num_partitions: int | None = None) -> DataFrame:
+    """Range-partition + sort + a per-row sequence id, written once to the
+    shared checkpoint folder (partition contents and ids are then fixed,
+    also when tasks are retried, and nothing stays cached in memory)."""
+    checkpoint_dir(df.sparkSession)
     n = _width(df, num_partitions)
     # range partitioning runs its input twice (boundary sampling, then the
-    # shuffle); keep the input between the two (recomputed if lost)
+    # shuffle); keep the input only while the sorted copy is written
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     out = (src.repartitionByRange(n, *order_cols)
            .sortWithinPartitions(*order_cols)
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    if reliable:
-        checkpoint_dir(df.sparkSession)
-        out = out.checkpoint(eager=True)
-    else:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
+           .withColumn("_mid", F.monotonically_increasing_id())
+           .checkpoint(eager=True))
     src.unpersist()
     return out
 

@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,14 +74,18 @@ def prev_seen_date(line: Column, today: dt.date) -> Column:
 
 
 def classify(lines: DataFrame, today: dt.date, r: PublishRules = PublishRules()) -> DataFrame:
-    """One reason per line, first matching rule wins."""
+    """One reason per line, first matching rule wins.
+
+    The parsed parts are columns of their own: CASE branches are evaluated
+    conditionally, so an inline parse would be repeated in every branch."""
     line = F.col("line")
-    inner = quoted_inner(line)
-    fields = split_fields(inner)
-    q = has_quoted(line)
-    brand_key = _brand_key(F.get(fields, 0))
-    min_len = _map_lookup(r.min_lengths(), brand_key, "int")
-    prev = prev_seen_date(line, today)
+    df = (lines.withColumn("_q", has_quoted(line))
+          .withColumn("_f", split_fields(quoted_inner(line)))
+          .withColumn("_prev", prev_seen_date(line, today)))
+    q, fields = F.col("_q"), F.col("_f")
+    df = df.withColumn("_bk", _brand_key(F.get(fields, 0)))
+    df = df.withColumn("_min", _map_lookup(r.min_lengths(), F.col("_bk"), "int"))
+    brand_key, min_len, prev = F.col("_bk"), F.col("_min"), F.col("_prev")
     reason = (
         # Unknown brand
         F.when(line.contains('"UNKNOWN,'), "unknown")
@@ -96,7 +99,7 @@ def classify(lines: DataFrame, today: dt.date, r: PublishRules = PublishRules())
         .when(line.startswith("...") & prev.isNotNull()
               & (F.datediff(F.lit(today), prev) < 7 * r.recent_weeks), "recent")
         .otherwise("keep"))
-    return lines.withColumn("reason", reason)
+    return df.withColumn("reason", reason).drop("_q", "_f", "_prev", "_bk", "_min")
 
 
 def parse_line(df: DataFrame) -> DataFrame:
@@ -273,16 +276,14 @@ class PublishResult:
 def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | None = None,
             sort: bool = True, r: PublishRules = PublishRules()) -> PublishResult:
     """E5 over (ord, line). ``ord`` must be unique and give input order."""
-    classified = classify(lines, today, r).persist(StorageLevel.MEMORY_AND_DISK)
-    # reused by the next steps and by every counter: kept once (recomputed
-    # from the checkpointed input if an executor is lost)
-    repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    classified = classify(lines, today, r)
+    # reused by the next steps and by every counter: written once to the
+    # shared checkpoint folder
+    checkpoint_dir(lines.sparkSession)
+    repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r).checkpoint(eager=True)
     kept, competing = collapse_multi(repaired)
-    kept = kept.persist(StorageLevel.MEMORY_AND_DISK)
     # materialised once: the random pick is then fixed for the sort and for
     # every counter (lineage cut in the shared checkpoint folder)
-    checkpoint_dir(lines.sparkSession)
     survivors = dedup_brand_code(kept, seed).checkpoint(eager=True)
     if sort:
         ordered = publication_order(survivors.select("ord", "line"), training, seed, r)

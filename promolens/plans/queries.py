@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions.analysis import load_model_output
 from ..functions.extract import extract_analysis_json
-from ..session import configure
+from ..session import checkpoint_dir, configure
 from ..functions.text import extraction_prompt, keyword_match, normalize_caption
 from ..operators import discovery, filters, ingest, publish, report, resolve
 from ..operators.ordering import global_rank, rank_within_group
@@ -293,7 +292,8 @@ def _canonical_updates(spark, sf_dir):
     # the analysis JSON of unresolved rows is parsed once, for A1 and J3
     # (A1 takes rows strictly after the cut-off, J3 from the cut-off on)
     rows = filters.records_since(D.captions(spark, sf_dir), D.REPORT_CUTOFF, inclusive=True)
-    entries = report.unresolved_entries(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_dir(spark)
+    entries = report.unresolved_entries(rows).checkpoint(eager=True)
     after = entries.where(F.col("inserted_at") > F.lit(D.REPORT_CUTOFF).cast("timestamp_ntz"))
     a1 = report.webshops_to_resolve(None, after).select(F.col("webshop").alias("name"))
     mapping = resolve.mapping_order(resolve.resolve_names(a1, _keys(spark, sf_dir)))

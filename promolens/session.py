@@ -45,6 +45,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # many distinct query shapes per session: keep their compiled code
+        .config("spark.sql.codegen.cache.maxEntries", "4000")
+        # delete checkpoint files once their DataFrames are garbage collected
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**SQL_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
