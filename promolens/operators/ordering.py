@@ -10,6 +10,8 @@ inside the partition.
 
 from __future__ import annotations
 
+import sys
+
 from collections.abc import Sequence
 
 import pandas as pd
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .._shipping import register_by_value
 from ..session import checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition id above bit 33
@@ -122,3 +125,8 @@ def rank_within_group(df: DataFrame, key: str, order_cols: Sequence[Column | str
     return (ranked.join(firsts, key, "left")
             .withColumn(name, F.col("_g") - F.col("_g0") + F.lit(1))
             .drop("_g", "_g0"))
+
+
+# Functions of this module run inside Python workers: ship them by value so
+# the workers need no install of this package.
+register_by_value(sys.modules[__name__])
