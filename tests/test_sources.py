@@ -60,8 +60,8 @@ def test_json_tree_and_generic_instagram(spark, tmp_path):
     write(tmp_path / "jsons" / "tiktok" / "b.json", [{"text": "t", "createTimeISO": "x", "webVideoUrl": "t1"}])
     write(tmp_path / "jsons" / "insta" / "bad.json", "{not json")
     write(tmp_path / "jsons" / "insta" / "obj.json", {"url": "o1", "caption": "x"})
-    write(tmp_path / "jsons" / "insta" / "apify_api_jsons" / "c.json", [{"url": "ex", "caption": "x"}])
-    df = P.json_tree_posts(spark, str(tmp_path / "jsons"), exclude="apify_api_jsons")
+    write(tmp_path / "jsons" / "insta" / "already_loaded" / "c.json", [{"url": "ex", "caption": "x"}])
+    df = P.json_tree_posts(spark, str(tmp_path / "jsons"), exclude="already_loaded")
     got = sorted((r.platform, r.influencer_name, r.post_url) for r in df.collect())
     assert got == [("instagram", "p", "i1"), ("instagram", "q", "i2"), ("instagram", "r", "i3"),
                    ("tiktok", None, "t1")]
