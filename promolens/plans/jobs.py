@@ -12,14 +12,13 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
 from .. import sinks
 from ..functions.analysis import load_model_output
 from ..functions.extract import extract_analysis_json
-from ..functions.text import key_prefix
 from ..operators import discovery, filters, ingest, publish, report, resolve
 from ..sources import discounts as disc
 from ..sources import posts as P
@@ -146,12 +145,10 @@ def backfill_json_tree(spark: SparkSession, root: str, wh: Warehouse,
 def new_rows_per_run(posts: DataFrame) -> DataFrame:
     """Unique posts first seen in each run and the running total, in
     run order (``posts`` from ``sources.posts.run_datasets``)."""
-    firsts = ingest.first_per_post(posts.withColumn("run_rank", F.col("run_rank")).select(
-        *ingest.POST_COLUMNS))
+    firsts = ingest.first_per_post(posts.select(*ingest.POST_COLUMNS))
     per_run = firsts.groupBy(F.col("ord.file").cast("int").alias("run_rank")).agg(
         F.count(F.lit(1)).alias("added"))
     # one row per run (at most the run limit): a bounded running sum
-    from pyspark.sql import Window
     w = Window.orderBy("run_rank").rowsBetween(Window.unboundedPreceding, 0)
     return per_run.withColumn("running_unique", F.sum("added").over(w))
 
@@ -171,5 +168,4 @@ def daily_run(spark: SparkSession, wh: Warehouse, sources: dict[str, DataFrame],
 
 
 __all__ = ["Warehouse", "caption_ingest", "analysis_attach", "canonical_attach", "discount_report",
-           "publication", "influencer_discovery", "backfill_json_tree", "new_rows_per_run", "daily_run",
-           "key_prefix"]
+           "publication", "influencer_discovery", "backfill_json_tree", "new_rows_per_run", "daily_run"]

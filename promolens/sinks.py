@@ -25,6 +25,10 @@ POST_KEY = ["platform", "post_url", "caption_key"]
 
 
 def _keys(df: DataFrame) -> DataFrame:
+    """Post keys of a table; the archive stores ``caption_key`` (only the
+    key columns are scanned), the caption table derives it."""
+    if "caption_key" in df.columns:
+        return df.select("platform", "post_url", "caption_key")
     return df.select("platform", "post_url", key_prefix("caption").alias("caption_key"))
 
 
@@ -36,7 +40,7 @@ def insert_archive(spark: SparkSession, records: DataFrame, archive_path: str) -
     existing = _keys(read_table(spark, archive_path, ARCHIVE_SCHEMA))
     new = (batch.join(existing, POST_KEY, "left_anti")
            .select("influencer_name", "caption", "post_url",
-                   F.col("post_date").cast("timestamp").alias("post_date"), "platform"))
+                   F.col("post_date").cast("timestamp").alias("post_date"), "caption_key", "platform"))
     # materialise in the shared checkpoint folder before appending: the
     # anti-join must see the table as it was before this insert
     checkpoint_dir(spark)

@@ -25,6 +25,9 @@ ARCHIVE_SCHEMA = StructType([
     StructField("caption", StringType()),
     StructField("post_url", StringType()),
     StructField("post_date", TimestampType()),
+    # first 255 characters of the caption, stored so that insert-ignore
+    # checks read two narrow key columns instead of every full caption
+    StructField("caption_key", StringType()),
     StructField("platform", StringType()),
 ])
 
