@@ -53,15 +53,24 @@ def first_per_post(records: DataFrame) -> DataFrame:
     return out.select(*POST_COLUMNS)
 
 
-def ingest_counts(archive: DataFrame, keyword: DataFrame) -> DataFrame:
+def ingest_counts(archive: DataFrame, keyword: DataFrame | None = None,
+                  keywords: Iterable[str] = rules.CAPTION_KEYWORDS) -> DataFrame:
     """A4: per platform: distinct users, posts, unique archived posts and
-    unique keyword posts."""
+    unique keyword posts.
+
+    One pass over the normalised posts: a per-key aggregate records whether
+    any post of the key is a keyword post (the keyword table de-duplicates
+    among keyword posts only, so a key counts there when any of its posts
+    matches). ``keyword`` is accepted for symmetry with ``split_records``."""
+    flagged = with_post_key(archive).withColumn("_kw", keyword_match("caption", keywords))
+    per_key = flagged.groupBy("platform", "post_url", "caption_key").agg(
+        F.max("_kw").alias("_any_kw"))
+    keys = per_key.groupBy("platform").agg(
+        F.count(F.lit(1)).alias("archived"), F.count_if("_any_kw").alias("keyword_rows"))
     raw = archive.groupBy("platform").agg(
         F.countDistinct("influencer_name").alias("users"),
         F.count(F.lit(1)).alias("posts"))
-    uniq = first_per_post(archive).groupBy("platform").agg(F.count(F.lit(1)).alias("archived"))
-    kw = first_per_post(keyword).groupBy("platform").agg(F.count(F.lit(1)).alias("keyword_rows"))
-    return (raw.join(uniq, "platform", "left").join(kw, "platform", "left")
+    return (raw.join(keys, "platform", "left")
             .select("platform", "users", "posts", F.coalesce("archived", F.lit(0)).alias("archived"),
                     F.coalesce("keyword_rows", F.lit(0)).alias("keyword_rows")))
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import analysis as A
 from .dedup import first_per_key
+from ..session import checkpoint_dir
 from .ordering import global_rank
 
 MIN_PREFIX = 4
@@ -68,10 +69,13 @@ def _gram_prefix(grams: DataFrame, freq: DataFrame, id_col: str, text_col: str)
 def resolve_names(unknown: DataFrame, keys: DataFrame, name_col: str = "name",
                   key_col: str = "key") -> DataFrame:
     """(name, canonical, score) for every distinct input name."""
-    u = unknown.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct() \
-        .withColumn("n", normalise_name("name"))
-    k = keys.select(F.col(key_col).alias("key")).where(F.col("key").isNotNull()).distinct() \
-        .withColumn("kn", normalise_name("key")).where(F.col("kn") != "")
+    # both distinct lists feed every candidate arm: written once to the
+    # shared checkpoint folder instead of recomputing their upstream per arm
+    checkpoint_dir(unknown.sparkSession)
+    u = (unknown.select(F.col(name_col).alias("name")).where(F.col("name").isNotNull()).distinct()
+         .withColumn("n", normalise_name("name")).checkpoint(eager=True))
+    k = (keys.select(F.col(key_col).alias("key")).where(F.col("key").isNotNull()).distinct()
+         .withColumn("kn", normalise_name("key")).where(F.col("kn") != "").checkpoint(eager=True))
     us = u.where(F.col("n") != "")
 
     exact = us.join(k, us.n == k.kn).select("name", "key", "n", "kn")

@@ -51,7 +51,7 @@ def caption_ingest(spark: SparkSession, posts: DataFrame, wh: Warehouse, now: dt
     the caption table (K2). ``posts`` = (platform, influencer_name,
     caption, post_url, post_date, ord). Returns the A4 counts."""
     archive, keyword = ingest.split_records(posts, keywords)
-    counts = ingest.ingest_counts(archive, keyword).checkpoint(eager=True)
+    counts = ingest.ingest_counts(archive, keyword, keywords).checkpoint(eager=True)
     sinks.insert_archive(spark, archive, wh.archive)
     sinks.insert_captions(spark, keyword, wh.captions_path(), now)
     return counts

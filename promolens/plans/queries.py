@@ -165,7 +165,8 @@ def k2_keyword_records(spark, sf_dir):
 @register("a4_ingest_counts")
 def a4_ingest_counts(spark, sf_dir):
     """A4: users, posts, archived unique and keyword rows per platform."""
-    return ingest.ingest_counts(*_ingest(spark, sf_dir))
+    archive, _ = _ingest(spark, sf_dir)
+    return ingest.ingest_counts(archive, keywords=D.INGEST_KEYWORDS)
 
 
 @register("a8_raw_vs_unique")
