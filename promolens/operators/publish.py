@@ -234,7 +234,9 @@ def publication_order(lines: DataFrame, training: DataFrame | None, seed: int,
     if r.boosted_brands:
         boost = F.lit(float(r.boosted_base)) + unit_uniform(seed, F.lit("boost"), F.col("brand"))
         score = F.when(F.col("brand").isin(*r.boosted_brands), boost).otherwise(score)
-    df = df.withColumn("score", score)
+    # used three times below (sorted, duplicate and new-company lines): the
+    # scored lines are written once instead of re-running the score join
+    df = df.withColumn("score", score).checkpoint(eager=True)
     sortable_cond = F.col("primary") & (F.col("brand") != "") & F.col("score").isNotNull()
     # O3: stable sort by score (ties keep input order)
     sortable = global_rank(df.where(sortable_cond), ["score", "ord"], "_r")
@@ -290,7 +292,7 @@ def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | N
     else:
         ordered = global_rank(survivors.select("ord", "line"), ["ord"], "position")
     published = finish(ordered)
-    metrics = _metrics(classified, repaired, kept, competing, survivors, published)
+    metrics = _metrics(classified, repaired, kept, None, survivors, published)
     return PublishResult(classified, published.select("position", "line", "url_stripped",
                                                       "date_stripped", "emoji_stripped"), metrics)
 
@@ -303,31 +305,33 @@ def _stack(one_row: DataFrame) -> DataFrame:
 
 
 def _metrics(classified, repaired, kept, competing, survivors, published) -> DataFrame:
-    """One (metric, value) row per counter (every counter is a global
-    aggregate with partial aggregation; nothing is collected)."""
+    """One (metric, value) row per counter.
+
+    Each stage is aggregated once (all its counters in one pass); counters
+    that combine two stages are emitted as signed parts and summed per
+    metric, so nothing is joined and nothing is collected."""
+    has_url = F.col("line").rlike(URL_PATTERN)
     by_reason = (classified.where(F.col("reason") != "keep").groupBy("reason")
                  .agg(F.count(F.lit(1)).cast("long").alias("value"))
                  .select(F.concat(F.lit("dropped_"), F.col("reason")).alias("metric"), "value"))
-    parts = [
-        by_reason,
-        _stack(repaired.agg(F.count_if("stripped").alias("stripped_old_repost"),
-                            F.count_if("cleaned").alias("cleaned_new_company"),
-                            F.count_if("defaulted").alias("defaulted_discount"),
-                            F.count_if("marked").alias("marked_high"))),
-        _stack(kept.agg(F.count_if("is_multi").alias("multi_groups_kept"))),
-        # competing MULTI lines +1, kept MULTI lines with a URL -1
-        _stack(competing.select(F.col("competing").alias("d"))
-               .unionByName(kept.agg((-F.count_if(F.col("is_multi") & F.col("line").rlike(URL_PATTERN))).alias("d")))
-               .agg(F.sum("d").alias("dropped_multi_dup"))),
-        # kept lines count +1, survivors -1: the sum is the duplicates dropped
-        _stack(kept.select(F.lit(1).alias("d")).unionByName(survivors.select(F.lit(-1).alias("d")))
-               .agg(F.sum("d").alias("record_dups_dropped"))),
-        _stack(published.agg(F.count_if("url_stripped").alias("urls_stripped"),
-                             F.count_if("date_stripped").alias("prev_dates_stripped"),
-                             F.count_if("emoji_stripped").alias("emojis_stripped"),
-                             F.count(F.lit(1)).alias("output_lines"))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rep = _stack(repaired.agg(
+        F.count_if("stripped").alias("stripped_old_repost"),
+        F.count_if("cleaned").alias("cleaned_new_company"),
+        F.count_if("defaulted").alias("defaulted_discount"),
+        F.count_if("marked").alias("marked_high"),
+        # competing MULTI lines (+) ...
+        F.count_if(F.col("line").contains(rules.MULTI_TAG) & has_url).alias("dropped_multi_dup")))
+    kep = _stack(kept.agg(
+        F.count_if("is_multi").alias("multi_groups_kept"),
+        # ... minus the kept MULTI lines with a URL
+        (-F.count_if(F.col("is_multi") & has_url)).alias("dropped_multi_dup"),
+        # kept lines (+) minus survivors (-)
+        F.count(F.lit(1)).alias("record_dups_dropped")))
+    surv = _stack(survivors.agg((-F.count(F.lit(1))).alias("record_dups_dropped")))
+    pub = _stack(published.agg(F.count_if("url_stripped").alias("urls_stripped"),
+                               F.count_if("date_stripped").alias("prev_dates_stripped"),
+                               F.count_if("emoji_stripped").alias("emojis_stripped"),
+                               F.count(F.lit(1)).alias("output_lines")))
+    parts = rep.unionByName(kep).unionByName(surv).unionByName(pub)
+    summed = parts.groupBy("metric").agg(F.sum("value").cast("long").alias("value"))
+    return by_reason.unionByName(summed)
