@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import (URL_PATTERN, brand_of_line, has_quoted, is_review_line, quoted_inner, replace_first,
-                              replace_quoted, split_fields, strip_emojis, strip_prev_seen_dates,
-                              strip_repost_marker, strip_urls)
+                              split_fields, strip_emojis, strip_prev_seen_dates, strip_urls)
 from .dedup import first_per_key, flag_first_in_group, random_survivor, unit_uniform
 from ..session import checkpoint_dir
 from .ordering import global_rank, grouped_prefix_sum

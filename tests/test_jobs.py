@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from promolens.plans import jobs
 from promolens.sources.tables import caption_table
 

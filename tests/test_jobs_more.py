@@ -1,8 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
-
 from promolens import sinks
 from promolens.plans import jobs
 from promolens.sources import posts as P

@@ -1,8 +1,6 @@
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
-
 from promolens.operators.ordering import global_rank, grouped_prefix_sum
 
 

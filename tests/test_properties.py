@@ -1,8 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from promolens.operators import dedup, publish
 
 TODAY = dt.date(2025, 10, 6)

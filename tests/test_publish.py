@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from promolens.operators import publish
 
 TODAY = dt.date(2025, 10, 6)

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from promolens.sources import discounts as disc
 from promolens.sources import logs
 from promolens.sources import posts as P
