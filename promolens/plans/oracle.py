@@ -403,7 +403,7 @@ ORACLE.update({
     "e6_user_brands": _with(DISCOVERY) + """
 SELECT username, array_to_string(brands, ', ') AS brand_list, known FROM d_flag""",
     "a5_discovery_summary": _with(DISCOVERY) + """
-SELECT count(*) AS total, count_if(known) AS in_db, count_if(NOT known) AS not_in_db,
+SELECT count(*) AS total, CAST(count_if(known) AS BIGINT) AS in_db, CAST(count_if(NOT known) AS BIGINT) AS not_in_db,
        CASE WHEN count(*) > 0 THEN round(count_if(NOT known) * 100.0 / count(*), 2) ELSE 0.0 END AS percent_not_in_db
 FROM d_flag""",
     "o6_sample_new_users": _with(DISCOVERY) + f"""

@@ -87,7 +87,7 @@ def p6_with_analysis(spark, sf_dir):
     numbered = global_rank(df.select("id", "influencer_name", "inserted_at", "post_url", "ai_analysis"),
                            ["inserted_at", "id"], "item_no")
     total = numbered.count()  # one scalar for the "i/n" numbering
-    return numbered.select("item_no", F.lit(total).alias("item_total"), "id", "influencer_name", "post_url")
+    return numbered.select("item_no", F.lit(total).cast("long").alias("item_total"), "id", "influencer_name", "post_url")
 
 
 @register("a1_webshops_to_resolve")
@@ -330,7 +330,7 @@ def p16_keyword_scan(spark, sf_dir):
     _, keyword = _ingest(spark, sf_dir)
     numbered = ingest.keyword_posts_numbered(keyword.select("influencer_name", "post_url", "post_date", "ord"))
     total = numbered.count()
-    return numbered.select("item_no", F.lit(total).alias("item_total"), "influencer_name", "post_url", "ord")
+    return numbered.select("item_no", F.lit(total).cast("long").alias("item_total"), "influencer_name", "post_url", "ord")
 
 
 @register("f23_prompts")
