@@ -33,3 +33,27 @@ def test_fast_queries_match_oracle(spark):
         idx = [dcols.index(c) for c in cols]
         b = sorted(tuple(str(r[i]) for i in idx) for r in cur.fetchall())
         assert a == b, name
+
+
+def test_entry_from_another_directory_with_a_plain_session(tmp_path):
+    """Workers must not need the package on their path (functions ship by value)."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import importlib.util
+spec = importlib.util.spec_from_file_location("entry_mod", {os.path.join(repo, '__spark_entry__.py')!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.ui.enabled", "false").getOrCreate())
+print("ROWS", m.entry(spark).count(), len(m.queries()["f1_normalize_captions"](spark, {SF!r}).collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=600)
+    line = [x for x in out.stdout.splitlines() if x.startswith("ROWS")]
+    assert line, out.stderr[-2000:]
+    rows, docs = map(int, line[0].split()[1:])
+    assert rows > 0 and docs == 200
