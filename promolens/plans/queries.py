@@ -234,7 +234,7 @@ def _discovery(spark, sf_dir):
                 .join(posts, li.l_orderkey == posts.o_orderkey)
                 .select(F.col("c_name").alias("username"), F.col("p_brand").alias("mention")))
     users = discovery.users_with_brands(mentions, D.DISCOVERY_BRANDS, 2)
-    known = posts.where(F.col("o_orderdate") >= F.lit(D.KNOWN_SINCE).cast("timestamp_ntz")).select(
+    known = posts.where(F.col("o_orderdate") >= filters.ts_literal(D.KNOWN_SINCE)).select(
         F.col("c_name").alias("name"))
     return discovery.flag_known(users, known)
 
@@ -295,7 +295,7 @@ def _canonical_updates(spark, sf_dir):
     rows = filters.records_since(D.captions(spark, sf_dir), D.REPORT_CUTOFF, inclusive=True)
     checkpoint_dir(spark)
     entries = report.unresolved_entries(rows).checkpoint(eager=True)
-    after = entries.where(F.col("inserted_at") > F.lit(D.REPORT_CUTOFF).cast("timestamp_ntz"))
+    after = entries.where(F.col("inserted_at") > filters.ts_literal(D.REPORT_CUTOFF))
     a1 = report.webshops_to_resolve(None, after).select(F.col("webshop").alias("name"))
     mapping = resolve.mapping_order(resolve.resolve_names(a1, _keys(spark, sf_dir)))
     return resolve.attach_canonical_entries(entries, mapping)
