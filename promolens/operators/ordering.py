@@ -50,6 +50,18 @@ def sorted_checkpoint(df: DataFrame, order_cols: Sequence[Column | str],
     return out
 
 
+BROADCAST_MAX_ROWS = 200_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``small`` only after checking its row count; above the
+    limit the join is left to the planner (shuffle join)."""
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
+
+
 def _pid() -> Column:
     return F.shiftright(F.col("_mid"), _LOCAL_BITS)
 
@@ -72,7 +84,7 @@ def global_rank(df: DataFrame, order_cols: Sequence[Column | str], name: str = "
         "_pid",
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
-    return (s.join(F.broadcast(offsets), "_pid")
+    return (join_checked(s, offsets, "_pid")
             .withColumn(name, F.col("_off") + _local() + F.lit(1))
             .drop("_pid", "_off", "_mid"))
 
@@ -92,7 +104,7 @@ def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str],
         "_pid", group_col,
         F.coalesce(F.sum("_s").over(Window.partitionBy(group_col).orderBy("_pid")
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_off"))
-    joined = s.join(F.broadcast(offsets), ["_pid", group_col], "left")
+    joined = join_checked(s, offsets, ["_pid", group_col], "left")
     out_schema = StructType(list(joined.schema.fields) + [StructField(name, DoubleType())])
 
     def run(batches):
