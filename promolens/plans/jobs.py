@@ -9,6 +9,7 @@ in order.
 from __future__ import annotations
 
 import datetime as dt
+import random
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ from ..functions.extract import extract_analysis_json
 from ..operators import discovery, filters, ingest, publish, report, resolve
 from ..sources import discounts as disc
 from ..sources import posts as P
+from ..sources.logs import latest_log_lines
 from ..sources.tables import caption_table
 
 Extractor = Callable[[DataFrame], DataFrame]
@@ -105,16 +107,26 @@ def discount_report(spark: SparkSession, wh: Warehouse, since: dt.datetime,
     return report.report_lines(rows, disc.known_discounts(discount_lines), with_urls)
 
 
-def publication(lines: DataFrame, today: dt.date, seed: int, discount_batches: DataFrame | None,
+def publication(lines: DataFrame, today: dt.date, seed: int | None, discount_batches: DataFrame | None,
                 archive_batches: DataFrame | None, sort: bool = True,
                 r: publish.PublishRules = publish.PublishRules()) -> publish.PublishResult:
-    """E5 over (ord, line)."""
+    """E5 over (ord, line). ``seed=None`` draws one seed for this run (the
+    run is then random, but every task and retry of it uses the same seed)."""
+    if seed is None:
+        seed = random.SystemRandom().randrange(1 << 31)
     training = None
     if sort and (discount_batches is not None or archive_batches is not None):
         training = disc.training_brands(discount_batches, archive_batches)
     return publish.publish(lines, today, seed, training, sort, r)
 
 
+def publication_from_log(spark: SparkSession, logs_dir: str, today: dt.date, seed: int | None,
+                         discount_batches: DataFrame | None, archive_batches: DataFrame | None,
+                         sort: bool = True, r: publish.PublishRules = publish.PublishRules()) -> publish.PublishResult:
+    """E5 on the report block of the newest pipeline log."""
+    return publication(latest_log_lines(spark, logs_dir), today, seed, discount_batches, archive_batches, sort, r)
+
+
 def influencer_discovery(spark: SparkSession, posts_root: str, known_names: DataFrame,
                          existing_seed_lines: int, seed: int,
                          brands: Iterable[str] = rules.DISCOVERY_BRANDS,
@@ -168,4 +180,4 @@ def daily_run(spark: SparkSession, wh: Warehouse, sources: dict[str, DataFrame],
 
 
 __all__ = ["Warehouse", "caption_ingest", "analysis_attach", "canonical_attach", "discount_report",
-           "publication", "influencer_discovery", "backfill_json_tree", "new_rows_per_run", "daily_run"]
+           "publication", "publication_from_log", "influencer_discovery", "backfill_json_tree", "new_rows_per_run", "daily_run"]

@@ -90,3 +90,13 @@ def test_daily_run(spark, tmp_path):
     assert [r.line for r in lines] == ['"zalando, SUMMER20, 20, anna, 10-06",    https://p/1',
                                        '"___nakd, CAT10, 10, cat_tiktok, 10-06",    https://t/1']
     assert spark.read.parquet(wh.archive).count() == 3
+
+
+def test_publication_from_log(spark, tmp_path):
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "main_pipeline_2025-10-06.log").write_text(
+        "**PRINTING RESULTS**\n**instagram results:**\n"
+        '"zal, A1, 10, anna, 10-06",    https://p/1\n"UNKNOWN, B2, 5, bob, 10-06",\n'
+        "Printed 2 unique discount records.\n**FINISHED MAIN PIPELINE**\n", encoding="utf-8")
+    res = jobs.publication_from_log(spark, str(tmp_path / "logs"), dt.date(2025, 10, 6), None, None, None)
+    assert [r.line for r in res.published.collect()] == ['"zal, A1, 10, anna, 10-06",']
