@@ -347,7 +347,11 @@ def j2_analysis_attach(spark, sf_dir):
     """E2 (P5, X1, X2, F17, J2/K3): the rule extractor runs on the keyword
     captions; each result is set on every caption-table row with the same
     (platform, url, caption[:255])."""
-    archive, keyword = _ingest(spark, sf_dir)
+    # the table and the updates both come from the normalised posts:
+    # normalise once (the NFKD step is the Python part)
+    checkpoint_dir(spark)
+    archive = ingest.normalise_posts(D.posts(spark, sf_dir)).checkpoint(eager=True)
+    keyword = archive.where(keyword_match("caption", D.INGEST_KEYWORDS))
     table = archive.select(F.col("ord").alias("id"), "platform", "influencer_name", "caption", "post_url",
                            F.lit(None).cast("string").alias("ai_analysis"),
                            F.lit(None).cast("timestamp").alias("ai_analysis_time"))
