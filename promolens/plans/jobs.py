@@ -59,6 +59,24 @@ def caption_ingest(spark: SparkSession, posts: DataFrame, wh: Warehouse, now: dt
     return counts
 
 
+def mention_posts(spark: SparkSession, big_path: str, small_path: str) -> tuple[DataFrame, DataFrame]:
+    """E1 for tagged posts (S2, U1, A4): big-list posts then small-list posts
+    per user, stored as instagram. Returns (posts, counts) where counts has
+    users/posts for big, small and merged (one row per list)."""
+    big, _ = P.tagged_posts(P.read_json_records(spark, big_path))
+    small, _ = P.tagged_posts(P.read_json_records(spark, small_path))
+    merged = P.merge_big_small(big, small)
+
+    def stats(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.countDistinct("username").alias("users"), F.count(F.lit(1)).alias("posts")) \
+            .withColumn("list", F.lit(name))
+
+    counts = stats(big, "big").unionByName(stats(small, "small")).unionByName(stats(merged, "merged"))
+    posts = merged.select(F.lit("instagram").alias("platform"), F.col("username").alias("influencer_name"),
+                          "caption", F.col("url").alias("post_url"), F.col("timestamp").alias("post_date"), "ord")
+    return posts, counts
+
+
 def rule_extractor(rows: DataFrame) -> DataFrame:
     """X1 as an extractor: (platform, post_url, caption, ord) -> + raw."""
     return rows.withColumn("raw", extract_analysis_json("caption"))
@@ -179,5 +197,5 @@ def daily_run(spark: SparkSession, wh: Warehouse, sources: dict[str, DataFrame],
     return discount_report(spark, wh, cutoff, discount_lines)
 
 
-__all__ = ["Warehouse", "caption_ingest", "analysis_attach", "canonical_attach", "discount_report",
+__all__ = ["Warehouse", "caption_ingest", "mention_posts", "analysis_attach", "canonical_attach", "discount_report",
            "publication", "publication_from_log", "influencer_discovery", "backfill_json_tree", "new_rows_per_run", "daily_run"]

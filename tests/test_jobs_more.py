@@ -100,3 +100,15 @@ def test_publication_from_log(spark, tmp_path):
         "Printed 2 unique discount records.\n**FINISHED MAIN PIPELINE**\n", encoding="utf-8")
     res = jobs.publication_from_log(spark, str(tmp_path / "logs"), dt.date(2025, 10, 6), None, None, None)
     assert [r.line for r in res.published.collect()] == ['"zal, A1, 10, anna, 10-06",']
+
+
+def test_mention_posts_merge(spark, tmp_path):
+    write(tmp_path / "big" / "a.json", [{"ownerUsername": "u", "caption": "c1", "url": "x1", "timestamp": "t1"},
+                                        {"ownerUsername": "v", "caption": "c2", "url": "x2", "timestamp": "t2"}])
+    write(tmp_path / "small" / "b.json", [{"ownerUsername": "u", "caption": "c3", "url": "x3", "timestamp": "t3"},
+                                          {"ownerUsername": "w", "caption": "c4", "url": "x4", "timestamp": "t4"}])
+    posts, counts = jobs.mention_posts(spark, str(tmp_path / "big"), str(tmp_path / "small"))
+    c = {r.list: (r.users, r.posts) for r in counts.collect()}
+    assert c == {"big": (2, 2), "small": (2, 2), "merged": (3, 4)}
+    u_posts = [r.post_url for r in posts.where("influencer_name = 'u'").orderBy("ord").collect()]
+    assert u_posts == ["x1", "x3"]                     # big first, then small
