@@ -40,3 +40,11 @@ def test_rule_extractor(spark):
     got = [r[0] for r in df.select(extract_analysis_json("c")).collect()]
     assert got == ['[{"webshop":"zalando","code":"SUMMER20","percentage":20}]',
                    '[{"webshop":null,"code":"ANNA","percentage":"€10"}]', "[]"]
+
+
+def test_with_analysis_text(spark):
+    from promolens.operators import filters
+    df = spark.createDataFrame([(1, '[{"webshop":"A","code":"X"}]'), (2, "not json"), (3, None)],
+                               "id long, ai_analysis string")
+    got = {r.id: r.analysis_text for r in filters.with_analysis(df).collect()}
+    assert got == {1: '[{"code":"X","webshop":"A"}]', 2: "not json"}
