@@ -72,3 +72,11 @@ def test_publish_end_to_end_invariants(spark):
     assert pub[-1].line == '"zz, Q1, 5, u",'                # new company last
     m = {r.metric: r.value for r in res.metrics.collect()}
     assert m["output_lines"] == 61 and m["urls_stripped"] == 60 and m["record_dups_dropped"] == 0
+
+
+def test_publish_without_sort_keeps_input_order(spark):
+    lines = ['"b, C1, 10, u, 10-06",    https://p/1', '"a, C2, 50, u, 10-06",', '"UNKNOWN, C3, 5, u, 10-06",',
+             '"c, C4, None, u, 10-06",']
+    res = publish.publish(lines_df(spark, lines), TODAY, 3, None, sort=False)
+    got = [r.line for r in res.published.orderBy("position").collect()]
+    assert got == ['"b, C1, 10, u, 10-06",', 'REVIEW_HIGH__"a, C2, 50, u, 10-06",', '"c, C4, 10, u, 10-06",']

@@ -99,3 +99,13 @@ def test_batches_and_log_block(spark, tmp_path):
           "**FINISHED MAIN PIPELINE**\nafter\n")
     got = [r.line for r in logs.latest_log_lines(spark, str(tmp_path / "logs")).orderBy("ord").collect()]
     assert got == ["l1", "  l2  "]
+
+
+def test_archived_mentions(spark, tmp_path):
+    f = write(tmp_path / "arch" / "a.json", [{"ownerUsername": "u", "caption": "c", "url": "x1", "timestamp": "t"},
+                                             {"ownerUsername": "v", "caption": "d", "url": ""},
+                                             {"ownerUsername": "w", "caption": "e"}])
+    posts, counts = P.archived_mentions(spark, str(tmp_path / "arch"))
+    assert [r.post_url for r in posts.collect()] == ["x1"]
+    c = counts.first()
+    assert (c.scanned, c.skipped_no_url) == (3, 2)
