@@ -31,6 +31,17 @@ def keyword_posts_numbered(keyword: DataFrame) -> DataFrame:
     return global_rank(keyword, [F.desc("post_date"), "ord"], "item_no")
 
 
+def numbered_posts(posts: DataFrame, scan_for_discount_words: bool = False,
+                   keywords: Iterable[str] = rules.CAPTION_KEYWORDS, caption_col: str = "caption",
+                   date_col: str = "post_date") -> DataFrame:
+    """Posts newest first, numbered ``item_no`` of ``item_total``; with
+    ``scan_for_discount_words`` only keyword posts (P1) are listed."""
+    from .ordering import global_rank
+    df = posts.where(keyword_match(caption_col, keywords)) if scan_for_discount_words else posts
+    numbered = global_rank(df, [F.desc(date_col), "ord"], "item_no")
+    return numbered.withColumn("item_total", F.lit(numbered.count()).cast("long"))
+
+
 def split_records(posts: DataFrame, keywords: Iterable[str] = rules.CAPTION_KEYWORDS
                   ) -> tuple[DataFrame, DataFrame]:
     """(archive records, keyword records) from raw posts."""

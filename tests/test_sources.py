@@ -109,3 +109,14 @@ def test_archived_mentions(spark, tmp_path):
     assert [r.post_url for r in posts.collect()] == ["x1"]
     c = counts.first()
     assert (c.scanned, c.skipped_no_url) == (3, 2)
+
+
+def test_numbered_hashtag_posts(spark):
+    from promolens.operators.ingest import numbered_posts
+    df = spark.createDataFrame([("a", "20% off", "2025-01-02", 1), ("b", "hello", "2025-01-03", 2),
+                                ("c", "my code X", "2025-01-01", 3)],
+                               "username string, caption string, post_date string, ord long")
+    allp = [(r.username, r.item_no, r.item_total) for r in numbered_posts(df).orderBy("item_no").collect()]
+    assert allp == [("b", 1, 3), ("a", 2, 3), ("c", 3, 3)]
+    kw = [(r.username, r.item_no, r.item_total) for r in numbered_posts(df, True).orderBy("item_no").collect()]
+    assert kw == [("a", 1, 2), ("c", 2, 2)]
