@@ -128,7 +128,7 @@ def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str],
 
 def rank_within_group(df: DataFrame, key: str, order_cols: Sequence[Column | str], name: str,
                       num_partitions: int | None = None) -> DataFrame:
-    """1-based position inside each ``key`` group, skew-safe: the global
+    """1-based position inside each ``key`` group, skew-safe: the global
     position in (key, order) minus the group's first global position. The
     per-group minimum is a partial/final hash aggregate, so a group holding a
     third of all rows is never gathered into one task."""

@@ -42,7 +42,7 @@ def explode_entries(captions: DataFrame) -> DataFrame:
 
 def report_lines(captions: DataFrame, known: DataFrame, with_urls: bool = True,
                  numbered: bool = True) -> DataFrame:
-    """Unique report lines, in first-seen order.
+    """Unique report lines (F20 render, W5 first occurrence), in first-seen order.
 
     ``captions`` holds the rows already selected by the cut-off (P3) and a
     ``platform`` column; one report section per platform, instagram first.

@@ -30,7 +30,7 @@ def read_json_string_array(spark: SparkSession, path: str) -> DataFrame:
 
 
 def known_discounts(lines: DataFrame) -> DataFrame:
-    """``name (note), code, ..., date`` -> (canonical_key, code_key,
+    """S13 + W4: ``name (note), code, ..., date`` -> (canonical_key, code_key,
     seen_md); lines with fewer than 3 fields are skipped; the first line per
     lower-cased (canonical, code) wins."""
     parts = F.transform(F.split("line", ",", -1), lambda x: py_strip(x))
