@@ -39,3 +39,12 @@ def test_normalisation_is_the_only_python_step(spark):
 def test_scan_reads_only_needed_columns(spark):
     p = plan(Q.QUERIES["f1_normalize_captions"](spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+
+
+def test_no_query_pairs_all_rows(spark):
+    """No registered query plans a cross join or a row-at-a-time Python UDF."""
+    import __spark_entry__ as E
+    for name, q in E.queries().items():
+        p = plan(q(spark, SF))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in p, (name, bad)
