@@ -11,6 +11,11 @@ from promolens.session import configure
 
 from .exact_dedup import exact_dedup
 from .imatch import fingerprints
+from .langid import languages
+from .near_dedup import near_dedup
+from .pii import personal_data
+from .quality import grade_of_labels, quality_scores
+from .wordpiece import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,16 +23,48 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
+def graded(labels: DataFrame) -> DataFrame:
+    return labels.select("doc_id", grade_of_labels(labels["quality"], labels["toxic"]).alias("grade"))
+
+
+def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), graded(_table(spark, sf_dir, "labels")))
+
+
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_imatch_fingerprints, op8_exact_dedup)}
+    f.__name__: f for f in (
+        op2_token_counts, op3_ordinal_quality, op4_personal_data, op5_imatch_fingerprints,
+        op7_minhash_near_dedup, op8_exact_dedup, op9_byte_gru_language)}
 
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""
