@@ -159,57 +159,57 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def similar_sizes(a, b, percent: int):
-    """Sets of these sizes can be similar enough."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def similar_sizes(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose set sizes alone leave room for enough similarity."""
+    na, nb = (reps.select(F.col("id").alias(k), F.col("n").alias("n" + k)) for k in "ab")
+    return (pairs.join(na, "a").join(nb, "b")
+            .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"))
 
 
-def star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of each member with the smallest id of each of its buckets."""
-    centres = (members.groupBy("band", "key")
-               .agg(F.min(F.struct("id", "n")).alias("centre"), F.count(F.lit(1)).alias("size"))
-               .where("size > 1").select("band", "key", "centre"))
-    return (members.join(centres, ["band", "key"])
-            .where(F.col("id") != F.col("centre.id"))
-            .where(similar_sizes(F.col("n"), F.col("centre.n"), percent))
-            .select(F.col("centre.id").alias("a"), F.col("id").alias("b")).distinct())
+def shared_buckets(reps: DataFrame) -> DataFrame:
+    """``key, id, centre`` of the members of buckets that have several."""
+    members = reps.select("id", F.explode("bands").alias("key"))
+    centres = (members.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("size"))
+               .where("size > 1").select("key", "centre"))
+    return members.join(centres, "key")
 
 
-def remaining_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of bucket mates in different components that a star did not join.
+def remaining_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of bucket mates in different components.
 
     A bucket is dealt to blocks of ``BLOCK`` members at random and every pair of
     blocks is one task's work; a pair is given by its first common band only,
     and only if its sketches share two bands (probability 0.9999974 at 0.8).
     """
-    rows = members.join(labels.select("id", "component"), "id")
-    mixed_up = (rows.groupBy("band", "key")
+    rows = buckets.join(labels, "id").select("key", "id", "component")
+    mixed_up = (rows.groupBy("key")
                 .agg(F.min("component").alias("low"), F.max("component").alias("high"),
                      F.count(F.lit(1)).alias("size"))
                 .where("low != high")
-                .select("band", "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = rows.join(mixed_up, ["band", "key"]).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "id", "n", "component", "bands")
+                .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    dealt = (rows.join(mixed_up, "key")
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "id", "component")
+             .join(reps, "id"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        band = int(group["band"].iloc[0])
-        i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
+        key, i, j = (int(group[c].iloc[0]) for c in ("key", "i", "j"))
         group = group.sort_values("id")
         left, right = group[group["block"] == i], group[group["block"] == j]
-        found = []
-        other = np.array(right["bands"].tolist())
+        other = np.array(right["bands"].tolist()).reshape(-1, BANDS)
         ids, sizes, comps = (right[c].to_numpy() for c in ("id", "n", "component"))
+        found = []
         for a, n, c, own in zip(left["id"], left["n"], left["component"], left["bands"], strict=True):
-            same = other == np.asarray(own)
-            low, high = np.minimum(sizes, n), np.maximum(sizes, n)
-            good = ((comps != c) & (100 * low >= percent * high) & (same.sum(axis=1) >= 2)
-                    & (same.argmax(axis=1) == band) & ((ids > a) if i == j else True))
+            own = np.asarray(own)
+            same = other == own
+            good = ((comps != c) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+                    & (same.sum(axis=1) >= 2) & (same.argmax(axis=1) == np.flatnonzero(own == key)[0])
+                    & ((ids > a) if i == j else True))
             found += [(min(a, b), max(a, b)) for b in ids[good]]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    return dealt.groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -235,8 +235,10 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     reps = (owners.where(F.col("doc_id") == F.col("id"))
             .select("id", F.col("n_shingles").alias("n"), "bands").distinct())
     reps = written(reps)
-    members = reps.select("id", "n", "bands", F.posexplode("bands").alias("band", "key"))
-    stars = written(star_pairs(members.drop("bands"), percent))
+    buckets = written(shared_buckets(reps))
+    stars = written(similar_sizes(
+        buckets.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(),
+        reps, percent))
     copies = owners.where(F.col("doc_id") != F.col("id")).select(
         F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
 
@@ -247,7 +249,8 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     labels = components(links)
     known_labels = reps.select("id").join(labels, "id", "left").select(
         "id", F.coalesce("component", "id").alias("component"))
-    more = written(remaining_pairs(members, known_labels, percent))
+    more = written(remaining_pairs(buckets, reps, known_labels, percent)
+                   .join(stars, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         links = links.union(written(links_of(more)))
         labels = components(links)
