@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import sys
 import uuid
+from typing import Any
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,20 @@ def ship(module_name: str) -> None:
     register_by_value(sys.modules[module_name])
 
 
+def send(spark: SparkSession, thing: object | None) -> Broadcast:
+    """Broadcast an object's attributes (plain data, so executors need no install)."""
+    return spark.sparkContext.broadcast(None if thing is None else dict(vars(thing)))
+
+
+def received(shared: Broadcast, kind: type) -> Any:
+    """The object that was sent, or None."""
+    if shared.value is None:
+        return None
+    out = kind.__new__(kind)
+    out.__dict__.update(shared.value)
+    return out
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

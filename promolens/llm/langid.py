@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns_of, ship, small_batches
+from .common import columns_of, received, send, ship, small_batches
 
 HIDDEN = 8
 #: Bytes of a segment; the state starts anew in each.
@@ -235,10 +235,10 @@ def languages(docs: DataFrame) -> DataFrame:
         F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False)).alias("held_out"))
     net = train(training_sample(base.where("NOT held_out AND doc_id IS NOT NULL AND text IS NOT NULL "
                                            "AND text != '' AND lang IS NOT NULL")))
-    shared = spark.sparkContext.broadcast(net)
+    shared = send(spark, net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
+        net = received(shared, Network)
         for batch in batches:
             texts = [t if t and LETTER.search(t) else "" for t in batch.column("text").to_pylist()]
             langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)

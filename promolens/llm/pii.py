@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, ship, small_batches
+from .common import columns_of, received, send, ship, small_batches
 
 #: Base kinds, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -349,11 +349,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(Field.train())
+    shared = send(spark, Field.train())
     rank = {k: i for i, k in enumerate((*KINDS, *ADDED))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = shared.value
+        field = received(shared, Field)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             base = [base_spans(t) for t in texts]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, ship, small_batches
+from .common import columns_of, received, send, ship, small_batches
 
 #: Size of the hashed feature space.
 DIM = 1 << 18
@@ -215,10 +215,10 @@ def quality_scores(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
     slots, known = graded_sample(docs, grades, fit_rows)
     n_grades = max([GRADES, *(g + 1 for g in known)])
     model = fit(slots, known, n_grades) if known else None
-    shared = spark.sparkContext.broadcast(model)
+    shared = send(spark, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = received(shared, OrdinalModel)
         weights = WordWeights(model.weights) if model else None
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]

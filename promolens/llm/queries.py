@@ -12,7 +12,9 @@ from promolens.session import configure
 from .exact_dedup import exact_dedup
 from .imatch import fingerprints
 from .langid import languages
+from .mixing import mix
 from .near_dedup import near_dedup
+from .packing import pack
 from .pii import personal_data
 from .quality import grade_of_labels, quality_scores
 from .wordpiece import token_counts
@@ -29,6 +31,15 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def languages_as_domains(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", docs["lang"].alias("domain"))
+
+
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return mix(docs, languages_as_domains(docs), _vocabulary("byte_bpe_50k.json"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
@@ -49,6 +60,10 @@ def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -63,8 +78,8 @@ def op9_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_token_counts, op3_ordinal_quality, op4_personal_data, op5_imatch_fingerprints,
-        op7_minhash_near_dedup, op8_exact_dedup, op9_byte_gru_language)}
+        op1_soft_mixing, op2_token_counts, op3_ordinal_quality, op4_personal_data,
+        op5_imatch_fingerprints, op6_best_fit_packing, op7_minhash_near_dedup, op8_exact_dedup, op9_byte_gru_language)}
 
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""

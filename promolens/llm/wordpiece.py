@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, ship, small_batches
+from .common import columns_of, received, send, ship, small_batches
 
 #: Words: runs of letters, digits and underscores, or single other signs.
 WORD = re.compile(r"\w+|[^\w\s]")
@@ -142,10 +142,10 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(Automaton(byte_vocabulary(vocabulary_path)))
+    shared = send(spark, Automaton(byte_vocabulary(vocabulary_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = WordCounts(shared.value)
+        counts = WordCounts(received(shared, Automaton))
         for batch in batches:
             found = [text_counts(t, counts) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
