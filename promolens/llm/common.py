@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from promolens._shipping import register_by_value
 from promolens.session import checkpoint_dir
 
-#: Rows sent to a Python worker at once: bounds its memory when texts are long.
-BATCH_ROWS = 500
+#: Rows and bytes sent to a Python worker at once: bounds its memory when texts are long.
+BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
 
 #: Java regular expression of the white space that the text contracts name.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -41,8 +41,14 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, so that long texts fit a worker."""
+    """Bound the rows and bytes of an Arrow batch, so that long texts fit a worker.
+
+    Also lets Spark drop a job's shuffle files when the job has ended: operators
+    of several jobs pass only written tables on.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def ship(module_name: str) -> None:

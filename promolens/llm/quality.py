@@ -199,6 +199,43 @@ class WordWeights(dict):
         return found
 
 
+def model_of(docs: DataFrame, grades: DataFrame, fit_rows: int) -> OrdinalModel | None:
+    """The fitted model; None without any graded document."""
+    small_batches(docs.sparkSession)
+    slots, known = graded_sample(docs, grades, fit_rows)
+    return fit(slots, known, max([GRADES, *(g + 1 for g in known)])) if known else None
+
+
+def scored(texts: list[str | None], model: OrdinalModel | None, weights: WordWeights | None) -> tuple:
+    """(scores, probabilities of the highest grade, expected grades) of some texts."""
+    if model is None:
+        return [0.0] * len(texts), [None] * len(texts), [None] * len(texts)
+    scores = np.array([sum(map(weights.__getitem__, set(WORD.findall(t.lower()))))
+                       + sum(model.weights[slot(f)] for f in shape_features(t))
+                       for t in (t or "" for t in texts)], dtype=float)
+    tails = model.tails(scores)
+    return scores, tails[:, -1], tails.sum(axis=1)
+
+
+def good_documents(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
+                   fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``quality_scores`` keeps.
+
+    One map: texts are not shuffled.  Rows, nulls and extra columns are passed on
+    as they are; ``docs`` needs a column ``text``.
+    """
+    shared = send(docs.sparkSession, model_of(docs, grades, fit_rows))
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = received(shared, OrdinalModel)
+        weights = WordWeights(model.weights) if model else None
+        for batch in batches:
+            _, good, _ = scored(batch.column(place).to_pylist(), model, weights)
+            yield batch.filter(pa.array([g is None or bool(g >= keep_at) for g in good], pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
                    fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per document: ``doc_id, score, expected_grade, p_good, kept``.
@@ -210,28 +247,15 @@ def quality_scores(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
     and every row is kept.  Repeated rows and null ids give a row each; an empty
     table gives none; other columns are ignored.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    slots, known = graded_sample(docs, grades, fit_rows)
-    n_grades = max([GRADES, *(g + 1 for g in known)])
-    model = fit(slots, known, n_grades) if known else None
-    shared = send(spark, model)
+    shared = send(docs.sparkSession, model_of(docs, grades, fit_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(shared, OrdinalModel)
         weights = WordWeights(model.weights) if model else None
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            if model is None:
-                scores, good, expected = np.zeros(len(texts)), [None] * len(texts), [None] * len(texts)
-                kept = [True] * len(texts)
-            else:
-                scores = np.array([sum(map(weights.__getitem__, set(WORD.findall(t.lower()))))
-                                   + sum(model.weights[slot(f)] for f in shape_features(t))
-                                   for t in texts], dtype=float)
-                tails = model.tails(scores)
-                good, expected = tails[:, -1], tails.sum(axis=1)
-                kept = good >= keep_at
+            texts = batch.column("text").to_pylist()
+            scores, good, expected = scored(texts, model, weights)
+            kept = [g is None or g >= keep_at for g in good]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(expected, pa.float64()),
                  pa.array(good, pa.float64()), pa.array(kept, pa.bool_())],

@@ -17,6 +17,7 @@ from .near_dedup import near_dedup
 from .packing import pack
 from .pii import personal_data
 from .quality import grade_of_labels, quality_scores
+from .suffix_dedup import remove_repeats
 from .wordpiece import token_counts
 
 
@@ -25,7 +26,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -37,11 +38,11 @@ def languages_as_domains(docs: DataFrame) -> DataFrame:
 
 def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return mix(docs, languages_as_domains(docs), _vocabulary("byte_bpe_50k.json"))
+    return mix(docs, languages_as_domains(docs), vocabulary("byte_bpe_50k.json"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+    return token_counts(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def op5_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,10 +77,14 @@ def op9_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_soft_mixing, op2_token_counts, op3_ordinal_quality, op4_personal_data,
-        op5_imatch_fingerprints, op6_best_fit_packing, op7_minhash_near_dedup, op8_exact_dedup, op9_byte_gru_language)}
+        op5_imatch_fingerprints, op6_best_fit_packing, op7_minhash_near_dedup, op8_exact_dedup, op9_byte_gru_language, op10_suffix_dedup)}
 
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""
