@@ -9,7 +9,6 @@ is one map over all texts.
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -71,17 +70,26 @@ def shape_features(text: str) -> list[str]:
     return [f"#{k}:{i}" for k, v in shares.items() for i, at in enumerate(LEVELS) if v >= at]
 
 
-@functools.lru_cache(maxsize=200_000)
 def word_slots(word: str) -> tuple[int, ...]:
     """Hashed features of a distinct word: itself and its beginnings."""
     return tuple(slot(f) for f in (word, "^" + word[:4], "^" + word[:5]))
 
 
-def text_slots(text: str | None) -> list[int]:
+class WordSlots(dict):
+    """Hashed features of the words seen so far."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        found = self[word] = word_slots(word)
+        return found
+
+
+def text_slots(text: str | None, memo: dict) -> list[int]:
     """Hashed features of a text: of its distinct words and of its form."""
     text = text or ""
     words = set(WORD.findall(text.lower()))
-    return sorted(i for w in words for i in word_slots(w)) + [slot(f) for f in shape_features(text)]
+    return sorted(i for w in words for i in memo[w]) + [slot(f) for f in shape_features(text)]
 
 
 FORM_SLOTS = [slot(f"#{k}:{i}") for k in ("caps", "lone", "signs", "again", "distinct")
@@ -175,9 +183,10 @@ def graded_sample(docs: DataFrame, grades: DataFrame, limit: int = FIT_ROWS) ->
     texts = columns_of(docs, "doc_id", "text").where("doc_id IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = WordSlots()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), pa.array([text_slots(t) for t in batch.column("text").to_pylist()],
+                [batch.column("grade"), pa.array([text_slots(t, memo) for t in batch.column("text").to_pylist()],
                                                  pa.list_(pa.int32()))], ["grade", "slots"])
     rows = (texts.join(F.broadcast(few), "doc_id").select("grade", "text")
             .mapInArrow(run, "grade int, slots array<int>").collect())
