@@ -24,7 +24,7 @@ from .common import columns_of, received, send, ship, small_batches
 #: Size of the hashed feature space.
 DIM = 1 << 18
 #: Most graded rows used for the fit, chosen by a hash of their ids.
-FIT_ROWS = 12000
+FIT_ROWS = 10000
 #: A feature needs as many graded texts of the sample to get a weight.
 SUPPORT = 8
 #: and a score statistic (in standard deviations) of at least this.
@@ -108,7 +108,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - np.asarray(score)[:, None], -60, 60)))
 
 
-def fit(slots: list[list[int]], grades: list[int], n_grades: int = GRADES, rounds: int = 200,
+def fit(slots: list[np.ndarray], grades: list[int], n_grades: int = GRADES, rounds: int = 200,
         rate: float = 0.05, decay: float = 1e-4, support: int = SUPPORT) -> OrdinalModel:
     """Maximum likelihood with weight decay, by Adam steps over the whole sample.
 
@@ -118,9 +118,9 @@ def fit(slots: list[list[int]], grades: list[int], n_grades: int = GRADES, round
     k = n_grades - 1
     y, n = np.asarray(grades), len(grades)
     lens = np.array([len(s) for s in slots])
-    flat = np.concatenate([np.asarray(s, dtype=np.int64) for s in slots])
-    owner = np.repeat(np.arange(n), lens)
-    seen = np.bincount(np.unique(flat * n + owner) // n, minlength=DIM)
+    flat = np.concatenate([np.asarray(s, dtype=np.int32) for s in slots])
+    owner = np.repeat(np.arange(n, dtype=np.int32), lens)
+    seen = np.bincount(np.concatenate([np.unique(s) for s in slots]), minlength=DIM)
     useful = (seen >= min(support, n / n_grades)) & (screen(flat, owner, y, n_grades) >= SCREEN)
     flat, owner = flat[useful[flat]], owner[useful[flat]]
     used, cols = np.unique(flat, return_inverse=True)
@@ -186,12 +186,13 @@ def graded_sample(docs: DataFrame, grades: DataFrame, limit: int = FIT_ROWS) ->
         memo = WordSlots()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade"), pa.array([text_slots(t, memo) for t in batch.column("text").to_pylist()],
-                                                 pa.list_(pa.int32()))], ["grade", "slots"])
+                [batch.column("grade"),
+                 pa.array([np.array(text_slots(t, memo), np.int32).tobytes()
+                           for t in batch.column("text").to_pylist()], pa.binary())], ["grade", "slots"])
     rows = (texts.join(F.broadcast(few), "doc_id").select("grade", "text")
-            .mapInArrow(run, "grade int, slots array<int>").collect())
-    distinct = sorted({(r.grade, tuple(r.slots)) for r in rows if r.slots})  # copies count once
-    return [list(s) for _, s in distinct], [g for g, _ in distinct]
+            .mapInArrow(run, "grade int, slots binary").collect())
+    distinct = sorted({(r.grade, bytes(r.slots)) for r in rows if r.slots})  # copies count once
+    return [np.frombuffer(s, np.int32) for _, s in distinct], [g for g, _ in distinct]
 
 
 class WordWeights(dict):
