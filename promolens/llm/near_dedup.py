@@ -6,13 +6,14 @@
     of probes.  Bands of ``ROWS`` bins give bucket keys.
 2.  Documents with the same set become one representative.
 3.  In a bucket every member is joined to one centre (star edges), so a bucket
-    of m members gives m - 1 candidate pairs.  Candidates are confirmed on the
+    of m members gives m - 1 candidate pairs.  The centre is the member with the
+    most bucket mates overall, the least changed text of its kind, so that the
+    buckets of one group give the same pairs.  Candidates are confirmed on the
     full shingle sets.  Links become components.
 4.  A star can miss a link between two members that are both unlike the centre.
-    Buckets whose members still lie in several components are therefore
-    compared block by block; the comparison of sketches stays inside the task and
-    gives only pairs of different components whose sketches agree.  These are
-    confirmed like the others.
+    Buckets whose members still lie in several components are therefore compared
+    block by block, on the full sets and inside the task, which gives only the
+    links that join components.
 
 Two sets with similarity s share a bucket with probability
 ``1 - (1 - s**ROWS)**(BINS/ROWS)``: 0.9999999 at 0.8, so only step 1 is
@@ -25,7 +26,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ BANDS = BINS // ROWS
 #: Distinct words whose hashes a worker remembers before it starts anew.
 MEMO_WORDS = 400_000
 #: Members of a bucket that are compared with one another in one task.
-BLOCK = 512
+BLOCK = 2048
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,7 +130,10 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """``id, shingles`` (sorted hashes as bytes) of the documents in ``ids``."""
+    """``id, shingles`` (sorted hashes as bytes) of the documents in ``ids``.
+
+    A merge join at every size: the ids grow with the corpus.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -139,10 +142,16 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 [batch.column("doc_id"),
                  pa.array([shingle_set(t, size, hashes).tobytes() for t in batch.column("text").to_pylist()],
                           pa.binary())], ["id", "shingles"])
-    return docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(
+    return docs.join(ids.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi").mapInArrow(
         run, "id long, shingles binary")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Is the intersection of two sets large enough against their union?"""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
 
@@ -151,9 +160,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             left, right = (batch.column(c).to_pylist() for c in ("sa", "sb"))
             good = []
             for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
+                good.append(similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
     sa, sb = (sets.select(F.col("id").alias(k), F.col("shingles").alias("s" + k)) for k in "ab")
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
@@ -167,19 +174,31 @@ def similar_sizes(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_buckets(reps: DataFrame) -> DataFrame:
-    """``key, id, centre`` of the members of buckets that have several."""
+    """``key, id, size`` of the members of buckets that have several."""
     members = reps.select("id", F.explode("bands").alias("key"))
-    centres = (members.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("size"))
-               .where("size > 1").select("key", "centre"))
-    return members.join(centres, "key")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return members.join(sizes, "key").select("key", "id", "size")
+
 
+def star_pairs(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of each member with the centres of its buckets."""
+    mates = buckets.groupBy("id").agg(F.sum("size").alias("mates"))
+    centres = (buckets.join(mates, "id").groupBy("key")
+               .agg(F.max(F.struct("mates", (-F.col("id")).alias("minus"))).alias("top"))
+               .select("key", (-F.col("top.minus")).alias("centre")))
+    pairs = (buckets.join(centres, "key").where("id != centre")
+             .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
+    return similar_sizes(pairs, reps, percent)
 
-def remaining_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of bucket mates in different components.
+
+def remaining_links(buckets: DataFrame, reps: DataFrame, sets: DataFrame, labels: DataFrame,
+                    percent: int) -> DataFrame:
+    """Links (a, b) between bucket mates in different components.
 
     A bucket is dealt to blocks of ``BLOCK`` members at random and every pair of
-    blocks is one task's work; a pair is given by its first common band only,
-    and only if its sketches share two bands (probability 0.9999974 at 0.8).
+    blocks is one task's work.  A pair is looked at in its first common band only,
+    and only if its sketches share two bands (probability 0.9999974 at 0.8); pairs
+    that the task's own links have joined by then are left out.
     """
     rows = buckets.join(labels, "id").select("key", "id", "component")
     mixed_up = (rows.groupBy("key")
@@ -192,24 +211,54 @@ def remaining_pairs(buckets: DataFrame, reps: DataFrame, labels: DataFrame, perc
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                      "block", "id", "component")
-             .join(reps, "id"))
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        key, i, j = (int(group[c].iloc[0]) for c in ("key", "i", "j"))
-        group = group.sort_values("id")
-        left, right = group[group["block"] == i], group[group["block"] == j]
-        other = np.array(right["bands"].tolist()).reshape(-1, BANDS)
-        ids, sizes, comps = (right[c].to_numpy() for c in ("id", "n", "component"))
+             .join(reps.select("id", "bands").join(sets, "id"), "id"))
+
+    def compare(key: int, i: int, j: int, members: list[dict]) -> list[tuple[int, int]]:
+        members.sort(key=lambda m: m["id"])
+        ids, comps = [m["id"] for m in members], [m["component"] for m in members]
+        bands = np.array([m["bands"] for m in members])
+        full = [np.frombuffer(m["shingles"], np.uint64) for m in members]
+        sizes = np.array([len(f) for f in full])
+        block = np.array([m["block"] for m in members])
+        band = int(np.flatnonzero(bands[0] == key)[0])
+        parent = {c: c for c in comps}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
         found = []
-        for a, n, c, own in zip(left["id"], left["n"], left["component"], left["bands"], strict=True):
-            own = np.asarray(own)
-            same = other == own
-            good = ((comps != c) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
-                    & (same.sum(axis=1) >= 2) & (same.argmax(axis=1) == np.flatnonzero(own == key)[0])
-                    & ((ids > a) if i == j else True))
-            found += [(min(a, b), max(a, b)) for b in ids[good]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+        for x in range(len(ids)):
+            rest = slice(x + 1, len(ids))
+            same = bands[rest] == bands[x]
+            good = ((same.sum(axis=1) >= 2) & (same.argmax(axis=1) == band)
+                    & (100 * np.minimum(sizes[rest], sizes[x]) >= percent * np.maximum(sizes[rest], sizes[x])))
+            if i != j:
+                good &= block[rest] != block[x]
+            for y in np.flatnonzero(good) + x + 1:
+                cx, cy = root(comps[x]), root(comps[y])
+                if cx != cy and similar(full[x], full[y], percent):
+                    parent[cx] = cy
+                    found.append((ids[x], ids[y]))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members, found = None, [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                mine = (row["key"], row["i"], row["j"])
+                if mine != group:
+                    if members:
+                        found += compare(*group, members)
+                    group, members = mine, []
+                members.append(row)
+        if members:
+            found += compare(*group, members)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -220,8 +269,8 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     smallest id reached over links, itself included, and ``kept`` marks it.
     Null, empty and blank texts have no shingle and are linked with nothing.
     Rows with a null id are not linked and stay as they are (``component_id``
-    null, kept).  Repeated rows of one id and text are one document; rows of one
-    id with several texts are linked as that id.  An empty table gives no rows;
+    null, kept).  Repeated rows of one id and text are one document; an id names
+    one text, and of several texts under one id any one is compared.  An empty table gives no rows;
     other columns are ignored.
     """
     small_batches(docs.sparkSession)
@@ -236,23 +285,17 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
             .select("id", F.col("n_shingles").alias("n"), "bands").distinct())
     reps = written(reps)
     buckets = written(shared_buckets(reps))
-    stars = written(similar_sizes(
-        buckets.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(),
-        reps, percent))
+    sets = written(full_sets(base, buckets.select("id").distinct(), size).dropDuplicates(["id"]))
     copies = owners.where(F.col("doc_id") != F.col("id")).select(
         F.col("id").alias("a"), F.col("doc_id").alias("b")).distinct()
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        return confirmed(pairs, full_sets(base, ids, size), percent)
-    links = written(links_of(stars))
+    links = written(confirmed(written(star_pairs(buckets, reps, percent)), sets, percent))
     labels = components(links)
     known_labels = reps.select("id").join(labels, "id", "left").select(
         "id", F.coalesce("component", "id").alias("component"))
-    more = written(remaining_pairs(buckets, reps, known_labels, percent)
-                   .join(stars, ["a", "b"], "left_anti"))
+    more = written(remaining_links(buckets, reps, sets, known_labels, percent))
     if not more.isEmpty():
-        links = links.union(written(links_of(more)))
+        links = links.union(more)
         labels = components(links)
     labels = components(links.union(copies)) if has_several_texts(known) else joined_copies(labels, copies)
     return seen.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
