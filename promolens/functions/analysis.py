@@ -129,9 +129,11 @@ def effective_canonical(canonical, entries) -> Column:
     return provisional_canonical(canonical, first_truthy_webshop(entries))
 
 
-def lookup_code(code_text: Column) -> Column:
-    """``(code or 'unknown').lower()``."""
-    return F.lower(F.when(truthy_text(code_text), code_text).otherwise(F.lit("unknown")))
+def lookup_code(code_text: Column, code_display: Column) -> Column:
+    """Lower-case code for the published-list look-up: a missing key is looked
+    up like it is displayed (``n/a``), a null or empty code as ``unknown``."""
+    missing = code_text.isNull() & (code_display == "N/A")
+    return F.lower(F.when(truthy_text(code_text) | missing, code_display).otherwise(F.lit("unknown")))
 
 
 def load_model_output(raw) -> Column:

@@ -1,9 +1,9 @@
 """First-wins / last-wins / random-survivor de-duplication.
 
-All of them are hash aggregations (``min_by`` over a struct), not keyed
-windows: the partial aggregate runs before the shuffle, so a key that holds a
-third of all rows is reduced to one row per map task before it moves, and
-no task ever has to hold a whole group.
+All of them are aggregations (``min_by`` over a struct, which Spark plans as
+sort aggregates), not keyed windows: the partial aggregate runs before the
+shuffle, so a key that holds a third of all rows is reduced to one row per map
+task before it moves, and no task ever has to hold a whole group.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 Posts arrive as (platform, influencer_name, caption, post_url, post_date,
 ord). Every caption is normalised (F1) and archived; keyword captions (P1)
 also go to the per-platform caption table. The post key is (platform,
-post_url, first 255 characters of the caption); the first post per key (by
+post_url, caption key F2); the first post per key (by
 ``ord``) wins, as with INSERT IGNORE in arrival order.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.text import key_prefix, keyword_match, normalize_caption
 from .dedup import first_per_key
+from .ordering import global_rank
 
 POST_COLUMNS = ("platform", "influencer_name", "caption", "post_url", "post_date", "ord")
 
@@ -25,21 +26,13 @@ def normalise_posts(posts: DataFrame) -> DataFrame:
     return posts.withColumn("caption", normalize_caption("caption"))
 
 
-def keyword_posts_numbered(keyword: DataFrame) -> DataFrame:
-    """P16 + O2: keyword posts newest first with their position."""
-    from .ordering import global_rank
-    return global_rank(keyword, [F.desc("post_date"), "ord"], "item_no")
-
-
 def numbered_posts(posts: DataFrame, scan_for_discount_words: bool = False,
                    keywords: Iterable[str] = rules.CAPTION_KEYWORDS, caption_col: str = "caption",
                    date_col: str = "post_date") -> DataFrame:
     """Posts newest first, numbered ``item_no`` of ``item_total``; with
     ``scan_for_discount_words`` only keyword posts (P1) are listed."""
-    from .ordering import global_rank
     df = posts.where(keyword_match(caption_col, keywords)) if scan_for_discount_words else posts
-    numbered = global_rank(df, [F.desc(date_col), "ord"], "item_no")
-    return numbered.withColumn("item_total", F.lit(numbered.count()).cast("long"))
+    return global_rank(df, [F.desc(date_col), "ord"], "item_no", total="item_total")
 
 
 def split_records(posts: DataFrame, keywords: Iterable[str] = rules.CAPTION_KEYWORDS
@@ -55,10 +48,10 @@ def with_post_key(df: DataFrame) -> DataFrame:
 
 
 def first_per_post(records: DataFrame) -> DataFrame:
-    """First record per (platform, post_url, caption[:255]).
+    """First record per (platform, post_url, caption key).
 
-    A hash aggregate with map-side partial aggregation: re-scrapes of one
-    post (the common hot key) collapse before the shuffle."""
+    An aggregate with map-side partial aggregation: re-scrapes of one post
+    (the common hot key) collapse before the shuffle."""
     keyed = with_post_key(records)
     out = first_per_key(keyed, ["platform", "post_url", "caption_key"], ["ord"])
     return out.select(*POST_COLUMNS)

@@ -4,18 +4,17 @@
 into one task. Here the data is range-partitioned and sorted once, written
 to the shared checkpoint folder (so that partition contents are fixed even
 when tasks are retried), and each row's position is its partition's offset
-(a prefix sum over one count per partition, broadcast) plus its index
-inside the partition.
+(a prefix sum over one count per partition) plus its index inside the
+partition.
 """
 
 from __future__ import annotations
 
 import sys
-
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -32,34 +31,30 @@ def _width(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def sorted_checkpoint(df: DataFrame, order_cols: Sequence[Column | str],
-                      num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort + a per-row sequence id, written once to the
-    shared checkpoint folder (partition contents and ids are then fixed,
-    also when tasks are retried, and nothing stays cached in memory)."""
-    checkpoint_dir(df.sparkSession)
-    n = _width(df, num_partitions)
-    # range partitioning runs its input twice (boundary sampling, then the
-    # shuffle); keep the input only while the sorted copy is written
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = (src.repartitionByRange(n, *order_cols)
-           .sortWithinPartitions(*order_cols)
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .checkpoint(eager=True))
-    src.unpersist()
-    return out
+def _sorted(df: DataFrame, order_cols: Sequence[Column | str], num_partitions: int | None) -> DataFrame:
+    """Range-partitioned and sorted, with a per-row sequence id ``_mid``."""
+    return (df.repartitionByRange(_width(df, num_partitions), *order_cols)
+            .sortWithinPartitions(*order_cols)
+            .withColumn("_mid", F.monotonically_increasing_id()))
 
 
-BROADCAST_MAX_ROWS = 200_000
+def sorted_table(df: DataFrame, order_cols: Sequence[Column | str],
+                 num_partitions: int | None = None) -> DataFrame:
+    """The sorted rows, written once to the shared checkpoint folder as Parquet:
+    ids and partition contents are then fixed, also when tasks are retried, and
+    a count per partition reads the id column alone."""
+    out = _sorted(df, order_cols, num_partitions)
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/sorted-{uuid.uuid4().hex}"
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after checking its row count; above the
-    limit the join is left to the planner (shuffle join)."""
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+def sorted_checkpoint(df: DataFrame, order_cols: Sequence[Column | str],
+                      num_partitions: int | None = None) -> DataFrame:
+    """The sorted rows as a checkpoint that keeps its partitions: a later map
+    reads each sorted partition whole and in order."""
+    checkpoint_dir(df.sparkSession)
+    return _sorted(df, order_cols, num_partitions).checkpoint(eager=True)
 
 
 def _pid() -> Column:
@@ -71,22 +66,22 @@ def _local() -> Column:
 
 
 def global_rank(df: DataFrame, order_cols: Sequence[Column | str], name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
-    """Add a 1-based position in the total order ``order_cols``.
+                num_partitions: int | None = None, total: str | None = None) -> DataFrame:
+    """Add a 1-based position in the total order ``order_cols`` and, if asked
+    for, the number of rows as ``total``.
 
     ``order_cols`` must be unique per row for a deterministic result.
     """
-    s = sorted_checkpoint(df, order_cols, num_partitions).withColumn("_pid", _pid())
+    s = sorted_table(df, order_cols, num_partitions).withColumn("_pid", _pid())
+    # one row per range partition: bounded, so its windows need no partitioning
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a bounded table, so the unpartitioned window and
-    # the broadcast below are safe at any data size
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"))
-    return (join_checked(s, offsets, "_pid")
-            .withColumn(name, F.col("_off") + _local() + F.lit(1))
-            .drop("_pid", "_off", "_mid"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    ranked = s.join(offsets, "_pid").withColumn(name, F.col("_off") + _local() + F.lit(1))
+    if total:
+        ranked = ranked.withColumn(total, F.col("_all"))
+    return ranked.drop("_pid", "_off", "_all", "_mid")
 
 
 def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str], value_col: str,
@@ -94,36 +89,34 @@ def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str],
     """Running sum of ``value_col`` per ``group_col`` in ``order_cols`` order,
     for a small, fixed number of groups (each group may be huge).
 
-    Rows are range-partitioned on (group, order); each partition's per-group
-    sums become offsets (one row per partition and group: bounded), and the
-    running sum inside a partition is a vectorised cumsum over Arrow batches.
+    Rows are range-partitioned on (group, order). The running sum inside a
+    sorted partition is a vectorised cumsum over its Arrow batches; the sums of
+    the partitions before it (one row per partition and group: bounded) are
+    joined to it afterwards, so the join may deal the rows as it likes.
     """
     s = sorted_checkpoint(df, [group_col, *order_cols], num_partitions).withColumn("_pid", _pid())
-    sums = s.groupBy("_pid", group_col).agg(F.sum(value_col).alias("_s"))
-    offsets = sums.select(
-        "_pid", group_col,
-        F.coalesce(F.sum("_s").over(Window.partitionBy(group_col).orderBy("_pid")
-                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)).alias("_off"))
-    joined = join_checked(s, offsets, ["_pid", group_col], "left")
-    out_schema = StructType(list(joined.schema.fields) + [StructField(name, DoubleType())])
+    schema = StructType(list(s.schema.fields) + [StructField("_run", DoubleType())])
 
     def run(batches):
         running: dict = {}
         for pdf in batches:
-            pdf = pdf.sort_values("_mid", kind="stable")
             keys = pdf[group_col].astype(object).where(pdf[group_col].notna(), None)
             out = pd.Series(0.0, index=pdf.index)
-            for key, idx in pdf.groupby(keys, dropna=False, sort=False).groups.items():
-                part = pdf.loc[idx]
-                base = running.get(key, float(part["_off"].iloc[0]))
-                cums = part[value_col].astype(float).cumsum() + base
+            for key, idx in pdf.groupby([pdf["_pid"], keys], dropna=False, sort=False).groups.items():
+                cums = pdf.loc[idx, value_col].astype(float).cumsum() + running.get(key, 0.0)
                 out.loc[idx] = cums
                 running[key] = float(cums.iloc[-1])
-            pdf[name] = out
+            pdf["_run"] = out
             yield pdf
 
-    return (joined.mapInPandas(run, out_schema)
-            .drop("_pid", "_off", "_mid"))
+    sums = s.groupBy("_pid", group_col).agg(F.sum(value_col).alias("_s"))
+    before = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col("_pid").alias("_p"), F.col(group_col).alias("_g"),
+                          F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_off"))
+    local = s.mapInPandas(run, schema)
+    return (local.join(offsets, (F.col("_pid") == F.col("_p")) & F.col(group_col).eqNullSafe(F.col("_g")))
+            .withColumn(name, F.col("_off") + F.col("_run"))
+            .drop("_pid", "_p", "_g", "_off", "_run", "_mid"))
 
 
 def rank_within_group(df: DataFrame, key: str, order_cols: Sequence[Column | str], name: str,

@@ -3,7 +3,7 @@ lines.
 
 The line is parsed once into columns; every rule is a column expression, so
 the whole classification is one projection (one ``CASE WHEN``). The only
-shuffles are: the first-MULTI-per-URL and random-survivor hash aggregates,
+shuffles are: the first-MULTI-per-URL and random-survivor aggregates,
 the first-line-per-brand aggregate, the brand score join, and the final
 range-partitioned sort.
 """
@@ -11,7 +11,9 @@ range-partitioned sort.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,20 +160,19 @@ def repair(kept: DataFrame, r: PublishRules = PublishRules()) -> DataFrame:
     return df.drop("_has3", "_none").withColumn("line", render())
 
 
-def collapse_multi(repaired: DataFrame) -> tuple[DataFrame, DataFrame]:
+def collapse_multi(repaired: DataFrame) -> DataFrame:
     """Among MULTI lines with a URL keep the first per URL; drop the tag.
 
-    One hash aggregate: competing lines group by URL, every other line is
+    One aggregate: competing lines group by URL, every other line is
     its own group (keyed by its ordinal), so no line is filtered out and
     re-unioned. ``min_by`` pre-reduces a URL shared by a third of all lines
-    per map task. Returns (kept, one-row count of competing lines)."""
+    per map task."""
     url = F.regexp_extract("line", URL_PATTERN, 0)
     df = (repaired.withColumn("is_multi", F.col("line").contains(rules.MULTI_TAG))
           .withColumn("_url", F.when(url != "", url)))
     compete = F.col("is_multi") & F.col("_url").isNotNull()
     df = (df.withColumn("_g_url", F.when(compete, F.col("_url")))
           .withColumn("_g_ord", F.when(~compete, F.col("ord"))))
-    competing = df.agg(F.count_if(compete).alias("competing"))
     kept = first_per_key(df, ["_g_url", "_g_ord"], ["ord"]).drop("_g_url", "_g_ord", "_url")
     # remove the first "MULTI__" of the line: in pre, else inner, else rest
     in_pre = F.col("pre").contains(rules.MULTI_TAG)
@@ -184,7 +185,7 @@ def collapse_multi(repaired: DataFrame) -> tuple[DataFrame, DataFrame]:
                         .otherwise(F.col("rest")))
             .drop("_where")
             .withColumn("line", render()))
-    return kept, competing
+    return kept
 
 
 def dedup_brand_code(kept: DataFrame, seed: int) -> DataFrame:
@@ -235,15 +236,15 @@ def publication_order(lines: DataFrame, training: DataFrame | None, seed: int,
         score = F.when(F.col("brand").isin(*r.boosted_brands), boost).otherwise(score)
     # used three times below (sorted, duplicate and new-company lines): the
     # scored lines are written once instead of re-running the score join
+    checkpoint_dir(df.sparkSession)
     df = df.withColumn("score", score).checkpoint(eager=True)
     sortable_cond = F.col("primary") & (F.col("brand") != "") & F.col("score").isNotNull()
     # O3: stable sort by score (ties keep input order)
-    sortable = global_rank(df.where(sortable_cond), ["score", "ord"], "_r")
-    n = sortable.count()
-    half = n // 2
-    first_half = sortable.where(F.col("_r") <= half).select(
+    sortable = global_rank(df.where(sortable_cond), ["score", "ord"], "_r", total="_n")
+    early = F.col("_r") <= F.floor(F.col("_n") / 2)
+    first_half = sortable.where(early).select(
         "ord", "line", F.lit(0).alias("_sec"), F.col("_r").cast("double").alias("_key"))
-    to_mix = (sortable.where(F.col("_r") > half).select("ord", "line", F.lit(0).alias("_list"),
+    to_mix = (sortable.where(~early).select("ord", "line", F.lit(0).alias("_list"),
                                                        F.col("_r").cast("double").alias("_lpos"))
               .unionByName(df.where(~F.col("primary")).select(
                   "ord", "line", F.lit(1).alias("_list"), F.col("ord").cast("double").alias("_lpos"))))
@@ -269,9 +270,19 @@ def finish(lines: DataFrame) -> DataFrame:
 
 @dataclass
 class PublishResult:
+    """The three outputs; sorting and counting happen only when asked for."""
+
     classified: DataFrame
-    published: DataFrame
-    metrics: DataFrame
+    publish_lines: Callable[[], DataFrame]
+    count_lines: Callable[[], DataFrame]
+
+    @cached_property
+    def published(self) -> DataFrame:
+        return self.publish_lines()
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return self.count_lines()
 
 
 def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | None = None,
@@ -282,18 +293,17 @@ def publish(lines: DataFrame, today: dt.date, seed: int, training: DataFrame | N
     # shared checkpoint folder
     checkpoint_dir(lines.sparkSession)
     repaired = repair(classified.where(F.col("reason") == "keep").drop("reason"), r).checkpoint(eager=True)
-    kept, competing = collapse_multi(repaired)
+    kept = collapse_multi(repaired)
     # materialised once: the random pick is then fixed for the sort and for
     # every counter (lineage cut in the shared checkpoint folder)
     survivors = dedup_brand_code(kept, seed).checkpoint(eager=True)
-    if sort:
-        ordered = publication_order(survivors.select("ord", "line"), training, seed, r)
-    else:
-        ordered = global_rank(survivors.select("ord", "line"), ["ord"], "position")
-    published = finish(ordered)
-    metrics = _metrics(classified, repaired, kept, None, survivors, published)
-    return PublishResult(classified, published.select("position", "line", "url_stripped",
-                                                      "date_stripped", "emoji_stripped"), metrics)
+
+    def publish_lines() -> DataFrame:
+        lines = survivors.select("ord", "line")
+        ordered = publication_order(lines, training, seed, r) if sort else global_rank(lines, ["ord"], "position")
+        return finish(ordered).select("position", "line", "url_stripped", "date_stripped", "emoji_stripped")
+    return PublishResult(classified, publish_lines,
+                         lambda: _metrics(classified, repaired, kept, survivors, training))
 
 
 def _stack(one_row: DataFrame) -> DataFrame:
@@ -303,16 +313,22 @@ def _stack(one_row: DataFrame) -> DataFrame:
         for c in one_row.columns])).alias("m")).select("m.*")
 
 
-def _metrics(classified, repaired, kept, competing, survivors, published) -> DataFrame:
-    """One (metric, value) row per counter.
+def _metrics(classified, repaired, kept, survivors, training) -> DataFrame:
+    """One (metric, value) row per counter, also for counters of 0.
+
+    What the last cleaning changes does not depend on the order, so it is
+    counted on the survivors.
 
     Each stage is aggregated once (all its counters in one pass); counters
     that combine two stages are emitted as signed parts and summed per
     metric, so nothing is joined and nothing is collected."""
     has_url = F.col("line").rlike(URL_PATTERN)
-    by_reason = (classified.where(F.col("reason") != "keep").groupBy("reason")
-                 .agg(F.count(F.lit(1)).cast("long").alias("value"))
-                 .select(F.concat(F.lit("dropped_"), F.col("reason")).alias("metric"), "value"))
+    by_reason = _stack(classified.agg(
+        F.count(F.lit(1)).alias("input_lines"),
+        *[F.count_if(F.col("reason") == reason).alias(f"dropped_{reason}") for reason in REASONS[:-1]]))
+    if training is not None:
+        by_reason = by_reason.unionByName(_stack(
+            training.select("source", "file", "batch_no").distinct().agg(F.count(F.lit(1)).alias("training_batches"))))
     rep = _stack(repaired.agg(
         F.count_if("stripped").alias("stripped_old_repost"),
         F.count_if("cleaned").alias("cleaned_new_company"),
@@ -327,7 +343,7 @@ def _metrics(classified, repaired, kept, competing, survivors, published) -> Dat
         # kept lines (+) minus survivors (-)
         F.count(F.lit(1)).alias("record_dups_dropped")))
     surv = _stack(survivors.agg((-F.count(F.lit(1))).alias("record_dups_dropped")))
-    pub = _stack(published.agg(F.count_if("url_stripped").alias("urls_stripped"),
+    pub = _stack(finish(survivors.select("line")).agg(F.count_if("url_stripped").alias("urls_stripped"),
                                F.count_if("date_stripped").alias("prev_dates_stripped"),
                                F.count_if("emoji_stripped").alias("emojis_stripped"),
                                F.count(F.lit(1)).alias("output_lines")))

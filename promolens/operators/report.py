@@ -57,7 +57,7 @@ def report_lines(captions: DataFrame, known: DataFrame, with_urls: bool = True,
         F.lit(", "), F.date_format("inserted_at", "MM-dd"), F.lit('",'))
     keyed = rows.select("platform", "post_url", "inserted_at", "id", "pos", base.alias("base"),
                         F.lower("canonical").alias("canonical_key"),
-                        A.lookup_code(F.col("code")).alias("code_key"))
+                        A.lookup_code(F.col("code"), F.col("code_display")).alias("code_key"))
     # Published list look-up; small in practice, AQE turns this into a broadcast join
     # when its runtime size allows, a sort-merge join otherwise
     flagged = keyed.join(known, ["canonical_key", "code_key"], "left")

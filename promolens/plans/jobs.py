@@ -172,15 +172,18 @@ def backfill_json_tree(spark: SparkSession, root: str, wh: Warehouse,
     return counts
 
 
-def new_rows_per_run(posts: DataFrame) -> DataFrame:
-    """Unique posts first seen in each run and the running total, in
-    run order (``posts`` from ``sources.posts.run_datasets``)."""
-    firsts = ingest.first_per_post(posts.select(*ingest.POST_COLUMNS))
+def new_rows_per_run(posts: DataFrame, runs: DataFrame) -> DataFrame:
+    """Unique normalised posts first seen in each run and the running
+    total, in run order; runs that add nothing have a row too. ``posts`` and
+    ``runs`` as from ``sources.posts.run_datasets`` and ``successful_runs``."""
+    firsts = ingest.first_per_post(ingest.normalise_posts(posts.select(*ingest.POST_COLUMNS)))
     per_run = firsts.groupBy(F.col("ord.file").cast("int").alias("run_rank")).agg(
-        F.count(F.lit(1)).alias("added"))
-    # one row per run (at most the run limit): a bounded running sum
+        F.count(F.lit(1)).alias("found"))
+    added = runs.select("run_rank").join(per_run, "run_rank", "left").select(
+        "run_rank", F.coalesce("found", F.lit(0)).alias("added"))
+    # one row per run: a list of job runs, not of posts
     w = Window.orderBy("run_rank").rowsBetween(Window.unboundedPreceding, 0)
-    return per_run.withColumn("running_unique", F.sum("added").over(w))
+    return added.withColumn("running_unique", F.sum("added").over(w))
 
 
 def daily_run(spark: SparkSession, wh: Warehouse, sources: dict[str, DataFrame], inserted_on: dt.date,

@@ -138,7 +138,7 @@ FROM cap WHERE inserted_at > {_ts(D.REPORT_CUTOFF)} AND post_date > {_ts(D.POST_
 SELECT id, platform, coalesce(caption, '') AS caption, post_url FROM ({_since()}) WHERE analysis_kind = 'none'""",
     "p6_with_analysis": _with(BASE) + f"""
 SELECT row_number() OVER (ORDER BY inserted_at, id) AS item_no, count(*) OVER () AS item_total,
-       id, influencer_name, post_url
+       id, influencer_name, post_url, post_date, caption
 FROM ({_since()}) WHERE analysis_kind <> 'none'""",
     "a1_webshops_to_resolve": _with(BASE, ENTRY_ROWS) + """
 SELECT DISTINCT webshop FROM entry_rows WHERE ai_canonical IS NULL AND webshop IS NOT NULL AND webshop <> ''""",
@@ -192,10 +192,10 @@ posts AS (
          doc_id AS ord
   FROM documents),
 archive AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, post_url, left(caption, 255) ORDER BY ord) rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, post_url, caption ORDER BY ord) rn
                  FROM posts) WHERE rn = 1),
 kw AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, post_url, left(caption, 255) ORDER BY ord) rn
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY platform, post_url, caption ORDER BY ord) rn
                  FROM posts WHERE {_keyword_sql('caption')}) WHERE rn = 1)
 """
 
@@ -212,7 +212,7 @@ FROM (SELECT platform, count(DISTINCT influencer_name) AS users, count(*) AS pos
 LEFT JOIN (SELECT platform, count(*) AS n FROM archive GROUP BY 1) a ON a.platform = p.platform
 LEFT JOIN (SELECT platform, count(*) AS n FROM kw GROUP BY 1) k ON k.platform = p.platform""",
     "a8_raw_vs_unique": _with(POSTS) + """
-SELECT platform, count(*) AS raw, count(DISTINCT (post_url, left(caption, 255))) AS unique_posts
+SELECT platform, count(*) AS raw, count(DISTINCT (post_url, caption)) AS unique_posts
 FROM posts GROUP BY platform""",
 })
 
@@ -329,7 +329,7 @@ hist AS (
 avgpos AS (
   SELECT brand, avg(first_idx) AS avg_pos FROM (
     SELECT batch_no, brand, min(idx) AS first_idx FROM hist
-    WHERE batch_no < 120 AND batch_size >= 20 GROUP BY batch_no, brand) GROUP BY brand),
+    GROUP BY batch_no, brand) GROUP BY brand),
 sb AS (
   SELECT ord, line,
          CASE WHEN regexp_matches(pl, {_Q}) THEN lower(trim(split_part(regexp_extract(pl, {_QI}, 1), ',', 1))) ELSE '' END AS brand
@@ -369,7 +369,10 @@ ORACLE.update({
     "e5_published": _with(BASE, REPORT, PUBLISH) + "\nSELECT position, line FROM pubd3",
     "a6_brand_avg_positions": _with(BASE, PUBLISH) + "\nSELECT brand, round(avg_pos, 6) AS avg_pos FROM avgpos",
     "a7_filter_metrics": _with(BASE, REPORT, PUBLISH) + """
-SELECT 'dropped_' || reason AS metric, CAST(count(*) AS BIGINT) AS value FROM cls WHERE reason <> 'keep' GROUP BY reason
+SELECT 'dropped_' || r AS metric, CAST(count(reason) AS BIGINT) AS value
+FROM (SELECT unnest(['unknown', 'ignored', 'short_code', 'missing_code', 'recent']) AS r) LEFT JOIN cls ON reason = r GROUP BY r
+UNION ALL SELECT 'input_lines', CAST(count(*) AS BIGINT) FROM cls
+UNION ALL SELECT 'training_batches', CAST(count(DISTINCT batch_no) AS BIGINT) FROM hist
 UNION ALL SELECT 'stripped_old_repost', CAST(count_if(stripped) AS BIGINT) FROM r3b
 UNION ALL SELECT 'cleaned_new_company', CAST(count_if(cleaned) AS BIGINT) FROM r3b
 UNION ALL SELECT 'defaulted_discount', CAST(count_if(defaulted) AS BIGINT) FROM r3b
@@ -409,7 +412,7 @@ FROM d_flag""",
     "o6_sample_new_users": _with(DISCOVERY) + f"""
 SELECT username, 'https://www.instagram.com/' || username AS url FROM d_flag WHERE NOT known
 ORDER BY md5('{D.SEED}:' || username), username
-LIMIT greatest(0, 1345 - (SELECT count(*) FROM supplier))""",
+LIMIT (SELECT count(*) // 10 FROM customer)""",
 })
 
 # --------------------------------------------------- name resolution (E3) -
@@ -509,8 +512,8 @@ ORACLE.update({
     "j2_analysis_attach": _with(POSTS) + f"""
 SELECT p.ord AS id, k.ai_analysis, k.ai_analysis IS NOT NULL AS analysed
 FROM posts p LEFT JOIN (
-  SELECT DISTINCT platform, post_url, left(caption, 255) AS ck,
+  SELECT DISTINCT platform, post_url, caption AS ck,
          CASE WHEN {_code_sql('caption')} = 0 THEN '[]' END AS ai_analysis
   FROM posts WHERE {_keyword_sql('caption')}) k
-  ON p.platform = k.platform AND p.post_url = k.post_url AND left(p.caption, 255) = k.ck""",
+  ON p.platform = k.platform AND p.post_url = k.post_url AND p.caption = k.ck""",
 })

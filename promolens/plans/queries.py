@@ -59,7 +59,7 @@ def _captions(spark, sf_dir):
 
 @register("p2_records_for_date")
 def p2_records_for_date(spark, sf_dir):
-    """P2 + P4 + O1: one insert day of one platform, posts after a time."""
+    """P2 + P4: one insert day of one platform, posts after a time."""
     df = filters.records_for_date(_captions(spark, sf_dir), D.ANALYSIS_DAY, D.POST_DATE_AFTER,
                                   platform="instagram_mention")
     return df.select("id", "influencer_name", "post_url", "post_date", "inserted_at", "ai_canonical")
@@ -84,10 +84,9 @@ def p5_not_analysed(spark, sf_dir):
 def p6_with_analysis(spark, sf_dir):
     """Rows with analysis, numbered i of n in insert order."""
     df = filters.with_analysis(filters.records_since(_captions(spark, sf_dir), D.REPORT_CUTOFF))
-    numbered = global_rank(df.select("id", "influencer_name", "inserted_at", "post_url", "ai_analysis"),
-                           ["inserted_at", "id"], "item_no")
-    total = numbered.count()  # one scalar for the "i/n" numbering
-    return numbered.select("item_no", F.lit(total).cast("long").alias("item_total"), "id", "influencer_name", "post_url")
+    numbered = global_rank(df.select("id", "influencer_name", "inserted_at", "post_url", "post_date", "caption"),
+                           ["inserted_at", "id"], "item_no", total="item_total")
+    return numbered.select("item_no", "item_total", "id", "influencer_name", "post_url", "post_date", "caption")
 
 
 @register("a1_webshops_to_resolve")
@@ -150,14 +149,14 @@ def _ingest(spark, sf_dir):
 
 @register("w1_archive_records")
 def w1_archive_records(spark, sf_dir):
-    """E1/K1 + W1, F1, F2, J5: archive rows, first per (platform, url, caption[:255])."""
+    """E1 + W1, F1, F2: archive rows, first per (platform, url, caption)."""
     archive, _ = _ingest(spark, sf_dir)
     return ingest.first_per_post(archive).drop("ord")
 
 
 @register("k2_keyword_records")
 def k2_keyword_records(spark, sf_dir):
-    """E1/K2 + P1, F2, J5: keyword captions, first per post key."""
+    """E1 + P1, F2: keyword captions, first per post key."""
     _, keyword = _ingest(spark, sf_dir)
     return ingest.first_per_post(keyword).drop("ord")
 
@@ -203,7 +202,7 @@ def e5_classify(spark, sf_dir):
 def e5_published(spark, sf_dir):
     """E5: repaired (F7, F9, F15), collapsed (W6), de-duplicated (W7),
     ordered (O3, O4, W8, W9, W10, J8, F18, F11) and cleaned (P13, F10, F12, F13,
-    F14) lines; history batches via S18, W12, O7, P15, U3, A6."""
+    F14) lines; history batches via O7, P15, A6."""
     return _publish(spark, sf_dir).published.select("position", "line")
 
 
@@ -215,7 +214,7 @@ def a7_filter_metrics(spark, sf_dir):
 
 @register("a6_brand_avg_positions")
 def a6_brand_avg_positions(spark, sf_dir):
-    """A6 (S18, W12, O7, P15, U3): average first position of each brand in
+    """A6 (O7, P15): average first position of each brand in
     the history batches."""
     training = disc.training_brands(None, D.history_batches(spark, sf_dir))
     return publish.brand_avg_positions(training).select("brand", F.round("avg_pos", 6).alias("avg_pos"))
@@ -253,10 +252,11 @@ def a5_discovery_summary(spark, sf_dir):
 
 @register("o6_sample_new_users")
 def o6_sample_new_users(spark, sf_dir):
-    """Seeded sample of new users, sized by the seed-list rule
-    (existing lines = supplier rows)."""
+    """Seeded sample of new users, sized by the seed-list rule:
+    existing lines = supplier rows, and room for a tenth of the customers."""
     existing = D.table(spark, sf_dir, "supplier").count()
-    return discovery.sample_new_users(_discovery(spark, sf_dir), 1345, existing, D.SEED)
+    room = D.table(spark, sf_dir, "customer").count() // 10
+    return discovery.sample_new_users(_discovery(spark, sf_dir), existing + room, existing, D.SEED)
 
 
 # ------------------------------------------------ name resolution (E3) ---
@@ -328,9 +328,8 @@ def a9_posts_per_user(spark, sf_dir):
 def p16_keyword_scan(spark, sf_dir):
     """P16 + O2: keyword posts newest first, numbered i of n."""
     _, keyword = _ingest(spark, sf_dir)
-    numbered = ingest.keyword_posts_numbered(keyword.select("influencer_name", "post_url", "post_date", "ord"))
-    total = numbered.count()
-    return numbered.select("item_no", F.lit(total).cast("long").alias("item_total"), "influencer_name", "post_url", "ord")
+    numbered = ingest.numbered_posts(keyword.select("influencer_name", "post_url", "post_date", "ord"))
+    return numbered.select("item_no", "item_total", "influencer_name", "post_url", "ord")
 
 
 @register("f23_prompts")
@@ -346,7 +345,7 @@ def f23_prompts(spark, sf_dir):
 def j2_analysis_attach(spark, sf_dir):
     """E2 (P5, X1, X2, F17, J2/K3): the rule extractor runs on the keyword
     captions; each result is set on every caption-table row with the same
-    (platform, url, caption[:255])."""
+    (platform, url, caption)."""
     # the table and the updates both come from the normalised posts:
     # normalise once (the NFKD step is the Python part)
     checkpoint_dir(spark)

@@ -47,8 +47,9 @@ REVIEW_HIGH = "REVIEW_HIGH__"
 MULTI_TAG = "MULTI__"
 IGNORED_BRANDS = ("hellofresh.nl", "aybl", "esn", "gymshark", "achateshop.com")
 BRAND_MIN_CODE_LENGTH = {"shein": 6}
-ARCHIVE_BATCH_LIMIT = 120
-MIN_TRAINING_BATCH_SIZE = 20
+# Limits of the training history; none by default (callers may pass some).
+ARCHIVE_BATCH_LIMIT = None
+MIN_TRAINING_BATCH_SIZE = 0
 BOOSTED_BRANDS = (
     "temu",
     "bylashbabe",
@@ -70,7 +71,7 @@ PREV_SEEN_DATE_PATTERN = r"\.{10}(\d{2})-(\d{2})"
 QUOTED_FIELDS_PATTERN = r'"([^"]*)"'
 DISCOUNT_VALUE_PATTERN = r"^€?(\d+(?:\.\d+)?)%?$"
 # Emoji code point ranges removed from published lines.
-EMOJI_RANGES = ("1F000-1FFFF", "2600-27BF", "FE00-FE0F", "200D")
+EMOJI_PATTERN = r"[\x{1F000}-\x{1FFFF}\x{2600}-\x{27BF}\x{FE00}-\x{FE0F}\x{200D}]+"
 # Keys in a TypeScript object literal: quoted text followed by a colon.
 SOURCE_KEY_PATTERN = r"""["']([^"']+)["']\s*:"""
 
@@ -94,4 +95,5 @@ PROFILE_URL_PREFIX = "https://www.instagram.com/"
 # --- fixed values: platforms ---
 PLATFORMS = ("instagram", "tiktok")
 TIKTOK_SUFFIX = "_tiktok"
-KEY_PREFIX_CHARS = 255
+# Characters of a caption that count for the post key; None: all of them.
+KEY_PREFIX_CHARS = None

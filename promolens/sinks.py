@@ -1,9 +1,7 @@
 """Sinks (K1-K7).
 
 Tables are Parquet folders partitioned by ``platform``. Inserts are
-"insert-ignore" appends: an anti-join against the table's keys (the join
-key contains the partition column, so dynamic partition pruning limits the
-scan to the platforms of the batch). Updates (K3, K4) write a new version
+"insert-ignore" appends: an anti-join against the key columns of the table. Updates (K3, K4) write a new version
 of the table to a new path; a path is never overwritten while it is read.
 """
 
@@ -70,7 +68,7 @@ def insert_captions(spark: SparkSession, records: DataFrame, table_path: str,
 
 def apply_analysis(table: DataFrame, updates: DataFrame, now: dt.datetime) -> DataFrame:
     """K3 + J2: set ``ai_analysis`` and ``ai_analysis_time`` on every row
-    with the update's ``post_url`` and 255-character caption prefix (a NULL
+    with the update's ``post_url`` and caption key (F2; a NULL
     caption never matches). ``updates`` = (platform, post_url, caption,
     ai_analysis, ord); the last update per key wins."""
     keyed = updates.withColumn("caption_key", key_prefix("caption"))
@@ -97,14 +95,10 @@ def write_version(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").partitionBy("platform").parquet(path)
 
 
-def write_lines(lines: DataFrame, path: str, order_col: str = "position", single_file: bool = False) -> None:
-    """K5: text lines in order. By default range-partitioned sorted part
-    files (read back in name order they give the full order); a single file
-    only when asked for."""
-    ordered = lines.orderBy(order_col).select(F.col("line").alias("value"))
-    if single_file:
-        ordered = ordered.coalesce(1)
-    ordered.write.mode("overwrite").text(path)
+def write_lines(lines: DataFrame, path: str, order_col: str = "position") -> None:
+    """K5: text lines in order, as range-partitioned sorted part files (read
+    back in name order they give the full order)."""
+    lines.orderBy(order_col).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
 
 
 def append_seed_urls(urls: DataFrame, seed_path: str, log_path: str) -> None:

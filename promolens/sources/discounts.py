@@ -22,7 +22,7 @@ def read_json_string_array(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = (spark.read.text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file"), "value"))
-    arr = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
+    arr = F.from_json("value", "array<variant>")
     return (raw.select("file", F.posexplode(arr).alias("pos", "v"))
             .select(F.struct("file", "pos").alias("ord"),
                     F.when(F.schema_of_variant("v") == "STRING",
@@ -107,20 +107,23 @@ def batches_from_lines(lines: DataFrame, bracket_rules: bool = False) -> DataFra
 
 
 def training_brands(discount_batches: DataFrame | None, archive_batches: DataFrame | None,
-                    archive_limit: int = rules.ARCHIVE_BATCH_LIMIT,
+                    archive_limit: int | None = rules.ARCHIVE_BATCH_LIMIT,
                     min_size: int = rules.MIN_TRAINING_BATCH_SIZE) -> DataFrame:
     """O7 + P15 + U3: (source, batch_no, pos, brand) of the history batches:
-    the published list without its newest batch, plus the first
-    ``archive_limit`` archive batches, keeping batches of ``min_size`` or
+    the published list without its newest batch, plus the archive batches
+    (the first ``archive_limit`` if given), keeping batches of ``min_size`` or
     more lines. Brand = F3 of the line."""
     parts = []
     if discount_batches is not None:
         parts.append(discount_batches.where(F.col("batch_no") >= 1).withColumn("source", F.lit(0)))
     if archive_batches is not None:
-        parts.append(archive_batches.where(F.col("batch_no") < archive_limit).withColumn("source", F.lit(1)))
+        some = archive_batches if archive_limit is None else archive_batches.where(F.col("batch_no") < archive_limit)
+        parts.append(some.withColumn("source", F.lit(1)))
     df = parts[0]
     for p in parts[1:]:
         df = df.unionByName(p)
     df = df.select("source", "file", "batch_no", "pos", company_of_record("line").alias("brand"))
+    if min_size <= 1:
+        return df
     sizes = df.groupBy("source", "file", "batch_no").agg(F.count(F.lit(1)).alias("_n"))
     return (df.join(sizes.where(F.col("_n") >= min_size), ["source", "file", "batch_no"], "left_semi"))

@@ -50,22 +50,36 @@ def read_json_records(spark: SparkSession, path: str, recursive: bool = False,
     return records_from_text(raw, exclude)
 
 
+def json_list(c) -> Column:
+    """Elements of a JSON list of any length; NULL for other texts.
+
+    Each element is its own VARIANT: one VARIANT for the whole text could not
+    hold more than 128 MiB."""
+    return F.from_json(c, "array<variant>")
+
+
 def records_from_text(raw: DataFrame, exclude: str | None = None) -> DataFrame:
     """(file, value) whole-file texts -> (file, pos, rec) object elements."""
     if exclude:
         raw = raw.where(~F.col("file").contains(exclude))
-    arr = F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")
-    return (raw.select("file", F.posexplode(arr).alias("pos", "rec"))
+    return (raw.select("file", F.posexplode(json_list("value")).alias("pos", "rec"))
             .where(is_object(F.col("rec"))))
 
 
+def unreadable(raw: DataFrame) -> DataFrame:
+    """``file`` of the non-empty texts that are not a JSON list (reject output)."""
+    return raw.where((py_strip("value") != "") & json_list("value").isNull()).select("file")
+
+
 def posts_by_platform(recs: DataFrame) -> DataFrame:
     """S7 extraction over records: platform from the path, then each
     platform's extractor."""
     recs = recs.withColumn("platform", platform_of_path(F.col("file")))
-    insta = extract_instagram(recs.where(F.col("platform") == "instagram")).withColumn("platform", F.lit("instagram"))
-    tik = extract_tiktok(recs.where(F.col("platform") == "tiktok")).withColumn("platform", F.lit("tiktok"))
-    return insta.unionByName(tik)
+    tiktok = F.col("platform") == "tiktok"
+    found = F.when(tiktok, F.when(tiktok_complete(), F.array(tiktok_post()))
+                   ).otherwise(instagram_posts_of())
+    return explode_posts(recs, found).select(
+        "influencer_name", "caption", "post_url", "post_date", "ord", "platform")
 
 
 def _ord(*cols) -> Column:
@@ -155,43 +169,61 @@ def hashtag_posts(records: DataFrame) -> DataFrame:
 
 # ------------------------------------------- S5/S6 generic extractors -----
 
-def extract_instagram(records: DataFrame) -> DataFrame:
-    """Profile records with a non-empty ``latestPosts`` list give their
-    posts that have a truthy url (owner = post owner or profile username);
-    other records count as a post when they have a truthy url and a
-    ``caption`` key."""
+def _post(name: Column, caption: Column, url: Column, date: Column) -> Column:
+    return F.struct(name.alias("influencer_name"), caption.alias("caption"), url.alias("post_url"),
+                    date.alias("post_date"))
+
+
+def instagram_posts_of() -> Column:
+    """S5 as an array of posts of ``rec`` (NULL entries are no posts).
+
+    Profile records with a non-empty ``latestPosts`` list give their posts
+    that have a truthy url (owner = post owner or profile username); other
+    records count as a post when they have a truthy url and a ``caption`` key."""
     rec = F.col("rec")
-    lp = F.try_variant_get(rec, "$.latestPosts", "array<variant>")
-    has_posts = F.coalesce(F.size(lp) > 0, F.lit(False))
-    item_user = _get(rec, "username")
-    from_list = (records.where(has_posts)
-                 .select("file", "pos", item_user.alias("item_user"), F.posexplode(lp).alias("i", "post"))
-                 .where(is_object(F.col("post")) & _truthy(_get(F.col("post"), "url")))
-                 .select(F.coalesce(F.when(_truthy(_get(F.col("post"), "ownerUsername")),
-                                           _get(F.col("post"), "ownerUsername")),
-                                    F.when(_truthy(F.col("item_user")), F.col("item_user"))).alias("influencer_name"),
-                         _get(F.col("post"), "caption").alias("caption"),
-                         _get(F.col("post"), "url").alias("post_url"),
-                         _get(F.col("post"), "timestamp").alias("post_date"),
-                         _ord("file", "pos", "i")))
-    single = (records.where(~has_posts & _truthy(_get(rec, "url")) & _has(rec, "caption"))
-              .select(F.coalesce(F.when(_truthy(_get(rec, "ownerUsername")), _get(rec, "ownerUsername")),
-                                 F.when(_truthy(item_user), item_user)).alias("influencer_name"),
-                      _get(rec, "caption").alias("caption"), _get(rec, "url").alias("post_url"),
-                      _get(rec, "timestamp").alias("post_date"),
-                      _ord("file", "pos", F.lit(0).alias("i"))))
-    return from_list.unionByName(single)
+    item_user = F.when(_truthy(_get(rec, "username")), _get(rec, "username"))
+
+    def owner(p: Column) -> Column:
+        name = _get(p, "ownerUsername")
+        return F.coalesce(F.when(_truthy(name), name), item_user)
+
+    def as_post(p: Column) -> Column:
+        return _post(owner(p), _get(p, "caption"), _get(p, "url"), _get(p, "timestamp"))
+    latest = F.try_variant_get(rec, "$.latestPosts", "array<variant>")
+    listed = F.transform(latest, lambda p: F.when(is_object(p) & _truthy(_get(p, "url")), as_post(p)))
+    single = F.when(_truthy(_get(rec, "url")) & _has(rec, "caption"), F.array(as_post(rec)))
+    return F.when(F.coalesce(F.size(latest) > 0, F.lit(False)), listed).otherwise(single)
+
+
+def tiktok_complete() -> Column:
+    rec = F.col("rec")
+    return _has(rec, "text") & _has(rec, "createTimeISO") & _has(rec, "webVideoUrl")
+
+
+def tiktok_post() -> Column:
+    rec = F.col("rec")
+    return _post(_get(rec, "authorMeta.name"), _get(rec, "text"), _get(rec, "webVideoUrl"),
+                 _get(rec, "createTimeISO"))
+
+
+def explode_posts(records: DataFrame, found: Column) -> DataFrame:
+    """One row per post of ``found``, with ``ord``: one scan and one parse of
+    the records whatever their kinds."""
+    return (records.select("*", F.posexplode(found).alias("i", "p")).where(F.col("p").isNotNull())
+            .select("*", "p.*", _ord("file", "pos", "i")).drop("p", "i"))
+
+
+def extract_instagram(records: DataFrame) -> DataFrame:
+    """Posts of profile records and single posts."""
+    return explode_posts(records, instagram_posts_of()).select(
+        "influencer_name", "caption", "post_url", "post_date", "ord")
 
 
 def extract_tiktok(records: DataFrame) -> DataFrame:
     """Records with text, createTimeISO and webVideoUrl; the author may
     be missing (name NULL, row kept)."""
-    rec = F.col("rec")
-    complete = _has(rec, "text") & _has(rec, "createTimeISO") & _has(rec, "webVideoUrl")
-    return records.where(complete).select(
-        _get(rec, "authorMeta.name").alias("influencer_name"), _get(rec, "text").alias("caption"),
-        _get(rec, "webVideoUrl").alias("post_url"), _get(rec, "createTimeISO").alias("post_date"),
-        _ord("file", "pos", F.lit(0).alias("i")))
+    return explode_posts(records, F.when(tiktok_complete(), F.array(tiktok_post()))).select(
+        "influencer_name", "caption", "post_url", "post_date", "ord")
 
 
 # ----------------------------------------------- S7/S8/S9 backfills -------
@@ -221,11 +253,10 @@ def archived_mentions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFr
     return posts, counts
 
 
-def successful_runs(runs: DataFrame, max_runs: int = 1000) -> DataFrame:
-    """The newest ``max_runs`` runs (the limit applies before the status
-    filter), then SUCCEEDED runs with a dataset id, with ``run_rank``
-    (1 = newest)."""
-    newest = runs.orderBy(F.desc("startedAt"), "run_id").limit(max_runs)
+def successful_runs(runs: DataFrame, max_runs: int | None = None) -> DataFrame:
+    """SUCCEEDED runs with a dataset id, with ``run_rank`` (1 = newest).
+    With ``max_runs`` only the newest runs count, before the status filter."""
+    newest = runs if max_runs is None else runs.orderBy(F.desc("startedAt"), "run_id").limit(max_runs)
     ok = newest.where((F.col("status") == "SUCCEEDED") & _truthy(F.col("defaultDatasetId")))
     return ok.withColumn("run_rank", F.row_number().over(Window.orderBy(F.desc("startedAt"), "run_id")))
 
@@ -257,7 +288,7 @@ def sectioned_list(spark: SparkSession, path: str, size: str) -> DataFrame:
     """S11 + W11: names under the header ``<size>:`` (case-insensitive) up
     to the next line ending in ``:``."""
     if size not in ("small", "big"):
-        raise ValueError("size must be either 'small' or 'big'")
+        raise ValueError(f"no section {size!r}: choose small or big")
     lines = seed_list(spark, path)
     header = F.when(F.col("value").endswith(":"), F.lower("value"))
     w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)

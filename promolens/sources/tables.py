@@ -25,8 +25,8 @@ ARCHIVE_SCHEMA = StructType([
     StructField("caption", StringType()),
     StructField("post_url", StringType()),
     StructField("post_date", TimestampType()),
-    # first 255 characters of the caption, stored so that insert-ignore
-    # checks read two narrow key columns instead of every full caption
+    # caption part of the post key (F2), stored so that insert-ignore checks
+    # read two narrow key columns instead of every full caption
     StructField("caption_key", StringType()),
     StructField("platform", StringType()),
 ])
@@ -34,12 +34,23 @@ ARCHIVE_SCHEMA = StructType([
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet table partitioned by ``platform`` (empty when absent)."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as exc:  # no table written yet
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder, in whatever file system the path names?"""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds (none when it is absent)."""
+    if not path_exists(spark, path):
+        return []
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
 
 
 def caption_table(spark: SparkSession, path: str) -> DataFrame:
