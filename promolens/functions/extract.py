@@ -7,12 +7,17 @@ amount, trailing digits of the code are used (``SUMMER20`` -> 20); no code
 found -> ``[]``. Equal in contract, not in the model's judgement.
 
 Rules (all regular expressions, evaluated by the JVM):
-* code: a token of 3+ letters/digits/``_-`` after a cue word (``code``,
-  ``kode``, ``coupon`` and compounds such as ``kortingscode``), optionally
-  after ``:``/``=`` and a quote; it must contain a digit or be upper case;
-* webshop: the first ``@handle`` of the caption, else NULL;
-* percentage: the first ``N%``, else the first ``€N``, else the code's
-  trailing digits, else NULL.
+* the caption is split where a cue begins; every part but the first starts
+  with its cue and may hold one code;
+* code: a token of 3+ letters/digits/``_-`` after the cue (``code``, ``kode``,
+  ``coupon``, compounds such as ``kortingscode``, or ``korting met`` and the
+  like), optionally after a filling word, ``:``/``=`` and a quote; it must
+  contain a digit or be upper case; the first mention of a code counts;
+* webshop and amount: a caption either names them before its codes (its first
+  part then holds one) or after them. Accordingly the last one of the part
+  before, or the first one of the code's own part, is taken, and the other
+  side where that has none;
+* percentage: ``N%`` or ``€N``, else the code's trailing digits, else NULL.
 """
 
 from __future__ import annotations
@@ -23,35 +28,52 @@ from pyspark.sql import functions as F
 from .text import _col
 
 # --- fixed values: cue words and patterns of the rule-based extractor ---
-CODE_PATTERN = (r"(?i)(?:code|kode|coupon)\s*[:=]?\s*[\"'“”‘’]?"
-                r"([A-Za-z0-9][A-Za-z0-9_\-]{2,})")
-HANDLE_PATTERN = r"@([A-Za-z0-9._]+)"
-PERCENT_PATTERN = r"(\d{1,3})\s?%"
-EURO_PATTERN = r"€\s?(\d+(?:[.,]\d+)?)"
-TRAILING_DIGITS = r"(\d+)$"
+CUE = r"(?:code|kode|coupon|korting\s+met|discount\s+with|rabatt\s+mit)"
+CODE_PATTERN = r"(?i)" + CUE + r"(?:\s+(?:is|ist|est|es|met|mit|with|avec)\b)?" + (
+    r"\s*[:=]?\s*[\"'“”‘’]?([A-Za-z0-9][A-Za-z0-9_\-]{2,})")
+HANDLE = r"@([A-Za-z0-9._]*[A-Za-z0-9_])"
+AMOUNT = r"([0-9]+\s?%|€\s?[0-9]+(?:[.,][0-9]+)?)"
+TRAILING_DIGITS = r"([0-9]+)$"
+
+
+def _first(part: Column, pattern: str) -> Column:
+    found = F.regexp_extract(part, pattern, 1)
+    return F.when(found != "", found)
+
+
+def _last(part: Column, pattern: str) -> Column:
+    return F.get(F.reverse(F.regexp_extract_all(part, F.lit(pattern), F.lit(1))), 0)
+
+
+def _amount_json(amount: Column, code: Column) -> Column:
+    """JSON text of the percentage."""
+    digits = F.regexp_replace(F.coalesce(F.when(amount.endswith("%"), amount), _first(code, TRAILING_DIGITS)),
+                              r"[\s%]|^0+(?=[0-9])", "")
+    euro = F.concat(F.lit('"€'), F.regexp_replace(amount, r"[€\s]", ""), F.lit('"'))
+    return F.when(amount.startswith("€"), euro).otherwise(F.coalesce(digits, F.lit("null")))
 
 
 def extract_entries(caption) -> Column:
     """``array<struct<webshop string, code string, percentage variant>>``."""
     text = F.coalesce(_col(caption), F.lit(""))
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(CODE_PATTERN), 1))
-    codes = F.filter(codes, lambda c: c.rlike("[0-9]") | (c == F.upper(c)))
-    shop = F.regexp_extract(text, HANDLE_PATTERN, 1)
-    shop = F.when(shop != "", shop)
-    pct = F.regexp_extract(text, PERCENT_PATTERN, 1)
-    euro = F.regexp_extract(text, EURO_PATTERN, 1)
-
-    def value(c: Column) -> Column:
-        tail = F.regexp_extract(c, TRAILING_DIGITS, 1)
-        # the euro amount holds only digits and a separator: no escaping needed
-        json_text = (F.when(pct != "", F.regexp_replace(pct, "^0+(?=\\d)", ""))
-                     .when(euro != "", F.concat(F.lit('"€'), euro, F.lit('"')))
-                     .when(tail != "", F.regexp_replace(tail, "^0+(?=\\d)", ""))
-                     .otherwise(F.lit("null")))
-        return F.parse_json(json_text)
-
-    return F.transform(codes, lambda c: F.struct(shop.alias("webshop"), c.alias("code"),
-                                                  value(c).alias("percentage")))
+    parts = F.split(text, f"(?i)(?={CUE})")
+    head = F.get(parts, 0)
+    # a caption that opens with its cue has an empty first part
+    shop_before, amount_before = head.rlike(HANDLE), head.rlike(AMOUNT)
+
+    def near(own: Column, i: Column, pattern: str, before_style: Column) -> Column:
+        own_one, earlier = _first(own, pattern), _last(F.get(parts, i - 1), pattern)
+        return F.when(before_style, F.coalesce(earlier, own_one)).otherwise(F.coalesce(own_one, earlier))
+    raw = F.transform(parts, lambda s, i: F.struct(
+        F.regexp_extract(s, "^" + CODE_PATTERN, 1).alias("code"),
+        near(s, i, HANDLE, shop_before).alias("webshop"),
+        near(s, i, AMOUNT, amount_before).alias("amount")))
+    good = F.filter(raw, lambda e: (e["code"] != "") & (e["code"].rlike("[0-9]") | (e["code"] == F.upper(e["code"]))))
+    codes = F.transform(good, lambda e: e["code"])
+    first = F.filter(good, lambda e, i: F.array_position(codes, e["code"]) == i + 1)
+    return F.transform(first, lambda e: F.struct(
+        e["webshop"].alias("webshop"), e["code"].alias("code"),
+        F.parse_json(_amount_json(e["amount"], e["code"])).alias("percentage")))
 
 
 def extract_analysis_json(caption) -> Column:
