@@ -9,10 +9,10 @@ on as they are; repeated rows of one id leave exact dedup once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from promolens.llm.common import written
+from promolens.llm.common import with_plain_names, written
 from promolens.llm.exact_dedup import exact_dedup
 from promolens.llm.mixing import mix, times_used
 from promolens.llm.near_dedup import near_dedup
@@ -22,10 +22,18 @@ from promolens.llm.queries import graded, languages_as_domains, vocabulary
 from promolens.session import configure
 
 
+def named(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """The rows under plain names (no extra column can clash), their id and text."""
+    place = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return with_plain_names(docs), F.col(place["doc_id"]), F.col(place["text"])
+
+
 def staying(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The rows whose id the verdict keeps, and those without an id."""
-    ids = verdict.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(ids, "doc_id", "left_semi").select(docs.columns).union(docs.where("doc_id IS NULL"))
+    plain, doc_id, _ = named(docs)
+    ids = verdict.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct()
+    return plain.join(ids, doc_id == F.col("kept_id"), "left_semi").union(
+        plain.where(doc_id.isNull())).toDF(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +48,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdict = written(exact_dedup(docs))
     out = staying(docs, verdict)
     repeated = verdict.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    return out if repeated.isEmpty() else out.where("doc_id IS NULL").union(
-        out.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]))
+    if repeated.isEmpty():
+        return out
+    plain, doc_id, text = named(out)
+    once = plain.where(doc_id.isNotNull()).withColumn("key_id", doc_id).withColumn("key_text", text).dropDuplicates(
+        ["key_id", "key_text"]).drop("key_id", "key_text")
+    return plain.where(doc_id.isNull()).union(once).toDF(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +67,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     configure(spark)
     rates = mix(docs, languages_as_domains(docs), vocabulary("byte_bpe_50k.json"), least=1.0)
     uses = (rates.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("rate").alias("rate"))
-            .select("doc_id", times_used(F.col("rate"), F.col("doc_id")).alias("uses")))
-    used = docs.join(uses, "doc_id").withColumn("uses", F.explode(F.sequence(F.lit(1), F.col("uses"))))
-    return used.select(docs.columns).union(docs.where("doc_id IS NULL"))
+            .select(F.col("doc_id").alias("used_id"), times_used(F.col("rate"), F.col("doc_id")).alias("uses")))
+    plain, doc_id, _ = named(docs)
+    used = plain.join(uses, doc_id == F.col("used_id")).withColumn(
+        "uses", F.explode(F.sequence(F.lit(1), F.col("uses"))))
+    return used.select(plain.columns).union(plain.where(doc_id.isNull())).toDF(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,11 @@ BATCH_ROWS, BATCH_BYTES = 500, 16 << 20
 BLANKS = r"[\x20\x09-\x0D]"
 
 
+def with_plain_names(df: DataFrame) -> DataFrame:
+    """The same columns named ``c0, c1, ...``, so that no names clash."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def columns_of(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, found by exact name.
 
@@ -27,7 +32,7 @@ def columns_of(df: DataFrame, *names: str) -> DataFrame:
     dots, never clash with what an operator adds.
     """
     found = df.columns
-    plain = df.toDF(*[f"c{i}" for i in range(len(found))])
+    plain = with_plain_names(df)
     return plain.select(*[F.col(f"c{found.index(n)}").alias(n) for n in names])
 
 

@@ -103,7 +103,7 @@ def fit(slots: list[np.ndarray], labels: list[str], rounds: int = 150, rate: flo
         s = np.stack([np.bincount(owner, weights=w[cols, j], minlength=n) for j in range(k)], axis=1)
         d = (softmax(prior + s * scale[:, None]) - hot) * scale[:, None] / n
         g = np.stack([np.bincount(cols, weights=d[owner, j], minlength=len(used)) for j in range(k)], axis=1)
-        g += 1e-7 * w
+        g = g + 1e-7 * w
         first += 0.1 * (g - first)
         second += 0.01 * (g * g - second)
         w -= rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-10)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, received, send, ship, small_batches
+from .common import columns_of, received, send, ship, small_batches, with_plain_names
 
 #: Size of the hashed feature space.
 DIM = 1 << 18
@@ -243,7 +243,8 @@ def good_documents(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
         for batch in batches:
             _, good, _ = scored(batch.column(place).to_pylist(), model, weights)
             yield batch.filter(pa.array([g is None or bool(g >= keep_at) for g in good], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    plain = with_plain_names(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def quality_scores(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,

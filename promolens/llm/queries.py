@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from promolens.session import configure
 
+from .common import columns_of
 from .exact_dedup import exact_dedup
 from .imatch import fingerprints
 from .langid import languages
@@ -33,7 +34,7 @@ def vocabulary(name: str) -> str:
 
 
 def languages_as_domains(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", docs["lang"].alias("domain"))
+    return columns_of(docs, "doc_id", "lang").withColumnRenamed("lang", "domain")
 
 
 def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
