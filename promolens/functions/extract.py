@@ -14,7 +14,7 @@ Rules (all regular expressions, evaluated by the JVM):
   like), optionally after a filling word, ``:``/``=`` and a quote; it must
   contain a digit or be upper case; the first mention of a code counts;
 * webshop and amount: a caption either names them before its codes (its first
-  part then holds one) or after them. Accordingly the last one of the part
+  part then holds one) or after them. Accordingly the last one of the text
   before, or the first one of the code's own part, is taken, and the other
   side where that has none;
 * percentage: ``N%`` or ``€N``, else the code's trailing digits, else NULL.
@@ -57,12 +57,12 @@ def extract_entries(caption) -> Column:
     """``array<struct<webshop string, code string, percentage variant>>``."""
     text = F.coalesce(_col(caption), F.lit(""))
     parts = F.split(text, f"(?i)(?={CUE})")
-    head = F.get(parts, 0)
-    # a caption that opens with its cue has an empty first part
+    # a caption that opens with its cue has nothing before its codes
+    head = F.when(text.rlike(f"(?i)^{CUE}"), F.lit("")).otherwise(F.get(parts, 0))
     shop_before, amount_before = head.rlike(HANDLE), head.rlike(AMOUNT)
 
     def near(own: Column, i: Column, pattern: str, before_style: Column) -> Column:
-        own_one, earlier = _first(own, pattern), _last(F.get(parts, i - 1), pattern)
+        own_one, earlier = _first(own, pattern), _last(F.array_join(F.slice(parts, 1, i), ""), pattern)
         return F.when(before_style, F.coalesce(earlier, own_one)).otherwise(F.coalesce(own_one, earlier))
     raw = F.transform(parts, lambda s, i: F.struct(
         F.regexp_extract(s, "^" + CODE_PATTERN, 1).alias("code"),

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from ..functions import analysis as A
 from .dedup import first_per_key
 from ..session import checkpoint_dir
-from .ordering import global_rank
 
 MIN_PREFIX = 4
 UNKNOWN = "UNKNOWN"
@@ -47,12 +46,16 @@ def _prefixes(col: str) -> Column:
 
 
 def _numbered_bigrams(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, gram) with grams numbered by occurrence (multiset semantics)."""
+    """(id, text, gram) with grams numbered by occurrence (multiset semantics),
+    counted inside the string's own array."""
     t = F.col(text_col)
-    grams = df.select(id_col, text_col, F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substr(t, i, F.lit(2)))).alias("pos", "g"))
-    occ = F.row_number().over(Window.partitionBy(id_col, "g").orderBy("pos"))  # within one string
-    return grams.select(id_col, text_col, F.concat(F.col("g"), F.lit("#"), occ.cast("string")).alias("gram"))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substr(t, i, F.lit(2)))
+    grams = df.select(id_col, text_col, pairs.alias("gs"))
+
+    def numbered(g: Column, i: Column) -> Column:
+        earlier = F.filter(F.slice("gs", 1, i + 1), lambda x: x == g)
+        return F.concat(g, F.lit("#"), F.size(earlier).cast("string"))
+    return grams.select(id_col, text_col, F.explode(F.transform("gs", numbered)).alias("gram"))
 
 
 def _gram_prefix(grams: DataFrame, freq: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -81,8 +84,11 @@ def resolve_names(unknown: DataFrame, keys: DataFrame, name_col: str = "name",
     exact = us.join(k, us.n == k.kn).select("name", "key", "n", "kn")
     key_is_prefix = (us.where(F.length("n") >= MIN_PREFIX).select("name", "n", _prefixes("n").alias("p"))
                      .join(k, F.col("p") == F.col("kn")).select("name", "key", "n", "kn"))
-    name_is_prefix = (k.where(F.length("kn") >= MIN_PREFIX).select("key", "kn", _prefixes("kn").alias("p"))
-                      .join(us, F.col("p") == F.col("n")).select("name", "key", "n", "kn"))
+    # of the keys that begin with one text the shortest, then smallest, is nearest to it
+    by_prefix = (k.where(F.length("kn") >= MIN_PREFIX).select("key", "kn", _prefixes("kn").alias("p"))
+                 .groupBy("p").agg(F.min(F.struct(F.length("kn").alias("len"), "key", "kn")).alias("best"))
+                 .select("p", "best.key", "best.kn"))
+    name_is_prefix = by_prefix.join(us, F.col("p") == F.col("n")).select("name", "key", "n", "kn")
 
     ug = _numbered_bigrams(us.where(F.length("n") >= MIN_PREFIX), "name", "n")
     kg = _numbered_bigrams(k.where(F.length("kn") >= MIN_PREFIX), "key", "kn")
@@ -109,17 +115,9 @@ def resolve_names(unknown: DataFrame, keys: DataFrame, name_col: str = "name",
                     F.coalesce("score", F.lit(0)).alias("score")))
 
 
-def mapping_order(mapping: DataFrame) -> DataFrame:
-    """Mapping entries in a fixed order (by spelling) as ``map_ord``: the
-    order in which updates are applied (distributed ranking, no single-task
-    window)."""
-    return global_rank(mapping, ["name"], "map_ord")
-
-
 def attach_canonical(captions: DataFrame, mapping: DataFrame) -> DataFrame:
     """For rows without canonical name, the canonical of the first
-    mapping entry (by ``map_ord``) whose name equals one of the row's
-    webshops (exact, case-sensitive); ``UNKNOWN`` is stored too.
+    mapping entry (by name) whose name equals one of the row's webshops (exact, case-sensitive); ``UNKNOWN`` is stored too.
 
     Returns (id, ai_canonical) of the rows that change. The mapping is
     joined to the exploded entries (AQE broadcasts it when small); the pick
@@ -134,8 +132,8 @@ def attach_canonical(captions: DataFrame, mapping: DataFrame) -> DataFrame:
 def attach_canonical_entries(entries: DataFrame, mapping: DataFrame) -> DataFrame:
     """J3 over already exploded (id, webshop) entries of unresolved rows."""
     rows = entries.select("id", F.col("webshop").alias("name")).where(F.col("name").isNotNull())
-    hits = rows.join(mapping.select("name", "canonical", "map_ord"), "name")
-    return hits.groupBy("id").agg(F.min_by("canonical", "map_ord").alias("ai_canonical"))
+    hits = rows.join(mapping.select("name", "canonical"), "name")
+    return hits.groupBy("id").agg(F.min_by("canonical", "name").alias("ai_canonical"))
 
 
 def rows_per_canonical(updates: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -20,31 +21,41 @@ from .. import rules
 from .. import sinks
 from ..functions.analysis import load_model_output
 from ..functions.extract import extract_analysis_json
+from ..functions.text import keyword_match
 from ..operators import discovery, filters, ingest, publish, report, resolve
 from ..sources import discounts as disc
 from ..sources import posts as P
 from ..sources.logs import latest_log_lines
-from ..sources.tables import caption_table
+from ..session import checkpoint_dir
+from ..sources.tables import caption_table, child_names, path_exists
 
 Extractor = Callable[[DataFrame], DataFrame]
 
 
 @dataclass
 class Warehouse:
+    """The folders of one deployment. The current caption table is the newest
+    version that was written completely, so later runs, also of other
+    processes, go on from it."""
+
     archive: str
     captions_root: str
-    version: int = 0
 
-    def captions_path(self, version: int | None = None) -> str:
-        return f"{self.captions_root}/v{self.version if version is None else version:04d}"
+    def version(self, spark: SparkSession) -> int:
+        done = [int(n[1:]) for n in child_names(spark, self.captions_root) if re.fullmatch(r"v\d{4,}", n)
+                and path_exists(spark, f"{self.captions_root}/{n}/_SUCCESS")]
+        return max(done, default=0)
+
+    def captions_path(self, spark: SparkSession) -> str:
+        return f"{self.captions_root}/v{self.version(spark):04d}"
 
     def captions(self, spark: SparkSession) -> DataFrame:
-        return caption_table(spark, self.captions_path())
+        return caption_table(spark, self.captions_path(spark))
 
     def commit(self, df: DataFrame) -> None:
         """Write an updated caption table as the next version."""
-        sinks.write_version(df, self.captions_path(self.version + 1))
-        self.version += 1
+        spark = df.sparkSession
+        sinks.write_version(df, f"{self.captions_root}/v{self.version(spark) + 1:04d}")
 
 
 def caption_ingest(spark: SparkSession, posts: DataFrame, wh: Warehouse, now: dt.datetime,
@@ -52,19 +63,29 @@ def caption_ingest(spark: SparkSession, posts: DataFrame, wh: Warehouse, now: dt
     """Archive every normalised caption (K1) and add keyword captions to
     the caption table (K2). ``posts`` = (platform, influencer_name,
     caption, post_url, post_date, ord). Returns the A4 counts."""
-    archive, keyword = ingest.split_records(posts, keywords)
-    counts = ingest.ingest_counts(archive, keyword, keywords).checkpoint(eager=True)
+    # three outputs use the normalised posts: written once
+    checkpoint_dir(spark)
+    archive = ingest.normalise_posts(posts).select(*ingest.POST_COLUMNS).checkpoint(eager=True)
+    keyword = archive.where(keyword_match("caption", keywords))
+    counts = ingest.ingest_counts(archive, keywords=keywords).checkpoint(eager=True)
     sinks.insert_archive(spark, archive, wh.archive)
-    sinks.insert_captions(spark, keyword, wh.captions_path(), now)
+    sinks.insert_captions(spark, keyword, wh.captions_path(spark), now)
     return counts
 
 
-def mention_posts(spark: SparkSession, big_path: str, small_path: str) -> tuple[DataFrame, DataFrame]:
+def mention_posts(spark: SparkSession, big_path: str, small_path: str, snapshot_root: str | None = None,
+                  now: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """E1 for tagged posts (S2, U1, A4): big-list posts then small-list posts
     per user, stored as instagram. Returns (posts, counts) where counts has
-    users/posts for big, small and merged (one row per list)."""
-    big, _ = P.tagged_posts(P.read_json_records(spark, big_path))
-    small, _ = P.tagged_posts(P.read_json_records(spark, small_path))
+    users/posts for big, small and merged (one row per list). With
+    ``snapshot_root`` the fetched records are also saved there (K7)."""
+    records = {"big": P.read_json_records(spark, big_path), "small": P.read_json_records(spark, small_path)}
+    if snapshot_root:
+        for size, recs in records.items():
+            sinks.snapshot_json(recs.select(F.to_json("rec").alias("record")), snapshot_root, size,
+                                now or dt.datetime.now())
+    big, _ = P.tagged_posts(records["big"])
+    small, _ = P.tagged_posts(records["small"])
     merged = P.merge_big_small(big, small)
 
     def stats(df: DataFrame, name: str) -> DataFrame:
@@ -94,6 +115,7 @@ def analysis_attach(spark: SparkSession, wh: Warehouse, inserted_on: dt.date,
     out = extractor(rows)
     parsed = out.withColumn("_v", load_model_output("raw")).where(F.col("_v").isNotNull())
     updates = parsed.select("platform", "post_url", "caption", F.to_json("_v").alias("ai_analysis"), "ord")
+    checkpoint_dir(spark)
     updates = updates.checkpoint(eager=True)
     wh.commit(sinks.apply_analysis(table, updates, now))
     return updates
@@ -111,7 +133,8 @@ def canonical_attach(spark: SparkSession, wh: Warehouse, since: dt.datetime,
         known = disc.canonical_names_from_discounts(discount_lines)
     else:
         known = disc.known_names(discount_lines, source_texts, text_col)
-    mapping = resolve.mapping_order(resolve.resolve_names(unknown, known.select(F.col("name").alias("key"))))
+    mapping = resolve.resolve_names(unknown, known.select(F.col("name").alias("key")))
+    checkpoint_dir(spark)
     updates = resolve.attach_canonical(filters.records_since(table, since, inclusive=True), mapping)
     updates = updates.checkpoint(eager=True)
     wh.commit(sinks.apply_canonical(table, updates))
@@ -149,29 +172,57 @@ def influencer_discovery(spark: SparkSession, posts_root: str, known_names: Data
                          existing_seed_lines: int, seed: int,
                          brands: Iterable[str] = rules.DISCOVERY_BRANDS,
                          min_brands: int = rules.DISCOVERY_MIN_BRANDS,
-                         max_total: int = rules.DISCOVERY_MAX_TOTAL) -> tuple[DataFrame, DataFrame, DataFrame]:
+                         max_total: int = rules.DISCOVERY_MAX_TOTAL, seed_path: str | None = None,
+                         log_path: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(listing, summary, sample) from tagged-post dumps under
-    ``posts_root``."""
+    ``posts_root``. With ``seed_path`` and ``log_path`` the sample is added to
+    the seed list and logged (K6)."""
     recs = P.read_json_records(spark, posts_root, recursive=True)
     posts = recs.select(F.try_variant_get("rec", "$.ownerUsername", "string").alias("ownerUsername"),
                         F.try_variant_get("rec", "$.mentions", "array<string>").alias("mentions"))
     users = discovery.users_with_brands(discovery.explode_mentions(posts), brands, min_brands)
     flagged = discovery.flag_known(users, known_names)
-    return (discovery.listing(flagged), discovery.summary(flagged),
-            discovery.sample_new_users(flagged, max_total, existing_seed_lines, seed))
+    sample = discovery.sample_new_users(flagged, max_total, existing_seed_lines, seed)
+    if seed_path and log_path:
+        sinks.append_seed_urls(sample, seed_path, log_path)
+    return discovery.listing(flagged), discovery.summary(flagged), sample
 
 
 def backfill_json_tree(spark: SparkSession, root: str, wh: Warehouse,
                        exclude: str | None = None) -> DataFrame:
     """Archive every post of a JSON dump tree.
     Returns A8 (raw vs unique per platform)."""
-    raw = P.json_tree_posts(spark, root, exclude)
-    normalised = ingest.normalise_posts(raw)
-    counts = ingest.raw_vs_unique(normalised).checkpoint(eager=True)
-    sinks.insert_archive(spark, normalised.select(*ingest.POST_COLUMNS), wh.archive)
+    counts, _ = _archive(spark, P.json_tree_posts(spark, root, exclude), wh)
     return counts
 
 
+def _archive(spark: SparkSession, raw: DataFrame, wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Normalise, archive (K1) and count (A8) posts; (counts, normalised posts)."""
+    checkpoint_dir(spark)
+    normalised = ingest.normalise_posts(raw).select(*ingest.POST_COLUMNS).checkpoint(eager=True)
+    counts = ingest.raw_vs_unique(normalised).checkpoint(eager=True)
+    sinks.insert_archive(spark, normalised, wh.archive)
+    return counts, normalised
+
+
+def backfill_runs(spark: SparkSession, runs: DataFrame, dataset_root: str, platform: str, wh: Warehouse,
+                  max_runs: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Archive the datasets of the successful runs (S9), newest run first.
+    Returns (A8, A11)."""
+    ok = P.successful_runs(runs, max_runs)
+    posts = P.run_datasets(spark, ok, dataset_root, platform)
+    counts, normalised = _archive(spark, posts, wh)
+    return counts, new_rows_per_run(normalised, ok)
+
+
+def backfill_mentions(spark: SparkSession, path: str, wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Archive the tagged posts of archived files (S8). Returns (A8, counts
+    of scanned posts and of those without url)."""
+    posts, scanned = P.archived_mentions(spark, path)
+    counts, _ = _archive(spark, posts, wh)
+    return counts, scanned
+
+
 def new_rows_per_run(posts: DataFrame, runs: DataFrame) -> DataFrame:
     """Unique normalised posts first seen in each run and the running
     total, in run order; runs that add nothing have a row too. ``posts`` and
@@ -188,17 +239,19 @@ def new_rows_per_run(posts: DataFrame, runs: DataFrame) -> DataFrame:
 
 def daily_run(spark: SparkSession, wh: Warehouse, sources: dict[str, DataFrame], inserted_on: dt.date,
               post_date_after: dt.datetime, cutoff: dt.datetime, discount_lines: DataFrame,
-              now: dt.datetime, extractor: Extractor = rule_extractor) -> DataFrame:
+              now: dt.datetime, extractor: Extractor = rule_extractor,
+              source_texts: DataFrame | None = None) -> DataFrame:
     """Ingest (instagram, mentions, tiktok) -> analysis -> canonical
     names -> report, in that order. ``sources`` maps a platform name to its
-    posts DataFrame. Returns the report lines."""
+    posts DataFrame; ``source_texts`` hold further known names (S15). Returns the report lines."""
     for platform, posts in sources.items():
         target = filters.validate_platform(platform)
         caption_ingest(spark, posts.withColumn("platform", F.lit(target)), wh, now)
     analysis_attach(spark, wh, inserted_on, post_date_after, now, extractor)
-    canonical_attach(spark, wh, cutoff, discount_lines)
+    canonical_attach(spark, wh, cutoff, discount_lines, source_texts)
     return discount_report(spark, wh, cutoff, discount_lines)
 
 
 __all__ = ["Warehouse", "caption_ingest", "mention_posts", "analysis_attach", "canonical_attach", "discount_report",
-           "publication", "publication_from_log", "influencer_discovery", "backfill_json_tree", "new_rows_per_run", "daily_run"]
+           "publication", "publication_from_log", "influencer_discovery", "backfill_json_tree",
+           "backfill_runs", "backfill_mentions", "new_rows_per_run", "daily_run"]

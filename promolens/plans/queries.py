@@ -297,7 +297,7 @@ def _canonical_updates(spark, sf_dir):
     entries = report.unresolved_entries(rows).checkpoint(eager=True)
     after = entries.where(F.col("inserted_at") > filters.ts_literal(D.REPORT_CUTOFF))
     a1 = report.webshops_to_resolve(None, after).select(F.col("webshop").alias("name"))
-    mapping = resolve.mapping_order(resolve.resolve_names(a1, _keys(spark, sf_dir)))
+    mapping = resolve.resolve_names(a1, _keys(spark, sf_dir))
     return resolve.attach_canonical_entries(entries, mapping)
 
 

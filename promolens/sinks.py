@@ -91,8 +91,9 @@ def apply_canonical(table: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def write_version(df: DataFrame, path: str) -> None:
-    """Write an updated table to a new path (partitioned by platform)."""
-    df.write.mode("errorifexists").partitionBy("platform").parquet(path)
+    """Write an updated table to a new path (partitioned by platform); what an
+    interrupted run left there is replaced."""
+    df.write.mode("overwrite").partitionBy("platform").parquet(path)
 
 
 def write_lines(lines: DataFrame, path: str, order_col: str = "position") -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.text import py_strip
 from .discounts import read_lines
+from .tables import child_names
 
 
 def latest_file(lines: DataFrame) -> DataFrame:
@@ -39,5 +40,7 @@ def report_block(lines: DataFrame) -> DataFrame:
 
 def latest_log_lines(spark: SparkSession, logs_dir: str) -> DataFrame:
     """Report lines of the newest ``main_pipeline_*.log`` as (ord, line)."""
-    lines = read_lines(spark, f"{logs_dir}/main_pipeline_*.log")
-    return report_block(latest_file(lines)).select(F.col("pos").alias("ord"), "line")
+    names = [n for n in child_names(spark, logs_dir) if n.startswith("main_pipeline_") and n.endswith(".log")]
+    if not names:
+        return spark.createDataFrame([], "ord int, line string")
+    return report_block(read_lines(spark, f"{logs_dir}/{max(names)}")).select(F.col("pos").alias("ord"), "line")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import is_object
 from ..functions.text import py_strip
+from .tables import path_exists
 
 
 # ------------------------------------------------------------ helpers -----
@@ -265,8 +266,11 @@ def run_datasets(spark: SparkSession, runs: DataFrame, dataset_root: str, platfo
     """Posts of the datasets of successful runs; dataset files are
     ``<dataset_root>/<datasetId>.json``; ``ord`` starts with the run rank so
     the newest run's copy of a post wins the first-wins de-duplication."""
-    recs = read_json_records(spark, dataset_root).withColumn(
-        "dataset_id", F.regexp_extract("file", r"([^/]+)\.json$", 1))
+    wanted = [f"{dataset_root}/{r[0]}.json" for r in runs.select("defaultDatasetId").distinct().collect()]
+    found = [p for p in wanted if path_exists(spark, p)]  # a list of runs, not of posts
+    raw = (spark.read.text(found, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+           if found else spark.createDataFrame([], "file string, value string"))
+    recs = records_from_text(raw).withColumn("dataset_id", F.regexp_extract("file", r"([^/]+)\.json$", 1))
     recs = recs.join(runs.select(F.col("defaultDatasetId").alias("dataset_id"), "run_rank"), "dataset_id")
     extractor = extract_tiktok if platform == "tiktok" else extract_instagram
     posts = extractor(recs.withColumn("file", F.format_string("%09d", F.col("run_rank"))))

@@ -19,7 +19,7 @@ def test_ingest_is_idempotent_and_pipeline_runs(spark, tmp_path):
     assert counts["instagram"] == (2, 3, 2, 1)
     jobs.caption_ingest(spark, posts_df(spark, rows), wh, now)          # same posts again: no new rows
     assert spark.read.parquet(wh.archive).count() == 3
-    table = caption_table(spark, wh.captions_path())
+    table = caption_table(spark, wh.captions_path(spark))
     assert table.count() == 2 and sorted(r.id for r in table.collect()) == [1, 2]
 
     upd = jobs.analysis_attach(spark, wh, dt.date(2025, 10, 6), None, now)

@@ -37,17 +37,25 @@ def test_manifest_runs_and_new_rows(spark, tmp_path):
     ok = P.successful_runs(runs)
     assert [r.run_id for r in ok.orderBy("run_rank").collect()] == ["r1", "r2"]
     posts = P.run_datasets(spark, ok, str(ds), "instagram")
-    a11 = [(r.run_rank, r.added, r.running_unique) for r in jobs.new_rows_per_run(posts).orderBy("run_rank").collect()]
+    a11 = [(r.run_rank, r.added, r.running_unique) for r in jobs.new_rows_per_run(posts, ok).orderBy("run_rank").collect()]
     assert a11 == [(1, 2, 2), (2, 1, 3)]
+    write(ds / "d5.json", [{"url": "a", "caption": "x  "}])
+    more = runs.union(spark.createDataFrame([("r0", "SUCCEEDED", "d5", dt.datetime(2024, 1, 1)),
+                                             ("r9", "SUCCEEDED", "gone", dt.datetime(2023, 1, 1))], runs.schema))
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))
+    a8, a11 = jobs.backfill_runs(spark, more, str(ds), "instagram", wh)
+    assert [tuple(r) for r in a8.collect()] == [("instagram", 5, 3)]
+    assert sorted(tuple(r) for r in a11.collect()) == [(1, 2, 2), (2, 1, 3), (3, 0, 3), (4, 0, 3)]
+    assert spark.read.parquet(wh.archive).count() == 3
     # the limit applies before the status filter
     assert P.successful_runs(runs, max_runs=1).count() == 0
 
 
 def test_text_and_json_sinks(spark, tmp_path):
     lines = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "position long, line string")
-    sinks.write_lines(lines, str(tmp_path / "out"), single_file=True)
+    sinks.write_lines(lines, str(tmp_path / "out"))
     files = sorted((tmp_path / "out").glob("part-*"))
-    assert files[0].read_text().splitlines() == ["a", "b", "c"]
+    assert "".join(f.read_text() for f in files).splitlines() == ["a", "b", "c"]
     urls = spark.createDataFrame([("https://www.instagram.com/u1",)], "url string")
     sinks.append_seed_urls(urls, str(tmp_path / "seed"), str(tmp_path / "added"))
     sinks.append_seed_urls(urls, str(tmp_path / "seed"), str(tmp_path / "added"))
@@ -92,6 +100,62 @@ def test_daily_run(spark, tmp_path):
     assert spark.read.parquet(wh.archive).count() == 3
 
 
+def test_second_daily_run_keeps_the_first_day(spark, tmp_path):
+    schema = "influencer_name string, caption string, post_url string, post_date string, ord long"
+    texts = spark.createDataFrame([('{"nakd": 1}',)], "value string")
+    discounts = spark.createDataFrame([(1, "zalando, other, 5, q, 09-01")], "ord long, line string")
+    for day, row in ((6, ("anna", "code SUMMER20 @zalando 20%", "https://p/1", "2025-10-05T00:00:00", 1)),
+                     (7, ("cat", "kortingscode CAT10 @nakd", "https://p/9", "2025-10-06T00:00:00", 1))):
+        wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))  # as a new process
+        lines = jobs.daily_run(spark, wh, {"instagram": spark.createDataFrame([row], schema)}, dt.date(2025, 10, day),
+                               dt.datetime(2025, 10, 1), dt.datetime(2025, 10, 1), discounts,
+                               dt.datetime(2025, 10, day, 8), source_texts=texts).orderBy("line_no").collect()
+    assert [r.line for r in lines] == ['"zalando, SUMMER20, 20, anna, 10-06",    https://p/1',
+                                       '"nakd, CAT10, 10, cat, 10-07",    https://p/9']
+    assert all(r.ai_analysis for r in wh.captions(spark).collect())
+
+
+def test_mention_backfill_and_job_sinks(spark, tmp_path):
+    write(tmp_path / "m" / "a.json", [{"ownerUsername": "u", "caption": "c", "url": "x", "timestamp": "2025-01-01"},
+                                      {"ownerUsername": "u", "caption": "c", "url": ""}])
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))
+    a8, scanned = jobs.backfill_mentions(spark, str(tmp_path / "m"), wh)
+    assert [tuple(r) for r in a8.collect()] == [("instagram", 1, 1)]
+    assert tuple(scanned.first()) == (2, 1)
+    jobs.mention_posts(spark, str(tmp_path / "m"), str(tmp_path / "m"), str(tmp_path / "raw"), dt.datetime(2025, 1, 2))
+    assert spark.read.json(str(tmp_path / "raw")).count() == 4
+    write(tmp_path / "d" / "a.json", [{"ownerUsername": "u1", "mentions": ["loavies"]}])
+    jobs.influencer_discovery(spark, str(tmp_path / "d"), spark.createDataFrame([], "name string"), 0, 3,
+                              seed_path=str(tmp_path / "seed"), log_path=str(tmp_path / "log"))
+    assert spark.read.text(str(tmp_path / "seed")).count() == 1
+
+
+def test_lists_beyond_the_variant_limit(spark):
+    from pyspark.sql import functions as F
+    record = F.concat(F.lit('{"url":"u","caption":"'), F.repeat(F.lit("x"), 100_000), F.lit('"},'))
+    value = F.concat(F.lit("["), F.repeat(record, 1400), F.lit('"no object",{}]'))
+    raw = spark.range(1).select(F.lit("big").alias("file"), value.alias("value"))
+    assert P.records_from_text(raw).count() == 1401
+    few = spark.createDataFrame([("a", "[1"), ("b", ""), ("c", "{}"), ("d", "[]"), ("e", "null")],
+                                "file string, value string")
+    assert P.records_from_text(few).count() == 0
+    assert sorted(r.file for r in P.unreadable(few).collect()) == ["a", "c", "e"]
+
+
+def test_extraction_of_several_codes(spark):
+    from promolens.functions.extract import extract_analysis_json
+    cases = {"code AAA10 for 10% at @shopa and code BBB20 for 20% at @shopb":
+             [("shopa", "AAA10", 10), ("shopb", "BBB20", 20)],
+             "my code is LOTTE15": [(None, "LOTTE15", 15)],
+             "korting met KIM20, 20% off": [(None, "KIM20", 20)],
+             "1000% sure: code XY1": [(None, "XY1", 1000)],
+             "@shop.nl has €5,50 off with code TEST": [("shop.nl", "TEST", "€5,50")],
+             "no codes, encode this": [], None: []}
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    got = [json.loads(r[0]) for r in df.select(extract_analysis_json("c")).collect()]
+    assert [[(e["webshop"], e["code"], e["percentage"]) for e in g] for g in got] == list(cases.values())
+
+
 def test_publication_from_log(spark, tmp_path):
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / "main_pipeline_2025-10-06.log").write_text(

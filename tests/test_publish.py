@@ -42,12 +42,11 @@ def test_multi_and_dedup(spark):
              'MULTI__"c, X3, 10, u, 10-06",', '"Zal, AB1, 10, u, 10-06",', '"zal, ab1, 12, v, 10-06",',
              'no quote']
     rep = publish.repair(lines_df(spark, lines))
-    kept, competing = publish.collapse_multi(rep)
+    kept = publish.collapse_multi(rep)
     got = sorted((r.ord, r.line) for r in kept.collect())
     assert got[0] == (1, '"a, X1, 10, u, 10-06",    https://p/1')
     assert 2 not in [o for o, _ in got]
     assert (3, '"c, X3, 10, u, 10-06",') in got
-    assert competing.first()["competing"] == 2
     surv = publish.dedup_brand_code(kept, seed=1).collect()
     ords = sorted(r.ord for r in surv)
     assert len([o for o in ords if o in (4, 5)]) == 1 and 6 in ords and 1 in ords and 3 in ords
@@ -72,6 +71,8 @@ def test_publish_end_to_end_invariants(spark):
     assert pub[-1].line == '"zz, Q1, 5, u",'                # new company last
     m = {r.metric: r.value for r in res.metrics.collect()}
     assert m["output_lines"] == 61 and m["urls_stripped"] == 60 and m["record_dups_dropped"] == 0
+    assert m["input_lines"] == 61 and m["training_batches"] == 2
+    assert [m[f"dropped_{r}"] for r in ("unknown", "ignored", "short_code", "missing_code", "recent")] == [0] * 5
 
 
 def test_publish_without_sort_keeps_input_order(spark):
