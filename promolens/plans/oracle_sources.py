@@ -3,7 +3,8 @@ or line parsing."""
 
 from __future__ import annotations
 
-from .oracle import ORACLE, POSTS, _with
+from . import driver as D
+from .oracle import BASE, CANON, NAMES, ORACLE, POSTS, _ts, _with
 
 # one row per record of a readable dump file
 RECORDS = """
@@ -96,3 +97,25 @@ r AS (SELECT n_nationkey + 1 AS run_rank FROM nation),
 a AS (SELECT CAST(run_rank AS INTEGER) AS run_rank, count(run) AS added FROM r LEFT JOIN f ON run = run_rank GROUP BY 1)
 SELECT run_rank, added, CAST(sum(added) OVER (ORDER BY run_rank) AS BIGINT) AS running_unique FROM a""",
 })
+
+ORACLE.update({
+    "k1_archive_insert": _with(POSTS) + """
+SELECT platform, influencer_name, caption, post_url FROM archive a
+WHERE NOT EXISTS (SELECT 1 FROM posts s WHERE s.influencer_name = 'src0' AND s.platform = a.platform
+                  AND s.post_url = a.post_url AND s.caption = a.caption)""",
+    "k2_caption_insert": _with(POSTS) + """
+SELECT (SELECT max(ord) FROM posts WHERE influencer_name = 'src0')
+         + row_number() OVER (ORDER BY platform, ord) AS id, platform, influencer_name, post_url
+FROM kw a WHERE NOT EXISTS (SELECT 1 FROM posts s WHERE s.influencer_name = 'src0' AND s.platform = a.platform
+                            AND s.post_url = a.post_url AND s.caption = a.caption)""",
+    "k4_canonical_update": _with(BASE, NAMES, CANON) + """
+SELECT cap.id, cap.platform, coalesce(u.ai_canonical, cap.ai_canonical) AS ai_canonical
+FROM cap LEFT JOIN upd u ON u.id = cap.id""",
+    "o1_insert_order": _with(BASE) + f"""
+SELECT id, row_number() OVER (ORDER BY inserted_at, id) AS place FROM cap WHERE inserted_at > {_ts(D.REPORT_CUTOFF)}""",
+    "s11_sections": """
+WITH l AS (SELECT event_id // 1000 AS file, event_id AS pos, event_id % 10 AS k,
+                  event_type || '_' || CAST(user_id AS VARCHAR) AS v FROM events),
+h AS (SELECT *, last_value(CASE WHEN k IN (0, 5) THEN k END IGNORE NULLS) OVER (PARTITION BY file ORDER BY pos) AS sec FROM l)
+SELECT file, pos, v AS username FROM h WHERE k NOT IN (0, 5, 7) AND sec = 0""",
+})

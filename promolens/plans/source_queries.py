@@ -12,15 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..functions.extract import extract_analysis_json
-from ..operators import report
+from ..functions.text import key_prefix, keyword_match
+from ..operators import filters, ingest, report
+from ..operators.ordering import global_rank
 from ..session import configure
 from ..sources import discounts as disc
 from ..sources import logs
 from ..sources import posts as P
 from . import driver as D
 from . import jobs
-from .queries import QUERIES
+from .queries import QUERIES, _canonical_updates
 
 
 def register(fn):
@@ -213,3 +216,53 @@ def a11_new_rows(spark, sf_dir):
         F.format_string("%09d", F.col("ord") % 7 + 1).alias("file"), F.col("ord").alias("pos"), F.lit(0).alias("i")))
     runs = D.table(spark, sf_dir, "nation").select((F.col("n_nationkey") + 1).cast("int").alias("run_rank"))
     return jobs.new_rows_per_run(posts, runs)
+
+
+def _stored_and_new(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Normalised posts; those of one creator are already stored."""
+    posts = ingest.normalise_posts(D.posts(spark, sf_dir))
+    return posts.where(F.col("influencer_name") == "src0"), posts
+
+
+@register
+def k1_archive_insert(spark, sf_dir):
+    """K1 + J5 (W1, F2): rows that an insert adds to an archive with posts in it."""
+    stored, posts = _stored_and_new(spark, sf_dir)
+    return sinks.archive_rows(posts, stored.withColumn("caption_key", key_prefix("caption"))).select(
+        "platform", "influencer_name", "caption", "post_url")
+
+
+@register
+def k2_caption_insert(spark, sf_dir):
+    """K2 + J5 (P1): keyword captions that an insert adds, numbered after the stored ids."""
+    stored, posts = _stored_and_new(spark, sf_dir)
+    table = stored.select(F.col("ord").alias("id"), "platform", "post_url", "caption")
+    keyword = posts.where(keyword_match("caption", D.INGEST_KEYWORDS))
+    return sinks.caption_rows(keyword, table, D.TODAY_TS).select("id", "platform", "influencer_name", "post_url")
+
+
+@register
+def k4_canonical_update(spark, sf_dir):
+    """K4 (E3): the caption table after the canonical names of J3 are set."""
+    updates = _canonical_updates(spark, sf_dir)
+    table = D.captions(spark, sf_dir).select("id", "platform", "ai_canonical")
+    return sinks.apply_canonical(table, updates).select("id", "platform", "ai_canonical")
+
+
+@register
+def o1_insert_order(spark, sf_dir):
+    """O1 + P3: rows since the cut-off in insert order, with their place."""
+    rows = filters.records_since(D.captions(spark, sf_dir), D.REPORT_CUTOFF).select("id", "inserted_at")
+    return global_rank(rows, ["inserted_at", "id"], "place").select("id", "place")
+
+
+@register
+def s11_sections(spark, sf_dir):
+    """S10, S11 + W11: names under the header "big:" of list files."""
+    e = D.table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    k = F.col("event_id") % 10
+    line = (F.when(k == 0, F.lit(" Big: ")).when(k == 5, F.lit("SMALL:")).when(k == 7, F.lit(" "))
+            .otherwise(F.concat(F.lit(" "), "event_type", F.lit("_"), F.col("user_id").cast("string"))))
+    lines = e.select((F.col("event_id") / 1000).cast("long").alias("file"), F.col("event_id").alias("pos"),
+                     line.alias("line"))
+    return P.section_names(lines, "big").select("file", "pos", "username")

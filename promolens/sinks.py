@@ -30,15 +30,36 @@ def _keys(df: DataFrame) -> DataFrame:
     return df.select("platform", "post_url", key_prefix("caption").alias("caption_key"))
 
 
-def insert_archive(spark: SparkSession, records: DataFrame, archive_path: str) -> DataFrame:
-    """K1 (+W1, J5): append posts not yet archived. ``records`` =
-    (platform, influencer_name, caption, post_url, post_date, ord).
-    Returns the appended rows (already written)."""
+def not_yet_stored(records: DataFrame, table: DataFrame) -> DataFrame:
+    """J5 (+W1): the first record of every post key that the table lacks."""
     batch = first_per_post(records).withColumn("caption_key", key_prefix("caption"))
-    existing = _keys(read_table(spark, archive_path, ARCHIVE_SCHEMA))
-    new = (batch.join(existing, POST_KEY, "left_anti")
-           .select("influencer_name", "caption", "post_url",
-                   F.col("post_date").cast("timestamp").alias("post_date"), "caption_key", "platform"))
+    return batch.join(_keys(table), POST_KEY, "left_anti")
+
+
+def archive_rows(records: DataFrame, archive: DataFrame) -> DataFrame:
+    """K1: the archive rows that ``records`` = (platform, influencer_name,
+    caption, post_url, post_date, ord) add to the archive."""
+    return not_yet_stored(records, archive).select(
+        "influencer_name", "caption", "post_url", F.col("post_date").cast("timestamp").alias("post_date"),
+        "caption_key", "platform")
+
+
+def caption_rows(records: DataFrame, table: DataFrame, now: dt.datetime) -> DataFrame:
+    """K2: the caption-table rows that the keyword ``records`` add, with
+    ``inserted_at = now`` and ids after the current maximum."""
+    max_id = table.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+    ranked = global_rank(not_yet_stored(records, table), ["platform", "ord"], "_r")
+    return ranked.select(
+        (F.col("_r") + F.lit(max_id)).cast("long").alias("id"), "influencer_name", "caption", "post_url",
+        F.col("post_date").cast("timestamp").alias("post_date"),
+        F.lit(now).cast("timestamp").alias("inserted_at"),
+        F.lit(None).cast("string").alias("ai_analysis"), F.lit(None).cast("string").alias("ai_canonical"),
+        F.lit(None).cast("timestamp").alias("ai_analysis_time"), "platform")
+
+
+def insert_archive(spark: SparkSession, records: DataFrame, archive_path: str) -> DataFrame:
+    """K1: append the posts not yet archived. Returns the appended rows."""
+    new = archive_rows(records, read_table(spark, archive_path, ARCHIVE_SCHEMA))
     # materialise in the shared checkpoint folder before appending: the
     # anti-join must see the table as it was before this insert
     checkpoint_dir(spark)
@@ -49,19 +70,8 @@ def insert_archive(spark: SparkSession, records: DataFrame, archive_path: str) -
 
 def insert_captions(spark: SparkSession, records: DataFrame, table_path: str,
                     now: dt.datetime) -> DataFrame:
-    """K2: append keyword captions not yet in the caption table, with
-    ``inserted_at = now`` and ids after the current maximum."""
-    batch = first_per_post(records).withColumn("caption_key", key_prefix("caption"))
-    table = read_table(spark, table_path, CAPTION_SCHEMA)
-    new = batch.join(_keys(table), POST_KEY, "left_anti")
-    max_id = table.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    ranked = global_rank(new, ["platform", "ord"], "_r")
-    out = ranked.select(
-        (F.col("_r") + F.lit(max_id)).cast("long").alias("id"), "influencer_name", "caption", "post_url",
-        F.col("post_date").cast("timestamp").alias("post_date"),
-        F.lit(now).cast("timestamp").alias("inserted_at"),
-        F.lit(None).cast("string").alias("ai_analysis"), F.lit(None).cast("string").alias("ai_canonical"),
-        F.lit(None).cast("timestamp").alias("ai_analysis_time"), "platform")
+    """K2: append keyword captions not yet in the caption table."""
+    out = caption_rows(records, read_table(spark, table_path, CAPTION_SCHEMA), now)
     out.write.mode("append").partitionBy("platform").parquet(table_path)
     return out
 

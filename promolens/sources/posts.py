@@ -283,7 +283,11 @@ def run_datasets(spark: SparkSession, runs: DataFrame, dataset_root: str, platfo
 def seed_list(spark: SparkSession, path: str) -> DataFrame:
     """Stripped, non-blank lines with their position."""
     from .discounts import read_lines
-    lines = read_lines(spark, path)
+    return stripped_lines(read_lines(spark, path))
+
+
+def stripped_lines(lines: DataFrame) -> DataFrame:
+    """S10 over (file, pos, line)."""
     return (lines.select("file", "pos", py_strip("line").alias("value"))
             .where(F.col("value") != ""))
 
@@ -291,9 +295,15 @@ def seed_list(spark: SparkSession, path: str) -> DataFrame:
 def sectioned_list(spark: SparkSession, path: str, size: str) -> DataFrame:
     """S11 + W11: names under the header ``<size>:`` (case-insensitive) up
     to the next line ending in ``:``."""
+    from .discounts import read_lines
+    return section_names(read_lines(spark, path), size)
+
+
+def section_names(lines: DataFrame, size: str) -> DataFrame:
+    """S11 over (file, pos, line)."""
     if size not in ("small", "big"):
         raise ValueError(f"no section {size!r}: choose small or big")
-    lines = seed_list(spark, path)
+    lines = stripped_lines(lines)
     header = F.when(F.col("value").endswith(":"), F.lower("value"))
     w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     return (lines.withColumn("section", F.last(header, ignorenulls=True).over(w))
