@@ -108,8 +108,8 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - np.asarray(score)[:, None], -60, 60)))
 
 
-def fit(slots: list[np.ndarray], grades: list[int], n_grades: int = GRADES, rounds: int = 200,
-        rate: float = 0.05, decay: float = 1e-4, support: int = SUPPORT) -> OrdinalModel:
+def fit(slots: list[np.ndarray], grades: list[int], n_grades: int = GRADES, rounds: int = 300,
+        rate: float = 0.1, decay: float = 1e-3, support: int = SUPPORT) -> OrdinalModel:
     """Maximum likelihood with weight decay, by Adam steps over the whole sample.
 
     Features of fewer than ``support`` texts, or not related to the grade by
