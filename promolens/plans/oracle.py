@@ -137,9 +137,14 @@ FROM cap WHERE inserted_at > {_ts(D.REPORT_CUTOFF)} AND post_date > {_ts(D.POST_
     "p5_not_analysed": _with(BASE) + f"""
 SELECT id, platform, coalesce(caption, '') AS caption, post_url FROM ({_since()}) WHERE analysis_kind = 'none'""",
     "p6_with_analysis": _with(BASE) + f"""
+, obj AS (SELECT l_orderkey, pos, '{{"code":' || coalesce('"' || e_code || '"', 'null') || ',"percentage":'
+            || coalesce(CAST(e_pct AS VARCHAR), 'null') || ',"webshop":' || coalesce('"' || e_webshop || '"', 'null') || '}}' AS o FROM ent),
+txt AS (SELECT l_orderkey, '[' || string_agg(o, ',' ORDER BY pos) || ']' AS list_text, arg_min(o, pos) AS first_text
+        FROM obj GROUP BY l_orderkey)
 SELECT row_number() OVER (ORDER BY inserted_at, id) AS item_no, count(*) OVER () AS item_total,
-       id, influencer_name, post_url, post_date, caption
-FROM ({_since()}) WHERE analysis_kind <> 'none'""",
+       id, influencer_name, post_url, post_date, caption,
+       CASE analysis_kind WHEN 'object' THEN first_text ELSE list_text END AS analysis_text
+FROM ({_since()}) JOIN txt ON id = l_orderkey WHERE analysis_kind <> 'none'""",
     "a1_webshops_to_resolve": _with(BASE, ENTRY_ROWS) + """
 SELECT DISTINCT webshop FROM entry_rows WHERE ai_canonical IS NULL AND webshop IS NOT NULL AND webshop <> ''""",
     "w3_unique_webshop_codes": _with(BASE, ENTRY_ROWS) + f"""

@@ -82,11 +82,13 @@ def p5_not_analysed(spark, sf_dir):
 
 @register("p6_with_analysis")
 def p6_with_analysis(spark, sf_dir):
-    """Rows with analysis, numbered i of n in insert order."""
+    """Rows with analysis and its text, numbered i of n in insert order."""
     df = filters.with_analysis(filters.records_since(_captions(spark, sf_dir), D.REPORT_CUTOFF))
-    numbered = global_rank(df.select("id", "influencer_name", "inserted_at", "post_url", "post_date", "caption"),
+    numbered = global_rank(df.select("id", "influencer_name", "inserted_at", "post_url", "post_date", "caption",
+                                     "analysis_text"),
                            ["inserted_at", "id"], "item_no", total="item_total")
-    return numbered.select("item_no", "item_total", "id", "influencer_name", "post_url", "post_date", "caption")
+    return numbered.select("item_no", "item_total", "id", "influencer_name", "post_url", "post_date", "caption",
+                           "analysis_text")
 
 
 @register("a1_webshops_to_resolve")
