@@ -1,8 +1,7 @@
 """Composite jobs (E1-E8): plain functions over DataFrames and table paths.
 
-A ``Warehouse`` names the folders of one deployment: the caption archive,
-the per-platform caption table (versioned: updates write a new version) and
-scratch output. Nothing here schedules anything; E8 just calls the steps
+A ``Warehouse`` names the folders of one deployment: the caption archive and
+the caption table. Nothing here schedules anything; E8 just calls the steps
 in order.
 """
 
@@ -10,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -27,35 +25,22 @@ from ..sources import discounts as disc
 from ..sources import posts as P
 from ..sources.logs import latest_log_lines
 from ..session import checkpoint_dir
-from ..sources.tables import caption_table, child_names, path_exists
+from ..sources.tables import caption_table
 
 Extractor = Callable[[DataFrame], DataFrame]
 
 
 @dataclass
 class Warehouse:
-    """The folders of one deployment. The current caption table is the newest
-    version that was written completely, so later runs, also of other
-    processes, go on from it."""
+    """The folders of one deployment: the caption archive and the caption table
+    (by platform and insert day). State lives in the folders alone, so later
+    runs, also of other processes, go on from it."""
 
     archive: str
-    captions_root: str
-
-    def version(self, spark: SparkSession) -> int:
-        done = [int(n[1:]) for n in child_names(spark, self.captions_root) if re.fullmatch(r"v\d{4,}", n)
-                and path_exists(spark, f"{self.captions_root}/{n}/_SUCCESS")]
-        return max(done, default=0)
-
-    def captions_path(self, spark: SparkSession) -> str:
-        return f"{self.captions_root}/v{self.version(spark):04d}"
+    captions_path: str
 
     def captions(self, spark: SparkSession) -> DataFrame:
-        return caption_table(spark, self.captions_path(spark))
-
-    def commit(self, df: DataFrame) -> None:
-        """Write an updated caption table as the next version."""
-        spark = df.sparkSession
-        sinks.write_version(df, f"{self.captions_root}/v{self.version(spark) + 1:04d}")
+        return caption_table(spark, self.captions_path)
 
 
 def caption_ingest(spark: SparkSession, posts: DataFrame, wh: Warehouse, now: dt.datetime,
@@ -69,7 +54,7 @@ def caption_ingest(spark: SparkSession, posts: DataFrame, wh: Warehouse, now: dt
     keyword = archive.where(keyword_match("caption", keywords))
     counts = ingest.ingest_counts(archive, keywords=keywords).checkpoint(eager=True)
     sinks.insert_archive(spark, archive, wh.archive)
-    sinks.insert_captions(spark, keyword, wh.captions_path(spark), now)
+    sinks.insert_captions(spark, keyword, wh.captions_path, now)
     return counts
 
 
@@ -117,7 +102,7 @@ def analysis_attach(spark: SparkSession, wh: Warehouse, inserted_on: dt.date,
     updates = parsed.select("platform", "post_url", "caption", F.to_json("_v").alias("ai_analysis"), "ord")
     checkpoint_dir(spark)
     updates = updates.checkpoint(eager=True)
-    wh.commit(sinks.apply_analysis(table, updates, now))
+    sinks.update_analysis(spark, wh.captions_path, updates, now)
     return updates
 
 
@@ -137,7 +122,7 @@ def canonical_attach(spark: SparkSession, wh: Warehouse, since: dt.datetime,
     checkpoint_dir(spark)
     updates = resolve.attach_canonical(filters.records_since(table, since, inclusive=True), mapping)
     updates = updates.checkpoint(eager=True)
-    wh.commit(sinks.apply_canonical(table, updates))
+    sinks.update_canonical(spark, wh.captions_path, updates)
     return resolve.rows_per_canonical(updates)
 
 

@@ -1,13 +1,15 @@
 """Sinks (K1-K7).
 
-Tables are Parquet folders partitioned by ``platform``. Inserts are
-"insert-ignore" appends: an anti-join against the key columns of the table. Updates (K3, K4) write a new version
-of the table to a new path; a path is never overwritten while it is read.
+Tables are Parquet folders partitioned by ``platform`` (the caption table also
+by insert day). Inserts are
+"insert-ignore" appends: an anti-join against the key columns of the table. Updates (K3, K4) rewrite only the days of the caption table that hold an
+updated row, from a checkpoint; nothing is overwritten while it is read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from .operators.dedup import first_per_key
 from .operators.ingest import first_per_post
 from .operators.ordering import global_rank
 from .session import checkpoint_dir
-from .sources.tables import ARCHIVE_SCHEMA, CAPTION_SCHEMA, read_table
+from .sources.tables import ARCHIVE_SCHEMA, CAPTION_PARTITIONS, CAPTION_SCHEMA, read_table
 
 POST_KEY = ["platform", "post_url", "caption_key"]
 
@@ -54,7 +56,8 @@ def caption_rows(records: DataFrame, table: DataFrame, now: dt.datetime) -> Data
         F.col("post_date").cast("timestamp").alias("post_date"),
         F.lit(now).cast("timestamp").alias("inserted_at"),
         F.lit(None).cast("string").alias("ai_analysis"), F.lit(None).cast("string").alias("ai_canonical"),
-        F.lit(None).cast("timestamp").alias("ai_analysis_time"), "platform")
+        F.lit(None).cast("timestamp").alias("ai_analysis_time"), "platform",
+        F.to_date(F.lit(now).cast("timestamp")).alias("inserted_on"))
 
 
 def insert_archive(spark: SparkSession, records: DataFrame, archive_path: str) -> DataFrame:
@@ -72,7 +75,7 @@ def insert_captions(spark: SparkSession, records: DataFrame, table_path: str,
                     now: dt.datetime) -> DataFrame:
     """K2: append keyword captions not yet in the caption table."""
     out = caption_rows(records, read_table(spark, table_path, CAPTION_SCHEMA), now)
-    out.write.mode("append").partitionBy("platform").parquet(table_path)
+    out.write.mode("append").partitionBy(*CAPTION_PARTITIONS).parquet(table_path)
     return out
 
 
@@ -100,10 +103,39 @@ def apply_canonical(table: DataFrame, updates: DataFrame) -> DataFrame:
             .withColumn("ai_canonical", F.coalesce("_new", "ai_canonical")).drop("_new"))
 
 
-def write_version(df: DataFrame, path: str) -> None:
-    """Write an updated table to a new path (partitioned by platform); what an
-    interrupted run left there is replaced."""
-    df.write.mode("overwrite").partitionBy("platform").parquet(path)
+def rewrite_days(spark: SparkSession, table_path: str, touched: DataFrame,
+                 change: Callable[[DataFrame], DataFrame]) -> None:
+    """Apply ``change`` to the partitions of the caption table named by
+    ``touched`` = (platform, inserted_on) and rewrite those alone.
+
+    The new rows are in the shared checkpoint folder before any file is
+    replaced. A run that stops half-way leaves whole days, old or new; running
+    the update again completes it.
+    """
+    days = [(r.platform, r.inserted_on) for r in touched.distinct().collect()]  # partitions, not rows
+    if not days:
+        return
+    place = F.concat_ws("/", "platform", F.coalesce(F.col("inserted_on").cast("string"), F.lit("")))
+    table = read_table(spark, table_path, CAPTION_SCHEMA).where(place.isin(*[f"{p}/{d or ''}" for p, d in days]))
+    checkpoint_dir(spark)
+    (change(table).checkpoint(eager=True).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*CAPTION_PARTITIONS).parquet(table_path))
+
+
+def update_analysis(spark: SparkSession, table_path: str, updates: DataFrame, now: dt.datetime) -> None:
+    """K3 on the stored caption table: only days with a matching row are rewritten."""
+    table = read_table(spark, table_path, CAPTION_SCHEMA)
+    keys = updates.withColumn("caption_key", key_prefix("caption")).select(*POST_KEY)
+    touched = table.withColumn("caption_key", key_prefix("caption")).join(keys, POST_KEY, "left_semi")
+    rewrite_days(spark, table_path, touched.select(*CAPTION_PARTITIONS),
+                 lambda part: apply_analysis(part, updates, now))
+
+
+def update_canonical(spark: SparkSession, table_path: str, updates: DataFrame) -> None:
+    """K4 on the stored caption table: only days with an updated row are rewritten."""
+    table = read_table(spark, table_path, CAPTION_SCHEMA)
+    rewrite_days(spark, table_path, table.join(updates, "id", "left_semi").select(*CAPTION_PARTITIONS),
+                 lambda part: apply_canonical(part, updates))
 
 
 def write_lines(lines: DataFrame, path: str, order_col: str = "position") -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 CAPTION_SCHEMA = StructType([
     StructField("id", LongType()),
@@ -18,7 +18,11 @@ CAPTION_SCHEMA = StructType([
     StructField("ai_canonical", StringType()),
     StructField("ai_analysis_time", TimestampType()),
     StructField("platform", StringType()),
+    # partition columns: platform and the day of inserted_at, so that an update
+    # rewrites only the days it touches
+    StructField("inserted_on", DateType()),
 ])
+CAPTION_PARTITIONS = ["platform", "inserted_on"]
 
 ARCHIVE_SCHEMA = StructType([
     StructField("influencer_name", StringType()),
@@ -33,7 +37,7 @@ ARCHIVE_SCHEMA = StructType([
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A Parquet table partitioned by ``platform`` (empty when absent)."""
+    """A partitioned Parquet table (empty when absent)."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
@@ -55,7 +59,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 def caption_table(spark: SparkSession, path: str) -> DataFrame:
     """Caption table with its fixed column list."""
-    return read_table(spark, path, CAPTION_SCHEMA).select(*[f.name for f in CAPTION_SCHEMA.fields])
+    return read_table(spark, path, CAPTION_SCHEMA).select(
+        *[f.name for f in CAPTION_SCHEMA.fields if f.name != "inserted_on"])
 
 
 def jdbc_caption_table(spark: SparkSession, url: str, table: str, properties: dict) -> DataFrame:

@@ -9,7 +9,7 @@ def posts_df(spark, rows):
 
 
 def test_ingest_is_idempotent_and_pipeline_runs(spark, tmp_path):
-    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "captions"))
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "captions"))
     now = dt.datetime(2025, 10, 6, 9, 0)
     rows = [("instagram", "anna", "Use code SUMMER20 at @zalando  for 20% off", "https://p/1", "2025-10-05T10:00:00", 1),
             ("instagram", "anna", "Use code SUMMER20 at @zalando for 20% off", "https://p/1", "2025-10-05T10:00:00", 2),
@@ -19,7 +19,7 @@ def test_ingest_is_idempotent_and_pipeline_runs(spark, tmp_path):
     assert counts["instagram"] == (2, 3, 2, 1)
     jobs.caption_ingest(spark, posts_df(spark, rows), wh, now)          # same posts again: no new rows
     assert spark.read.parquet(wh.archive).count() == 3
-    table = caption_table(spark, wh.captions_path(spark))
+    table = caption_table(spark, wh.captions_path)
     assert table.count() == 2 and sorted(r.id for r in table.collect()) == [1, 2]
 
     upd = jobs.analysis_attach(spark, wh, dt.date(2025, 10, 6), None, now)

@@ -17,7 +17,7 @@ def test_backfill_tree(spark, tmp_path):
                                                                         {"url": "i1", "caption": "A b"}]}])
     write(root / "tiktok" / "b.json", [{"authorMeta": {"name": "k"}, "text": "x", "createTimeISO": "2025-01-01T00:00:00",
                                         "webVideoUrl": "t1"}])
-    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "cap"))
     a8 = {r.platform: (r.raw, r.unique_posts) for r in jobs.backfill_json_tree(spark, str(root), wh).collect()}
     assert a8 == {"instagram": (2, 1), "tiktok": (1, 1)}
     assert spark.read.parquet(wh.archive).count() == 2
@@ -42,7 +42,7 @@ def test_manifest_runs_and_new_rows(spark, tmp_path):
     write(ds / "d5.json", [{"url": "a", "caption": "x  "}])
     more = runs.union(spark.createDataFrame([("r0", "SUCCEEDED", "d5", dt.datetime(2024, 1, 1)),
                                              ("r9", "SUCCEEDED", "gone", dt.datetime(2023, 1, 1))], runs.schema))
-    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "cap"))
     a8, a11 = jobs.backfill_runs(spark, more, str(ds), "instagram", wh)
     assert [tuple(r) for r in a8.collect()] == [("instagram", 5, 3)]
     assert sorted(tuple(r) for r in a11.collect()) == [(1, 2, 2), (2, 1, 3), (3, 0, 3), (4, 0, 3)]
@@ -84,7 +84,7 @@ def test_discovery_job(spark, tmp_path):
 
 
 def test_daily_run(spark, tmp_path):
-    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "cap"))
     now = dt.datetime(2025, 10, 6, 8)
     schema = "influencer_name string, caption string, post_url string, post_date string, ord long"
     sources = {
@@ -106,10 +106,13 @@ def test_second_daily_run_keeps_the_first_day(spark, tmp_path):
     discounts = spark.createDataFrame([(1, "zalando, other, 5, q, 09-01")], "ord long, line string")
     for day, row in ((6, ("anna", "code SUMMER20 @zalando 20%", "https://p/1", "2025-10-05T00:00:00", 1)),
                      (7, ("cat", "kortingscode CAT10 @nakd", "https://p/9", "2025-10-06T00:00:00", 1))):
-        wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))  # as a new process
+        wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "cap"))  # as a new process
         lines = jobs.daily_run(spark, wh, {"instagram": spark.createDataFrame([row], schema)}, dt.date(2025, 10, day),
                                dt.datetime(2025, 10, 1), dt.datetime(2025, 10, 1), discounts,
                                dt.datetime(2025, 10, day, 8), source_texts=texts).orderBy("line_no").collect()
+        first_day = sorted(f.name for f in (tmp_path / "cap").rglob("inserted_on=2025-10-06/*.parquet"))
+        before = first_day if day == 6 else before
+    assert first_day == before  # the second day's updates rewrote the second day only
     assert [r.line for r in lines] == ['"zalando, SUMMER20, 20, anna, 10-06",    https://p/1',
                                        '"nakd, CAT10, 10, cat, 10-07",    https://p/9']
     assert all(r.ai_analysis for r in wh.captions(spark).collect())
@@ -118,7 +121,7 @@ def test_second_daily_run_keeps_the_first_day(spark, tmp_path):
 def test_mention_backfill_and_job_sinks(spark, tmp_path):
     write(tmp_path / "m" / "a.json", [{"ownerUsername": "u", "caption": "c", "url": "x", "timestamp": "2025-01-01"},
                                       {"ownerUsername": "u", "caption": "c", "url": ""}])
-    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_root=str(tmp_path / "cap"))
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "cap"))
     a8, scanned = jobs.backfill_mentions(spark, str(tmp_path / "m"), wh)
     assert [tuple(r) for r in a8.collect()] == [("instagram", 1, 1)]
     assert tuple(scanned.first()) == (2, 1)
