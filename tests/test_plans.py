@@ -43,8 +43,15 @@ def test_scan_reads_only_needed_columns(spark):
 
 def test_no_query_pairs_all_rows(spark):
     """No registered query plans a cross join or a row-at-a-time Python UDF."""
-    import __spark_entry__ as E
-    for name, q in E.queries().items():
+    from promolens.plans.source_queries import QUERIES
+    for name, q in QUERIES.items():
         p = plan(q(spark, SF))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
             assert bad not in p, (name, bad)
+
+
+def test_dump_trees_are_scanned_and_parsed_once(spark, tmp_path):
+    from promolens.sources import posts as P
+    (tmp_path / "a.json").write_text("[]")
+    p = plan(P.json_tree_posts(spark, str(tmp_path)))
+    assert p.count("FileScan text") == 1 and p.count("from_json") <= 1
