@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Callable
+from types import ModuleType
 from typing import Any
 
 from pyspark import Broadcast
@@ -61,6 +63,18 @@ def ship(module_name: str) -> None:
     register_by_value(sys.modules[module_name])
 
 
+def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker process keeps from task to task.
+
+    Shipped functions come with fresh globals for every task, so it hangs on a
+    module of its own. Only for what is the same whenever it is made.
+    """
+    home = sys.modules.setdefault("_kept_by_worker", ModuleType("_kept_by_worker"))
+    if name not in vars(home):
+        vars(home)[name] = make()
+    return vars(home)[name]
+
+
 def send(spark: SparkSession, thing: object | None) -> Broadcast:
     """Broadcast an object's attributes (plain data, so executors need no install)."""
     return spark.sparkContext.broadcast(None if thing is None else dict(vars(thing)))

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, received, send, ship, small_batches, written
-from .wordpiece import Automaton, WordCounts, byte_vocabulary, text_counts
+from .common import columns_of, kept_by_worker, received, send, ship, small_batches, written
+from .wordpiece import Automaton, byte_vocabulary, text_counts, word_counts
 
 DIM = 1 << 18
 #: Most labelled documents of the fit, chosen by a hash of their ids.
@@ -39,7 +39,7 @@ TEMPERATURE = 0.7
 MARGIN = 1.02
 #: Steps end when every domain is this close to its target, as a share of it.
 CLOSE, MOST_STEPS = 1e-6, 200
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -137,7 +137,8 @@ def posteriors(docs: DataFrame, model: DomainModel, vocabulary_path: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent_model, DomainModel)
-        slots, counts = WordSlots(), WordCounts(received(sent_automaton, Automaton))
+        slots = kept_by_worker("mixing words", WordSlots)
+        counts = word_counts(vocabulary_path, sent_automaton)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays(

@@ -15,15 +15,16 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, received, send, ship, small_batches
+from .common import columns_of, kept_by_worker, received, send, ship, small_batches
 
 #: Words: runs of letters, digits and underscores, or single other signs.
 WORD = re.compile(r"\w+|[^\w\s]")
 #: Distinct words whose counts a worker remembers before it starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -122,6 +123,11 @@ class WordCounts(dict):
         return found
 
 
+def word_counts(vocabulary_path: str, shared: Broadcast) -> WordCounts:
+    """The counts that this worker knows for the vocabulary, from task to task."""
+    return kept_by_worker(f"counts {vocabulary_path}", lambda: WordCounts(received(shared, Automaton)))
+
+
 def text_counts(text: str | None, counts: WordCounts) -> tuple[int, int]:
     """(words, tokens) of a text."""
     words = WORD.findall(text or "")
@@ -145,7 +151,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     shared = send(spark, Automaton(byte_vocabulary(vocabulary_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = WordCounts(received(shared, Automaton))
+        counts = word_counts(vocabulary_path, shared)
         for batch in batches:
             found = [text_counts(t, counts) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
