@@ -71,7 +71,10 @@ def check(rows, got, capacity):
 
 
 def test_pieces_are_those_of_the_tokenizer(spark):
-    rows = texts() + [(90, "It's 3.5% OF <|endoftext|> x.,y  É́ don't"), (91, "İ ΣΣ. ẞ \x1c a\x0bb")]
+    rows = texts() + [(90, "It's 3.5% OF <|endoftext|> <|ENDOFTEXT|> x.,y  \u00c9 E\u0301 don't"),
+                      (91, "\u0130 \u03a3\u03a3. \u1e9e \x1c a\x0bb"), (92, "GR\u00dcN \u00c7a, \u00c9T\u00c9."),
+                      (93, "\u212b\u2126 \u00aa\u00b2 \u00b5, \ufb01n..  . , rr*** a_ b\"' x' c<|endoftext|> d<| e|>"),
+                      (94, "s' t'. 'll 9's. --a- b--c")]
     check(rows, pack(frame(spark, rows), PATH).collect(), 2048)
     check(rows, pack(frame(spark, rows), PATH, capacity=64).collect(), 64)
 
