@@ -55,6 +55,11 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
 
+    def stays_letters(self, stem: str) -> bool:
+        """Whether the tokenizer reads letters only: it may turn a letter into a
+        letter and a mark, and a mark joins the signs that follow."""
+        return self.tokenizer.normalizer.normalize_str(stem).isalpha()
+
     def learn(self, words: set[str]) -> None:
         """Adds the missing words."""
         if len(self) >= MEMO_WORDS:
@@ -64,7 +69,7 @@ class WordIds(dict):
         for w in list(fresh):
             if w[-1:] in ENDS:
                 stem = w.rstrip(ENDS)
-                if stem.isalpha():
+                if stem.isalpha() and (stem.isascii() or self.stays_letters(stem)):
                     tails.append((w, stem, w[len(stem):]))
                     fresh.discard(w)
         fresh.update(x for _, stem, end in tails for x in (stem, end))

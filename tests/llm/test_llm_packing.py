@@ -83,3 +83,9 @@ def test_awkward_rows_and_empty_table(spark):
     rows = [(r.doc_id, r.text) for r in awkward(spark).collect()]
     check(rows, pack(awkward(spark), PATH).collect(), 2048)
     assert pack(empty(spark), PATH).collect() == []
+
+
+def test_signs_after_letters_that_become_letter_and_mark(spark):
+    rows = [(1, "B\u0130TT\u0130. B\u0130R, \u0130! \u0130st."), (2, "\u0915\u0958. \u0958! \u0958\u0915, \u0915."),
+            (3, "\ufb1d. \u05d0\ufb2a, \u05d0."), (4, "\u00c9T\u00c9. gr\u00fcn, \u03a3\u03a3. \u212b; \uac00. \u1100\u1161!")]
+    check(rows, pack(frame(spark, rows), PATH).collect(), 2048)
