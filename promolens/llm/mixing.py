@@ -1,7 +1,7 @@
 """Mixing to target weights with soft domain membership.
 
-A softmax classifier over hashed words, fitted on a bounded sample of a labelled
-table, gives every document a posterior over the domains.  The rates (how often
+A softmax classifier over hashed words, fitted on a bounded sample of every domain
+of a labelled table, gives every document a posterior over the domains.  The rates (how often
 a document is to be used) are the nonnegative least-squares solution nearest to
 using every document once:
 
@@ -29,9 +29,10 @@ from .common import columns_of, kept_by_worker, received, send, ship, small_batc
 from .wordpiece import Automaton, byte_vocabulary, text_counts, word_counts
 
 DIM = 1 << 18
-#: Most labelled documents of the fit, chosen by a hash of their ids.
-FIT_ROWS = 3000
-#: A word needs as many texts of the sample to count.
+#: About as many labelled documents of the fit, chosen by a hash of their ids in equal
+#: numbers from every domain, and about as many at least from each (or all it has).
+FIT_ROWS, LEAST_ROWS = 3000, 20
+#: A word needs as many texts of the sample to count, or half of a small domain's.
 SUPPORT = 5
 #: Target weights are the present shares to this power, unless they are given.
 TEMPERATURE = 0.7
@@ -82,20 +83,31 @@ class DomainModel:
         return softmax(self.prior + mean)
 
 
-def fit(slots: list[np.ndarray], labels: list[str], rounds: int = 150, rate: float = 0.5) -> DomainModel:
-    """Maximum likelihood by Adam steps over the whole sample."""
-    domains = sorted(set(labels))
+def fit(slots: list[np.ndarray], labels: list[str], counts: dict[str, int],
+        rounds: int = 150, rate: float = 0.5) -> DomainModel:
+    """Maximum likelihood by Adam steps over the whole sample.
+
+    ``counts`` has all domains, with their numbers of labelled documents.  The
+    words are fitted beside the domains' shares of the sample; the model's priors
+    are their shares of all labelled documents.  A domain without a text in the
+    sample has prior 0.
+    """
+    domains = sorted(counts)
     y = np.array([domains.index(v) for v in labels])
     n, k = len(y), len(domains)
     lens = np.array([len(s) for s in slots])
     flat, owner = np.concatenate([*slots, np.empty(0, np.int64)]).astype(np.int64), np.repeat(np.arange(n), lens)
+    own = np.bincount(y, minlength=k)
     frequent = np.bincount(flat, minlength=DIM) >= min(SUPPORT, n / k)
+    for j in np.flatnonzero(own):
+        frequent |= np.bincount(flat[y[owner] == j], minlength=DIM) >= min(SUPPORT, own[j] / 2)
     weights = np.zeros((DIM, k), np.float32)
     inside = frequent[flat]
     used, cols = np.unique(flat[inside], return_inverse=True)
     owner = owner[inside]
     scale = 1.0 / np.maximum(lens, 1)
-    prior = np.log(np.bincount(y, minlength=k) / n)
+    with np.errstate(divide="ignore"):
+        prior = np.log(own / n)
     w = np.zeros((len(used), k))
     first, second = np.zeros_like(w), np.zeros_like(w)
     hot = np.eye(k)[y]
@@ -108,14 +120,27 @@ def fit(slots: list[np.ndarray], labels: list[str], rounds: int = 150, rate: flo
         second += 0.01 * (g * g - second)
         w -= rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-10)
     weights[used] = w
-    return DomainModel(weights, prior, domains)
+    whole = np.where(own > 0, np.maximum([counts[d] for d in domains], 1), 0)
+    with np.errstate(divide="ignore"):
+        return DomainModel(weights, np.log(whole / whole.sum()), domains)
 
 
-def labelled_sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[list, list]:
-    """Hashed words and domains of at most ``limit`` labelled documents."""
-    few = (columns_of(labelled, "doc_id", "domain").where("doc_id IS NOT NULL AND domain IS NOT NULL")
-           .groupBy("doc_id").agg(F.min("domain").alias("domain"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))  # bounded, so it may be broadcast
+def labelled_sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[list, list, dict[str, int]]:
+    """Hashed words and domains of a sample of every domain, and the number of
+    documents of all domains of the labelled table (0 if none is in ``docs``)."""
+    spark = docs.sparkSession
+    here = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("here", F.lit(1))
+    pairs = written(columns_of(labelled, "doc_id", "domain").where("domain IS NOT NULL").distinct()
+                    .join(here, "doc_id", "left"))
+    counts = {r.domain: r.n for r in pairs.groupBy("domain").agg(F.count("here").alias("n")).collect()}
+    if not any(counts.values()):
+        return [], [], counts
+    each = max(LEAST_ROWS, limit // len(counts))
+    bounds = spark.createDataFrame([(d, min(1.0, each / n)) for d, n in counts.items() if n],
+                                   "domain string, bound double")
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    few = (pairs.where("here IS NOT NULL").join(F.broadcast(bounds), "domain")
+           .where(spread < F.col("bound")).select("doc_id", "domain"))  # bounded, so it may be broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = WordSlots()
@@ -127,7 +152,7 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[l
     rows = (docs.join(F.broadcast(few), "doc_id").select("domain", "text")
             .mapInArrow(run, "domain string, slots array<long>").collect())
     distinct = sorted({(r.domain, tuple(r.slots)) for r in rows})  # copies count once
-    return [np.array(s, np.int64) for _, s in distinct], [d for d, _ in distinct]
+    return [np.array(s, np.int64) for _, s in distinct], [d for d, _ in distinct], counts
 
 
 def posteriors(docs: DataFrame, model: DomainModel, vocabulary_path: str) -> DataFrame:
@@ -187,11 +212,13 @@ def solve(soft: DataFrame, targets: np.ndarray, least: float) -> np.ndarray:
     """The moves (one number per domain) of the projected gradient steps."""
     k = len(targets)
     moves = np.zeros(k)
-    inverse = np.linalg.pinv(gram(soft, k), rcond=1e-10)
+    pairs = gram(soft, k)
+    met = np.diag(pairs) > 0  # no rate brings tokens to a domain without documents
+    inverse = np.linalg.pinv(pairs, rcond=1e-10)
     best, best_moves = np.inf, moves
     for _ in range(MOST_STEPS):
         miss = domain_totals(soft, rate_column(moves, least), k) - targets
-        worst = float(np.max(np.abs(miss) / np.maximum(targets, 1.0)))
+        worst = float(np.max((np.abs(miss) / np.maximum(targets, 1.0))[met], initial=0.0))
         if worst < best:
             best, best_moves = worst, moves
         if worst <= CLOSE:
@@ -205,22 +232,24 @@ def mix(docs: DataFrame, labelled: DataFrame, vocabulary_path: str,
         least: float = 0.0, fit_rows: int = FIT_ROWS) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, domain, posterior, rate``.
 
-    ``labelled`` has ``doc_id`` and a text ``domain``.  ``weights`` are the target
+    ``labelled`` has ``doc_id`` and a text ``domain``; a document may have several.
+    The domains are all of this table and of ``weights``.  ``weights`` are the target
     shares of the domains' tokens (domains left out: 0); by default the present
     shares to the power ``TEMPERATURE``.  ``total`` is the target number of
     tokens; by default the least that cuts no domain, times ``MARGIN``.  ``least``
     is the smallest rate allowed.  ``posterior`` is in the order of the sorted
     domains; ``domain`` is the likeliest, ties going to the first.  Where targets
     cannot be met (a domain without documents, or too high a ``least``) the rates
-    come as close as the steps got.  Null and empty texts have the priors and no
+    come as close as the steps got; the other domains' targets stay the same.  Null and empty texts have the priors and no
     tokens.  Without labelled documents there is one unnamed domain and every
     rate is 1.  Repeated rows and null ids give a row each; an empty table gives
     none; other columns are ignored.
     """
     small_batches(docs.sparkSession)
     base = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    slots, names = labelled_sample(base, labelled, fit_rows)
-    model = fit(slots, names) if names else DomainModel(np.zeros((DIM, 1), np.float32), np.zeros(1), [""])
+    slots, names, counts = labelled_sample(base, labelled, fit_rows)
+    counts = dict.fromkeys(weights or (), 0) | counts
+    model = fit(slots, names, counts) if names else DomainModel(np.zeros((DIM, 1), np.float32), np.zeros(1), [""])
     soft = written(posteriors(base, model, vocabulary_path))
     k = len(model.domains)
     if names:

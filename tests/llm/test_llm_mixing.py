@@ -67,3 +67,28 @@ def test_awkward_rows(spark):
     assert {r.rate for r in alone} == {1.0} and len(alone) == awkward(spark).count()
     impossible = mix(frame(spark, corpus(40)), labels, PATH, {"a": 0.5, "zzz": 0.5}).collect()
     assert all(r.rate >= 0 for r in impossible)
+
+
+def rare_corpus():
+    latin = "arma virumque cano troiae qui primus ab oris italiam fato profugus".split()
+    rng = random.Random(5)
+    return [(i, " ".join(rng.choices(latin, k=30)) if i in (301, 733) else t) for i, t in corpus(900)]
+
+
+def test_a_rare_domain_is_kept_and_meets_its_target(spark):
+    rows = rare_corpus()
+    labels = spark.createDataFrame([(i, "la" if i in (301, 733) else "de" if i % 4 == 0 else "en") for i, _ in rows],
+                                   "doc_id long, domain string")
+    got = mix(frame(spark, rows), labels, PATH, {"de": 0.4, "en": 0.5, "la": 0.1}, 30000.0, fit_rows=60).collect()
+    posterior = np.array([r.posterior for r in got])
+    assert {r.doc_id for r in got if r.domain == "la"} == {301, 733}
+    assert np.mean([r.domain == ("de" if r.doc_id % 4 == 0 else "en") for r in got if r.domain != "la"]) > 0.97
+    sums = posterior.T @ np.array([r.rate * r.n_tokens for r in got])
+    assert np.allclose(sums, [12000, 15000, 3000], atol=5)
+
+
+def test_a_weight_without_documents_does_not_raise_the_others(spark):
+    rows = corpus()
+    got = mix(frame(spark, rows), labelled(spark, rows), PATH, {"de": 0.4, "en": 0.4, "zzz": 0.2}, 10000.0).collect()
+    sums = np.array([r.posterior for r in got]).T @ np.array([r.rate * r.n_tokens for r in got])
+    assert np.allclose(sums, [4000, 4000, 0], atol=5)
