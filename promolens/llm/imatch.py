@@ -52,9 +52,9 @@ def lookup_literal(spark, lexicon: list[str], buckets: int = BUCKETS) -> Column:
     return F.split(F.lit("|".join(table)), r"\|", -1)
 
 
-def kept_terms(text: Column, lookup: Column, buckets: int = BUCKETS) -> Column:
-    """The sorted distinct lexicon terms of a text."""
-    return F.sort_array(F.filter(terms_of(text), lambda t: F.contains(
+def kept_terms(terms: Column, lookup: Column, buckets: int = BUCKETS) -> Column:
+    """The lexicon terms among distinct terms, sorted."""
+    return F.sort_array(F.filter(terms, lambda t: F.contains(
         F.get(lookup, F.pmod(F.xxhash64(t), F.lit(buckets)).cast("int")),
         F.concat(F.lit(" "), t, F.lit(" ")))))
 
@@ -72,15 +72,19 @@ def with_fingerprint(df: DataFrame, source: str, name: str, lookup: Column,
                      subsets: tuple[int, ...] = SUBSETS) -> DataFrame:
     """Adds column ``name``: the hashes of column ``source`` joined by colons.
 
-    A text without lexicon terms is named by its own hash.  Each step is a
-    column of its own, so that no step is computed once per use.
+    A text without lexicon terms has the hashes of all its own terms, marked by
+    ``~``; one without any term is named by its own hash.  Each step is a column
+    of its own, so that no step is computed once per use.
     """
-    terms, hashes = f"{name}_terms", f"{name}_hashes"
-    return (df.withColumn(terms, kept_terms(F.col(source), lookup))
+    every, kept, terms, hashes = (f"{name}_{x}" for x in ("every", "kept", "terms", "hashes"))
+    bare = F.size(kept) == 0
+    return (df.withColumn(every, terms_of(F.col(source)))
+            .withColumn(kept, kept_terms(F.col(every), lookup))
+            .withColumn(terms, F.when(bare, F.sort_array(every)).otherwise(F.col(kept)))
             .withColumn(hashes, subset_hashes(F.col(terms), subsets))
             .withColumn(name, F.when(F.size(terms) == 0, F.concat(F.lit("="), F.sha2(source, 256)))
-                        .otherwise(F.concat_ws(":", hashes)))
-            .drop(terms, hashes))
+                        .otherwise(F.concat(F.when(bare, "~").otherwise(""), F.concat_ws(":", hashes))))
+            .drop(every, kept, terms, hashes))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -135,8 +139,9 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND,
     the first as many (or all) of the next document, by descending ``doc_id``.
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``.  A null text counts as empty; a text without
-    lexicon terms has a fingerprint of its own hash, so that equal texts always
-    have equal fingerprints and other such texts are unlike.  Repeated rows each
+    lexicon terms has a fingerprint of all its own terms (after ``~``), and one
+    without any term that of its own hash, so that equal texts always have equal
+    fingerprints and other texts without terms are unlike.  Repeated rows each
     count as a document; null ids come last.  An empty table gives no rows;
     other columns are ignored.
     """

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from llm_fixtures import awkward, empty, frame, texts
 
@@ -41,3 +42,15 @@ def test_one_row_and_awkward_rows(spark):
 def test_no_python_in_the_plan(spark):
     plan = fingerprints(frame(spark, texts()), BAND)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_near_copies_that_are_a_third_of_the_rows_are_alike(spark):
+    rng = random.Random(4)
+    form = [f"form{k}" for k in range(60)]
+    copies = [(i, " ".join([*form[:i % 60], f"edit{i}", *form[i % 60 + 1:]])) for i in range(200)]
+    others = [(i, " ".join(f"w{rng.randrange(900)}" for _ in range(30))) for i in range(200, 600)]
+    got = {r.doc_id: r for r in fingerprints(frame(spark, copies + others)).collect()}
+    alike = [got[i].near_next for i in range(1, 200)]  # the next is another copy
+    assert min(alike) > 0 and sum(alike) / len(alike) > 0.4
+    assert got[200].near_next == 0  # the next is a copy, this is none
+    assert len({got[i].fingerprint for i in range(200)}) > 150
