@@ -2,10 +2,10 @@
 
 Lengths are whole numbers up to the capacity, so documents and gaps, sorted by
 size, fall into at most ``capacity`` runs of equals each, whatever the corpus.
-The rounds work on these runs: from the longest documents down, a run of
-documents sweeps to the smallest gap that holds it; documents that want the same
-gap are ranked, the ranks that fit take the places, the gaps shrink, and the
-rest sweeps on; what finds no gap opens new sequences.  The outcome is a short
+A sequential loop on the driver (not distributed rounds) works on these runs:
+from the longest documents down, a run of documents goes to the smallest gap that
+holds it; as many as there are places take them, the gaps shrink, and the rest
+goes on; what finds no gap opens new sequences.  The outcome is a short
 table "documents of this length with these ranks go to these sequences"; its
 size is bounded by the capacity alone.  Tokenising, ranking and placing the
 single documents is distributed.
