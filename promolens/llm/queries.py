@@ -138,7 +138,7 @@ ORACLE: dict[str, str] = {
                 '[.,;:!?\x0A-\x0D]')) AS piece
             FROM documents),
         words AS (
-            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS ws FROM pieces),
+            SELECT lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] AS ws FROM pieces),
         totals AS (SELECT lang, sum(len(ws)) AS n FROM words GROUP BY lang),
         grams AS (
             SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ') for i in range(1, len(ws) - k + 2)]) AS phrase
