@@ -34,13 +34,13 @@ from .common import columns_of, ship, small_batches, text_or_empty, written
 #: A phrase has from 2 to as many words, and occurs at least as often.
 MOST_WORDS, LEAST = 5, 100
 #: Words (with the ends of pieces) of a block.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
 #: Side of a tile (a power of two), and the occurrences from which it is counted densely.
 SIDE_BITS, DENSE = 10, 1 << 16
 #: Tiles with coordinates below this may be dense.
 DENSE_TILES = 16
 #: Pairs that a bucket gathers before it adds them up.
-MERGE_PAIRS = 1 << 21
+MERGE_PAIRS = 1 << 20
 #: Language of texts without one.
 UNKNOWN = "und"
 
