@@ -24,6 +24,7 @@ from .pii import personal_data
 from .quality import grade_of_labels, quality_scores
 from .suffix_dedup import remove_repeats
 from .wordpiece import token_counts
+from .wrappers import main_text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,11 +116,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("top.length * 1000 div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op13_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_soft_mixing, op2_token_counts, op3_ordinal_quality, op4_personal_data,
         op5_imatch_fingerprints, op6_best_fit_packing, op7_minhash_near_dedup, op8_exact_dedup, op9_byte_gru_language, op10_suffix_dedup,
-        op11_phrase_collocations, op12_periodic_runs)}
+        op11_phrase_collocations, op12_periodic_runs, op13_html_wrappers)}
 
 ORACLE: dict[str, str] = {
     "op8_exact_dedup": r"""
