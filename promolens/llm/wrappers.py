@@ -453,7 +453,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     elements only these count, else of one with ``main`` elements these, else the whole page;
     always without elements that are hidden or named as page furniture.  Text that is the same
     on all pages of a host that have its slot, at least ``TEMPLATE_PAGES`` different ones, is the template's and
-    left out (unless that would leave the host without any text); so are, outside articles and main
+    left out (unless the host has no other text); so are, outside articles and main
     elements, slots that hold links nearly alone.
 
     Null and empty pages give an empty text with 0 characters; pages without a host
@@ -490,12 +490,15 @@ def main_text(pages: DataFrame) -> DataFrame:
                   F.approx_count_distinct("page").alias("pages"),
                   F.sum(F.length("text")).alias("chars"), F.sum("linked").alias("linked")))
     named = F.col("slot").startswith("!")
-    template = F.col("same") & (F.col("pages") >= TEMPLATE_PAGES)
-    menu = ~named & (F.col("linked") >= MENU_LINKS * F.col("chars"))
-    gone = F.col("slot").isNotNull() & (F.col("slot") != "") & (template | menu)
-    drops = written(judged.groupBy("host").agg(
-        F.collect_set(F.when(gone, F.col("slot"))).alias("gone"), F.count_if(~gone).alias("left"))
-        .where((F.size("gone") > 0) & (F.col("left") > 0)).select("host", "gone"))
+    kind = (F.when(F.col("slot") == "", "text")
+            .when(~named & (F.col("linked") >= MENU_LINKS * F.col("chars")), "menu")
+            .when(F.col("same") & (F.col("pages") >= TEMPLATE_PAGES), "template").otherwise("text"))
+    sets = judged.withColumn("kind", kind).groupBy("host").agg(
+        F.collect_set(F.when(F.col("kind") == "menu", F.col("slot"))).alias("menus"),
+        F.collect_set(F.when(F.col("kind") == "template", F.col("slot"))).alias("templates"),
+        F.count_if(F.col("kind") == "text").alias("texts"))
+    gone = F.when(F.col("texts") > 0, F.concat("menus", "templates")).otherwise(F.col("menus"))
+    drops = written(sets.select("host", gone.alias("gone")).where(F.size("gone") > 0))
     kept = F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.array_contains("gone", b["slot"]))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     out = found.join(drops, "host", "left").select("page_id", "url", text.alias("text"))

@@ -71,15 +71,14 @@ def page(body):
     ("<article>A&amp;B&nbsp;<b>c</b>d<br>e <p>f<p>g\n h</article>", "A&B cd e\nf\ng h"),
     ("<main><nav>menu</nav><h1>T</h1><div>x<div>y</div>z</div></main><p>out</p>", "T\nx\ny\nz"),
     ("<header>h</header><p>text</p><aside>s</aside><footer>f</footer><form>name <input></form>", "text"),
-    ("<article><p>a<script>if (1<2) '</p>'</script>b<style>p{}</style></p><!-- <p>no</p> --></article>", "ab".replace(
-        "ab", "a b")),
+    ("<article><p>a<script>if (1<2) '</p>'</script>b<style>p{}</style></p><!-- <p>no</p> --></article>", "a b"),
     ("<article><p>a</p><section class='comments'><p>me too</p></section><div id=sidebarLeft>s</div></article>", "a"),
     ("<div class='page with-sidebar'><article><p>a</p></article><div class=sidebar>s</div></div>", "a"),
     ("<article><p>one<div class=\"ad-slot\">buy</div><p>two</article><div class='cookie-notice'>ok</div>", "one\ntwo"),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table><p>unclosed", "a\nb\nc\nd\nunclosed"),
     ("<article><p>5 < 6 &lt;b&gt; &#233;&eacute; <3</p></article>", "5 < 6 <b> éé <3"),
     ("<div><p hidden>no</p><p aria-hidden='true'>no</p><div role=navigation>no</div><p>yes</p></div>", "yes"),
-    ("<article><p title=\"a>b\">x</p><p title='un>closed>y</p></article>", "x\ny"),
+    ("<article><p title=\"a>b\">x</p><p title='un>closed>y</p></article>", "x\nclosed>y"),
     ("<p>a <span class=ad>buy <i>now</i></span> b</p>", "a\nb"),
     ("<svg><text>no</text></svg><template><p>no</p></template><noscript>no</noscript>plain", "plain"),
     ("<nav>only a menu</nav>", ""),
@@ -94,8 +93,7 @@ def test_wrapper_has_optional_and_repeated_groups():
     a, b, c = (expression(page_tree(f"<div>{x}</div>")) for x in (
         "<h1>t</h1><p>1</p>", "<h1>t</h1><h2>s</h2><p>1</p><p>2</p><h2>s</h2><p>1</p>", "<h1>t</h1><img><ul><li>x</ul>"))
     both = merged(a, b)
-    assert written_out(both) == "<div><h1>#</h1>(<p>#</p>)?(<h2>#</h2>(<p>#</p>)+)?</div>".replace(
-        "(<p>#</p>)?(<h2>#</h2>(<p>#</p>)+)?", "(<p>#</p>)?(<h2>#</h2>(<p>#</p>)+)*") or "(<h2>" in written_out(both)
+    assert written_out(both) == "<div><h1>#</h1>(<p>#</p>)?(<h2>#</h2>(<p>#</p>)+)*</div>"
     assert written_out(b) == "<div><h1>#</h1>(<h2>#</h2>(<p>#</p>)+)+</div>"
     assert "(<ul><li>#</li></ul>)?" in written_out(merged(both, c))
     assert merged(b, b) == b
