@@ -34,7 +34,7 @@ from .common import columns_of, ship, small_batches, text_or_empty, written
 #: A phrase has from 2 to as many words, and occurs at least as often.
 MOST_WORDS, LEAST = 5, 100
 #: Words (with the ends of pieces) of a block.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 #: Side of a tile (a power of two), and the occurrences from which it is counted densely.
 SIDE_BITS, DENSE = 10, 1 << 16
 #: Tiles with coordinates below this may be dense.
@@ -174,7 +174,7 @@ def word_blocks(blocks: DataFrame, ranked: DataFrame) -> DataFrame:
                 out.append(packed(ids[numbers_in(tokens)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
-    joined = blocks.select("block", "lang", "tokens", F.size("words").alias("size")).join(written(known), "block")
+    joined = blocks.select("block", "lang", "tokens", F.size("words").alias("size")).join(written(known, large_rows=True), "block")
     return joined.mapInArrow(run, "block long, lang string, places binary")
 
 
@@ -301,7 +301,7 @@ def next_blocks(encoded: DataFrame, sent: DataFrame, ranked: DataFrame) -> DataF
                 out.append(packed(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
-    return encoded.join(written(told), "block").mapInArrow(run, "block long, lang string, places binary")
+    return encoded.join(written(told, large_rows=True), "block").mapInArrow(run, "block long, lang string, places binary")
 
 
 def numbered(frequent: DataFrame, order: list) -> DataFrame:
@@ -323,7 +323,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = columns_of(docs, "lang", "text").select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), text_or_empty().alias("text"))
-    blocks = written(blocks_of(base, block_words).withColumn("block", F.monotonically_increasing_id()))
+    blocks = written(blocks_of(base, block_words).withColumn("block", F.monotonically_increasing_id()), large_rows=True)
     counts = blocks.select("lang", F.posexplode(F.arrays_zip("words", "counts")).alias("own", "w")).where("own > 0")
     words = counts.groupBy("lang", F.col("w.words").cast("string").alias("phrase")).agg(F.sum("w.counts").alias("n"))
     totals = written(blocks.groupBy("lang").agg(
@@ -331,7 +331,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
         .alias("total")))
     ranked = numbered(words.where(F.col("n") >= least), ["phrase"])
     found = [ranked.withColumn("k", F.lit(1))]
-    encoded = written(word_blocks(blocks, ranked))
+    encoded = written(word_blocks(blocks, ranked), large_rows=True)
     for k in range(2, most_words + 1):
         sent = written(sent_pairs(encoded, buckets))
         ranked = numbered(frequent_pairs(sent, least), ["x", "y"])
@@ -343,7 +343,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
         found.append(written(ranked.join(left, ["lang", "x"]).join(right, ["lang", "y"]).select(
             "lang", "id", F.concat_ws(" ", "left", "last").alias("phrase"), "n", F.lit(k).alias("k"))))
         if k < most_words:
-            encoded = written(next_blocks(encoded, sent, ranked))
+            encoded = written(next_blocks(encoded, sent, ranked), large_rows=True)
     out = found[0].select("lang", "k", "phrase", "n")
     for f in found[1:]:
         out = out.union(f.select("lang", "k", "phrase", "n"))

@@ -38,12 +38,18 @@ def columns_of(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{found.index(n)}").alias(n) for n in names])
 
 
-def written(df: DataFrame) -> DataFrame:
+#: Parquet options for rows of several megabytes: by default sizes are checked every 100 rows.
+LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+              "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+              "parquet.block.size": str(16 << 20), "compression": "lz4raw"}
+
+
+def written(df: DataFrame, large_rows: bool = False) -> DataFrame:
     """Cut lineage: write to the shared checkpoint folder and read again."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.options(**(LARGE_ROWS if large_rows else {})).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -483,12 +483,15 @@ def main_text(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "host", "blocks"])
     found = written(base.join(wrappers, "host").select("page_id", "url", "host", "html", "wrapper").mapInArrow(
         run, f"page_id long, url string, host string, blocks {BLOCKS}"))
-    texts = F.xxhash64(F.transform("blocks", lambda b: b["text"]))
-    judged = (found.select("host", texts.alias("page"), F.explode("blocks").alias("b")).select("host", "page", "b.*")
-              .groupBy("host", "slot").agg(
-                  (F.min("text") == F.max("text")).alias("same"),
+    marks = F.transform("blocks", lambda b: F.struct(
+        b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("mark"), F.length(b["text"]).alias("chars"),
+        b["linked"].alias("linked")))  # the texts stay where they are
+    page = F.xxhash64(F.transform("marks", lambda m: m["mark"]))
+    judged = (found.select("host", marks.alias("marks")).select("host", page.alias("page"), F.explode("marks").alias("m"))
+              .select("host", "page", "m.*").groupBy("host", "slot").agg(
+                  (F.min("mark") == F.max("mark")).alias("same"),
                   F.approx_count_distinct("page").alias("pages"),
-                  F.sum(F.length("text")).alias("chars"), F.sum("linked").alias("linked")))
+                  F.sum("chars").alias("chars"), F.sum("linked").alias("linked")))
     named = F.col("slot").startswith("!")
     kind = (F.when(F.col("slot") == "", "text")
             .when(~named & (F.col("linked") >= MENU_LINKS * F.col("chars")), "menu")
