@@ -41,7 +41,7 @@ def columns_of(df: DataFrame, *names: str) -> DataFrame:
 #: Parquet options for rows of several megabytes: by default sizes are checked every 100 rows.
 LARGE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
               "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
-              "parquet.block.size": str(16 << 20), "compression": "lz4raw"}
+              "parquet.block.size": str(16 << 20), "compression": "lz4_raw"}
 
 
 def written(df: DataFrame, large_rows: bool = False) -> DataFrame:

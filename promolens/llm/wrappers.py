@@ -24,6 +24,7 @@ from __future__ import annotations
 import html
 import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -470,28 +471,26 @@ def main_text(pages: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("slot", pa.string()), ("text", pa.string()), ("linked", pa.int64())]))
         known: dict[str, list] = {}
         for batch in batches:
-            rows = []
+            rows, marks = [], []
             for host, page, text in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper")),
                                         strict=True):
                 if host not in known:
                     if len(known) >= 100:
                         known.clear()
                     known[host] = json.loads(text)
-                rows.append([{"slot": s, "text": t, "linked": n} for s, t, n in text_blocks(page, known[host])])
+                own = text_blocks(page, known[host])
+                rows.append([{"slot": s, "text": t, "linked": n} for s, t, n in own])
+                marks.append(zlib.crc32("\n".join(t for _, t, _ in own).encode("utf-8")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(rows, kind)],
-                ["page_id", "url", "host", "blocks"])
+                [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(marks, pa.int64()),
+                 pa.array(rows, kind)], ["page_id", "url", "host", "page", "blocks"])
     found = written(base.join(wrappers, "host").select("page_id", "url", "host", "html", "wrapper").mapInArrow(
-        run, f"page_id long, url string, host string, blocks {BLOCKS}"))
-    marks = F.transform("blocks", lambda b: F.struct(
-        b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("mark"), F.length(b["text"]).alias("chars"),
-        b["linked"].alias("linked")))  # the texts stay where they are
-    page = F.xxhash64(F.transform("marks", lambda m: m["mark"]))
-    judged = (found.select("host", marks.alias("marks")).select("host", page.alias("page"), F.explode("marks").alias("m"))
-              .select("host", "page", "m.*").groupBy("host", "slot").agg(
-                  (F.min("mark") == F.max("mark")).alias("same"),
-                  F.approx_count_distinct("page").alias("pages"),
-                  F.sum("chars").alias("chars"), F.sum("linked").alias("linked")))
+        run, f"page_id long, url string, host string, page long, blocks {BLOCKS}"))
+    judged = (found.select("host", "page", F.explode("blocks").alias("b")).select(
+        "host", "page", "b.slot", F.xxhash64("b.text").alias("mark"), F.length("b.text").alias("chars"), "b.linked")
+        .groupBy("host", "slot").agg(
+            (F.min("mark") == F.max("mark")).alias("same"), F.approx_count_distinct("page").alias("pages"),
+            F.sum("chars").alias("chars"), F.sum("linked").alias("linked")))
     named = F.col("slot").startswith("!")
     kind = (F.when(F.col("slot") == "", "text")
             .when(~named & (F.col("linked") >= MENU_LINKS * F.col("chars")), "menu")
