@@ -11,9 +11,9 @@ length is found the same way: a phrase of ``k`` words is a pair of overlapping p
     own, each with its dictionary; words are counted over the dictionaries.
 2.  Every block counts its own pairs.  The counts go to buckets by tile; a bucket adds
     up what all blocks sent and keeps the frequent pairs.
-3.  The numbers of the frequent pairs go back the same way: each bucket tells each
-    block about the pairs that it sent.  Nothing is broadcast and no vocabulary is
-    held whole: a task holds a block, or the pairs of a bucket.
+3.  The numbers of the frequent words and pairs go back to the blocks: as a broadcast table
+    where their count is below a bound, else the way they came: each bucket tells each
+    block about the pairs that it sent, so that a task holds a block or the pairs of a bucket.
 4.  Scores come from joins of the tables of frequent phrases: the parts of a frequent
     phrase are frequent.
 """
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from promolens.operators.ordering import rank_within_group
 
-from .common import columns_of, ship, small_batches, text_or_empty, written
+from .common import columns_of, removed, ship, small_batches, text_or_empty, written
 
 #: A phrase has from 2 to as many words, and occurs at least as often.
 MOST_WORDS, LEAST = 5, 100
@@ -41,6 +41,8 @@ SIDE_BITS, DENSE = 10, 1 << 16
 DENSE_TILES = 16
 #: Pairs that a bucket gathers before it adds them up.
 MERGE_PAIRS = 1 << 20
+#: Most frequent words, and most frequent pairs, that are broadcast: some 100 and 50 MB.
+BROADCAST_WORDS, BROADCAST_PAIRS = 500_000, 4_000_000
 #: Language of texts without one.
 UNKNOWN = "und"
 
@@ -156,8 +158,34 @@ def blocks_of(docs: DataFrame, block_words: int) -> DataFrame:
     return docs.mapInArrow(run, "lang string, tokens binary, words array<binary>, counts array<long>")
 
 
-def word_blocks(blocks: DataFrame, ranked: DataFrame) -> DataFrame:
-    """``block, lang, places``: the blocks as numbers of frequent words (-1: none)."""
+def word_blocks(blocks: DataFrame, ranked: DataFrame, most: int) -> DataFrame:
+    """``block, lang, places``: the blocks as numbers of frequent words (-1: none).
+
+    Up to ``most`` words are broadcast; more are joined to the blocks' dictionaries."""
+    if ranked.count() > most:
+        return joined_word_blocks(blocks, ranked)
+    known: dict[str, dict[bytes, int]] = {}
+    for lang, word, i in ranked.select("lang", "phrase", "id").collect():
+        known.setdefault(lang, {})[word.encode("utf-8")] = i
+    shared = blocks.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for lang, tokens, words in zip(*(batch.column(c).to_pylist() for c in ("lang", "tokens", "words")),
+                                           strict=True):
+                own = shared.value.get(lang, {})
+                ids = np.fromiter((own.get(w, -1) for w in words), np.int64, len(words))
+                ids[0] = -1  # the end of a piece
+                out.append(packed(ids[numbers_in(tokens)]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
+    return blocks.select("block", "lang", "tokens", "words").mapInArrow(
+        run, "block long, lang string, places binary")
+
+
+def joined_word_blocks(blocks: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The same for any number of frequent words."""
     own = blocks.select("block", "lang", F.posexplode("words").alias("own", "word")).where("own > 0")
     known = (own.withColumn("word", F.col("word").cast("string"))
              .join(ranked.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
@@ -174,7 +202,8 @@ def word_blocks(blocks: DataFrame, ranked: DataFrame) -> DataFrame:
                 out.append(packed(ids[numbers_in(tokens)]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
-    joined = blocks.select("block", "lang", "tokens", F.size("words").alias("size")).join(written(known, large_rows=True), "block")
+    joined = blocks.select("block", "lang", "tokens", F.size("words").alias("size")).join(
+        written(known, large_rows=True), "block")
     return joined.mapInArrow(run, "block long, lang string, places binary")
 
 
@@ -245,9 +274,45 @@ def frequent_pairs(sent: DataFrame, least: int) -> DataFrame:
             .mapInArrow(run, "lang string, bucket long, x long, y long, n long"))
 
 
-def next_blocks(encoded: DataFrame, sent: DataFrame, ranked: DataFrame) -> DataFrame:
+def pair_numbers(places: np.ndarray, codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The number of the frequent pair at every place (-1: none); ``codes`` are sorted."""
+    found = np.full(len(places), -1, np.int64)
+    if len(codes):
+        at, x, y = pairs_at(places)
+        own = (x << 32) | y
+        place = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+        found[at] = np.where(codes[place] == own, ids[place], -1)
+    return found
+
+
+def next_blocks(encoded: DataFrame, ranked: DataFrame, buckets: int, most: int) -> DataFrame:
     """``block, lang, places``: the blocks as numbers of frequent pairs (-1: none).
 
+    Up to ``most`` pairs are broadcast; more are told to the blocks by the buckets."""
+    if ranked.count() > most:
+        return told_blocks(encoded, sent_pairs(encoded, buckets), ranked)
+    table = ranked.select("lang", F.shiftleft("x", 32).bitwiseOR(F.col("y")).alias("code"), "id").toArrow()
+    langs, codes, ids = np.array(table["lang"].to_pylist(), object), table["code"].to_numpy(), table["id"].to_numpy()
+    known = {}
+    for lang in set(langs):
+        own = np.flatnonzero(langs == lang)
+        own = own[np.argsort(codes[own])]
+        known[lang] = codes[own], ids[own].astype(np.int32)
+    shared = encoded.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.empty(0, np.int64), np.empty(0, np.int32)
+        for batch in batches:
+            out = [packed(pair_numbers(numbers_in(places), *shared.value.get(lang, none))) for lang, places in zip(
+                batch.column("lang").to_pylist(), batch.column("places").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
+    return encoded.mapInArrow(run, "block long, lang string, places binary")
+
+
+def told_blocks(encoded: DataFrame, sent: DataFrame, ranked: DataFrame) -> DataFrame:
+    """The same for any number of frequent pairs.
+
     The frequent pairs of a bucket come before what the blocks sent to it, so a task
     holds those of one bucket and answers block by block.
     """
@@ -291,14 +356,7 @@ def next_blocks(encoded: DataFrame, sent: DataFrame, ranked: DataFrame) -> DataF
                 codes = np.concatenate([np.frombuffer(t["codes"], np.int64) for t in told])
                 ids = np.concatenate([numbers_in(t["ids"]) for t in told])
                 order = np.argsort(codes)
-                codes, ids = codes[order], ids[order]
-                places = numbers_in(places)
-                at, x, y = pairs_at(places)
-                own = (x << 32) | y
-                place = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
-                found = np.full(len(places), -1, np.int64)
-                found[at] = np.where(codes[place] == own, ids[place], -1)
-                out.append(packed(found))
+                out.append(packed(pair_numbers(numbers_in(places), codes[order], ids[order])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
     return encoded.join(written(told, large_rows=True), "block").mapInArrow(run, "block long, lang string, places binary")
@@ -315,7 +373,8 @@ def numbered(frequent: DataFrame, order: list) -> DataFrame:
 
 # ------------------------------------------------------------------- phrases
 def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS,
-                     block_words: int = BLOCK_WORDS, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+                     block_words: int = BLOCK_WORDS, buckets: int | None = None,
+                     broadcast: tuple[int, int] = (BROADCAST_WORDS, BROADCAST_PAIRS)) -> tuple[DataFrame, DataFrame]:
     """(``lang, k, phrase, n`` of all phrases of up to ``most_words`` words that occur
     ``least`` times, and ``lang, total`` words)."""
     spark = docs.sparkSession
@@ -331,10 +390,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
         .alias("total")))
     ranked = numbered(words.where(F.col("n") >= least), ["phrase"])
     found = [ranked.withColumn("k", F.lit(1))]
-    encoded = written(word_blocks(blocks, ranked), large_rows=True)
+    encoded = written(word_blocks(blocks, ranked, broadcast[0]), large_rows=True)
+    removed(blocks)
     for k in range(2, most_words + 1):
-        sent = written(sent_pairs(encoded, buckets))
-        ranked = numbered(frequent_pairs(sent, least), ["x", "y"])
+        ranked = numbered(frequent_pairs(sent_pairs(encoded, buckets), least), ["x", "y"])
         if ranked.isEmpty():
             break
         parts = found[-1].select("lang", "id", "phrase")
@@ -343,7 +402,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
         found.append(written(ranked.join(left, ["lang", "x"]).join(right, ["lang", "y"]).select(
             "lang", "id", F.concat_ws(" ", "left", "last").alias("phrase"), "n", F.lit(k).alias("k"))))
         if k < most_words:
-            encoded = written(next_blocks(encoded, sent, ranked), large_rows=True)
+            last, encoded = encoded, written(next_blocks(encoded, ranked, buckets, broadcast[1]), large_rows=True)
+            removed(last)
     out = found[0].select("lang", "k", "phrase", "n")
     for f in found[1:]:
         out = out.union(f.select("lang", "k", "phrase", "n"))
@@ -351,7 +411,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
 
 
 def collocations(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS, absorbed_at: int = 100,
-                 block_words: int = BLOCK_WORDS, buckets: int | None = None) -> DataFrame:
+                 block_words: int = BLOCK_WORDS, buckets: int | None = None,
+                 broadcast: tuple[int, int] = (BROADCAST_WORDS, BROADCAST_PAIRS)) -> DataFrame:
     """One row per phrase: ``lang, phrase, k, a, l, r, n, score``.
 
     Texts are lower-cased (A-Z), split into pieces at ``.,;:!?`` and line ends, and those
@@ -366,7 +427,7 @@ def collocations(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WOR
     rows count each; ids are not read; an empty table gives no rows; other columns are
     ignored.
     """
-    phrases, totals = frequent_phrases(docs, least, most_words, block_words, buckets)
+    phrases, totals = frequent_phrases(docs, least, most_words, block_words, buckets, broadcast)
     phrases = written(phrases)
     longer = phrases.where("k > 1")
     part = phrases.select("lang", F.col("phrase").alias("part"), F.col("n").alias("times"))

@@ -50,7 +50,17 @@ def written(df: DataFrame, large_rows: bool = False) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.options(**(LARGE_ROWS if large_rows else {})).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned and that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small_batches(spark: SparkSession) -> None:

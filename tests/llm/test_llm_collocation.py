@@ -53,7 +53,7 @@ def result(spark, rows, least, first=2000, **more):
     return sorted(tuple(r) for r in found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())
 
 
-@pytest.mark.parametrize("least, absorbed, more", [(3, 100, {}), (5, 60, {"block_words": 50, "buckets": 3})])
+@pytest.mark.parametrize("least, absorbed, more", [(3, 100, {}), (5, 60, {"block_words": 50, "buckets": 3, "broadcast": (0, 0)})])
 def test_equal_to_counts_of_all_sequences(spark, least, absorbed, more):
     rows = made(least, 120)
     want = brute(rows, least, absorbed_at=absorbed)
@@ -61,14 +61,9 @@ def test_equal_to_counts_of_all_sequences(spark, least, absorbed, more):
     assert result(spark, rows, least, absorbed_at=absorbed, **more) == want
 
 
-def test_first_of_each_language(spark):
-    rows = made(9, 60)
-    assert result(spark, rows, 3, first=4) == brute(rows, 3, first=4)
-
-
 def test_one_language_and_copies_hold_nearly_all_rows(spark):
     rows = [("en", "the same words come back. again and again")] * 300 + made(2, 20)
-    assert result(spark, rows, 10, block_words=400) == brute(rows, 10)
+    assert result(spark, rows, 10, first=4, block_words=400) == brute(rows, 10, first=4)
 
 
 def test_dense_and_sorted_tiles_count_alike(monkeypatch):
