@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ from .common import columns_of, removed, ship, small_batches, text_or_empty, wri
 
 #: A phrase has from 2 to as many words, and occurs at least as often.
 MOST_WORDS, LEAST = 5, 100
-#: Words (with the ends of pieces) of a block.
-BLOCK_WORDS = 1 << 19
+#: Words (with the ends of pieces) of a block, and about as many whose pairs are counted at once.
+BLOCK_WORDS, COUNT_WORDS = 1 << 17, 1 << 20
 #: Side of a tile (a power of two), and the occurrences from which it is counted densely.
 SIDE_BITS, DENSE = 10, 1 << 16
 #: Tiles with coordinates below this may be dense.
@@ -164,22 +165,23 @@ def word_blocks(blocks: DataFrame, ranked: DataFrame, most: int) -> DataFrame:
     Up to ``most`` words are broadcast; more are joined to the blocks' dictionaries."""
     if ranked.count() > most:
         return joined_word_blocks(blocks, ranked)
-    known: dict[str, dict[bytes, int]] = {}
-    for lang, word, i in ranked.select("lang", "phrase", "id").collect():
-        known.setdefault(lang, {})[word.encode("utf-8")] = i
+    known: dict[str, list[bytes]] = {}
+    for lang, word in ranked.orderBy("lang", "id").select("lang", "phrase").collect():
+        known.setdefault(lang, []).append(word.encode("utf-8"))
     shared = blocks.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = {lang: pa.array(words, pa.binary()) for lang, words in shared.value.items()}
         for batch in batches:
-            out = []
-            for lang, tokens, words in zip(*(batch.column(c).to_pylist() for c in ("lang", "tokens", "words")),
-                                           strict=True):
-                own = shared.value.get(lang, {})
-                ids = np.fromiter((own.get(w, -1) for w in words), np.int64, len(words))
+            for block, lang, tokens, words in zip(*(batch.column(c) for c in ("block", "lang", "tokens", "words")),
+                                                  strict=True):
+                own = sets.get(lang.as_py(), pa.array([], pa.binary()))
+                # a word's number is its place among the frequent ones
+                ids = pc.index_in(words.values, value_set=own).fill_null(-1).to_numpy(zero_copy_only=False).copy()
                 ids[0] = -1  # the end of a piece
-                out.append(packed(ids[numbers_in(tokens)]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block.as_py()]), pa.array([lang.as_py()]),
+                     pa.array([packed(ids[numbers_in(tokens.as_py())])], pa.binary())], ["block", "lang", "places"])
     return blocks.select("block", "lang", "tokens", "words").mapInArrow(
         run, "block long, lang string, places binary")
 
@@ -213,26 +215,41 @@ def pairs_at(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, places[at], places[at + 1]
 
 
-def sent_pairs(encoded: DataFrame, buckets: int) -> DataFrame:
-    """``lang, bucket, block, x, y, n``: what every block sends to every bucket."""
+def sent_pairs(encoded: DataFrame, buckets: int, count_words: int) -> DataFrame:
+    """``lang, bucket, block, x, y, n``: what blocks send to every bucket.
+
+    A task's blocks of a language are counted together, up to about ``count_words``
+    words (0: every block alone); ``block`` is the last of them."""
+
+    def counted(lang: str, block: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        x, y, n = count_pairs(*pairs_at(np.concatenate(parts))[1:])
+        bucket = bucket_of(x, y, buckets)
+        order = np.lexsort((y, x, bucket))
+        bucket = bucket[order]
+        x, y, n = packed(x[order]), packed(y[order]), packed(n[order])
+        if not len(bucket):
+            return
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+        part = [[v[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for v in (x, y, n)]
+        rows = len(cuts) - 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * rows), pa.array(bucket[cuts[:-1]], pa.int64()), pa.array([block] * rows),
+             *(pa.array(p, pa.binary()) for p in part)], ["lang", "bucket", "block", "x", "y", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size, block = 0, -1
         for batch in batches:
-            for block, lang, places in zip(*(batch.column(c).to_pylist() for c in ("block", "lang", "places")),
-                                           strict=True):
-                x, y, n = count_pairs(*pairs_at(numbers_in(places))[1:])
-                bucket = bucket_of(x, y, buckets)
-                order = np.lexsort((y, x, bucket))
-                bucket = bucket[order]
-                x, y, n = packed(x[order]), packed(y[order]), packed(n[order])
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                if not len(bucket):
-                    continue
-                part = [[v[4 * a:4 * b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)] for v in (x, y, n)]
-                rows = len(cuts) - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * rows), pa.array(bucket[cuts[:-1]], pa.int64()), pa.array([block] * rows),
-                     *(pa.array(p, pa.binary()) for p in part)], ["lang", "bucket", "block", "x", "y", "n"])
+            for block, lang, places in zip(*(batch.column(c) for c in ("block", "lang", "places")), strict=True):
+                lang, block, places = lang.as_py(), block.as_py(), numbers_in(places.as_py())
+                held.setdefault(lang, []).append(np.append(places, -1))
+                size += len(places)
+                if size >= count_words:
+                    for lang, parts in held.items():
+                        yield from counted(lang, block, parts)
+                    held, size = {}, 0
+        for lang, parts in held.items():
+            yield from counted(lang, block, parts)
     return encoded.mapInArrow(run, "lang string, bucket long, block long, x binary, y binary, n binary")
 
 
@@ -290,7 +307,7 @@ def next_blocks(encoded: DataFrame, ranked: DataFrame, buckets: int, most: int)
 
     Up to ``most`` pairs are broadcast; more are told to the blocks by the buckets."""
     if ranked.count() > most:
-        return told_blocks(encoded, sent_pairs(encoded, buckets), ranked)
+        return told_blocks(encoded, sent_pairs(encoded, buckets, 0), ranked)
     table = ranked.select("lang", F.shiftleft("x", 32).bitwiseOR(F.col("y")).alias("code"), "id").toArrow()
     langs, codes, ids = np.array(table["lang"].to_pylist(), object), table["code"].to_numpy(), table["id"].to_numpy()
     known = {}
@@ -303,10 +320,11 @@ def next_blocks(encoded: DataFrame, ranked: DataFrame, buckets: int, most: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.empty(0, np.int64), np.empty(0, np.int32)
         for batch in batches:
-            out = [packed(pair_numbers(numbers_in(places), *shared.value.get(lang, none))) for lang, places in zip(
-                batch.column("lang").to_pylist(), batch.column("places").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("lang"), pa.array(out, pa.binary())], ["block", "lang", "places"])
+            for block, lang, places in zip(*(batch.column(c) for c in ("block", "lang", "places")), strict=True):
+                found = pair_numbers(numbers_in(places.as_py()), *shared.value.get(lang.as_py(), none))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block.as_py()]), pa.array([lang.as_py()]), pa.array([packed(found)], pa.binary())],
+                    ["block", "lang", "places"])
     return encoded.mapInArrow(run, "block long, lang string, places binary")
 
 
@@ -393,7 +411,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST
     encoded = written(word_blocks(blocks, ranked, broadcast[0]), large_rows=True)
     removed(blocks)
     for k in range(2, most_words + 1):
-        ranked = numbered(frequent_pairs(sent_pairs(encoded, buckets), least), ["x", "y"])
+        ranked = numbered(frequent_pairs(sent_pairs(encoded, buckets, COUNT_WORDS), least), ["x", "y"])
         if ranked.isEmpty():
             break
         parts = found[-1].select("lang", "id", "phrase")
