@@ -16,6 +16,7 @@ step is one distributed aggregation over a narrow table.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns_of, kept_by_worker, received, send, ship, small_batches, written
-from .wordpiece import Automaton, byte_vocabulary, text_counts, word_counts
+from .wordpiece import WORD, Automaton, byte_vocabulary, word_counts
 
 DIM = 1 << 18
 #: About as many labelled documents of the fit, chosen by a hash of their ids in equal
@@ -41,7 +42,7 @@ MARGIN = 1.02
 #: Steps end when every domain is this close to its target, as a share of it.
 CLOSE, MOST_STEPS = 1e-6, 200
 MEMO_WORDS = 800_000
-WORD = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def slot(word: str) -> int:
@@ -49,19 +50,40 @@ def slot(word: str) -> int:
 
 
 class WordSlots(dict):
-    """Hashed places of the words seen so far."""
+    """Hashed places of the words seen so far: of their letters, in lower case.
+
+    Most words have one place. A word without letters has -1, and one with several
+    stretches of letters a smaller number, by which ``several`` has their places.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.several: dict[int, list[int]] = {}
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        found = self[word] = slot(word)
+        places = [slot(w) for w in LETTERS.findall(word.lower())]
+        if len(places) == 1:
+            found = places[0]
+        elif not places:
+            found = -1
+        else:
+            found = -2 - len(self.several)
+            self.several[found] = places
+        self[word] = found
         return found
 
 
-def text_slots(text: str | None, slots: dict) -> np.ndarray:
-    """Hashed places of the distinct words of a text."""
-    words = set(WORD.findall((text or "").lower()))
-    return np.fromiter(map(slots.__getitem__, words), np.int64, len(words))
+def word_slots(words: list[str], slots: WordSlots) -> np.ndarray:
+    """Distinct hashed places of the words of a text."""
+    distinct = set(words)
+    if len(slots) + len(distinct) > MEMO_WORDS:  # forget between texts, not within one
+        slots.clear()
+        slots.several.clear()
+    found = set(map(slots.__getitem__, distinct))
+    found.discard(-1)
+    if found and min(found) < 0:
+        found = {p for f in found for p in (slots.several[f] if f < 0 else (f,))}
+    return np.fromiter(found, np.int64, len(found))
 
 
 def softmax(s: np.ndarray) -> np.ndarray:
@@ -146,7 +168,7 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[l
         slots = WordSlots()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("domain"), pa.array([np.sort(text_slots(t, slots))
+                [batch.column("domain"), pa.array([np.sort(word_slots(WORD.findall(t or ""), slots))
                                                    for t in batch.column("text").to_pylist()],
                                                   pa.list_(pa.int64()))], ["domain", "slots"])
     rows = (docs.join(F.broadcast(few), "doc_id").select("domain", "text")
@@ -165,11 +187,14 @@ def posteriors(docs: DataFrame, model: DomainModel, vocabulary_path: str) -> Dat
         slots = kept_by_worker("mixing words", WordSlots)
         counts = word_counts(vocabulary_path, sent_automaton)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            tokens, posteriors = [], []
+            for text in batch.column("text").to_pylist():
+                words = WORD.findall(text or "")  # read once, for the tokens and for the domain
+                tokens.append(sum(map(counts.__getitem__, words)))
+                posteriors.append(model.posterior(word_slots(words, slots)).astype(float))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([text_counts(t, counts)[1] for t in texts], pa.int64()),
-                 pa.array([model.posterior(text_slots(t, slots)).astype(float) for t in texts],
-                          pa.list_(pa.float64()))], ["doc_id", "n_tokens", "posterior"])
+                [batch.column("doc_id"), pa.array(tokens, pa.int64()),
+                 pa.array(posteriors, pa.list_(pa.float64()))], ["doc_id", "n_tokens", "posterior"])
     return docs.mapInArrow(run, "doc_id long, n_tokens long, posterior array<double>")
 
 
@@ -209,7 +234,10 @@ def target_totals(have: np.ndarray, domains: list[str], weights: dict[str, float
 
 
 def solve(soft: DataFrame, targets: np.ndarray, least: float) -> np.ndarray:
-    """The moves (one number per domain) of the projected gradient steps."""
+    """The moves (one number per domain) of the projected gradient steps.
+
+    Warns where the steps end before every domain is close to its target, be it
+    that targets are out of reach or that more steps were needed."""
     k = len(targets)
     moves = np.zeros(k)
     pairs = gram(soft, k)
@@ -224,6 +252,8 @@ def solve(soft: DataFrame, targets: np.ndarray, least: float) -> np.ndarray:
         if worst <= CLOSE:
             break
         moves = moves + inverse @ miss
+    if best > CLOSE:
+        warnings.warn(f"after {MOST_STEPS} steps a domain is {best:.2g} of its target off", stacklevel=2)
     return best_moves
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, received, send, ship, small_batches, with_plain_names
+from .common import columns_of, received, removed, send, ship, small_batches, with_plain_names, written
 
 #: Size of the hashed feature space.
 DIM = 1 << 18
@@ -109,21 +109,25 @@ class OrdinalModel:
 
 
 def fit(slots: list[np.ndarray], grades: list[int], n_grades: int = GRADES, rounds: int = 300,
-        rate: float = 0.1, decay: float = 1e-3, support: int = SUPPORT) -> OrdinalModel:
+        rate: float = 0.1, decay: float = 1e-3, useful: np.ndarray | None = None) -> OrdinalModel:
     """Maximum likelihood with weight decay, by Adam steps over the whole sample.
 
-    Features of fewer than ``support`` texts, or not related to the grade by
-    themselves (score test), carry no weight.
+    ``slots`` hold the useful features alone where these are given; else those that
+    ``useful_slots`` finds in the sample carry weight.
     """
     k = n_grades - 1
     y, n = np.asarray(grades), len(grades)
-    lens = np.array([len(s) for s in slots])
-    flat = np.concatenate([np.asarray(s, dtype=np.int32) for s in slots])
-    owner = np.repeat(np.arange(n, dtype=np.int32), lens)
-    seen = np.bincount(np.concatenate([np.unique(s) for s in slots]), minlength=DIM)
-    useful = (seen >= min(support, n / n_grades)) & (screen(flat, owner, y, n_grades) >= SCREEN)
-    flat, owner = flat[useful[flat]], owner[useful[flat]]
-    used, cols = np.unique(flat, return_inverse=True)
+    if useful is None:
+        times, texts = np.zeros((n_grades, DIM)), np.zeros(DIM)
+        for s, g in zip(slots, grades, strict=True):
+            np.add.at(times[g], s, 1)
+            texts[np.unique(s)] += 1
+        useful = useful_slots(times, texts, np.bincount(y, minlength=n_grades))
+    flat = np.concatenate([s[useful[s]] for s in slots]).astype(np.int32)
+    owner = np.repeat(np.arange(n, dtype=np.int32), [int(useful[s].sum()) for s in slots])
+    used = np.flatnonzero(np.bincount(flat, minlength=DIM))
+    cols = np.searchsorted(used, flat).astype(np.int32)
+    del flat
 
     share = np.array([np.clip((y <= j).mean(), 0.01, 0.99) for j in range(k)])
     # thresholds as the first and the logs of the gaps, so that they stay ordered
@@ -149,16 +153,20 @@ def ordered(free: np.ndarray) -> np.ndarray:
     return np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
 
 
-def screen(flat: np.ndarray, owner: np.ndarray, y: np.ndarray, n_grades: int) -> np.ndarray:
-    """Largest score statistic of each feature for the splits of the grades."""
-    total = np.bincount(flat, minlength=DIM).astype(float)
+def useful_slots(times: np.ndarray, texts: np.ndarray, per_grade: np.ndarray) -> np.ndarray:
+    """Which features carry weight: those of ``SUPPORT`` texts or more whose largest score
+    statistic, for the splits of the grades, reaches ``SCREEN``.
+
+    ``times``: occurrences by grade and feature; ``texts``: texts that have the feature;
+    ``per_grade``: texts of each grade."""
+    n_grades, n = len(per_grade), per_grade.sum()
+    total = times.sum(axis=0)
     best = np.zeros(DIM)
     for j in range(n_grades - 1):
-        above = (y > j).astype(float)
-        mean = above.mean()
-        gap = np.bincount(flat, weights=above[owner], minlength=DIM) - mean * total
+        mean = per_grade[j + 1:].sum() / n
+        gap = times[j + 1:].sum(axis=0) - mean * total
         best = np.maximum(best, np.abs(gap) / np.sqrt(np.maximum(total * mean * (1 - mean), 1e-9)))
-    return best
+    return (texts >= min(SUPPORT, n / n_grades)) & (best >= SCREEN)
 
 
 def gradients(theta: np.ndarray, s: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,11 +179,12 @@ def gradients(theta: np.ndarray, s: np.ndarray, y: np.ndarray) -> tuple[np.ndarr
     return 1 - a - b, np.array(by_theta)
 
 
-def graded_sample(docs: DataFrame, grades: DataFrame, limit: int = FIT_ROWS) -> tuple[list, list]:
-    """Hashed features and grades of at most ``limit`` graded documents.
+def graded_sample(docs: DataFrame, grades: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
+    """``grade, slots`` of at most ``limit`` graded documents (a written table).
 
     One grade per document (the lowest of repeated ones); the sample is the
-    smallest by a hash of the id, so it does not depend on the row order.
+    smallest by a hash of the id, so it does not depend on the row order.  Copies
+    count once.
     """
     few = (columns_of(grades, "doc_id", "grade").where("doc_id IS NOT NULL AND grade IS NOT NULL")
            .groupBy("doc_id").agg(F.min("grade").alias("grade"))
@@ -189,10 +198,54 @@ def graded_sample(docs: DataFrame, grades: DataFrame, limit: int = FIT_ROWS) ->
                 [batch.column("grade"),
                  pa.array([np.array(text_slots(t, memo), np.int32).tobytes()
                            for t in batch.column("text").to_pylist()], pa.binary())], ["grade", "slots"])
-    rows = (texts.join(F.broadcast(few), "doc_id").select("grade", "text")
-            .mapInArrow(run, "grade int, slots binary").collect())
-    distinct = sorted({(r.grade, bytes(r.slots)) for r in rows if r.slots})  # copies count once
-    return [np.frombuffer(s, np.int32) for _, s in distinct], [g for g, _ in distinct]
+    rows = texts.join(F.broadcast(few), "doc_id").select("grade", "text").mapInArrow(run, "grade int, slots binary")
+    return written(rows.where(F.octet_length("slots") > 0).distinct())
+
+
+def slot_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(occurrences by grade and feature, texts by feature, texts by grade), counted by the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times: dict[int, np.ndarray] = {}
+        texts: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for grade, data in zip(batch.column("grade").to_pylist(), batch.column("slots").to_pylist(), strict=True):
+                found = np.frombuffer(data, np.int32)
+                if grade not in times:
+                    times[grade], texts[grade] = np.zeros(DIM, np.int64), np.zeros(DIM, np.int64)
+                np.add.at(times[grade], found, 1)
+                texts[grade][np.unique(found)] += 1
+        for grade in times:
+            hit = np.flatnonzero(times[grade])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(hit), grade), pa.int32()), pa.array(hit, pa.int32()),
+                 pa.array(times[grade][hit], pa.int64()), pa.array(texts[grade][hit], pa.int64())],
+                ["grade", "slot", "times", "texts"])
+    table = (sample.mapInArrow(run, "grade int, slot int, times long, texts long")
+             .groupBy("grade", "slot").agg(F.sum("times").alias("times"), F.sum("texts").alias("texts")).toArrow())
+    per_grade = dict(sample.groupBy("grade").count().collect())
+    n_grades = max([GRADES, *(g + 1 for g in per_grade)])
+    grade, slots = table["grade"].to_numpy(), table["slot"].to_numpy()
+    times, texts = np.zeros((n_grades, DIM)), np.zeros(DIM)
+    times[grade, slots] = table["times"].to_numpy()
+    np.add.at(texts, slots, table["texts"].to_numpy())
+    return times, texts, np.array([per_grade.get(g, 0) for g in range(n_grades)])
+
+
+def screened(sample: DataFrame, useful: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+    """(useful features, grades) of the sample's texts: only these come to the driver."""
+    shared = sample.sparkSession.sparkContext.broadcast(np.packbits(useful).tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
+        for batch in batches:
+            found = [np.frombuffer(s, np.int32) for s in batch.column("slots").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("grade"), pa.array([s[good[s]].tobytes() for s in found], pa.binary())],
+                ["grade", "slots"])
+    table = sample.mapInArrow(run, "grade int, slots binary").toArrow()
+    rows = sorted(zip(table["grade"].to_pylist(), table["slots"].to_pylist(), strict=True))
+    return [np.frombuffer(s, np.int32) for _, s in rows], [g for g, _ in rows]
 
 
 class WordWeights(dict):
@@ -212,8 +265,15 @@ class WordWeights(dict):
 def model_of(docs: DataFrame, grades: DataFrame, fit_rows: int) -> OrdinalModel | None:
     """The fitted model; None without any graded document."""
     small_batches(docs.sparkSession)
-    slots, known = graded_sample(docs, grades, fit_rows)
-    return fit(slots, known, max([GRADES, *(g + 1 for g in known)])) if known else None
+    sample = graded_sample(docs, grades, fit_rows)
+    times, texts, per_grade = slot_counts(sample)
+    if not per_grade.any():
+        return None
+    useful = useful_slots(times, texts, per_grade)
+    del times, texts
+    slots, known = screened(sample, useful)
+    removed(sample)
+    return fit(slots, known, len(per_grade), useful=useful)
 
 
 def scored(texts: list[str | None], model: OrdinalModel | None, weights: WordWeights | None) -> tuple:
