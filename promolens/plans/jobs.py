@@ -12,7 +12,7 @@ import random
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -169,7 +169,7 @@ def influencer_discovery(spark: SparkSession, posts_root: str, known_names: Data
     flagged = discovery.flag_known(users, known_names)
     sample = discovery.sample_new_users(flagged, max_total, existing_seed_lines, seed)
     if seed_path and log_path:
-        sinks.append_seed_urls(sample, seed_path, log_path)
+        sinks.append_seed_urls(sample, seed_path, log_path, str(seed))
     return discovery.listing(flagged), discovery.summary(flagged), sample
 
 
@@ -203,9 +203,10 @@ def backfill_runs(spark: SparkSession, runs: DataFrame, dataset_root: str, platf
 def backfill_mentions(spark: SparkSession, path: str, wh: Warehouse) -> tuple[DataFrame, DataFrame]:
     """Archive the tagged posts of archived files (S8). Returns (A8, counts
     of scanned posts and of those without url)."""
-    posts, scanned = P.archived_mentions(spark, path)
-    counts, _ = _archive(spark, posts, wh)
-    return counts, scanned
+    seen = Observation()
+    counts, _ = _archive(spark, P.archived_mentions(spark, path, seen), wh)
+    return counts, spark.createDataFrame([(seen.get["scanned"], seen.get["skipped_no_url"])],
+                                         "scanned long, skipped_no_url long")
 
 
 def new_rows_per_run(posts: DataFrame, runs: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ WITH l AS (
 n AS (SELECT * FROM l WHERE file = (SELECT max(file) FROM l)),
 b AS (SELECT min(pos) AS a FROM n WHERE turn = 0),
 e AS (SELECT min(pos) AS z FROM n, b WHERE turn % 7 = 6 AND pos > a)
-SELECT pos, '"' || substr(text, 1, 12) || '"' AS line FROM n, b, e
+SELECT pos, '"' || regexp_replace(text, '[\\r\\n]', ' ', 'g') || '"' AS line FROM n, b, e
 WHERE pos > a AND (z IS NULL OR pos < z) AND turn <> 0 AND turn % 7 <> 6 AND turn % 5 <> 4""",
     "j1_code_lookup": """
 WITH j AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id, l_linenumber % 3 AS k, lower(p_brand) AS b,

@@ -156,7 +156,7 @@ def s16_report_block(spark, sf_dir):
     t = F.col("turn")
     line = (F.when(t == 0, F.lit("**PRINTING RESULTS** ")).when(t % 7 == 6, F.lit("**FINISHED MAIN PIPELINE**"))
             .when(t % 5 == 4, F.lit("Printed 3 unique discount records.")).otherwise(
-                F.concat(F.lit('"'), F.substr("text", F.lit(1), F.lit(12)), F.lit('"'))))
+                F.concat(F.lit('"'), F.regexp_replace("text", r"[\r\n]", " "), F.lit('"'))))
     lines = c.select((F.col("conv_id") % 9).alias("file"), (F.col("conv_id") * 100 + t).alias("pos"), line.alias("line"))
     return logs.report_block(logs.latest_file(lines)).select("pos", "line")
 

@@ -19,7 +19,8 @@ from .operators.dedup import first_per_key
 from .operators.ingest import first_per_post
 from .operators.ordering import global_rank
 from .session import checkpoint_dir
-from .sources.tables import ARCHIVE_SCHEMA, CAPTION_PARTITIONS, CAPTION_SCHEMA, read_table
+from .sources.tables import (ARCHIVE_SCHEMA, CAPTION_PARTITIONS, CAPTION_SCHEMA, child_names, path_exists,
+                             read_table)
 
 POST_KEY = ["platform", "post_url", "caption_key"]
 
@@ -144,11 +145,23 @@ def write_lines(lines: DataFrame, path: str, order_col: str = "position") -> Non
     lines.orderBy(order_col).select(F.col("line").alias("value")).write.mode("overwrite").text(path)
 
 
-def append_seed_urls(urls: DataFrame, seed_path: str, log_path: str) -> None:
-    """K6: append sampled profile URLs to the seed list; overwrite the list
-    of added URLs."""
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that K5 wrote, as (position, line): by part file, then by place in it.
+
+    Part files are read in splits by many tasks; a split's rows come in order."""
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"))
+    checkpoint_dir(spark)
+    return global_rank(rows.checkpoint(eager=True), ["part", "block", "row"], "position").select("position", "line")
+
+
+def append_seed_urls(urls: DataFrame, seed_path: str, log_path: str, run_id: str) -> None:
+    """K6: add sampled profile URLs to the seed list; overwrite the list
+    of added URLs. A run has a folder of its own below the list, so a run that
+    is done again replaces what it added and adds nothing twice."""
     out = urls.select(F.col("url").alias("value"))
-    out.write.mode("append").text(seed_path)
+    out.write.mode("overwrite").text(f"{seed_path}/run-{run_id}")
     out.write.mode("overwrite").text(log_path)
 
 
@@ -157,3 +170,13 @@ def snapshot_json(raw: DataFrame, root: str, size: str, now: dt.datetime) -> str
     path = f"{root}/size={size}/ts={now:%Y-%m-%d_%H-%M-%S}"
     raw.write.mode("errorifexists").json(path)
     return path
+
+
+def latest_snapshot(spark: SparkSession, root: str, size: str) -> DataFrame:
+    """The records of the newest snapshot of a size that K7 has completed; only its
+    files are read."""
+    done = [t for t in child_names(spark, f"{root}/size={size}") if t.startswith("ts=")
+            and path_exists(spark, f"{root}/size={size}/{t}/_SUCCESS")]
+    if not done:
+        return spark.createDataFrame([], "record string")
+    return spark.read.schema("record string").json(f"{root}/size={size}/{max(done)}")

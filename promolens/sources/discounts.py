@@ -76,7 +76,7 @@ LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text file(s) as ``(file, pos, line)`` with the position inside the
     file; one file is read whole by one task (files are small lists)."""
-    raw = (spark.read.text(path, wholetext=True)
+    raw = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
            .select(F.col("_metadata.file_path").alias("file"), "value"))
     body = F.regexp_replace("value", f"(?:{LINE_BREAK})$", "")
     return raw.select("file", F.posexplode(F.split(body, LINE_BREAK)).alias("pos", "line"))

@@ -9,11 +9,12 @@ Files are the unit of parallelism (one task per file split group).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.analysis import is_object
 from ..functions.text import py_strip
+from ..operators.ordering import global_rank
 from .tables import path_exists
 
 
@@ -240,18 +241,25 @@ def json_tree_posts(spark: SparkSession, root: str, exclude: str | None = None)
     return posts_by_platform(read_json_records(spark, root, recursive=True, exclude=exclude))
 
 
-def archived_mentions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Flat tagged posts of archived files; rows without url are
-    skipped. Returns (posts, counts) with counts = (scanned, skipped_no_url)."""
-    recs = read_json_records(spark, path)
+def mentions_of(recs: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """S8 over (file, pos, rec): flat tagged posts; rows without url are skipped.
+
+    ``seen`` gets ``scanned`` and ``skipped_no_url``, counted in the pass that
+    reads the posts (it has them once that pass has run)."""
     rec = F.col("rec")
     url = _get(rec, "url")
-    counts = recs.agg(F.count(F.lit(1)).alias("scanned"), F.count_if(~_truthy(url)).alias("skipped_no_url"))
-    posts = recs.where(_truthy(url)).select(
+    if seen is not None:
+        recs = recs.observe(seen, F.count(F.lit(1)).alias("scanned"),
+                            F.count_if(~F.coalesce(_truthy(url), F.lit(False))).alias("skipped_no_url"))
+    return recs.where(_truthy(url)).select(
         F.lit("instagram").alias("platform"), _get(rec, "ownerUsername").alias("influencer_name"),
         _get(rec, "caption").alias("caption"), url.alias("post_url"), _get(rec, "timestamp").alias("post_date"),
         _ord("file", "pos", F.lit(0).alias("i")))
-    return posts, counts
+
+
+def archived_mentions(spark: SparkSession, path: str, seen: Observation | None = None) -> DataFrame:
+    """Flat tagged posts of archived files (see ``mentions_of``)."""
+    return mentions_of(read_json_records(spark, path), seen)
 
 
 def successful_runs(runs: DataFrame, max_runs: int | None = None) -> DataFrame:
@@ -259,29 +267,39 @@ def successful_runs(runs: DataFrame, max_runs: int | None = None) -> DataFrame:
     With ``max_runs`` only the newest runs count, before the status filter."""
     newest = runs if max_runs is None else runs.orderBy(F.desc("startedAt"), "run_id").limit(max_runs)
     ok = newest.where((F.col("status") == "SUCCEEDED") & _truthy(F.col("defaultDatasetId")))
-    return ok.withColumn("run_rank", F.row_number().over(Window.orderBy(F.desc("startedAt"), "run_id")))
+    return global_rank(ok, [F.desc("startedAt"), "run_id"], "run_rank")
 
 
 def run_datasets(spark: SparkSession, runs: DataFrame, dataset_root: str, platform: str) -> DataFrame:
-    """Posts of the datasets of successful runs; dataset files are
-    ``<dataset_root>/<datasetId>.json``; ``ord`` starts with the run rank so
-    the newest run's copy of a post wins the first-wins de-duplication."""
-    wanted = [f"{dataset_root}/{r[0]}.json" for r in runs.select("defaultDatasetId").distinct().collect()]
-    found = [p for p in wanted if path_exists(spark, p)]  # a list of runs, not of posts
-    raw = (spark.read.text(found, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-           if found else spark.createDataFrame([], "file string, value string"))
-    recs = records_from_text(raw).withColumn("dataset_id", F.regexp_extract("file", r"([^/]+)\.json$", 1))
-    recs = recs.join(runs.select(F.col("defaultDatasetId").alias("dataset_id"), "run_rank"), "dataset_id")
-    extractor = extract_tiktok if platform == "tiktok" else extract_instagram
-    posts = extractor(recs.withColumn("file", F.format_string("%09d", F.col("run_rank"))))
-    return posts.withColumn("platform", F.lit(platform)).withColumn(
-        "run_rank", F.col("ord.file").cast("int"))
+    """Posts of the datasets of successful runs, which are files
+    ``<dataset_root>/<datasetId>.json``; see ``posts_of_runs``. Spark lists the
+    folder; a run without a file, or a file without a run, gives no posts."""
+    if not path_exists(spark, dataset_root):
+        raw = spark.createDataFrame([], "file string, value string")
+    else:
+        raw = (spark.read.option("pathGlobFilter", "*.json").text(dataset_root, wholetext=True)
+               .select(F.col("_metadata.file_path").alias("file"), "value"))
+    return posts_of_runs(raw, runs, platform)
+
+
+def posts_of_runs(raw: DataFrame, runs: DataFrame, platform: str) -> DataFrame:
+    """S9 over (file, value): posts of the datasets that the manifest ``runs`` names.
+
+    The manifest is joined before any text is parsed. ``ord`` starts with the run
+    rank, so the newest run's copy of a post wins the first-wins de-duplication."""
+    manifest = runs.select(F.col("defaultDatasetId").alias("dataset_id"), "run_rank")
+    wanted = raw.withColumn("dataset_id", F.regexp_extract("file", r"([^/]+)\.json$", 1)).join(manifest, "dataset_id")
+    recs = (wanted.select(F.format_string("%09d", F.col("run_rank")).alias("file"),
+                          F.posexplode(json_list("value")).alias("pos", "rec")).where(is_object(F.col("rec"))))
+    posts = (extract_tiktok if platform == "tiktok" else extract_instagram)(recs)
+    return posts.withColumn("platform", F.lit(platform)).withColumn("run_rank", F.col("ord.file").cast("int"))
 
 
 # ------------------------------------------------ S10/S11 seed lists ------
 
 def seed_list(spark: SparkSession, path: str) -> DataFrame:
-    """Stripped, non-blank lines with their position."""
+    """Stripped, non-blank lines with their position, of a file or of all files
+    below a folder (K6 adds a folder per run)."""
     from .discounts import read_lines
     return stripped_lines(read_lines(spark, path))
 

@@ -3,6 +3,8 @@ list; filters from ``operators/filters.py`` are pushed into the scan."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
@@ -63,6 +65,14 @@ def caption_table(spark: SparkSession, path: str) -> DataFrame:
         *[f.name for f in CAPTION_SCHEMA.fields if f.name != "inserted_on"])
 
 
+def caption_days(spark: SparkSession, path: str, first: dt.date, last: dt.date,
+                 platform: str | None = None) -> DataFrame:
+    """Rows of some insert days, and of one platform if given. Both are partition
+    columns, so only the files of these days are read."""
+    rows = read_table(spark, path, CAPTION_SCHEMA).where(F.col("inserted_on").between(F.lit(first), F.lit(last)))
+    return rows if platform is None else rows.where(F.col("platform") == platform)
+
+
 def jdbc_caption_table(spark: SparkSession, url: str, table: str, properties: dict) -> DataFrame:
     """S12 over JDBC (a database reachable from the executors)."""
     df = spark.read.jdbc(url, table, properties=properties)

@@ -57,16 +57,42 @@ def test_text_and_json_sinks(spark, tmp_path):
     files = sorted((tmp_path / "out").glob("part-*"))
     assert "".join(f.read_text() for f in files).splitlines() == ["a", "b", "c"]
     urls = spark.createDataFrame([("https://www.instagram.com/u1",)], "url string")
-    sinks.append_seed_urls(urls, str(tmp_path / "seed"), str(tmp_path / "added"))
-    sinks.append_seed_urls(urls, str(tmp_path / "seed"), str(tmp_path / "added"))
-    assert spark.read.text(str(tmp_path / "seed")).count() == 2
+    for run in ("r1", "r1", "r2"):  # a run that is done again adds nothing twice
+        sinks.append_seed_urls(urls, str(tmp_path / "seed"), str(tmp_path / "added"), run)
+    assert P.seed_list(spark, str(tmp_path / "seed")).count() == 2
     assert spark.read.text(str(tmp_path / "added")).count() == 1
+    assert [tuple(r) for r in sinks.read_ordered(spark, str(tmp_path / "out")).orderBy("position").collect()] == [
+        (1, "a"), (2, "b"), (3, "c")]
     path = sinks.snapshot_json(spark.createDataFrame([("x",)], "a string"), str(tmp_path / "raw"), "big",
                                dt.datetime(2025, 1, 2, 3, 4, 5))
     assert path.endswith("size=big/ts=2025-01-02_03-04-05")
     assert spark.read.json(path).count() == 1
 
 
+def test_newest_complete_snapshot(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    assert sinks.latest_snapshot(spark, root, "big").collect() == []
+    for day in (2, 5, 3):
+        sinks.snapshot_json(spark.createDataFrame([(str(day),)], "record string"), root, "big", dt.datetime(2025, 1, day))
+    (tmp_path / "raw" / "size=big" / "ts=2025-02-01_00-00-00").mkdir()  # a run that did not end
+    assert [r.record for r in sinks.latest_snapshot(spark, root, "big").collect()] == ["5"]
+
+
+def test_stored_days_read_their_partitions_alone(spark, tmp_path):
+    from promolens.sources.tables import caption_days
+    wh = jobs.Warehouse(archive=str(tmp_path / "archive"), captions_path=str(tmp_path / "cap"))
+    for day in (1, 2, 3):
+        posts = spark.createDataFrame([("instagram", "u", f"code X{day}", "p", "2025-01-01", day)],
+                                      "platform string, influencer_name string, caption string, post_url string,"
+                                      " post_date string, ord int")
+        jobs.caption_ingest(spark, posts, wh, dt.datetime(2025, 5, day), ["code"])
+    rows = caption_days(spark, wh.captions_path, dt.date(2025, 5, 2), dt.date(2025, 5, 2), "instagram")
+    assert [r.caption for r in rows.collect()] == ["code X2"]
+    assert len(rows.inputFiles()) == 3  # of the table
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(inserted_on" in plan or "PartitionFilters: [isnotnull(platform" in plan
+
+
 def test_discovery_job(spark, tmp_path):
     write(tmp_path / "m" / "a.json", [
         {"ownerUsername": "u1", "mentions": ["loavies", "gutsgusto", "x"]},
@@ -130,7 +156,7 @@ def test_mention_backfill_and_job_sinks(spark, tmp_path):
     write(tmp_path / "d" / "a.json", [{"ownerUsername": "u1", "mentions": ["loavies"]}])
     jobs.influencer_discovery(spark, str(tmp_path / "d"), spark.createDataFrame([], "name string"), 0, 3,
                               seed_path=str(tmp_path / "seed"), log_path=str(tmp_path / "log"))
-    assert spark.read.text(str(tmp_path / "seed")).count() == 1
+    assert P.seed_list(spark, str(tmp_path / "seed")).count() == 1
 
 
 def test_lists_beyond_the_variant_limit(spark):

@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import Observation
+
 from promolens.sources import discounts as disc
 from promolens.sources import logs
 from promolens.sources import posts as P
@@ -105,10 +107,10 @@ def test_archived_mentions(spark, tmp_path):
     f = write(tmp_path / "arch" / "a.json", [{"ownerUsername": "u", "caption": "c", "url": "x1", "timestamp": "t"},
                                              {"ownerUsername": "v", "caption": "d", "url": ""},
                                              {"ownerUsername": "w", "caption": "e"}])
-    posts, counts = P.archived_mentions(spark, str(tmp_path / "arch"))
+    seen = Observation()
+    posts = P.archived_mentions(spark, str(tmp_path / "arch"), seen)
     assert [r.post_url for r in posts.collect()] == ["x1"]
-    c = counts.first()
-    assert (c.scanned, c.skipped_no_url) == (3, 2)
+    assert seen.get == {"scanned": 3, "skipped_no_url": 2}  # counted in the same pass
 
 
 def test_numbered_hashtag_posts(spark):
