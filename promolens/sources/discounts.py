@@ -6,12 +6,13 @@ work on a JSON array file, a text file or lines Spark derives from tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import clean_name_cut, clean_name_remove_parens, company_of_record, py_strip
 from ..operators.dedup import first_per_key
+from ..session import checkpoint_dir
 
 
 def read_json_string_array(spark: SparkSession, path: str) -> DataFrame:
@@ -69,41 +70,86 @@ def sorted_names(names: DataFrame, col: str = "name") -> DataFrame:
     return names.orderBy(col)
 
 
-# Line boundaries of Python's str.splitlines().
-LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+# Lines end where Python's str.splitlines() ends them.
+#: Those of them at which Spark's text reader does not break.
+INNER_BREAK = "[\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
+#: Lines of a segment: what one task scans of a file at most.
+SEGMENT_LINES = 100_000
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text file(s) as ``(file, pos, line)`` with the position inside the
-    file; one file is read whole by one task (files are small lists)."""
-    raw = (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-           .select(F.col("_metadata.file_path").alias("file"), "value"))
-    body = F.regexp_replace("value", f"(?:{LINE_BREAK})$", "")
-    return raw.select("file", F.posexplode(F.split(body, LINE_BREAK)).alias("pos", "line"))
+    """Text files, also those below a folder, as ``(file, pos, line)`` with the position inside the file.
+
+    A file is read in byte ranges by as many tasks as it has splits. Each range counts its
+    lines; a line's position is its place in the range plus the lines of the ranges before it
+    (one row per range).
+    """
+    raw = spark.read.option("recursiveFileLookup", True).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"),
+        F.explode(F.split("value", INNER_BREAK)).alias("line"))
+    checkpoint_dir(spark)
+    rows = raw.withColumn("row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    ranges = rows.groupBy("file", "range").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select("file", "range", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return rows.join(offsets, ["file", "range"]).select(
+        "file", (F.col("offset") + F.col("row") - F.col("first")).alias("pos"), "line")
+
 
+def segmented(lines: DataFrame, segment_lines: int) -> DataFrame:
+    """The lines with the segment ``_seg`` of their file that they fall into."""
+    return lines.withColumn("_seg", F.floor(F.col("pos") / segment_lines))
 
-def batches_from_lines(lines: DataFrame, bracket_rules: bool = False) -> DataFrame:
+
+def running_last(lines: DataFrame, value: Column, name: str, segment_lines: int = SEGMENT_LINES) -> DataFrame:
+    """The last non-null ``value`` of a file up to each line.
+
+    A scan in two steps: every segment is scanned by itself, and what the segments
+    before it hand over (one row per segment) is filled in.
+    """
+    rows = segmented(lines, segment_lines).withColumn("_v", value)
+    here = Window.partitionBy("file", "_seg").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("file").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("file", "_seg").agg(
+        F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("pos"))).alias("_last"))
+    carried = sums.select("file", "_seg", F.last("_last", ignorenulls=True).over(before).alias("_carried"))
+    return (rows.withColumn(name, F.last("_v", ignorenulls=True).over(here)).join(carried, ["file", "_seg"])
+            .withColumn(name, F.coalesce(name, "_carried")).drop("_seg", "_v", "_carried"))
+
+
+def batches_from_lines(lines: DataFrame, bracket_rules: bool = False,
+                       segment_lines: int = SEGMENT_LINES) -> DataFrame:
     """S17/S18 + W12: blank-line separated batches as (file, batch_no, pos,
-    line). With ``bracket_rules`` (a JSON array file), lines containing
-    ``[`` are skipped and lines containing ``]`` close the batch.
+    line). With ``bracket_rules`` (a JSON array file), lines up to the first with
+    ``[`` and all with ``[`` are skipped, and lines containing ``]`` close the batch.
+
+    A batch starts at a line that follows a break. Every segment of a file counts the
+    starts behind its first line; whether the first one is a start, and how many starts came
+    before, goes by the segments before it (one row per segment).
     """
-    w = Window.partitionBy("file").orderBy("pos")
     stripped = py_strip("line")
     if bracket_rules:
-        started = F.max(F.col("line").contains("[").cast("int")).over(
-            w.rowsBetween(Window.unboundedPreceding, 0)) > 0
+        opened = lines.where(F.col("line").contains("[")).groupBy("file").agg(F.min("pos").alias("_open"))
         # a line holding "[" is skipped without closing the batch
+        df = lines.join(opened, "file").where((F.col("pos") > F.col("_open")) & ~F.col("line").contains("[")).drop("_open")
         is_break = (stripped == "") | F.col("line").contains("]")
-        df = (lines.withColumn("_started", started)
-              .where(F.col("_started") & ~F.col("line").contains("[")))
     else:
-        is_break = stripped == ""
-        df = lines
-    df = df.withColumn("_brk", is_break.cast("int"))
-    df = df.withColumn("_grp", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    kept = df.where(F.col("_brk") == 0).select("file", "_grp", "pos", stripped.alias("line"))
-    batch_no = F.dense_rank().over(Window.partitionBy("file").orderBy("_grp")) - 1
-    return kept.select("file", batch_no.alias("batch_no"), "pos", "line")
+        df, is_break = lines, stripped == ""
+    here = Window.partitionBy("file", "_seg").orderBy("pos")
+    rows = segmented(df, segment_lines).withColumn("_brk", is_break).withColumn("_prev", F.lag("_brk").over(here))
+    start = ~F.col("_brk") & F.coalesce("_prev", F.lit(False))
+    rows = rows.withColumn("_starts", F.sum(start.cast("long")).over(
+        here.rowsBetween(Window.unboundedPreceding, 0)))
+    sums = rows.groupBy("file", "_seg").agg(
+        F.min_by("_brk", "pos").alias("_first_brk"), F.max_by("_brk", "pos").alias("_last_brk"),
+        F.max("_starts").alias("_inner"))
+    by_file = Window.partitionBy("file").orderBy("_seg")
+    opens = (~F.col("_first_brk") & F.coalesce(F.lag("_last_brk").over(by_file), F.lit(True))).cast("long")
+    sums = sums.withColumn("_opens", opens).withColumn("_before", F.coalesce(F.sum(
+        F.col("_opens") + F.col("_inner")).over(by_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (rows.where(~F.col("_brk")).join(sums.select("file", "_seg", "_opens", "_before"), ["file", "_seg"])
+            .select("file", (F.col("_before") + F.col("_opens") + F.col("_starts") - 1).cast("int").alias("batch_no"),
+                    "pos", stripped.alias("line")))
 
 
 def training_brands(discount_batches: DataFrame | None, archive_batches: DataFrame | None,

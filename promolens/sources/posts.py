@@ -9,7 +9,7 @@ Files are the unit of parallelism (one task per file split group).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.analysis import is_object
@@ -317,13 +317,13 @@ def sectioned_list(spark: SparkSession, path: str, size: str) -> DataFrame:
     return section_names(read_lines(spark, path), size)
 
 
-def section_names(lines: DataFrame, size: str) -> DataFrame:
-    """S11 over (file, pos, line)."""
+def section_names(lines: DataFrame, size: str, segment_lines: int | None = None) -> DataFrame:
+    """S11 over (file, pos, line): a file is scanned in segments."""
     if size not in ("small", "big"):
         raise ValueError(f"no section {size!r}: choose small or big")
+    from .discounts import SEGMENT_LINES, running_last
     lines = stripped_lines(lines)
     header = F.when(F.col("value").endswith(":"), F.lower("value"))
-    w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return (lines.withColumn("section", F.last(header, ignorenulls=True).over(w))
+    return (running_last(lines, header, "section", segment_lines or SEGMENT_LINES)
             .where(~F.col("value").endswith(":") & (F.col("section") == f"{size}:"))
             .select("file", "pos", F.col("value").alias("username")))
