@@ -3,7 +3,8 @@
 Tables are Parquet folders partitioned by ``platform`` (the caption table also
 by insert day). Inserts are
 "insert-ignore" appends: an anti-join against the key columns of the table. Updates (K3, K4) rewrite only the days of the caption table that hold an
-updated row, from a checkpoint; nothing is overwritten while it is read.
+updated row. The caption table has versions (``sources/versions.py``): no file is ever
+overwritten, and a write is seen whole or not at all.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from .operators.dedup import first_per_key
 from .operators.ingest import first_per_post
 from .operators.ordering import global_rank
 from .session import checkpoint_dir
+from .sources import versions
 from .sources.tables import (ARCHIVE_SCHEMA, CAPTION_PARTITIONS, CAPTION_SCHEMA, child_names, path_exists,
                              read_table)
+from .sources.versions import read_version
 
 POST_KEY = ["platform", "post_url", "caption_key"]
 
@@ -75,8 +78,10 @@ def insert_archive(spark: SparkSession, records: DataFrame, archive_path: str) -
 def insert_captions(spark: SparkSession, records: DataFrame, table_path: str,
                     now: dt.datetime) -> DataFrame:
     """K2: append keyword captions not yet in the caption table."""
-    out = caption_rows(records, read_table(spark, table_path, CAPTION_SCHEMA), now)
-    out.write.mode("append").partitionBy(*CAPTION_PARTITIONS).parquet(table_path)
+    out = caption_rows(records, read_version(spark, table_path, CAPTION_SCHEMA), now)
+    checkpoint_dir(spark)
+    out = out.checkpoint(eager=True)
+    versions.append(out, table_path, CAPTION_PARTITIONS)
     return out
 
 
@@ -109,23 +114,24 @@ def rewrite_days(spark: SparkSession, table_path: str, touched: DataFrame,
     """Apply ``change`` to the partitions of the caption table named by
     ``touched`` = (platform, inserted_on) and rewrite those alone.
 
-    The new rows are in the shared checkpoint folder before any file is
-    replaced. A run that stops half-way leaves whole days, old or new; running
-    the update again completes it.
+    The new days go into folders of their own, and all become visible at once with the
+    next version of the table: a run that stops half-way leaves the old version whole.
     """
-    days = [(r.platform, r.inserted_on) for r in touched.distinct().collect()]  # partitions, not rows
-    if not days:
+    number, folders = versions.newest(spark, table_path)
+    own = CAPTION_PARTITIONS  # the folders of a version are named by them
+    days = {(r.platform, r.inserted_on) for r in touched.distinct().collect()}  # partitions, not rows
+    names = {f"{own[0]}={p}/{own[1]}={d or '__HIVE_DEFAULT_PARTITION__'}" for p, d in days}
+    old = [f for f in folders if f.rsplit("/", 1)[0] in names]
+    if not old:
         return
-    place = F.concat_ws("/", "platform", F.coalesce(F.col("inserted_on").cast("string"), F.lit("")))
-    table = read_table(spark, table_path, CAPTION_SCHEMA).where(place.isin(*[f"{p}/{d or ''}" for p, d in days]))
     checkpoint_dir(spark)
-    (change(table).checkpoint(eager=True).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*CAPTION_PARTITIONS).parquet(table_path))
+    rows = change(versions.read_folders(spark, table_path, old, CAPTION_SCHEMA)).checkpoint(eager=True)
+    versions.replace(spark, table_path, number, old, rows, CAPTION_PARTITIONS)
 
 
 def update_analysis(spark: SparkSession, table_path: str, updates: DataFrame, now: dt.datetime) -> None:
     """K3 on the stored caption table: only days with a matching row are rewritten."""
-    table = read_table(spark, table_path, CAPTION_SCHEMA)
+    table = read_version(spark, table_path, CAPTION_SCHEMA)
     keys = updates.withColumn("caption_key", key_prefix("caption")).select(*POST_KEY)
     touched = table.withColumn("caption_key", key_prefix("caption")).join(keys, POST_KEY, "left_semi")
     rewrite_days(spark, table_path, touched.select(*CAPTION_PARTITIONS),
@@ -134,7 +140,7 @@ def update_analysis(spark: SparkSession, table_path: str, updates: DataFrame, no
 
 def update_canonical(spark: SparkSession, table_path: str, updates: DataFrame) -> None:
     """K4 on the stored caption table: only days with an updated row are rewritten."""
-    table = read_table(spark, table_path, CAPTION_SCHEMA)
+    table = read_version(spark, table_path, CAPTION_SCHEMA)
     rewrite_days(spark, table_path, table.join(updates, "id", "left_semi").select(*CAPTION_PARTITIONS),
                  lambda part: apply_canonical(part, updates))
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
+from .versions import read_version
+
 CAPTION_SCHEMA = StructType([
     StructField("id", LongType()),
     StructField("influencer_name", StringType()),
@@ -61,7 +63,7 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 def caption_table(spark: SparkSession, path: str) -> DataFrame:
     """Caption table with its fixed column list."""
-    return read_table(spark, path, CAPTION_SCHEMA).select(
+    return read_version(spark, path, CAPTION_SCHEMA).select(
         *[f.name for f in CAPTION_SCHEMA.fields if f.name != "inserted_on"])
 
 
@@ -69,7 +71,7 @@ def caption_days(spark: SparkSession, path: str, first: dt.date, last: dt.date,
                  platform: str | None = None) -> DataFrame:
     """Rows of some insert days, and of one platform if given. Both are partition
     columns, so only the files of these days are read."""
-    rows = read_table(spark, path, CAPTION_SCHEMA).where(F.col("inserted_on").between(F.lit(first), F.lit(last)))
+    rows = read_version(spark, path, CAPTION_SCHEMA).where(F.col("inserted_on").between(F.lit(first), F.lit(last)))
     return rows if platform is None else rows.where(F.col("platform") == platform)
 
 
