@@ -174,10 +174,10 @@ def influencer_discovery(spark: SparkSession, posts_root: str, known_names: Data
 
 
 def backfill_json_tree(spark: SparkSession, root: str, wh: Warehouse,
-                       exclude: str | None = None) -> DataFrame:
-    """Archive every post of a JSON dump tree.
-    Returns A8 (raw vs unique per platform)."""
-    counts, _ = _archive(spark, P.json_tree_posts(spark, root, exclude), wh)
+                       exclude: str | None = None, split: bool = False) -> DataFrame:
+    """Archive every post of a JSON dump tree (S7, F1, W1, K1); ``split`` for
+    large files. Returns A8 (raw vs unique per platform)."""
+    counts, _ = _archive(spark, P.json_tree_posts(spark, root, exclude, split), wh)
     return counts
 
 

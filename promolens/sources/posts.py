@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.analysis import is_object
 from ..functions.text import py_strip
 from ..operators.ordering import global_rank
+from .json_lists import list_records
 from .tables import path_exists
 
 
@@ -40,11 +41,15 @@ def _truthy(c: Column) -> Column:
 
 
 def read_json_records(spark: SparkSession, path: str, recursive: bool = False,
-                      glob: str = "*.json", exclude: str | None = None) -> DataFrame:
+                      glob: str = "*.json", exclude: str | None = None, split: bool = False) -> DataFrame:
     """(file, pos, rec) for every object element of every JSON-list file.
 
     ``recursive`` walks sub-folders; ``exclude`` drops files whose path
-    contains the text. Unreadable/invalid files yield nothing."""
+    contains the text. Unreadable/invalid files yield nothing. With ``split`` files
+    of any size are read in byte ranges (``json_lists.py``); without it a file is
+    read by one task, which is faster for many small files and ends at 2 GB."""
+    if split:
+        return list_records(spark, path, recursive, glob, exclude)
     reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
@@ -234,11 +239,11 @@ def platform_of_path(file: Column) -> Column:
     return F.when(file.contains("/tiktok/"), F.lit("tiktok")).otherwise(F.lit("instagram"))
 
 
-def json_tree_posts(spark: SparkSession, root: str, exclude: str | None = None) -> DataFrame:
+def json_tree_posts(spark: SparkSession, root: str, exclude: str | None = None, split: bool = False) -> DataFrame:
     """Every ``*.json`` under ``root``; platform from the path; each
     platform's extractor. Output: (platform, influencer_name, caption,
     post_url, post_date, ord) with ord in sorted-file order."""
-    return posts_by_platform(read_json_records(spark, root, recursive=True, exclude=exclude))
+    return posts_by_platform(read_json_records(spark, root, recursive=True, exclude=exclude, split=split))
 
 
 def mentions_of(recs: DataFrame, seen: Observation | None = None) -> DataFrame:
