@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, columns_of, text_or_empty
+from .common import BLANKS, columns_of, text_or_empty, written
 
 #: Fewest and most characters of a chunk; a text's last chunk may be shorter.
 MIN_CHUNK, MAX_CHUNK = 256, 2048
@@ -73,12 +73,13 @@ def exact_dedup(docs: DataFrame, bits: int = FULL_BITS) -> DataFrame:
     texts = base.select("doc_id", normalised(F.col("text")).alias("norm"))
     bits, seed = verified_width(
         texts.select(F.explode(chunks_of(F.col("norm"))).alias("chunk")), bits)
-    recipes = texts.select(
+    # both sides of the join are written, so that a recipe with very many rows can be split
+    recipes = written(texts.select(
         "doc_id",
         F.transform(chunks_of(F.col("norm")), lambda c: chunk_id(c, bits, seed)).alias("recipe"),
-        F.sha2(F.col("norm"), 256).alias("text_sha256"))
-    groups = recipes.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"),
-                                           F.count(F.lit(1)).alias("group_size"))
+        F.sha2(F.col("norm"), 256).alias("text_sha256")))
+    groups = written(recipes.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"),
+                                                   F.count(F.lit(1)).alias("group_size")))
     return recipes.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

@@ -199,7 +199,7 @@ def training_sample(docs: DataFrame, fit_docs: int = FIT_DOCS,
     """
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     few = (docs.select("doc_id", "lang").withColumn("place", F.row_number().over(first))
-           .where(F.col("place") <= fit_docs).select("doc_id", F.col("lang").alias("label")))
+           .where(F.col("place") <= fit_docs).select("doc_id", F.col("lang").alias("label")))  # bounded, so broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +213,7 @@ def training_sample(docs: DataFrame, fit_docs: int = FIT_DOCS,
                 labels += [label] * len(chosen)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(labels, pa.string())],
                                              ["segment", "label"])
-    rows = (docs.join(few, "doc_id").where(F.col("label") == F.col("lang")).select("text", "label")
+    rows = (docs.join(F.broadcast(few), "doc_id").where(F.col("label") == F.col("lang")).select("text", "label")
             .mapInArrow(run, "segment binary, label string"))
     return [(bytes(r.segment), r.label) for r in rows.collect()]  # bounded by the two parameters
 
