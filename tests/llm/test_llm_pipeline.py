@@ -18,7 +18,7 @@ def plain(df):
 def test_registered_queries():
     names = set(E.queries())
     assert "pipeline" in names and {n.split("_")[0] for n in names if re.match(r"op\d+_", n)} == {
-        f"op{k}" for k in range(1, 11)}
+        f"op{k}" for k in range(1, 14)}
     assert [n for n, _ in C.STAGES] == ["quality classifier", "exact dedup", "MinHash near-dedup",
                                         "mixing to target weights", "best-fit packing"]
 
