@@ -9,7 +9,7 @@ difference between a missing key and a JSON null and never raises.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -25,7 +25,7 @@ def parse_list(c) -> Column:
 
 
 def is_object(e: Column) -> Column:
-    return F.schema_of_variant(e).startswith("OBJECT<")
+    return F.to_json(e).startswith("{")
 
 
 def object_entries(entries) -> Column:
@@ -49,13 +49,9 @@ def field_is_null(e: Column, name: str) -> Column:
 def _text_of(v: Column) -> Column:
     """A field VARIANT as text: NULL for SQL NULL (missing) and JSON null;
     booleans print like Python (``True``/``False``); objects/arrays as JSON."""
-    kind = F.schema_of_variant(v)
-    as_text = F.try_variant_get(v, "$", "string")
-    return (
-        F.when(kind == "BOOLEAN", F.when(as_text == "true", "True").otherwise("False"))
-        .when(kind.startswith("OBJECT<") | kind.startswith("ARRAY<"), F.to_json(v))
-        .otherwise(as_text)
-    )
+    text = F.try_variant_get(v, "$", "string")
+    boolean = text.isin("true", "false") & (F.schema_of_variant(v) == "BOOLEAN")
+    return F.when(boolean, F.initcap(text)).otherwise(text)
 
 
 def _display_of(v: Column, missing: str) -> Column:
@@ -80,20 +76,22 @@ def truthy_text(t: Column) -> Column:
     return t.isNotNull() & (t != "") & (t != "0") & (t != "False") & (t != "0.0")
 
 
-def entries_struct(entries) -> Column:
-    """Object elements as ``array<struct<pos, webshop, code, percentage,
-    code_display, pct_display, webshop_csv, code_csv>>``.
-
-    Each element is inspected once (kind + the three field VARIANTs); the
-    texts are then derived from those small values."""
+def entry_fields(entries) -> Column:
+    """Object elements as ``array<struct<pos, obj, w, c, p>>``: position and the field
+    VARIANTs of webshop, code and percentage."""
     raw = F.transform(_col(entries), lambda e, i: F.struct(
         i.alias("pos"),
         is_object(e).alias("obj"),
         field_variant(e, "webshop").alias("w"),
         field_variant(e, "code").alias("c"),
         field_variant(e, "percentage").alias("p")))
-    objs = F.filter(raw, lambda s: s["obj"])
-    return F.transform(objs, lambda s: F.struct(
+    return F.filter(raw, lambda s: s["obj"])
+
+
+def entries_struct(entries) -> Column:
+    """The same elements with their texts: ``array<struct<pos, webshop, code, percentage,
+    code_display, pct_display, webshop_csv, code_csv>>``."""
+    return F.transform(entry_fields(entries), lambda s: F.struct(
         s["pos"].alias("pos"),
         _text_of(s["w"]).alias("webshop"),
         _text_of(s["c"]).alias("code"),
@@ -101,18 +99,33 @@ def entries_struct(entries) -> Column:
         _display_of(s["c"], "N/A").alias("code_display"),
         _display_of(s["p"], "N/A").alias("pct_display"),
         _display_of(s["w"], "").alias("webshop_csv"),
-        _display_of(s["c"], "").alias("code_csv"),
-    ))
+        _display_of(s["c"], "").alias("code_csv")))
+
 
+def entry_texts(rows: DataFrame, entry: str) -> DataFrame:
+    """The fields of column ``entry`` (one of ``entry_fields``) as columns ``pos, webshop, code,
+    percentage, code_display, pct_display, webshop_csv, code_csv``, in place of it.
 
-def first_truthy_webshop_of(structs) -> Column:
-    """W13 over ``entries_struct`` output."""
-    return F.get(F.filter(_col(structs), lambda x: truthy_text(x["webshop"])), 0)["webshop"]
+    Works on single entries: lambdas over whole lists are interpreted and would find
+    a field's text anew for every use."""
+    def shown(name: str, text: str, missing: str) -> Column:
+        return F.coalesce(text, F.when(F.col(f"{entry}.{name}").isNull(), F.lit(missing)).otherwise("None"))
+    texts = rows.select("*", F.col(f"{entry}.pos").alias("pos"), _text_of(F.col(f"{entry}.w")).alias("webshop"),
+                        _text_of(F.col(f"{entry}.c")).alias("code"), _text_of(F.col(f"{entry}.p")).alias("percentage"))
+    return texts.select("*", shown("c", "code", "N/A").alias("code_display"),
+                        shown("p", "percentage", "N/A").alias("pct_display"),
+                        shown("w", "webshop", "").alias("webshop_csv"),
+                        shown("c", "code", "").alias("code_csv")).drop(entry)
+
+
+def first_truthy_webshop_of(fields) -> Column:
+    """W13 over ``entry_fields`` output."""
+    return F.get(F.filter(F.transform(_col(fields), lambda x: _text_of(x["w"])), truthy_text), 0)
 
 
 def first_truthy_webshop(entries) -> Column:
     """Webshop of the first object element whose webshop is truthy."""
-    return first_truthy_webshop_of(entries_struct(entries))
+    return first_truthy_webshop_of(entry_fields(entries))
 
 
 def provisional_canonical(canonical, shop: Column) -> Column:
@@ -143,6 +156,17 @@ def load_model_output(raw) -> Column:
     return F.when(v.isNotNull() & ~F.coalesce(F.is_variant_null(v), F.lit(False)), v)
 
 
+def analysed(rows: DataFrame) -> DataFrame:
+    """X2 + F17: model answers ``raw`` as ``ai_analysis``, their JSON text; rows
+    whose answer is no JSON or null are left out.
+
+    The text comes out of an outer explode: a filter on it is not pushed below, where
+    it would run the extraction once more for every row."""
+    text = F.to_json(load_model_output("raw"))
+    return (rows.select(*[c for c in rows.columns if c != "raw"], F.explode_outer(F.array(text)).alias("ai_analysis"))
+            .where(F.col("ai_analysis").isNotNull()))
+
+
 def to_json_text(v) -> Column:
     """serialise (UTF-8, no ASCII escaping)."""
     return F.to_json(_col(v))

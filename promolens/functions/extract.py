@@ -54,11 +54,20 @@ def _amount_json(amount: Column, code: Column) -> Column:
 
 
 def extract_entries(caption) -> Column:
-    """``array<struct<webshop string, code string, percentage variant>>``."""
+    """``array<struct<webshop string, code string, percentage variant>>``; empty without codes."""
     text = F.coalesce(_col(caption), F.lit(""))
-    parts = F.split(text, f"(?i)(?={CUE})")
+    # a one-element transform: its parameter is the split text, made once however often it is used
+    found = F.get(F.transform(F.array(F.split(text, f"(?i)(?={CUE})")), _entries_of), 0)
+    # most captions hold no code: one look at the text settles those
+    return F.when(text.rlike(CODE_PATTERN), found).otherwise(
+        F.array().cast("array<struct<webshop string, code string, percentage variant>>"))
+
+
+def _entries_of(parts: Column) -> Column:
+    """The entries of a caption split where its cues begin."""
+    opening = F.get(parts, 0)
     # a caption that opens with its cue has nothing before its codes
-    head = F.when(text.rlike(f"(?i)^{CUE}"), F.lit("")).otherwise(F.get(parts, 0))
+    head = F.when(opening.rlike(f"(?i)^{CUE}"), F.lit("")).otherwise(opening)
     shop_before, amount_before = head.rlike(HANDLE), head.rlike(AMOUNT)
 
     def near(own: Column, i: Column, pattern: str, before_style: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.text import key_prefix, keyword_match, normalize_caption
 from .dedup import first_per_key
-from .ordering import global_rank
+from .ordering import global_rank, stored
 
 POST_COLUMNS = ("platform", "influencer_name", "caption", "post_url", "post_date", "ord")
 
@@ -32,7 +32,8 @@ def numbered_posts(posts: DataFrame, scan_for_discount_words: bool = False,
     """Posts newest first, numbered ``item_no`` of ``item_total``; with
     ``scan_for_discount_words`` only keyword posts (P1) are listed."""
     df = posts.where(keyword_match(caption_col, keywords)) if scan_for_discount_words else posts
-    return global_rank(df, [F.desc(date_col), "ord"], "item_no", total="item_total")
+    # a range sort reads its input twice: what was made of the captions is written first
+    return global_rank(stored(df), [F.desc(date_col), "ord"], "item_no", total="item_total")
 
 
 def split_records(posts: DataFrame, keywords: Iterable[str] = rules.CAPTION_KEYWORDS

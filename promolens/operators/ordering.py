@@ -43,10 +43,14 @@ def sorted_table(df: DataFrame, order_cols: Sequence[Column | str],
     """The sorted rows, written once to the shared checkpoint folder as Parquet:
     ids and partition contents are then fixed, also when tasks are retried, and
     a count per partition reads the id column alone."""
-    out = _sorted(df, order_cols, num_partitions)
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/sorted-{uuid.uuid4().hex}"
-    out.write.parquet(path)
-    return df.sparkSession.read.schema(out.schema).parquet(path)
+    return stored(_sorted(df, order_cols, num_partitions), "sorted")
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """The rows, written once to the shared checkpoint folder as Parquet."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sorted_checkpoint(df: DataFrame, order_cols: Sequence[Column | str],

@@ -24,20 +24,24 @@ def platform_rank():
 
 def explode_entries(captions: DataFrame) -> DataFrame:
     """Parse ``ai_analysis`` (F16) once and emit one row per object entry,
-    with the list length and the effective canonical name (F19)."""
+    with the list length and the effective canonical name (F19).
+
+    Lists that are absent or empty go after the outer explode: a filter on the
+    parsed list (or the one that Spark derives from a plain explode) would be pushed
+    below and parse every analysis once more."""
     entries = A.parse_list("ai_analysis")
     parsed = (captions
               .select("id", "platform", "influencer_name", "post_url", "inserted_at", "ai_canonical",
                       entries.alias("_entries"))
-              .where(F.col("_entries").isNotNull())
               .select("id", "platform", "influencer_name", "post_url", "inserted_at", "ai_canonical",
                       F.size("_entries").alias("n_entries"),
-                      A.entries_struct("_entries").alias("_structs")))
-    return (parsed
+                      A.entry_fields("_entries").alias("_fields")))
+    rows = (parsed
             .select("id", "platform", "influencer_name", "post_url", "inserted_at", "n_entries",
-                    A.provisional_canonical("ai_canonical", A.first_truthy_webshop_of("_structs")).alias("canonical"),
-                    F.explode("_structs").alias("e"))
-            .select("*", "e.*").drop("e"))
+                    A.provisional_canonical("ai_canonical", A.first_truthy_webshop_of("_fields")).alias("canonical"),
+                    F.explode_outer("_fields").alias("e"))
+            .where(F.col("e").isNotNull()))
+    return A.entry_texts(rows, "e")
 
 
 def report_lines(captions: DataFrame, known: DataFrame, with_urls: bool = True,

@@ -124,8 +124,8 @@ def attach_canonical(captions: DataFrame, mapping: DataFrame) -> DataFrame:
     per row is a hash aggregate."""
     entries = A.parse_list("ai_analysis")
     rows = (captions.where(F.col("ai_canonical").isNull())
-            .select("id", F.explode(A.entries_struct(entries)).alias("e"))
-            .select("id", F.col("e.webshop").alias("webshop")))
+            .select("id", F.explode_outer(A.entry_fields(entries)).alias("e")).where(F.col("e").isNotNull()))
+    rows = A.entry_texts(rows, "e").select("id", "webshop")
     return attach_canonical_entries(rows, mapping)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from .. import sinks
-from ..functions.analysis import load_model_output
+from ..functions.analysis import analysed
 from ..functions.extract import extract_analysis_json
 from ..functions.text import keyword_match
 from ..operators import discovery, filters, ingest, publish, report, resolve
@@ -98,8 +98,7 @@ def analysis_attach(spark: SparkSession, wh: Warehouse, inserted_on: dt.date,
     todo = filters.not_analysed(filters.records_for_date(table, inserted_on, post_date_after))
     rows = todo.select("platform", "post_url", "caption", F.struct("inserted_at", "id").alias("ord"))
     out = extractor(rows)
-    parsed = out.withColumn("_v", load_model_output("raw")).where(F.col("_v").isNotNull())
-    updates = parsed.select("platform", "post_url", "caption", F.to_json("_v").alias("ai_analysis"), "ord")
+    updates = analysed(out.select("platform", "post_url", "caption", "ord", "raw"))
     checkpoint_dir(spark)
     updates = updates.checkpoint(eager=True)
     sinks.update_analysis(spark, wh.captions_path, updates, now)

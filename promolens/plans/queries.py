@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..functions.analysis import load_model_output
+from ..functions.analysis import analysed
 from ..functions.extract import extract_analysis_json
 from ..session import checkpoint_dir, configure
 from ..functions.text import extraction_prompt, keyword_match, normalize_caption
@@ -357,7 +357,6 @@ def j2_analysis_attach(spark, sf_dir):
                            F.lit(None).cast("string").alias("ai_analysis"),
                            F.lit(None).cast("timestamp").alias("ai_analysis_time"))
     raw = keyword.withColumn("raw", extract_analysis_json("caption"))
-    updates = (raw.withColumn("_v", load_model_output("raw")).where(F.col("_v").isNotNull())
-               .select("platform", "post_url", "caption", F.to_json("_v").alias("ai_analysis"), "ord"))
+    updates = analysed(raw.select("platform", "post_url", "caption", "ord", "raw"))
     updated = sinks.apply_analysis(table, updates, D.TODAY_TS)
     return updated.select("id", "ai_analysis", F.col("ai_analysis_time").isNotNull().alias("analysed"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sinks
-from ..functions.analysis import load_model_output
+from ..functions.analysis import analysed, load_model_output
 from ..functions.extract import extract_analysis_json
 from ..functions.text import keyword_match
 from ..operators import discovery
@@ -70,8 +70,7 @@ def j2_coded_attach(spark, sf_dir):
                          F.lit(None).cast("timestamp").alias("ai_analysis_time"))
     raw = posts.where(keyword_match("caption", KEYWORDS) & (F.col("ord") % 2 == 0)).withColumn(
         "raw", extract_analysis_json("caption"))
-    updates = (raw.withColumn("v", load_model_output("raw")).where(F.col("v").isNotNull())
-               .select("platform", "post_url", "caption", F.to_json("v").alias("ai_analysis"), "ord"))
+    updates = analysed(raw.select("platform", "post_url", "caption", "ord", "raw"))
     return sinks.apply_analysis(table, updates, D.TODAY_TS).select(
         "id", "ai_analysis", F.col("ai_analysis_time").isNotNull().alias("analysed"))
 

@@ -19,6 +19,35 @@ def test_list_rule_and_fields(spark):
     assert got[10].s[0].webshop == "B"               # last duplicate key wins
 
 
+def test_entry_texts_are_those_of_the_struct(spark):
+    """Exploded entries have the texts of ``entries_struct``, whatever the kind of a field."""
+    vals = ['[{"webshop":true,"code":"true","percentage":false}, 3, null, "x", [1]]',
+            '[{"webshop":{"b":1,"a":"é"},"code":[1,null],"percentage":1.50},{"webshop":"","code":0,"percentage":"False"}]',
+            '[{"webshop":null}]', "[{}]", "[]", None, "{"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, a string")
+    names = ["pos", "webshop", "code", "percentage", "code_display", "pct_display", "webshop_csv", "code_csv"]
+    want = df.select("i", F.explode(A.entries_struct(A.parse_list("a"))).alias("e")).select("i", "e.*")
+    got = A.entry_texts(df.select("i", F.explode(A.entry_fields(A.parse_list("a"))).alias("e")), "e")
+    assert got.columns == ["i", *names]
+    rows = {tuple(r) for r in got.collect()}
+    assert rows == {tuple(r) for r in want.collect()} and len(rows) == 5
+    assert (0, 0, "True", "true", "False", "true", "False", "True", "true") in rows
+    assert (1, 0, '{"a":"é","b":1}', "[1,null]", "1.5", "[1,null]", "1.5", '{"a":"é","b":1}', "[1,null]") in rows
+    assert (3, 0, None, None, None, "N/A", "N/A", "", "") in rows
+
+
+def test_answers_that_are_no_json_are_left_out(spark):
+    df = spark.createDataFrame([(1, ' [1, "é"] '), (2, "null"), (3, "no"), (4, None), (5, "[]")], "i int, raw string")
+    assert sorted(tuple(r) for r in A.analysed(df).collect()) == [(1, '[1,"é"]'), (5, "[]")]
+
+
+def test_many_codes_in_one_caption(spark):
+    caption = "@shop " + "code A1B2 and " * 50 + "code metcode is code"
+    df = spark.createDataFrame([(caption,), ("code is",), ("Code iscode x",), (None,)], "c string")
+    got = [r[0] for r in df.select(extract_analysis_json("c")).collect()]
+    assert got == ['[{"webshop":"shop","code":"A1B2","percentage":2}]', "[]", "[]", "[]"]
+
+
 def test_report_line_rendering(spark):
     from datetime import datetime
     rows = [(1, "instagram", "anna", "https://p/1", datetime(2025, 10, 6, 9), '[{"webshop":"Zal Ando","code":"A10","percentage":10},{"webshop":"X","code":null}]', None),
