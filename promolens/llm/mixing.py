@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns_of, kept_by_worker, received, send, ship, small_batches, written
-from .wordpiece import WORD, Automaton, byte_vocabulary, word_counts
+from .wordpiece import WORD, Automaton, byte_vocabulary
 
 DIM = 1 << 18
 #: About as many labelled documents of the fit, chosen by a hash of their ids in equal
@@ -60,16 +60,18 @@ class WordSlots(dict):
         super().__init__()
         self.several: dict[int, list[int]] = {}
 
-    def __missing__(self, word: str) -> int:
+    def place(self, word: str) -> int:
         places = [slot(w) for w in LETTERS.findall(word.lower())]
         if len(places) == 1:
-            found = places[0]
-        elif not places:
-            found = -1
-        else:
-            found = -2 - len(self.several)
-            self.several[found] = places
-        self[word] = found
+            return places[0]
+        if not places:
+            return -1
+        found = -2 - len(self.several)
+        self.several[found] = places
+        return found
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = self.place(word)
         return found
 
 
@@ -86,6 +88,46 @@ def word_slots(words: list[str], slots: WordSlots) -> np.ndarray:
     return np.fromiter(found, np.int64, len(found))
 
 
+class KnownWords(dict):
+    """Numbers of the words seen so far; by number, their tokens and hashed places.
+
+    One look-up per word of a text serves its token count and its places; the rest is
+    array work.
+    """
+
+    def __init__(self, automaton: Automaton):
+        super().__init__()
+        self.automaton, self.slots = automaton, WordSlots()
+        self.tokens, self.places = np.zeros(MEMO_WORDS, np.int32), np.zeros(MEMO_WORDS, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        number = len(self)
+        if number == len(self.tokens):  # a single text of more words
+            self.tokens, self.places = (np.resize(a, 2 * number) for a in (self.tokens, self.places))
+        self.tokens[number] = self.automaton.count(b" " + word.encode("utf-8"))
+        self.places[number] = self.slots.place(word)
+        self[word] = number
+        return number
+
+    def read(self, text: str) -> tuple[int, np.ndarray]:
+        """Tokens of a text, and the distinct hashed places of its words in order."""
+        words = WORD.findall(text)
+        if len(self) + len(words) > MEMO_WORDS:  # forget between texts, not within one
+            self.clear()
+            self.slots.several.clear()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        places = self.places[numbers]
+        places.sort()
+        new = np.ones(len(places), bool)
+        np.not_equal(places[1:], places[:-1], out=new[1:])
+        places = places[new]
+        several = [self.slots.several[p] for p in places[places < -1].tolist()]
+        places = places[places >= 0]
+        if several:
+            places = np.unique(np.concatenate([places, *several]))
+        return int(self.tokens[numbers].sum()), places
+
+
 def softmax(s: np.ndarray) -> np.ndarray:
     e = np.exp(s - s.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -184,14 +226,14 @@ def posteriors(docs: DataFrame, model: DomainModel, vocabulary_path: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(sent_model, DomainModel)
-        slots = kept_by_worker("mixing words", WordSlots)
-        counts = word_counts(vocabulary_path, sent_automaton)
+        known = kept_by_worker(f"mixing words {vocabulary_path}",
+                               lambda: KnownWords(received(sent_automaton, Automaton)))
         for batch in batches:
             tokens, posteriors = [], []
             for text in batch.column("text").to_pylist():
-                words = WORD.findall(text or "")  # read once, for the tokens and for the domain
-                tokens.append(sum(map(counts.__getitem__, words)))
-                posteriors.append(model.posterior(word_slots(words, slots)).astype(float))
+                count, places = known.read(text or "")
+                tokens.append(count)
+                posteriors.append(model.posterior(places).astype(float))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(tokens, pa.int64()),
                  pa.array(posteriors, pa.list_(pa.float64()))], ["doc_id", "n_tokens", "posterior"])

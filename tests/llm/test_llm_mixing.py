@@ -5,6 +5,7 @@ import public_tokenizers
 from llm_fixtures import awkward, empty, frame, prose
 from pyspark.sql import functions as F
 
+from promolens.llm import mixing, wordpiece
 from promolens.llm.mixing import mix, times_used
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,3 +93,20 @@ def test_a_weight_without_documents_does_not_raise_the_others(spark):
     got = mix(frame(spark, rows), labelled(spark, rows), PATH, {"de": 0.4, "en": 0.4, "zzz": 0.2}, 10000.0).collect()
     sums = np.array([r.posterior for r in got]).T @ np.array([r.rate * r.n_tokens for r in got])
     assert np.allclose(sums, [4000, 4000, 0], atol=5)
+
+
+def test_known_words_count_and_place_like_the_plain_way(monkeypatch):
+    """One look-up a word gives the tokens and places of the plain way, also when words are
+    forgotten between texts and when one text has more words than are kept."""
+    automaton = wordpiece.Automaton([bytes([b]) for b in range(256)] + [b" w", b"ab", b" ab1"])
+    texts = ["", "ab1 AB1 a1b2c3 ?! 12", " ".join(f"w{i}x é{i % 7}" for i in range(60)), "a1b2c3 w1x ab1", "12 !"]
+    for kept in (1000, 8):
+        monkeypatch.setattr(mixing, "MEMO_WORDS", kept)
+        known = mixing.KnownWords(automaton)
+        for text in texts + texts[::-1]:
+            words = wordpiece.WORD.findall(text)
+            places = {mixing.slot(p) for w in words for p in mixing.LETTERS.findall(w.lower())}
+            count, found = known.read(text)
+            assert count == sum(automaton.count(b" " + w.encode()) for w in words)
+            assert found.tolist() == sorted(places)
+            assert sorted(mixing.word_slots(words, mixing.WordSlots())) == sorted(places)
