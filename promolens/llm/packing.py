@@ -1,25 +1,32 @@
 """Best-fit packing of tokenised documents into sequences of bounded length.
 
 Lengths are whole numbers up to the capacity, so documents and gaps, sorted by
-size, fall into at most ``capacity`` runs of equals each, whatever the corpus.
-A sequential loop on the driver (not distributed rounds) works on these runs:
-from the longest documents down, a run of documents goes to the smallest gap that
-holds it; as many as there are places take them, the gaps shrink, and the rest
-goes on; what finds no gap opens new sequences.  The outcome is a short
-table "documents of this length with these ranks go to these sequences"; its
-size is bounded by the capacity alone.  Tokenising, ranking and placing the
-single documents is distributed.
+size, fall into runs of equals.  Best fit goes in bulk-synchronous rounds over the
+tables of these runs, each round a Spark job:
+
+1.  Documents and gaps are sorted by size into ranges.  A sweep down every range
+    matches documents with their successors (the smallest gaps that hold them); what
+    finds no mate in its range goes to a sweep over half as many, wider ranges.
+2.  Of documents that want one gap the longer has it (rank); the others go on.
+3.  The gaps shrink by what they took and are written, with what is left, for the next
+    round.  Where no gap holds any document, new sequences are opened, nine tenths of
+    the least number that the rest needs, so that the last ones open a few at a time.
+
+A round places a length in at most as many gaps as there are runs, so the runs are
+bounded by the capacity and the number of rounds, whatever the corpus.  The outcome is
+a table "documents of this length from this rank on go to these sequences".
+Tokenising, ranking and placing the single documents is distributed.
 """
 
 from __future__ import annotations
 
 import array
+import math
 import os
 import string
 import zlib
-from bisect import bisect_left, insort
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +40,14 @@ from .common import columns_of, kept_by_worker, ship, small_batches, written
 CAPACITY = 2048
 #: The id after every document.
 END_ID = 0
+#: Kinds of runs: gaps, documents, placed documents, gaps for the next round.
+GAP, DOCUMENT, PLACED, UPDATED = range(4)
+RUN = ["kind", "size", "first", "n", "sequence", "offset"]
+RUN_SCHEMA = ", ".join(f"{c} long" for c in RUN)
+#: Runs that one task sweeps at first.
+RANGE_RUNS = 16_384
+#: Share of the least number of sequences that the rest needs, to be opened at once.
+OPENED = 0.9
 #: Distinct words whose ids a worker remembers before it starts anew.
 MEMO_WORDS = 800_000
 #: Signs at the end of a word that never join a token with letters (an apostrophe may).
@@ -141,48 +156,104 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
                                 " part long, place long")
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> np.ndarray:
-    """Rows (length, first rank, first sequence, offset) sorted by length and rank.
+def sweep(rows: Iterable[tuple[int, ...]], capacity: int) -> list[tuple[int, ...]]:
+    """Match documents with their successors, the smallest gaps that hold them.
 
-    ``counts`` has the number of documents of every length.  Documents of one
-    length are ranked from 0; those from one first rank up to the next go, one
-    each, to consecutive sequences.
+    ``rows`` are runs (kind, size, first, n, sequence, offset) of a range of sizes,
+    from the largest size down, gaps before documents.  Where several documents
+    want one gap, the first in rank (the longest) has it.  The gaps passed so far
+    and not taken wait on a stack, the smallest on top, so a match found inside a
+    range is also that of all ranges together; what finds no mate is returned as
+    it came, for a sweep over wider ranges.  A gap takes as many equal documents
+    as it holds; what is left of it is an ``UPDATED`` gap of the next round.
     """
-    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap -> (first sequence, how many)
-    sizes: list[int] = []  # the gaps that exist, sorted
-    opened = 0
-    out: list[tuple[int, int, int, int]] = []
-
-    def add(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if not gaps[gap]:
-                insort(sizes, gap)
-            gaps[gap].append((first, n))
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            at = bisect_left(sizes, length)  # the successor: the smallest gap that holds it
-            if at == len(sizes):
-                n = -(-left // (capacity // length))
-                add(capacity, opened, n)
-                opened += n
-                continue
-            gap = sizes[at]
-            first, n = gaps[gap].pop()
-            if not gaps[gap]:
-                sizes.pop(at)
-            deep = gap // length
-            used = min(n, -(-left // deep))
-            add(gap, first + used, n - used)
-            for _ in range(deep):  # one more document into each of these gaps
-                now = min(used, left)
-                if now:
-                    out.append((length, rank, first, capacity - gap))
-                    rank, left = rank + now, left - now
-                add(gap, first + now, used - now)
-                used, gap = now, gap - length
-            add(gap, first, used)
-    return np.array(sorted(out), dtype=np.int64).reshape(-1, 4)
+    waiting: list[tuple[int, int, int]] = []
+    out: list[tuple[int, ...]] = []
+    for row in rows:
+        kind, size, first, n = row[:4]
+        if kind == GAP:
+            waiting.append((size, first, n))
+        elif kind != DOCUMENT:
+            out.append(row)
+        else:
+            while n and waiting:
+                gap, sequence, there = waiting.pop()
+                used = min(there, -(-n // (gap // size)))
+                if there > used:
+                    waiting.append((gap, sequence + used, there - used))
+                while used and gap >= size:  # one more document into each of these gaps
+                    now = min(used, n)
+                    if now:
+                        out.append((PLACED, size, first, now, sequence, capacity - gap))
+                        first, n = first + now, n - now
+                    if used > now:
+                        out.append((UPDATED, gap, sequence + now, used - now, 0, 0))
+                    used, gap = now, gap - size
+                if used and gap:
+                    out.append((UPDATED, gap, sequence, used, 0, 0))
+            if n:
+                out.append((DOCUMENT, size, first, n, 0, 0))
+    return out + [(GAP, *run, 0, 0) for run in waiting]
+
+
+def swept(runs: DataFrame, capacity: int, ranges: int) -> DataFrame:
+    """One round's matches: sweeps over ranges of sizes, half as many each time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        found = sweep(rows, capacity)
+        columns = list(zip(*found, strict=True)) if found else [[]] * len(RUN)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], RUN)
+    order = [F.desc("size"), F.asc("kind"), F.asc("first")]
+    while True:
+        dealt = runs.coalesce(1) if ranges == 1 else runs.repartitionByRange(ranges, *order[:2])
+        runs = dealt.sortWithinPartitions(*order).mapInArrow(run, RUN_SCHEMA)
+        if ranges == 1:
+            return runs
+        ranges = -(-ranges // 2)
+
+
+def openings(tokens: int, halves: int, capacity: int) -> int:
+    """New sequences when nothing fits any more: most of what the rest needs at least."""
+    return max(math.ceil(tokens * OPENED / capacity), halves, 1)
+
+
+def best_fit(lengths: DataFrame, capacity: int, range_runs: int = RANGE_RUNS) -> DataFrame:
+    """Bulk-synchronous best fit of the runs ``length, n``: rows ``length, rank, n,
+    sequence, offset``.
+
+    Documents of one length are ranked from 0; the ``n`` ones from ``rank`` on go, one
+    each, to consecutive sequences from ``sequence`` on, at ``offset``.  In a round, all
+    documents and gaps, sorted by size, are matched by sweeps; conflicts go by rank; the
+    gaps are updated and the next round begins.  When the largest gap is too small for
+    the shortest document, new sequences are opened.  A round reads what the round
+    before wrote, so a lost executor costs a part of one round.
+    """
+    spark = lengths.sparkSession
+    state = written(lengths.select(F.lit(DOCUMENT).alias("kind"), F.col("length").alias("size"),
+                                   F.lit(0).alias("first"), "n", F.lit(0).alias("sequence"),
+                                   F.lit(0).alias("offset")).select(*[F.col(c).cast("long") for c in RUN]))
+    rounds, opened = [state], 0
+    is_document = F.col("kind") == DOCUMENT
+    while True:
+        now = state.where(F.col("kind") != PLACED).agg(
+            F.count(F.lit(1)).alias("runs"), F.min(F.when(is_document, F.col("size"))).alias("shortest"),
+            F.max(F.when(~is_document, F.col("size"))).alias("widest"),
+            F.sum(F.when(is_document, F.col("size") * F.col("n"))).alias("tokens"),
+            F.sum(F.when(is_document & (2 * F.col("size") > capacity), F.col("n"))).alias("halves")).first()
+        if now.shortest is None:
+            break
+        runs = state.where(F.col("kind") != PLACED).withColumn(
+            "kind", F.when(is_document, F.col("kind")).otherwise(F.lit(GAP).cast("long")))
+        if (now.widest or 0) < now.shortest:
+            more = openings(now.tokens, now.halves or 0, capacity)
+            runs = runs.union(spark.createDataFrame([(GAP, capacity, opened, more, 0, 0)], RUN_SCHEMA))
+            opened += more
+        state = written(swept(runs, capacity, -(-now.runs // range_runs)))
+        rounds.append(state)
+    return (spark.read.schema(RUN_SCHEMA).parquet(*[r._written_at for r in rounds])
+            .where(F.col("kind") == PLACED)
+            .select(F.col("size").alias("length"), F.col("first").alias("rank"), "n", "sequence", "offset"))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -202,8 +273,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
     base = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     pieces = written(pieces_of(base, tokenizer_path, capacity))
     by_part = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r.length: r.n for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    plan = spark.sparkContext.broadcast(best_fit(counts, capacity))
+    fitted = best_fit(by_part.groupBy("length").agg(F.sum("n").alias("n")), capacity)
+    placements = fitted.orderBy("length", "rank").select("length", "rank", "sequence", "offset").toPandas()
+    plan = spark.sparkContext.broadcast(placements.to_numpy(np.int64).reshape(-1, 4))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_part.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     ranked = pieces.join(offsets, ["length", "part"]).select(

@@ -7,19 +7,35 @@ import public_tokenizers
 from llm_fixtures import awkward, empty, frame, texts
 from tokenizers import Tokenizer
 
-from promolens.llm.packing import best_fit, pack
+from promolens.llm.packing import DOCUMENT, GAP, PLACED, best_fit, openings, pack, sweep
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-def sequences(counts, capacity):
-    table, out = best_fit(counts, capacity), defaultdict(list)
-    for length in counts:
-        rows = table[table[:, 0] == length]
-        ends = [*rows[1:, 1], counts[length]]
-        for (_, rank, first, offset), end in zip(rows, ends, strict=True):
-            for r in range(rank, end):
-                out[first + r - rank].append((offset, length))
+def rounds(counts, capacity):
+    """The rounds without Spark: rows (length, rank, n, sequence, offset)."""
+    state, opened, out = [(DOCUMENT, length, 0, n, 0, 0) for length, n in counts.items()], 0, []
+    while any(r[0] == DOCUMENT for r in state):
+        docs = [r for r in state if r[0] == DOCUMENT]
+        gaps = [(GAP, *r[1:]) for r in state if r[0] != DOCUMENT]
+        if max((g[1] for g in gaps), default=0) < min(d[1] for d in docs):
+            more = openings(sum(d[1] * d[3] for d in docs),
+                            sum(d[3] for d in docs if 2 * d[1] > capacity), capacity)
+            gaps.append((GAP, capacity, opened, more, 0, 0))
+            opened += more
+        found = sweep(sorted(docs + gaps, key=lambda r: (-r[1], r[0], r[2])), capacity)
+        out += [r[1:] for r in found if r[0] == PLACED]
+        state = [r for r in found if r[0] != PLACED]
+    return out
+
+
+def sequences(counts, table):
+    out, ranks = defaultdict(list), defaultdict(list)
+    for length, rank, n, first, offset in table:
+        ranks[length] += range(rank, rank + n)
+        for k in range(n):
+            out[first + k].append((offset, length))
+    assert {k: sorted(r) for k, r in ranks.items()} == {k: list(range(n)) for k, n in counts.items()}
     return out
 
 
@@ -39,7 +55,7 @@ def test_rounds_pack_like_best_fit():
     for _ in range(120):
         capacity = rng.choice([5, 10, 50])
         counts = Counter(rng.randint(1, capacity) for _ in range(rng.randint(1, 300)))
-        packed = sequences(counts, capacity)
+        packed = sequences(counts, rounds(counts, capacity))
         assert sum(map(len, packed.values())) == sum(counts.values())
         for places in packed.values():
             at = 0
@@ -50,6 +66,16 @@ def test_rounds_pack_like_best_fit():
         assert len(packed) <= best_fit_decreasing(list(counts.elements()), capacity) + 1
 
 
+def test_rounds_on_spark_with_one_range_and_with_several(spark):
+    rng = random.Random(7)
+    counts = Counter(rng.randint(1, 40) for _ in range(500))
+    table = spark.createDataFrame(list(counts.items()), "length long, n long")
+    want = sorted(rounds(counts, 64))
+    assert sorted(map(tuple, best_fit(table, 64).collect())) == want
+    assert sorted(map(tuple, best_fit(table, 64, range_runs=9).collect())) == want
+    assert best_fit(table.limit(0), 64).collect() == []
+
+
 def check(rows, got, capacity):
     tokenizer = Tokenizer.from_file(PATH)
     want = Counter()
