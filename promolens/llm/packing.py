@@ -236,7 +236,7 @@ def best_fit(lengths: DataFrame, capacity: int, range_runs: int = RANGE_RUNS) ->
     rounds, opened = [state], 0
     is_document = F.col("kind") == DOCUMENT
     while True:
-        now = state.where(F.col("kind") != PLACED).agg(
+        now = state.where(F.col("kind") != PLACED).coalesce(1).agg(
             F.count(F.lit(1)).alias("runs"), F.min(F.when(is_document, F.col("size"))).alias("shortest"),
             F.max(F.when(~is_document, F.col("size"))).alias("widest"),
             F.sum(F.when(is_document, F.col("size") * F.col("n"))).alias("tokens"),
