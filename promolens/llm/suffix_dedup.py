@@ -11,8 +11,8 @@ if their anchors' grams agree, and only one suffix per anchor is sorted.
 2.  Anchors whose gram occurs once are done.  For the others the bytes around
     the anchor are sent to the task of their gram.
 3.  There the suffixes that start at the anchors, and the reversed texts before
-    the anchors, are sorted: word by word to a shallow depth, then by blind
-    tries where long prefixes agree.  Neighbours' common lengths tell for every
+    the anchors, are sorted: by multikey quicksort over 8-byte words to a shallow
+    depth, then by blind tries where long prefixes agree.  Neighbours' common lengths tell for every
     offset ``d`` which strings agree on ``d`` bytes before and ``length - d``
     bytes from the anchor on, that is, which strings occur twice.
 4.  An anchor's repeated strings all cover the anchor, so they remove one run of
@@ -38,7 +38,7 @@ from .common import columns_of, ship, small_batches, text_or_empty, written
 
 #: Bytes of a repeated string, and of the gram that anchors it.
 LENGTH, GRAM = 400, 32
-#: Bytes that are sorted by words before blind tries take over.
+#: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 48
 #: Most anchors (then: distinct surroundings) of a gram that one task sorts.
 TASK_ANCHORS = 20_000
@@ -161,29 +161,57 @@ def blind_trie(strings: list[bytes], members: list[int], known: int) -> list[tup
     return out
 
 
+def multikey_quicksort(groups: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Order of the rows of ``words`` (big-endian words of a string) inside their groups.
+
+    All segments of the array are partitioned at once: each draws a pivot word at its
+    own depth, and its rows go to three parts, less, equal and greater.  The equal part
+    goes on one word deeper, the others at the same depth.  Rows equal in all words
+    keep their order.
+    """
+    order = np.argsort(groups, kind="stable")
+    own = groups[order]
+    start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+    size = np.diff(np.concatenate([start, [len(order)]]))
+    depth = np.zeros(len(start), np.int64)
+    turn = 0
+    while True:
+        busy = (size > 1) & (depth < words.shape[1])
+        start, size, depth = start[busy], size[busy], depth[busy]
+        if not len(start):
+            return order
+        ahead = np.cumsum(size) - size
+        segment = np.repeat(np.arange(len(start)), size)
+        at = np.arange(len(segment)) + (start - ahead)[segment]
+        rows = order[at]
+        word = words[rows, depth[segment]]
+        turn += 1  # the median of three rows, other ones each turn
+        drawn = np.stack([word[ahead + (k * size // 4 + turn * 7919) % size] for k in (1, 2, 3)])
+        pivot = np.sort(drawn, axis=0)[1][segment]
+        part = 3 * segment + (word >= pivot) + (word > pivot)
+        order[at] = rows[np.argsort(part, kind="stable")]
+        parts = np.bincount(part, minlength=3 * len(start)).reshape(-1, 3)
+        start = (start[:, None] + np.cumsum(parts, axis=1) - parts).ravel()
+        size = parts.ravel()
+        depth = (depth[:, None] + np.array([0, 1, 0])).ravel()
+
+
 def sorted_suffixes(groups: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(order by group and string, common prefix of each with the one before; -1 at a group's start)."""
     n = len(strings)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     lengths = np.fromiter(map(len, strings), np.int64, n)
     words = np.frombuffer(b"".join(s[:SHALLOW].ljust(SHALLOW, b"\0") for s in strings), ">u8"
                           ).reshape(n, SHALLOW // 8).astype(np.uint64)
-    order = np.argsort(groups, kind="stable")
-    tied = np.concatenate([[0], np.cumsum(groups[order][1:] != groups[order][:-1])])
-    lcp = np.full(n, -1, np.int64)
-    inside = np.concatenate([[False], tied[1:] == tied[:-1]])  # not the first of its group
-    for k in range(SHALLOW // 8):  # refine the ties by one more word at a time
-        resort = np.lexsort((words[order, k], tied))
-        order = order[resort]
-        w = words[order, k]
-        split = np.concatenate([[False], (w[1:] != w[:-1]) & (tied[1:] == tied[:-1])])
-        at = np.flatnonzero(split)
-        differ = w[at] ^ w[at - 1]
-        same = np.zeros(len(at), np.int64)  # equal leading bytes of the word
-        for byte in range(1, 8):
-            same += (differ >> np.uint64(64 - 8 * byte)) == 0
-        lcp[at] = 8 * k + same
-        tied = tied + np.cumsum(split)
-    bounds = np.flatnonzero(np.concatenate([[True], tied[1:] != tied[:-1], [True]]))
+    order = multikey_quicksort(groups, words)
+    inside = np.concatenate([[False], groups[order][1:] == groups[order][:-1]])  # not the first of its group
+    differ = words[order][1:] ^ words[order][:-1]
+    column = np.argmax(differ != 0, axis=1)  # the first word that differs
+    differ = differ[np.arange(n - 1), column]
+    same = sum(((differ >> np.uint64(64 - 8 * k)) == 0).astype(np.int64) for k in range(1, 8))
+    lcp = np.concatenate([[-1], np.where(differ == 0, SHALLOW, 8 * column + same)])
+    bounds = np.flatnonzero(np.concatenate([[True], ~(inside[1:] & (differ == 0)), [True]]))
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         if b - a > 1:
             known = min(SHALLOW, int(lengths[order[a:b]].min()))

@@ -31,6 +31,18 @@ def test_order_and_common_prefixes():
             assert lcp[k] == (-1 if first else common(keys[k][1], keys[k - 1][1]))
 
 
+def test_multikey_quicksort_orders_by_group_and_words():
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 3, 50, 3000):
+        for values in (1, 2, 40, 1 << 60):  # all equal to all different
+            groups, words = rng.integers(0, 4, n), rng.integers(0, values, (n, 3)).astype(np.uint64) << np.uint64(3)
+            order = S.multikey_quicksort(groups, words)
+            want = sorted(range(n), key=lambda i: (groups[i], *words[i]))
+            assert order.tolist() == want
+    ordered = np.arange(5000, dtype=np.uint64)[:, None]
+    assert S.multikey_quicksort(np.zeros(5000, int), ordered[::-1]).tolist() == list(range(5000))[::-1]
+
+
 def passages(seed=4):
     """Texts of shared, changed and periodic parts."""
     rng = random.Random(seed)
