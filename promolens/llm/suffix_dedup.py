@@ -424,15 +424,17 @@ def remove_repeats(docs: DataFrame, task_anchors: int = TASK_ANCHORS, texts: boo
     base = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     keyed = base.withColumn("key", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
     found = written(text_anchors(base))
-    distinct = found.where(F.size("gram") > 0).groupBy("key").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    # the tables with one row per key are written, so that the joins to them are plain shuffles,
+    # whose hot keys Spark splits
+    distinct = written(found.where(F.size("gram") > 0).groupBy("key").agg(
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
     # one document stands for all equal ones
     alone = (found.join(distinct, "key").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
              .select("key", F.explode(F.arrays_zip("gram", "place", "low", "high")).alias("a"))
              .select("key", "a.*"))
     ties = has_repeated_ids(found)
     alone = alone.distinct() if ties else alone
-    repeated = alone.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    repeated = written(alone.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1"))
     wanted = (alone.join(repeated, "gram")
               .groupBy("key").agg(F.collect_list(F.struct(
                   "gram", (F.col("times") > task_anchors).alias("many"), "place", "low", "high")).alias("found")))
@@ -442,8 +444,8 @@ def remove_repeats(docs: DataFrame, task_anchors: int = TASK_ANCHORS, texts: boo
     around = written(surroundings(first_texts.dropDuplicates(["key"]) if ties else first_texts))
     spans = repeated_spans(around, task_anchors).groupBy("key").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans"))
-    removal = distinct.select("key", (F.col("copies") > 1).alias("copied")).join(spans, "key", "left").where(
-        "copied OR spans IS NOT NULL")
+    removal = written(distinct.select("key", (F.col("copies") > 1).alias("copied")).join(
+        spans, "key", "left").where("copied OR spans IS NOT NULL"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
