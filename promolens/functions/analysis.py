@@ -25,7 +25,7 @@ def parse_list(c) -> Column:
 
 
 def is_object(e: Column) -> Column:
-    return F.to_json(e).startswith("{")
+    return F.try_variant_get(e, "$", "map<string,variant>").isNotNull()
 
 
 def object_entries(entries) -> Column:

@@ -77,12 +77,13 @@ def global_rank(df: DataFrame, order_cols: Sequence[Column | str], name: str = "
     ``order_cols`` must be unique per row for a deterministic result.
     """
     s = sorted_table(df, order_cols, num_partitions).withColumn("_pid", _pid())
-    # one row per range partition: bounded, so its windows need no partitioning
+    # one row per range partition: bounded, so its windows need no partitioning and
+    # the rows are not shuffled to meet it
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
                             F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    ranked = s.join(offsets, "_pid").withColumn(name, F.col("_off") + _local() + F.lit(1))
+    ranked = s.join(F.broadcast(offsets), "_pid").withColumn(name, F.col("_off") + _local() + F.lit(1))
     if total:
         ranked = ranked.withColumn(total, F.col("_all"))
     return ranked.drop("_pid", "_off", "_all", "_mid")
@@ -118,7 +119,7 @@ def grouped_prefix_sum(df: DataFrame, group_col: str, order_cols: Sequence[str],
     offsets = sums.select(F.col("_pid").alias("_p"), F.col(group_col).alias("_g"),
                           F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_off"))
     local = s.mapInPandas(run, schema)
-    return (local.join(offsets, (F.col("_pid") == F.col("_p")) & F.col(group_col).eqNullSafe(F.col("_g")))
+    return (local.join(F.broadcast(offsets), (F.col("_pid") == F.col("_p")) & F.col(group_col).eqNullSafe(F.col("_g")))
             .withColumn(name, F.col("_off") + F.col("_run"))
             .drop("_pid", "_p", "_g", "_off", "_run", "_mid"))
 

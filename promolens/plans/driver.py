@@ -80,18 +80,17 @@ def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .agg(F.sort_array(F.collect_list(F.struct(
                      "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
                      entry.alias("entry"), F.col("p_brand").alias("brand")))).alias("items")))
-    per_order = per_order.select(
-        "l_orderkey",
-        F.to_json(F.transform("items", lambda x: x["entry"]), {"ignoreNullFields": "false"}).alias("list_json"),
-        F.to_json(F.get(F.col("items"), 0)["entry"], {"ignoreNullFields": "false"}).alias("first_json"),
-        F.get(F.col("items"), 0)["brand"].alias("first_brand"))
+    # the text is made after the join: once per order, and only of orders that are read
+    per_order = per_order.select("l_orderkey", F.col("items.entry").alias("entries"),
+                                 F.get(F.col("items"), 0)["brand"].alias("first_brand"))
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     o = (orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
          .join(per_order, orders.o_orderkey == per_order.l_orderkey, "left"))
-    analysis = (F.when(F.col("list_json").isNull(), F.lit(None))
-                .when(F.col("o_orderpriority") == "5-LOW", F.col("first_json"))
-                .otherwise(F.col("list_json")))
+    with_nulls = {"ignoreNullFields": "false"}
+    analysis = (F.when(F.col("entries").isNull(), F.lit(None))
+                .when(F.col("o_orderpriority") == "5-LOW", F.to_json(F.get(F.col("entries"), 0), with_nulls))
+                .otherwise(F.to_json("entries", with_nulls)))
     canonical = (F.when(F.col("o_orderstatus") == "F", F.lit(None))
                  .when(F.col("o_orderstatus") == "O", F.lit("UNKNOWN"))
                  .otherwise(F.lower("first_brand")))
