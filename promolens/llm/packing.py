@@ -27,6 +27,7 @@ import string
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -80,15 +81,15 @@ class WordIds(dict):
         if len(self) >= MEMO_WORDS:
             self.clear()
         tails = []  # words that end with signs: letters and signs never share a token
-        fresh = words.difference(self)
+        # not by differences with self: of a dict's heirs, sets look at every key
+        fresh = set(filterfalse(self.__contains__, words))
         for w in list(fresh):
             if w[-1:] in ENDS:
                 stem = w.rstrip(ENDS)
                 if stem.isalpha() and (stem.isascii() or self.stays_letters(stem)):
                     tails.append((w, stem, w[len(stem):]))
                     fresh.discard(w)
-        fresh.update(x for _, stem, end in tails for x in (stem, end))
-        fresh.difference_update(self)
+        fresh.update(x for _, stem, end in tails for x in (stem, end) if x not in self)
         plain = [w for w in fresh if w.isalpha()]
         rest = list(fresh.difference(plain))
         for a in range(0, len(plain), JOINED):  # words of letters: one call for many

@@ -7,7 +7,7 @@ import public_tokenizers
 from llm_fixtures import awkward, empty, frame, texts
 from tokenizers import Tokenizer
 
-from promolens.llm.packing import DOCUMENT, GAP, PLACED, best_fit, openings, pack, sweep
+from promolens.llm.packing import DOCUMENT, GAP, PLACED, WordIds, best_fit, openings, pack, sweep
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -115,3 +115,18 @@ def test_signs_after_letters_that_become_letter_and_mark(spark):
     rows = [(1, "B\u0130TT\u0130. B\u0130R, \u0130! \u0130st."), (2, "\u0915\u0958. \u0958! \u0958\u0915, \u0915."),
             (3, "\ufb1d. \u05d0\ufb2a, \u05d0."), (4, "\u00c9T\u00c9. gr\u00fcn, \u03a3\u03a3. \u212b; \uac00. \u1100\u1161!")]
     check(rows, pack(frame(spark, rows), PATH).collect(), 2048)
+
+
+def test_new_words_are_found_without_going_through_the_known_ones():
+    """op6: a batch costs by its own words, not by those that the worker remembers."""
+    class Watched(WordIds):
+        def __iter__(self):
+            raise AssertionError("went through all known words")
+
+        keys = items = values = __iter__
+    known, tokenizer = Watched(PATH), Tokenizer.from_file(PATH)
+    for words in ({"some", "words!", ""}, {"words", "words!", "some", "more?!", "a-b", "!", "1984"}):
+        known.learn(words)
+        for w in words:
+            ids = tokenizer.encode(w, add_special_tokens=False).ids
+            assert known[w] == b"".join(i.to_bytes(4, "little") for i in ids)
