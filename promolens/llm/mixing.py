@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, kept_by_worker, received, send, ship, small_batches, written
+from .common import columns_of, kept_by_worker, let_go, received, send, ship, small_batches, written
 from .wordpiece import WORD, Automaton, byte_vocabulary
 
 DIM = 1 << 18
@@ -41,7 +41,7 @@ TEMPERATURE = 0.7
 MARGIN = 1.02
 #: Steps end when every domain is this close to its target, as a share of it.
 CLOSE, MOST_STEPS = 1e-6, 200
-MEMO_WORDS = 800_000
+MEMO_WORDS = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -207,6 +207,7 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, limit: int) -> tuple[l
            .where(spread < F.col("bound")).select("doc_id", "domain"))  # bounded, so it may be broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         slots = WordSlots()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, ship, small_batches, text_or_empty, written
+from .common import columns_of, let_go, ship, small_batches, text_or_empty, written
 from .components import components
 
 #: Bins of the sketch and bins of a band.
@@ -115,6 +115,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     """``doc_id, n_shingles, set_key, bands`` of every document with words or without."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes = WordHashes()
         for batch in batches:
             counts, keys, bands = [], [], []
@@ -136,6 +137,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         hashes = WordHashes()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, received, removed, send, ship, small_batches, with_plain_names, written
+from .common import columns_of, let_go, received, removed, send, ship, small_batches, with_plain_names, written
 
 #: Size of the hashed feature space.
 DIM = 1 << 18
@@ -192,6 +192,7 @@ def graded_sample(docs: DataFrame, grades: DataFrame, limit: int = FIT_ROWS) ->
     texts = columns_of(docs, "doc_id", "text").where("doc_id IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         memo = WordSlots()
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
@@ -298,6 +299,7 @@ def good_documents(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = received(shared, OrdinalModel)
         weights = WordWeights(model.weights) if model else None
         for batch in batches:
@@ -321,6 +323,7 @@ def quality_scores(docs: DataFrame, grades: DataFrame, keep_at: float = KEEP_AT,
     shared = send(docs.sparkSession, model_of(docs, grades, fit_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = received(shared, OrdinalModel)
         weights = WordWeights(model.weights) if model else None
         for batch in batches:
